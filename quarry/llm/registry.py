@@ -3,7 +3,16 @@
 from __future__ import annotations
 
 from quarry.llm.decontaminate import OP10_SQL, op10_decontaminate
+from quarry.llm.quality import op1_quality
+from quarry.llm.simhash import op9_simhash
+from quarry.llm.toxicity import op7_toxicity
 from quarry.llm.warc import OP4_SQL, op4_warc
 
-QUERIES = {"op4_warc": op4_warc, "op10_decontaminate": op10_decontaminate}
+QUERIES = {
+    "op1_quality": op1_quality,
+    "op4_warc": op4_warc,
+    "op7_toxicity": op7_toxicity,
+    "op9_simhash": op9_simhash,
+    "op10_decontaminate": op10_decontaminate,
+}
 ORACLES = {"op4_warc": OP4_SQL, "op10_decontaminate": OP10_SQL}
