@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quarry.llm.decontaminate import OP10_SQL, op10_decontaminate
 from quarry.llm.packing import op3_packing
+from quarry.llm.pii import op2_pii
 from quarry.llm.quality import op1_quality
 from quarry.llm.simhash import op9_simhash
 from quarry.llm.toxicity import op7_toxicity
@@ -11,6 +12,7 @@ from quarry.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_pii": op2_pii,
     "op3_packing": op3_packing,
     "op4_warc": op4_warc,
     "op7_toxicity": op7_toxicity,
