@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quarry.llm.covertree import op6_covertree
 from quarry.llm.decontaminate import OP10_SQL, op10_decontaminate
 from quarry.llm.packing import op3_packing
 from quarry.llm.pii import op2_pii
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_packing": op3_packing,
     "op4_warc": op4_warc,
+    "op6_covertree": op6_covertree,
     "op7_toxicity": op7_toxicity,
     "op9_simhash": op9_simhash,
     "op10_decontaminate": op10_decontaminate,
