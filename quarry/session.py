@@ -86,3 +86,12 @@ def ship(spark: SparkSession) -> None:
             out.write(path, Path(root.name) / path.relative_to(root))
     context.addPyFile(f"{where}/quarry_package.zip")
     _SHIPPED.add(context.applicationId)
+
+
+def release(spark: SparkSession) -> None:
+    """Ask for the shuffle files of finished steps to go: Spark drops them when the driver's
+    references are collected, which in a short-lived driver with a large heap may be never."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
