@@ -22,6 +22,7 @@ def get_session(app: str = "quarry", cpus: str = "*", shuffle: int = 8, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
