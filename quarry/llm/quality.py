@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quarry.llm.folds import held_out, label_rows, texts_of
 from quarry.session import ship, table
@@ -165,7 +166,7 @@ def score(docs: DataFrame, net: Net, threshold: float = THRESHOLD) -> DataFrame:
             scores = pa.array([of(x) for x in batch.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in fields), scores], names=[*fields, "score"])
 
-    return docs.mapInArrow(run, docs.schema.add("score", "double")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("score", DoubleType())])).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quarry.llm.decontaminate import words_of
 from quarry.llm.folds import held_out, label_rows, order_key, texts_of
@@ -178,7 +179,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             scores = pa.array([of(x) for x in batch.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in fields), scores], names=[*fields, "score"])
 
-    schema = docs.schema.add("score", "double")
+    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
     return docs.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
