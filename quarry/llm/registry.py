@@ -8,6 +8,7 @@ from quarry.llm.packing import op3_packing
 from quarry.llm.pii import op2_pii
 from quarry.llm.quality import op1_quality
 from quarry.llm.simhash import op9_simhash
+from quarry.llm.substring import op5_substring
 from quarry.llm.toxicity import op7_toxicity
 from quarry.llm.warc import OP4_SQL, op4_warc
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_packing": op3_packing,
     "op4_warc": op4_warc,
+    "op5_substring": op5_substring,
     "op6_covertree": op6_covertree,
     "op7_toxicity": op7_toxicity,
     "op9_simhash": op9_simhash,
