@@ -40,7 +40,9 @@ from pyspark.sql import functions as F
 from quarry.session import release, scratch, ship, staged, table
 
 WINDOW = 13
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 3_000_000
+#: Bytes of blocks that one task reads.
+TASK_BYTES = 16_000_000
 #: Windows that one band's task may merge, and the least number of bands.
 BAND_WINDOWS, BANDS = 16_000_000, 64
 #: log2 of the cells of a row of the largest count-min table (a byte each, two rows, two flags).
@@ -116,11 +118,17 @@ def decoded(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").reshape(-1), dtype=np.int64).astype(np.uint32)
 
 
+def one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows as dicts; a batch of large values is not copied as a whole."""
+    for i in range(batch.num_rows):
+        yield {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+
+
 def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
     """Rows of each key, where rows come sorted by it."""
     now, held = None, []
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in one_by_one(batch):
             if row[key] != now and held:
                 yield now, held
                 held = []
@@ -184,11 +192,11 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     total = blocks.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     lb = band_bits(total)
     drop = np.uint64(32 - lb)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // 48_000_000))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in one_by_one(batch):
                 h1, *_ = windows(_lines(row["words"], len(row["ids"])))
                 q = np.unique(h1 >> drop)
                 band = (q >> np.uint64(32)).astype(np.int64)
