@@ -19,12 +19,12 @@ a null doc_id is scored and is not in the held-out fold unless crc32('') says so
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -48,28 +48,33 @@ def word_features(word: bytes) -> list[bytes]:
     return [word, *(b"%d:" % n + word[:n] for n in (4, 5, 6) if len(word) > n)]
 
 
-def features(text: str | None) -> set[bytes]:
-    return {f for w in set(words_of(text)) for f in word_features(w)}
+def number(feature: bytes) -> int:
+    """A feature as a 64-bit number; training and models hold only these."""
+    return xxhash.xxh3_64_intdigest(feature)
+
+
+def features(text: str | None) -> np.ndarray:
+    return np.unique(np.array([number(f) for w in set(words_of(text)) for f in word_features(w)], np.uint64))
 
 
 @dataclass
 class Model:
-    weights: dict[bytes, float]
+    weights: dict[int, float]
     bias: float
 
     def scorer(self):
         """A function from text to probability that remembers the features of words it has seen."""
-        seen: dict[bytes, tuple[bytes, ...]] = {}
+        seen: dict[bytes, tuple[int, ...]] = {}
         weights, bias = self.weights, self.bias
 
         def score(text: str | None) -> float:
             if len(seen) > REMEMBERED:
                 seen.clear()
-            found: set[bytes] = set()
+            found: set[int] = set()
             for w in set(words_of(text)):
                 known = seen.get(w)
                 if known is None:
-                    known = seen[w] = tuple(f for f in word_features(w) if f in weights)
+                    known = seen[w] = tuple(f for f in map(number, word_features(w)) if f in weights)
                 if known:
                     found.update(known)
             z = bias + sum(weights[f] for f in sorted(found))
@@ -81,39 +86,37 @@ class Model:
         return self.scorer()(text)
 
 
-def vocabulary(positive: list[set[bytes]], unlabelled: list[set[bytes]], prior: float, size: int = VOCABULARY) -> list[bytes]:
-    """Words whose share among positives exceeds chance, by a one-sided z statistic; all data of the sample count."""
+def vocabulary(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int = VOCABULARY) -> np.ndarray:
+    """Features whose share among positives exceeds chance, by a one-sided z statistic; sorted."""
     n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
-    in_p, in_u = Counter(w for s in positive for w in s), Counter(w for s in unlabelled for w in s)
-    scored = []
-    for w, a in in_p.items():
-        if a < 3:
-            continue
-        u = in_u[w]
-        # Under "no relation", positives hold the word as often as unlabelled text does.
-        rate = (a + u + 1) / (n_p + n_u + 2)
-        z = (a / n_p - u / n_u) / np.sqrt(rate * (1 - rate) * (1 / n_p + 1 / n_u))
-        if z > 4.0 or (z > 2.5 and u == 0):
-            scored.append((-z, w))
-    return [w for _, w in sorted(scored)[:size]]
-
-
-def _sparse(docs: list[set[bytes]], index: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    rows, cols = [], []
-    for i, s in enumerate(docs):
-        for w in s:
-            j = index.get(w)
-            if j is not None:
-                rows.append(i)
-                cols.append(j)
-    return np.array(rows, np.int64), np.array(cols, np.int64)
-
-
-def nn_pu(positive: list[set[bytes]], unlabelled: list[set[bytes]], words: list[bytes], prior: float, seed: int, epochs: int = 120, rate: float = 0.1, decay: float = 2e-5) -> tuple[np.ndarray, float]:
+    f, a = np.unique(np.concatenate(positive), return_counts=True)
+    f, a = f[a >= 3], a[a >= 3]
+    g, c = np.unique(np.concatenate(unlabelled), return_counts=True)
+    at = np.minimum(np.searchsorted(g, f), max(0, len(g) - 1))
+    u = np.where(g[at] == f, c[at], 0) if len(g) else np.zeros(len(f))
+    # Under "no relation", positives hold the feature as often as unlabelled text does.
+    rate = (a + u + 1) / (n_p + n_u + 2)
+    z = (a / n_p - u / n_u) / np.sqrt(rate * (1 - rate) * (1 / n_p + 1 / n_u))
+    good = (z > 4.0) | ((z > 2.5) & (u == 0))
+    f, z = f[good], z[good]
+    return np.sort(f[np.lexsort((f, -z))[:size]])
+
+
+def _sparse(docs: list[np.ndarray], words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the presences of chosen features."""
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    flat = np.concatenate(docs)
+    rows = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    at = np.minimum(np.searchsorted(words, flat), len(words) - 1)
+    hit = words[at] == flat
+    return rows[hit], at[hit]
+
+
+def nn_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], words: np.ndarray, prior: float, seed: int, epochs: int = 120, rate: float = 0.1, decay: float = 2e-5) -> tuple[np.ndarray, float]:
     """One linear classifier by full sweeps over random thirds of both sets (Adam)."""
     rng = np.random.default_rng(seed)
-    index = {w: j for j, w in enumerate(words)}
-    (pr, pc), (ur, uc) = _sparse(positive, index), _sparse(unlabelled, index)
+    (pr, pc), (ur, uc) = _sparse(positive, words), _sparse(unlabelled, words)
     w, b = np.zeros(len(words)), -1.0
     m, v, t = np.zeros(len(words) + 1), np.zeros(len(words) + 1), 0
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -148,10 +151,10 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, seeds: tuple[i
     if not positive or not unlabelled:
         return Model({}, float(np.log(prior / (1 - prior))))
     p, u = [features(x) for x in positive], [features(x) for x in unlabelled]
-    words = vocabulary(p, u, prior)
+    words = vocabulary(p, u)
     fits = [nn_pu(p, u, words, prior, s) for s in seeds]
-    w = np.mean([f[0] for f in fits], axis=0) if words else np.zeros(0)
-    return Model({x: float(y) for x, y in zip(words, w, strict=True)}, float(np.mean([f[1] for f in fits])))
+    w = np.mean([f[0] for f in fits], axis=0) if len(words) else np.zeros(0)
+    return Model({int(x): float(y) for x, y in zip(words, w, strict=True)}, float(np.mean([f[1] for f in fits])))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Model:
