@@ -16,7 +16,7 @@ with a smaller doc_id are removed. Six steps, all over blocks of about BLOCK_BYT
 6. Each block removes covered words. Documents without a kept window end at step 4.
 
 Nothing is broadcast, and no task holds more than one band, bucket or block. Equality of windows
-is equality of two independent 64-bit hashes.
+is equality of 128-bit hashes of their bytes.
 
 Defined results for odd input: null and empty texts have no words (hash of the empty string); documents of fewer
 than 13 words lose nothing; rows with the same doc_id do not remove each other's words; a null doc_id counts as larger
@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import release, scratch, ship, staged, table
+from quarry.session import drop_staged, release, scratch, ship, staged, table
 
 WINDOW = 13
 BLOCK_BYTES = 3_000_000
@@ -51,8 +51,16 @@ NULL_ID = 2**63 - 1
 _R1, _R2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def packed(data: bytes) -> bytes:
+    return struct.pack("<Q", len(data)) + zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def unpacked(blob: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(blob[8:], max_output_size=struct.unpack("<Q", blob[:8])[0]) if len(blob) > 8 else b""
+
+
 def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs(doc_id, text) -> (block, ids, nulls, words): words of a document by single spaces, documents by line ends."""
+    """docs(doc_id, text) -> (block, ids, nulls, size, words), compressed: words of a document by single spaces, documents by line ends."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,7 +72,7 @@ def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         def done() -> pa.RecordBatch:
             known = np.array([NULL_ID if i is None else i for i in ids], np.int64)
             nulls = np.packbits(np.array([i is None for i in ids], bool))
-            return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "ids": pa.array([known.tobytes()], pa.binary()), "nulls": pa.array([nulls.tobytes()], pa.binary()), "words": pa.array([b"\n".join(texts)], pa.binary())})
+            return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "ids": pa.array([known.tobytes()], pa.binary()), "nulls": pa.array([nulls.tobytes()], pa.binary()), "size": pa.array([size], pa.int64()), "words": pa.array([packed(b"\n".join(texts))], pa.binary())})
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -78,31 +86,71 @@ def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         if ids:
             yield done()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "block long, ids binary, nulls binary, words binary")
-
-
-def windows(lines: list[bytes], size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Two hashes of every window, its document (index) and its first word (index in the document)."""
-    index: dict[bytes, int] = {}
-    split = [line.split(b" ") if line else [] for line in lines]
-    n = np.array([len(w) for w in split], np.int64)
-    at = np.fromiter((index.setdefault(w, len(index)) for words in split for w in words), np.int64, int(n.sum()))
-    digest = xxhash.xxh3_128_digest
-    table_ = np.frombuffer(b"".join([digest(w) for w in index]), "<u8").reshape(-1, 2)
-    per = np.maximum(n - size + 1, 0)
-    doc = np.repeat(np.arange(len(lines)), per)
-    first = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
-    if not len(doc):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), doc, first
-    whole = len(at) - size + 1
-    both = []
-    for k, r in ((0, _R1), (1, _R2)):
-        a = table_[at, k]
-        h = np.zeros(whole, np.uint64)
-        for j in range(size):
-            h = h * r + a[j : whole + j]
-        both.append(h[np.repeat(np.cumsum(n) - n, per) + first])
-    return both[0], both[1], doc, first
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "block long, ids binary, nulls binary, size long, words binary")
+
+
+_POWERS: list[np.ndarray] = []
+_INVERSE = np.uint64(pow(int(_R1), -1, 2**64))
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The multiplier's powers and their inverses modulo 2**64, kept in a worker."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(n, 1 << 20)
+        _POWERS[:] = [np.cumprod(np.concatenate(([np.uint64(1)], np.full(size - 1, r, np.uint64)))) for r in (_R1, _INVERSE)]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+
+
+def word_ranges(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, end and document (index) of every word of a block."""
+    parts = np.flatnonzero((words == 32) | (words == 10))
+    begin, end = np.concatenate(([0], parts + 1)), np.append(parts, len(words))
+    doc = np.concatenate(([0], np.cumsum(words[parts] == 10)))
+    real = end > begin
+    return begin[real], end[real], doc[real]
+
+
+def windows(words: bytes, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, end, document and first word (index in the document) of every window, and a hash of
+    its bytes for the sketch (equal windows have equal hashes)."""
+    raw = np.frombuffer(words, np.uint8)
+    begin, end, doc = word_ranges(raw)
+    n = len(begin) - size + 1
+    whole = np.flatnonzero(doc[: max(0, n)] == doc[size - 1 :]) if n > 0 else np.zeros(0, np.int64)
+    first = whole - np.searchsorted(doc, doc[whole])
+    a, b, doc = begin[whole], end[whole + size - 1], doc[whole]
+    up, down = powers(len(raw) + 1)
+    sums = np.concatenate(([np.uint64(0)], np.cumsum((raw + np.uint64(1)) * up[: len(raw)])))
+    return a, b, doc, first, mixed((sums[b] - sums[a]) * down[a])
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def digests(words: bytes, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit hashes of byte ranges, as two numbers."""
+    of, view = xxhash.xxh3_128_digest, memoryview(words)
+    both = np.frombuffer(b"".join([of(view[a:b]) for a, b in zip(begin.tolist(), end.tolist(), strict=True)]), "<u8").reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
+
+
+def squeezed(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> bytes:
+    """Sorted first hashes by their gaps, second hashes and ids, as compressed byte planes."""
+    planes = [np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T) for x in (np.diff(a, prepend=np.uint64(0)), b, least.view(np.uint64))]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(p.tobytes() for p in planes))
+
+
+def unsqueezed(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob, max_output_size=24 * n), np.uint8).reshape(3, 8, n)
+    a, b, least = (np.ascontiguousarray(p.T).view("<u8").reshape(-1) for p in planes)
+    return np.cumsum(a), b, least.view(np.int64)
 
 
 def coded(values: np.ndarray) -> bytes:
@@ -188,8 +236,10 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     """docs(doc_id, text) -> doc_id, n_words, n_removed, kept (the words left, by single spaces), kept_sha256."""
     spark = docs.sparkSession
     ship(spark)
-    blocks = staged(to_blocks(docs, block_bytes), "blocks")
-    total = blocks.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    block_path = scratch(spark, "blocks")
+    to_blocks(docs, block_bytes).write.option("compression", "none").parquet(block_path)
+    blocks = spark.read.parquet(block_path)
+    total = blocks.agg(F.sum("size")).first()[0] or 0
     lb = band_bits(total)
     drop = np.uint64(32 - lb)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
@@ -197,8 +247,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in one_by_one(batch):
-                h1, *_ = windows(_lines(row["words"], len(row["ids"])))
-                q = np.unique(h1 >> drop)
+                q = distinct(windows(unpacked(row["words"]))[4] >> drop)
                 band = (q >> np.uint64(32)).astype(np.int64)
                 edges = np.searchsorted(band, np.arange((1 << lb) + 1))
                 some = np.flatnonzero(np.diff(edges))
@@ -210,7 +259,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
             marks = count_min([decoded(r["blob"]) for r in rows])
             yield pa.RecordBatch.from_pydict({"block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([band] * len(rows), pa.int64()), "blob": pa.array([np.packbits(m).tobytes() for m in marks], pa.binary()), "n": pa.array([len(m) for m in marks], pa.int64())})
 
-    sketches = blocks.select("block", "ids", "words").mapInArrow(sketch, "band long, block long, blob binary")
+    sketches = blocks.select("block", "words").mapInArrow(sketch, "band long, block long, blob binary")
     marks = staged(sketches.repartition(max(tasks, 1 << lb), "band").sortWithinPartitions("band", "block").mapInArrow(merge, "block long, part long, blob binary, n long"), "estimates")
     release(spark)
 
@@ -225,9 +274,16 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
             head, answers = rows[0], rows[1:]
             ids = np.frombuffer(head["ids"], np.int64)
             nulls = np.unpackbits(np.frombuffer(head["nulls"], np.uint8), count=len(ids)).astype(bool)
-            lines = _lines(head["words"], len(ids))
-            h1, h2, doc, _ = windows(lines)
-            q, back = np.unique(h1 >> drop, return_inverse=True)
+            words = unpacked(head["words"])
+            lines = _lines(words, len(ids))
+            begin, end, doc, _, h = windows(words)
+            order = np.argsort(h >> drop)
+            new = np.ones(len(h), bool)
+            new[1:] = (h[order][1:] >> drop) != (h[order][:-1] >> drop)
+            back = np.empty(len(h), np.int64)
+            back[order] = np.cumsum(new) - 1
+            q = h[order][new]
+            del h, order, new
             mark = np.concatenate([np.unpackbits(np.frombuffer(r["blob"], np.uint8), count=r["n"]).astype(bool) for r in answers]) if answers else np.zeros(0, bool)
             if len(mark) != len(q):
                 raise ValueError(f"block {block}: {len(q)} hashes, {len(mark)} answers")
@@ -239,34 +295,33 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
             busy[doc[keep]] = True
             free = np.flatnonzero(~busy)
             for s in range(0, len(free), 2000):
-                yield out([{"kind": "r", "block": block, "doc_id": None if nulls[d] else int(ids[d]), "n_words": len(lines[d].split(b" ")) if lines[d] else 0, "sha": hashlib.sha256(lines[d]).hexdigest(), "kept": lines[d].decode("utf-8", "surrogatepass")} for d in free[s : s + 2000]])
+                yield out([{"kind": "r", "block": block, "doc_id": None if nulls[d] else int(ids[d]), "n_words": lines[d].count(b" ") + 1 if lines[d] else 0, "sha": hashlib.sha256(lines[d]).hexdigest(), "kept": lines[d].decode("utf-8", "surrogatepass")} for d in free[s : s + 2000]])
             if not busy.any():
                 continue
             held = np.flatnonzero(busy)
             mine = busy[doc]
-            yield out([{"kind": "t", "block": block, "part": -1, "n": int(mine.sum()), "ids": ids[held].tobytes(), "nulls": np.packbits(nulls[held]).tobytes(), "words": b"\n".join(lines[d] for d in held), "blob": np.packbits(keep[mine]).tobytes()}])
-            a, b, i = h1[keep], h2[keep], ids[doc[keep]]
+            yield out([{"kind": "t", "block": block, "part": -1, "n": int(mine.sum()), "ids": ids[held].tobytes(), "nulls": np.packbits(nulls[held]).tobytes(), "words": packed(b"\n".join(lines[d] for d in held)), "blob": np.packbits(keep[mine]).tobytes()}])
+            (a, b), i = digests(words, begin[keep], end[keep]), ids[doc[keep]]
             first, _, least = _entries(a, b, i)
             ea, eb = a[first], b[first]
             edges = np.searchsorted(ea >> np.uint64(64 - lb), np.arange((1 << lb) + 1, dtype=np.uint64))
             some = np.flatnonzero(np.diff(edges))
-            yield out([{"kind": "c", "block": block, "part": int(p), "n": int(edges[p + 1] - edges[p]), "blob": ea[edges[p] : edges[p + 1]].tobytes() + eb[edges[p] : edges[p + 1]].tobytes() + least[edges[p] : edges[p + 1]].tobytes()} for p in some])
+            yield out([{"kind": "c", "block": block, "part": int(p), "n": int(edges[p + 1] - edges[p]), "blob": squeezed(ea[edges[p] : edges[p + 1]], eb[edges[p] : edges[p + 1]], least[edges[p] : edges[p + 1]])} for p in some])
 
     none = F.lit(None)
     text_rows = blocks.select("block", F.lit(-1).cast("long").alias("part"), none.cast("binary").alias("blob"), none.cast("long").alias("n"), "ids", "nulls", "words")
     answer_rows = marks.select("block", "part", "blob", "n", none.cast("binary").alias("ids"), none.cast("binary").alias("nulls"), none.cast("binary").alias("words"))
     chosen = text_rows.unionByName(answer_rows).repartition(tasks, "block").sortWithinPartitions("block", "part").mapInArrow(choose, "kind string, part long, block long, n long, doc_id long, n_words long, sha string, blob binary, ids binary, nulls binary, words binary, kept string")
     path = scratch(spark, "windows")
-    chosen.write.partitionBy("kind").parquet(path)
+    chosen.write.option("compression", "none").partitionBy("kind").parquet(path)
+    drop_staged(spark, block_path)
     release(spark)
     stored = spark.read.schema("part long, block long, n long, doc_id long, n_words long, sha string, blob binary, ids binary, nulls binary, words binary, kept string, kind string").parquet(path)
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in grouped(batches, "part"):
             n = np.array([r["n"] for r in rows])
-            all_ = [np.frombuffer(r["blob"], np.uint64).reshape(3, -1) for r in rows]
-            a, b, least = (np.concatenate([x[k] for x in all_]) for k in range(3))
-            least = least.view(np.int64)
+            a, b, least = (np.concatenate(x) for x in zip(*(unsqueezed(r["blob"], r["n"]) for r in rows), strict=True))
             _, entry, lowest = _entries(a, b, least)
             smaller = lowest[entry] < least
             ends = np.cumsum(n)
@@ -282,10 +337,12 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
             head, answers = rows[0], rows[1:]
             ids = np.frombuffer(head["ids"], np.int64)
             nulls = np.unpackbits(np.frombuffer(head["nulls"], np.uint8), count=len(ids)).astype(bool)
-            lines = _lines(head["words"], len(ids))
-            h1, h2, doc, first_word = windows(lines)
+            words = unpacked(head["words"])
+            lines = _lines(words, len(ids))
+            begin, end, doc, first_word, _ = windows(words)
             keep = np.unpackbits(np.frombuffer(head["blob"], np.uint8), count=head["n"]).astype(bool)
-            a, b, doc, first_word = h1[keep], h2[keep], doc[keep], first_word[keep]
+            a, b = digests(words, begin[keep], end[keep])
+            doc, first_word = doc[keep], first_word[keep]
             first, entry, least = _entries(a, b, ids[doc])
             answer = np.concatenate([np.unpackbits(np.frombuffer(r["blob"], np.uint8), count=r["n"]).astype(bool) for r in answers])
             if len(answer) != len(first):
@@ -295,10 +352,11 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
             at = np.searchsorted(doc, np.arange(len(ids) + 1))
             cols: dict[str, list] = {k: [] for k in ("doc_id", "n_words", "n_removed", "kept", "kept_sha256")}
             for d, line in enumerate(lines):
-                words = line.split(b" ")
-                cut = covered(len(words), first_word[at[d] : at[d + 1]])
-                left = b" ".join([w for w, c in zip(words, cut.tolist(), strict=True) if not c])
-                for k, v in zip(cols, (None if nulls[d] else int(ids[d]), len(words), int(cut.sum()), left.decode("utf-8", "surrogatepass"), hashlib.sha256(left).hexdigest()), strict=True):
+                raw = np.frombuffer(line + b" ", np.uint8)
+                lengths = np.diff(np.flatnonzero(raw == 32), prepend=-1)
+                cut = covered(len(lengths), first_word[at[d] : at[d + 1]])
+                left = raw[~np.repeat(cut, lengths)].tobytes()[:-1]
+                for k, v in zip(cols, (None if nulls[d] else int(ids[d]), len(lengths), int(cut.sum()), left.decode("utf-8", "surrogatepass"), hashlib.sha256(left).hexdigest()), strict=True):
                     cols[k].append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols.values(), kinds, strict=True)], names=list(cols))
