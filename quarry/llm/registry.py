@@ -9,6 +9,7 @@ from quarry.llm.pii import op2_pii
 from quarry.llm.quality import op1_quality
 from quarry.llm.simhash import op9_simhash
 from quarry.llm.substring import op5_substring
+from quarry.llm.suffixes import op8_suffixes
 from quarry.llm.toxicity import op7_toxicity
 from quarry.llm.warc import OP4_SQL, op4_warc
 
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_substring": op5_substring,
     "op6_covertree": op6_covertree,
     "op7_toxicity": op7_toxicity,
+    "op8_suffixes": op8_suffixes,
     "op9_simhash": op9_simhash,
     "op10_decontaminate": op10_decontaminate,
 }
