@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import ship, staged, table
@@ -105,15 +105,17 @@ def original_offsets(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int
     return [(int(points[begins[a]]), int(points[ends[b - 1]])) for a, b in ranges]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS, carry: tuple[str, ...] = ()) -> DataFrame:
     """docs(doc_id, text) -> doc_id, text, n_words, word_ranges, spans (code points), items (sorted strings).
 
-    One narrow pass; nothing is shuffled.
+    Columns named in carry come along as one struct, "carried", whatever their names. One narrow pass;
+    nothing is shuffled.
     """
     spark = docs.sparkSession
     ship(spark)
     out = "doc_id long, text string, n_words long, word_ranges array<struct<a:int,b:int>>, spans array<struct<a:int,b:int>>, items array<string>"
-    df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(None).cast("array<struct<a:int,b:int>>").alias("word_ranges"), F.lit(None).cast("array<string>").alias("items"))
+    df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(None).cast("array<struct<a:int,b:int>>").alias("word_ranges"), F.lit(None).cast("array<string>").alias("items"), F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
+    out += f", carried {df.schema['carried'].dataType.simpleString()}"
     blocks = list(_blocks(benchmark, window, block_chars)) or [[]]
     for n, patterns in enumerate(blocks):
         held = spark.sparkContext.broadcast(patterns)
@@ -139,20 +141,34 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
                     ranges.append([{"a": a, "b": b} for a, b in merged])
                     spans.append([{"a": a, "b": b} for a, b in original_offsets(text, merged)] if merged else [])
                     found.append(sorted(ids | set(known or ())))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts, pa.array(counts, pa.int64()), pa.array(ranges, kind), pa.array(spans, kind), pa.array(found, pa.list_(pa.string()))], names=["doc_id", "text", "n_words", "word_ranges", "spans", "items"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts, pa.array(counts, pa.int64()), pa.array(ranges, kind), pa.array(spans, kind), pa.array(found, pa.list_(pa.string())), batch.column("carried")], names=["doc_id", "text", "n_words", "word_ranges", "spans", "items", "carried"])
 
-        df = df.select("doc_id", "text", "word_ranges", "items").mapInArrow(scan, out)
+        df = df.select("doc_id", "text", "word_ranges", "items", "carried").mapInArrow(scan, out)
         if n + 1 < len(blocks):
             df = staged(df, "decontaminate")
     return df
 
 
+def _n_hit() -> Column:
+    return F.aggregate("word_ranges", F.lit(0).cast("long"), lambda n, r: n + (r["b"] - r["a"]).cast("long"))
+
+
+def _contaminated() -> Column:
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """docs without the contaminated ones, all columns as they are."""
+    found = find_contamination(docs, benchmark, window, carry=tuple(docs.columns)).withColumn("n_hit", _n_hit())
+    return found.where(~_contaminated()).select(*(F.col("carried").getField(c).alias(c) for c in docs.columns))
+
+
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    n_hit = F.aggregate("word_ranges", F.lit(0).cast("long"), lambda n, r: n + (r["b"] - r["a"]).cast("long"))
+    n_hit = _n_hit()
     return (
         find_contamination(docs, benchmark, window)
         .select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"))
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+        .withColumn("contaminated", _contaminated())
     )
 
 
