@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from quarry.plans import text_queries
+
+_PARTS = (text_queries,)
+QUERIES: dict = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
+ORACLES: dict = {k: v for part in _PARTS for k, v in part.ORACLES.items()}
