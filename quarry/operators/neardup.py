@@ -20,8 +20,13 @@ PRIME, MASK = 2**61 - 1, 2**32 - 1
 def shingles(text: Column, k: int = 3) -> Column:
     """Distinct k-word shingles of the lower-cased text; a shorter text is one shingle, an empty one none."""
     w = F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
-    spans = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, k), " "))
-    return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(spans))
+
+    def spans(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, k), " "))
+        return F.when(F.size(w) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(each))
+
+    # Bound as a variable: inside another lambda the words would be extracted again for each shingle.
+    return F.transform(F.array(w), spans)[0]
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -100,5 +100,5 @@ ORACLES = {
         regexp_matches(p_brand, '[0-9]') OR starts_with(p_brand, '^') OR regexp_matches(p_brand, '\S\s+\S') AS brand_distinctive,
         CASE WHEN contains(lower(p_type), 'brass') THEN 'metal' WHEN contains(lower(p_type), 'steel') THEN 'alloy' WHEN contains(lower(p_type), 'tin') THEN 'soft' END AS role FROM part""",
     "text_table_rows": "SELECT n_nationkey, 2::BIGINT AS n_rows, n_nationkey || '/' || n_name || ' & co' AS row1, n_name || '/a | b' AS cells FROM nation",
-    "text_acronyms": r"SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(text, '[\p{L}\p{N}_]+'), w -> regexp_full_match(w, '[A-Z][A-Z0-9]{1,7}')))), ',') AS acronyms FROM documents",
+    "text_acronyms": r"SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(text, '[\p{L}\p{N}_]+'), lambda w: regexp_full_match(w, '[A-Z][A-Z0-9]{1,7}')))), ',') AS acronyms FROM documents",
 }
