@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from quarry.session import drop_staged, release, scratch, ship, staged, table
 
 WINDOW = 13
-BLOCK_BYTES = 3_000_000
+BLOCK_BYTES = 1_000_000
 #: Bytes of blocks that one task reads.
 TASK_BYTES = 16_000_000
 #: Windows that one band's task may merge, and the least number of bands.

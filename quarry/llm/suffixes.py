@@ -42,7 +42,7 @@ from quarry.session import drop_staged, release, scratch, ship, staged, table
 LENGTH = 100
 GRAM = 16
 #: Bytes of contexts that one shard should hold, and the least number of shards (as a power of two).
-SHARD_BYTES, SHARD_BITS = 64_000_000, 6
+SHARD_BYTES, SHARD_BITS = 32_000_000, 7
 _R = np.uint64(0x9E3779B97F4A7C15)
 
 
