@@ -172,7 +172,7 @@ def meet(fps: np.ndarray, coset: int, bits: int, radius: int, members: int = MEM
 
 
 def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """distinct(fp) -> (src, dst): a set of true links that joins all that are within the radius, by chains of links."""
+    """distinct(fp) -> (src, dst): forests over true links, which together join all that chains of links within the radius join."""
     spark = distinct.sparkSession
     ship(spark)
     n = distinct.count()
