@@ -4,8 +4,8 @@ A byte is removed if a 100-byte string that covers it also starts earlier (small
 an earlier start). All strings that can be equal meet in one shard, whatever documents they are in:
 
 1. Documents become blocks (a row each), staged in the shared folder. Every 100-byte string has an anchor, its
-   16-byte string of smallest hash (leftmost of equals), so equal strings have equal anchors. Consecutive
-   strings with one anchor make a context: about 43 strings, 142 bytes.
+   32-byte string of smallest hash (leftmost of equals), so equal strings have equal anchors. Consecutive
+   strings with one anchor make a context: about 35 strings, 134 bytes.
 2. A count-min estimate of anchors (as for words, quarry.llm.substring) gives each block one bit for each anchor:
    perhaps in another block. Contexts whose anchor is neither that nor repeated in the block are done.
 3. Equal contexts of a block are one: its first place is kept, and all later ones are repeats as a whole.
@@ -40,7 +40,7 @@ from quarry.llm.substring import BLOCK_BYTES, NULL_ID, TASK_BYTES, band_bits, co
 from quarry.session import drop_staged, release, scratch, ship, staged, table
 
 LENGTH = 100
-GRAM = 16
+GRAM = 32
 #: Bytes of contexts that one shard should hold, and the least number of shards (as a power of two).
 SHARD_BYTES, SHARD_BITS = 32_000_000, 7
 _R = np.uint64(0x9E3779B97F4A7C15)
@@ -113,7 +113,8 @@ def contexts(data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     # A run of strings ends where the next begins or where its document has no more.
     run = np.cumsum(new) - 1
     count = np.bincount(run[whole], minlength=int(run[-1]) + 1)
-    return first, count[run[first]], doc[first], h[anchor[first]]
+    # Least hashes crowd near zero: mixed again, they spread evenly over bands and shards.
+    return first, count[run[first]], doc[first], mixed(h[anchor[first]] ^ _R)
 
 
 def _chosen(data: bytes, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +175,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     to_blocks(docs, block_bytes).write.option("compression", "none").parquet(block_path)
     blocks = spark.read.parquet(block_path)
     total = blocks.agg(F.sum("size")).first()[0] or 0
-    lb = band_bits(total // 6)  # an anchor for about 43 bytes
+    lb = band_bits(total // 6)  # an anchor for about 35 bytes
     sb = max(SHARD_BITS, int(np.ceil(np.log2(max(1, total / SHARD_BYTES)))))
     drop = np.uint64(32 - lb)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
