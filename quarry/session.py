@@ -75,9 +75,15 @@ def drop_staged(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Rows of an Arrow batch: texts run to hundreds of kilobytes, and a batch is held several times.
+BATCH_ROWS = 2000
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the package to the Python workers once for each context, so that they import it."""
+    """Give the package to the Python workers once for each context, so that they import it; bound Arrow batches."""
     context = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parent
