@@ -252,7 +252,26 @@ def _perm(i: int) -> str:
     return f"coalesce(list_min(list_transform(h, lambda x: ((x::HUGEINT * {a}::HUGEINT + {b}::HUGEINT) % {neardup.PRIME}::HUGEINT) % 4294967296::HUGEINT))::BIGINT, 4294967295)"
 
 
+def _stripped(c: str) -> str:
+    """SQL of text.strip_html()."""
+    out = f"regexp_replace({c}, '<[^>]+>', '', 'g')"
+    for name, value in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+        out = f"replace({out}, '{name}', '{value}')"
+    return rf"trim(regexp_replace({out}, '[ \t]+', ' ', 'g'))"
+
+
+def _words(c: str) -> str:
+    return rf"len(regexp_extract_all({c}, '[^ \t\n\r\x0B\f]+'))"
+
+
+def _tag(tag: str) -> str:
+    return _stripped(f"regexp_extract(html, '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1)")
+
+
 ORACLES = {
+    "page_parts": f"SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1)) AS host, {_tag('title')} AS title, {_tag('h1')} AS heading, len(regexp_extract_all(html, '(?i)<p>'))::BIGINT AS paragraphs FROM pages",
+    "retention_score": f"""WITH w AS (SELECT page_id, {_words('html')} AS a, {_words(_stripped('html'))} AS b FROM pages), s AS (SELECT page_id, CASE WHEN a = 0 THEN 1.0 ELSE least(1.0, b / a) END AS s FROM w)
+        SELECT page_id, round(s, 6) AS score, CASE WHEN s >= 0.8 THEN 'PASS' WHEN s >= 0.5 THEN 'REVIEW' ELSE 'QUARANTINE' END AS verdict FROM s""",
     "page_links": """WITH x AS (SELECT page_id, regexp_extract_all(html, '(?i)<a href="([^"]*)">([^<]*)</a>', 1) AS t, regexp_extract_all(html, '(?i)<a href="([^"]*)">([^<]*)</a>', 2) AS l FROM pages),
         y AS (SELECT page_id, i - 1 AS pos, t[i] AS target, l[i] AS label FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM x))
         SELECT page_id, target, min(pos)::BIGINT AS pos, arg_min(label, pos) AS label FROM y GROUP BY page_id, target""",
