@@ -287,3 +287,15 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
 
 def op6_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP6_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+pair AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(vec_id, root) AS (SELECT vec_id, vec_id FROM ok UNION SELECT p.b, r.root FROM reach r JOIN pair p ON p.a = r.vec_id),
+comp AS (SELECT vec_id, min(root) AS c FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM pair GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c, v.vec_id) AS component_id, coalesce(c, v.vec_id) = v.vec_id AS kept
+FROM v LEFT JOIN comp ON comp.vec_id = v.vec_id LEFT JOIN n ON n.vec_id = v.vec_id
+"""

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from quarry.llm.covertree import op6_covertree
+from quarry.llm.covertree import OP6_SQL, op6_covertree
 from quarry.llm.decontaminate import OP10_SQL, op10_decontaminate
 from quarry.llm.packing import op3_packing
 from quarry.llm.pii import op2_pii
 from quarry.llm.quality import op1_quality
 from quarry.llm.simhash import op9_simhash
-from quarry.llm.substring import op5_substring
+from quarry.llm.substring import OP5_SQL, op5_substring
 from quarry.llm.suffixes import op8_suffixes
 from quarry.llm.toxicity import op7_toxicity
 from quarry.llm.warc import OP4_SQL, op4_warc
@@ -25,4 +25,4 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_decontaminate": op10_decontaminate,
 }
-ORACLES = {"op4_warc": OP4_SQL, "op10_decontaminate": OP10_SQL}
+ORACLES = {"op4_warc": OP4_SQL, "op5_substring": OP5_SQL, "op6_covertree": OP6_SQL, "op10_decontaminate": OP10_SQL}

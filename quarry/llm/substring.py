@@ -370,3 +370,16 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
 
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+f AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s),
+cut AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM win JOIN f USING (s) WHERE doc_id > first),
+word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS k, unnest(w) AS x FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY k) AS t FROM word ANTI JOIN cut USING (doc_id, k) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS c FROM cut GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(c, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
