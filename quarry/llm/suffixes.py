@@ -15,8 +15,13 @@ an earlier start). All strings that can be equal meet in one shard, whatever doc
    class is known, and each sent context gets back one bit for each of its strings: starts earlier elsewhere.
 5. Each block removes covered bytes.
 
-A context that fills a third of all documents costs a row for each block. Nothing is broadcast; no task holds
-more than one block, band or shard, and a shard's queues go to disk beyond their bound.
+An anchor may stand in many documents between differing text, so that its contexts are all distinct and all in
+one shard. Blocks therefore send, with their anchors, how many distinct contexts each has there beyond the first.
+An anchor whose sum passes HOT_CONTEXTS is split in all blocks: each of its strings goes to a shard of strings
+by its own 128-bit hash, which equal strings share, and is compared there by that hash.
+
+A context or string that stands in a third of all documents costs an entry for each block. Nothing is broadcast;
+no task holds more than one block, band or shard.
 
 Defined results for odd input: null and empty texts have no bytes; documents of fewer than 100 bytes lose nothing;
 rows with the same doc_id count as one document by start (equal starts do not remove each other); a null doc_id
@@ -43,6 +48,8 @@ LENGTH = 100
 GRAM = 32
 #: Bytes of contexts that one shard should hold, and the least number of shards (as a power of two).
 SHARD_BYTES, SHARD_BITS = 32_000_000, 7
+#: Distinct contexts of an anchor, beyond one a block, from which it is split; binary digits by which shards of strings are more.
+HOT_CONTEXTS, STRING_BITS = 8192, 2
 _R = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -129,6 +136,44 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
+def crowds(data: bytes, first: np.ndarray, count: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors with several contexts in the block, sorted, and their numbers of contexts beyond the first (many: of distinct ones)."""
+    order = np.argsort(q, kind="stable")
+    edges = np.flatnonzero(np.append(True, q[order][1:] != q[order][:-1])) if len(q) else np.zeros(0, np.int64)
+    size = np.diff(np.append(edges, len(q)))
+    values, more = q[order[edges]], size - 1
+    for k in np.flatnonzero(size > 8):
+        at = order[edges[k] : edges[k] + size[k]]
+        more[k] = len(set(zip(*(x.tolist() for x in _chosen(data, first[at], count[at])), strict=True))) - 1
+    return values[more > 0], more[more > 0]
+
+
+def split_anchors(blobs: list[bytes | None], bound: int) -> np.ndarray:
+    """Sorted anchors of a band whose contexts beyond the first of each block pass the bound. blobs: numbers from crowds()."""
+    both = [np.frombuffer(unpacked(x), np.uint32).reshape(2, -1) for x in blobs if x is not None]
+    if not both:
+        return np.zeros(0, np.uint32)
+    values, back = np.unique(np.concatenate([x[0] for x in both]), return_inverse=True)
+    return values[np.bincount(back, np.concatenate([x[1] for x in both])) > bound]
+
+
+def _later(keys: tuple[np.ndarray, ...], doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """For every place, whether one with equal keys is earlier."""
+    by = np.lexsort((start, doc, *keys))
+    new = np.ones(len(by), bool)
+    new[1:] = np.logical_or.reduce([k[by][1:] != k[by][:-1] for k in keys])
+    head = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
+    later = np.empty(len(by), bool)
+    later[by] = (doc[by] != doc[head]) | (start[by] != start[head])
+    return later
+
+
+def string_answers(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """For each sender (rows of two halves of hashes, ids, starts): for every string, whether it starts earlier elsewhere."""
+    a, b, doc, start = np.concatenate(parts, axis=1)
+    return np.split(_later((b, a), doc, start), np.cumsum([p.shape[1] for p in parts])[:-1])
+
+
 def shard_answers(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]]) -> list[np.ndarray]:
     """For each sender (ids, starts, counts of strings, the contexts' bytes): for every string, whether it starts earlier elsewhere."""
     ids, starts, counts = (np.concatenate([p[k] for p in parts]) for k in range(3))
@@ -158,16 +203,10 @@ def shard_answers(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]])
     # The class of every string that was sent, and the earliest place of each class.
     klass = of[_ranges(begin[which], counts)]
     doc, start = np.repeat(ids, counts), _ranges(starts, counts)
-    by = np.lexsort((start, doc, klass))
-    new = np.ones(len(by), bool)
-    new[1:] = klass[by][1:] != klass[by][:-1]
-    head = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
-    later = np.empty(len(by), bool)
-    later[by] = (doc[by] != doc[head]) | (start[by] != start[head])
-    return np.split(later, np.cumsum([int(p[2].sum()) for p in parts])[:-1])
+    return np.split(_later((klass,), doc, start), np.cumsum([int(p[2].sum()) for p in parts])[:-1])
 
 
-def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hot: int = HOT_CONTEXTS) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept (bytes left), kept_sha256."""
     spark = docs.sparkSession
     ship(spark)
@@ -183,18 +222,29 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in one_by_one(batch):
-                q = distinct(contexts(unpacked(row["bytes"]), np.frombuffer(row["lengths"], np.int64))[3] >> drop)
+                data = unpacked(row["bytes"])
+                first, count, _, h = contexts(data, np.frombuffer(row["lengths"], np.int64))
+                q = distinct(h >> drop)
+                values, more = crowds(data, first, count, h >> drop)
+                ends = np.searchsorted((values >> np.uint64(32)).astype(np.int64), np.arange((1 << lb) + 1))
                 edges = np.searchsorted((q >> np.uint64(32)).astype(np.int64), np.arange((1 << lb) + 1))
                 some = np.flatnonzero(np.diff(edges))
                 blobs = [coded((q[edges[b] : edges[b + 1]] & np.uint64(0xFFFFFFFF)).astype(np.uint32)) for b in some]
-                yield pa.RecordBatch.from_pydict({"band": pa.array(some, pa.int64()), "block": pa.array([row["block"]] * len(some), pa.int64()), "blob": pa.array(blobs, pa.binary())})
+                many = [packed(np.stack((values[i:j] & np.uint64(0xFFFFFFFF), more[i:j].astype(np.uint64))).astype("<u4").tobytes()) if j > i else None for i, j in zip(ends[some], ends[some + 1], strict=True)]
+                yield pa.RecordBatch.from_pydict({"band": pa.array(some, pa.int64()), "block": pa.array([row["block"]] * len(some), pa.int64()), "blob": pa.array(blobs, pa.binary()), "more": pa.array(many, pa.binary())})
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for band, rows in grouped(batches, "band"):
-            marks = count_min([decoded(r["blob"]) for r in rows])
-            yield pa.RecordBatch.from_pydict({"block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([band] * len(rows), pa.int64()), "blob": pa.array([np.packbits(m).tobytes() for m in marks], pa.binary()), "n": pa.array([len(m) for m in marks], pa.int64())})
-
-    sketches = blocks.select("block", "lengths", "bytes").mapInArrow(sketch, "band long, block long, blob binary")
+            sent = [decoded(r["blob"]) for r in rows]
+            marks = count_min(sent)
+            split = split_anchors([r["more"] for r in rows], hot)
+            bits = [np.packbits(m).tobytes() for m in marks]
+            for k, q in enumerate(sent if len(split) else []):  # a second row of bits where an anchor is split
+                found = np.isin(q, split)
+                bits[k] += np.packbits(found).tobytes() if found.any() else b""
+            yield pa.RecordBatch.from_pydict({"block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([band] * len(rows), pa.int64()), "blob": pa.array(bits, pa.binary()), "n": pa.array([len(m) for m in marks], pa.int64())})
+
+    sketches = blocks.select("block", "lengths", "bytes").mapInArrow(sketch, "band long, block long, blob binary, more binary")
     marks = staged(sketches.repartition(max(tasks, 1 << lb), "band").sortWithinPartitions("band", "block").mapInArrow(merge, "block long, part long, blob binary, n long"), "anchor-estimates")
     release(spark)
 
@@ -217,10 +267,13 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
             new[1:] = (h[order][1:] >> drop) != (h[order][:-1] >> drop)
             back = np.empty(len(h), np.int64)
             back[order] = np.cumsum(new) - 1
-            mark = np.concatenate([np.unpackbits(np.frombuffer(r["blob"], np.uint8), count=r["n"]).astype(bool) for r in answers]) if answers else np.zeros(0, bool)
+            bits = [np.frombuffer(r["blob"], np.uint8) for r in answers]
+            mark = np.concatenate([np.unpackbits(x, count=r["n"]).astype(bool) for x, r in zip(bits, answers, strict=True)]) if answers else np.zeros(0, bool)
+            cut = np.concatenate([np.unpackbits(x[-(-r["n"] // 8) :], count=r["n"]).astype(bool) if len(x) > -(-r["n"] // 8) else np.zeros(r["n"], bool) for x, r in zip(bits, answers, strict=True)]) if answers else np.zeros(0, bool)
             if len(mark) != new.sum():
                 raise ValueError(f"block {block}: {int(new.sum())} anchors, {len(mark)} answers")
             keep = (mark | (np.bincount(back, minlength=len(mark)) > 1))[back] if len(mark) else np.zeros(0, bool)
+            split = cut[back][keep]
             first, count, doc, h = first[keep], count[keep], doc[keep], h[keep]
             busy = np.zeros(len(ids), bool)
             busy[doc] = True
@@ -233,10 +286,14 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
                 yield out(some)
             if not len(first):
                 continue
-            # Distinct contexts, each with its earliest place; entries in the order of shard, then hash.
+            # Distinct contexts, each with its earliest place; entries in the order of shard, then hash. Strings of split anchors are contexts of one string.
+            whole = ~split
+            n = count[split]
+            first, doc, count = np.concatenate((first[whole], _ranges(first[split], n))), np.concatenate((doc[whole], np.repeat(doc[split], n))), np.concatenate((count[whole], np.ones(n.sum(), np.int64)))
             a, b = _chosen(data, first, count)
             start = first - begin[doc]
-            by = np.lexsort((start, ids[doc], b, a, h >> np.uint64(64 - sb)))
+            shard = np.concatenate((h[whole] >> np.uint64(64 - sb), np.uint64(1 << sb) + (a[whole.sum() :] >> np.uint64(64 - sb - STRING_BITS)))).astype(np.int64)
+            by = np.lexsort((start, ids[doc], b, a, shard))
             new = np.ones(len(by), bool)
             new[1:] = (a[by][1:] != a[by][:-1]) | (b[by][1:] != b[by][:-1])
             entry = np.empty(len(by), np.int64)
@@ -249,11 +306,13 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
             info = np.concatenate((start, count, places, entry, same.astype(np.int64))).astype("<i8").tobytes()
             text = b"".join(data[begin[d] : begin[d] + lengths[d]] for d in held)
             yield out([{"kind": "t", "block": block, "part": -1, "n": len(first), "ids": ids[held].tobytes(), "nulls": np.packbits(nulls[held]).tobytes(), "lengths": lengths[held].tobytes(), "bytes": packed(text), "blob": packed(info)}])
-            shard = (h[lead] >> np.uint64(64 - sb)).astype(np.int64)
-            edges = np.searchsorted(shard, np.arange((1 << sb) + 1))
+            edges = np.searchsorted(shard[lead], np.arange((1 << sb) + (1 << sb + STRING_BITS) + 1))
             sent = []
             for p in np.flatnonzero(np.diff(edges)):
                 e = lead[edges[p] : edges[p + 1]]
+                if p >> sb:
+                    sent.append({"kind": "c", "block": block, "part": int(p), "n": len(e), "blob": packed(np.stack((a[e].view(np.int64), b[e].view(np.int64), ids[doc[e]], start[e])).astype("<i8").tobytes())})
+                    continue
                 numbers = np.concatenate((ids[doc[e]], start[e], count[e])).astype("<i8").tobytes()
                 sent.append({"kind": "c", "block": block, "part": int(p), "n": len(e), "blob": packed(numbers + b"".join(data[x : x + c + LENGTH - 1] for x, c in zip(first[e].tolist(), count[e].tolist(), strict=True)))})
             yield out(sent)
@@ -273,10 +332,13 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
             parts = []
             for r in rows:
                 blob, n = unpacked(r["blob"]), r["n"]
+                r["blob"] = None
+                if part >> sb:
+                    parts.append(np.frombuffer(blob, np.int64).reshape(4, n))
+                    continue
                 numbers = np.frombuffer(blob, np.int64, 3 * n).reshape(3, n)
                 parts.append((numbers[0], numbers[1], numbers[2], blob[24 * n :]))
-                r["blob"] = None
-            later = shard_answers(parts)
+            later = string_answers(parts) if part >> sb else shard_answers(parts)
             yield pa.RecordBatch.from_pydict({"block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([part] * len(rows), pa.int64()), "blob": pa.array([np.packbits(x).tobytes() for x in later], pa.binary()), "n": pa.array([len(x) for x in later], pa.int64())})
 
     sent = stored.where("kind = 'c'").select("part", "block", "n", "blob")

@@ -306,6 +306,43 @@ def test_suffix_dedup(spark):
     assert suffixes.remove_repeats(make(spark, docs).limit(0)).count() == 0
 
 
+def brute_suffixes(docs):
+    first: dict = {}
+    for d, t in sorted(docs):
+        for i in range(len(t) - 99):
+            first.setdefault(t[i : i + 100], (d, i))
+    want = collections.Counter()
+    for d, t in docs:
+        cut = bytearray(len(t))
+        for i in range(len(t) - 99):
+            if first[t[i : i + 100]] < (d, i):
+                cut[i : i + 100] = b"\1" * 100
+        spans = sum(1 for i in range(len(cut)) if cut[i] and (i == 0 or not cut[i - 1]))
+        want[(d, len(t), sum(cut), spans, hashlib.sha256("".join(x for x, c in zip(t, cut, strict=True) if not c).encode()).hexdigest())] += 1
+    return want
+
+
+def test_suffix_dedup_splits_an_anchor_of_every_document(spark, monkeypatch):
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    around = [(letters(100), letters(100)) for _ in range(30)]
+    whole = lambda t: max(suffixes.contexts(t.encode(), np.array([len(t)]))[1].tolist())
+    text = letters(30_000)
+    at, count, _, _ = suffixes.contexts(text.encode(), np.array([len(text)]))
+    some = [text[i + 68 : i + 100] for i, n in zip(at.tolist(), count.tolist(), strict=True) if n == 69]
+    phrase = max(some, key=lambda p: sum(whole(a + p + b) == 69 for a, b in around))
+    docs = [(i, letters(150) + phrase + letters(150)) for i in range(400)]
+    docs += [(1000 + i, letters(20) + docs[i % 7][1][100 + i : 260] + letters(30) + docs[i % 5][1]) for i in range(30)]
+    paths = []
+    monkeypatch.setattr(suffixes, "scratch", lambda s, name: paths.append((name, scratch(s, name))) or paths[-1][1])
+    for size in (3_000, 3_000_000):
+        paths.clear()
+        got = suffixes.remove_repeats(make(spark, docs), size, hot=50).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        assert collections.Counter(map(tuple, got)) == brute_suffixes(docs)
+        sent = spark.read.parquet(dict(paths)["contexts"]).where("kind = 'c'").groupBy("part").sum("n").collect()
+        assert max(r[1] for r in sent) < 0.05 * sum(r[1] for r in sent)
+
+
 def test_cover_tree(spark, monkeypatch):
     monkeypatch.setattr(covertree, "CELL", 60)
     rng = np.random.default_rng(1)
