@@ -53,6 +53,12 @@ def postings(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("term").agg(F.count("*").alias("n"), F.round(F.sum("f"), 4).alias("f")).where("n >= 20")
 
 
+def postings_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every term of all documents; search_postings has the frequent ones of one language."""
+    found, _ = search.postings(table(spark, d, "documents"), "doc_id", FIELDS)
+    return found.groupBy("term").agg(F.count("*").alias("n"), F.round(F.sum("f"), 4).alias("f"))
+
+
 def exact_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.exact_groups(table(spark, d, "documents"))
 
@@ -209,7 +215,7 @@ def digest(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "page_links": page_links, "page_parts": page_parts, "conversation_bodies": bodies, "shred_sections": shredded, "toc_build": contents,
-    "search_bm25_topk": bm25_topk, "search_bm25_faceted": bm25_faceted, "search_postings": postings,
+    "search_bm25_topk": bm25_topk, "search_bm25_faceted": bm25_faceted, "search_postings": postings, "search_postings_whole": postings_whole,
     "exact_dup_groups": exact_groups, "shingle_jaccard": shingle_jaccard, "minhash_permutations": minhash_first, "near_dup_clusters": near_clusters,
     "entity_counts": entity_counts, "relation_edges": edges, "top_entities_per_type": top_entities, "tag_texts": tagged,
     "latest_per_group": latest, "history_merge": history, "snapshot_delta": delta, "latest_state": latest_events, "chain_reconcile": chain,

@@ -1,8 +1,10 @@
 """Every registered query with SQL gives the SQL's rows; the others give rows."""
 
+import collections
 import glob
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -37,6 +39,19 @@ def test_query(spark, sf, duck, name):
         assert got
 
 
+def test_postings_cover_all_documents(spark, tmp_path):
+    rows = [(1, "The cat, the CAT", "en", "src1"), (2, "le chat été", "fr", "src1"), (3, "no language cat", None, None), (4, None, "de", "src2"), (5, "", "en", ""), (5, "the cat", "en", "src1")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = collections.Counter()
+    for i, text, lang, source in rows:
+        for value, w in ((source, 2.5), (lang, 2.0), (text, 1.0)):
+            for t in re.findall(r"[^\W_]+", (value or "").lower()):
+                found[t, i] += w
+    want = {t: (sum(x == t for x, _ in found), sum(f for (x, _), f in found.items() if x == t)) for t, _ in found}
+    got = {r.term: (r.n, r.f) for r in catalog.QUERIES["search_postings_whole"](spark, str(tmp_path)).collect()}
+    assert got == want and got["cat"] == (3, 4.0) and "été" in got
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
