@@ -49,6 +49,12 @@ def actions(spark: SparkSession, d: str) -> DataFrame:
     return checks.fetch_state(table(spark, d, "events").where("event_id % 9 = 0"), "user_id", F.col("event_type") == "purchase", F.col("event_type") == "error")
 
 
+def actions_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Over all events, with conditions under which all actions occur: nearly every user has a purchase and three errors."""
+    bought = (F.col("event_type") == "purchase") & (F.col("value") >= 150)
+    return checks.fetch_state(table(spark, d, "events"), "user_id", bought, F.col("event_type") == "error", 14)
+
+
 def retained_index(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     return checks.retain(o.where("o_orderkey % 3 = 0"), o.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.lit("old")), "o_orderkey")
@@ -115,7 +121,7 @@ def snippets(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "doctor_checks": doctor, "bundle_integrity": integrity, "bundle_digest": digests, "count_reconcile": drops, "composition_departures": departed,
-    "fetch_actions": actions, "raw_index_retain": retained_index, "content_addressed_names": stored_payloads, "csv_round_trip": csv_round_trip, "frontmatter": frontmatter,
+    "fetch_actions": actions, "fetch_actions_whole": actions_whole, "raw_index_retain": retained_index, "content_addressed_names": stored_payloads, "csv_round_trip": csv_round_trip, "frontmatter": frontmatter,
     "phrase_search": phrase_search, "newest_versions": newest_versions, "url_multiplicity": url_multiplicity, "snippets": snippets,
 }
 

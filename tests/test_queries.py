@@ -52,6 +52,17 @@ def test_postings_cover_all_documents(spark, tmp_path):
     assert got == want and got["cat"] == (3, 4.0) and "été" in got
 
 
+def test_fetch_actions_count_all_events(spark, sf):
+    bought, failed = set(), collections.Counter()
+    for r in spark.read.parquet(f"{sf}/events.parquet").collect():
+        failed[r.user_id] += r.event_type == "error"
+        if r.event_type == "purchase" and r.value is not None and r.value >= 150:
+            bought.add(r.user_id)
+    want = {u: "fetched" if u in bought else "permanent" if n >= 14 else "fetch" for u, n in failed.items()}
+    got = {r.user_id: r.action for r in catalog.QUERIES["fetch_actions_whole"](spark, sf).collect()}
+    assert got == want and set(got.values()) == {"fetched", "permanent", "fetch"}
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
