@@ -22,9 +22,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id (rows without id stay)."""
-    gone = simhash.near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    """One row of each group of near-duplicates: that with the smallest id, rows without id last; of rows with
+    the same id that with the smallest hash of its text, and of equal rows any one. Ids may repeat or be null."""
+    rows = staged(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "pipeline-rows")
+    marked = staged(simhash.fingerprints(rows.withColumn("hash", F.xxhash64("text")), "hash", "row"), "row-fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash", "row")
+    rooted = simhash.roots(staged(marked.groupBy("fp").agg(F.min(place).alias("first_id")), "fingerprint-rows"))
+    kept = rooted.groupBy("root").agg(F.min("first_id").alias("first")).select(F.col("first.row").alias("row"))
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

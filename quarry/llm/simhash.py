@@ -76,16 +76,16 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(h)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, fp (the fingerprint as a signed long); one narrow pass over whole texts."""
+def fingerprints(docs: DataFrame, *also: str) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, fp (the fingerprint as a signed long) and other columns of longs; one narrow pass over whole texts."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(x) for x in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64)), *map(batch.column, also)], names=["doc_id", "fp", *also])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *also).mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *also)))
 
 
 def ball(radius: int) -> np.ndarray:
@@ -220,12 +220,16 @@ def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return sent.repartition(tasks, "coset").sortWithinPartitions("coset").mapInArrow(collide, "src long, dst long")
 
 
+def roots(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """distinct(fp, first_id) with root: the same for all fingerprints of a component."""
+    groups = connected_components(near_links(distinct, radius))
+    return distinct.join(groups, distinct["fp"] == groups["node"], "left").select("fp", "first_id", F.coalesce("component", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """docs(doc_id, text) -> doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     marked = staged(fingerprints(docs), "fingerprints")
-    distinct = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-groups")
-    groups = connected_components(near_links(distinct, radius))
-    rooted = distinct.join(groups, distinct["fp"] == groups["node"], "left").select("fp", "first_id", F.coalesce("component", "fp").alias("root"))
+    rooted = roots(staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-groups"), radius)
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

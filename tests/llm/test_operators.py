@@ -391,6 +391,18 @@ def test_toxicity_held_out(spark, sf):
     assert toxicity.train(docs, labels.limit(0)).weights == {}
 
 
+def test_pipeline_keeps_one_row_of_each_component(spark):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    a, b, c, d = (" ".join(f"w{rng.randint(0, 9999)}" for _ in range(60)) for _ in range(4))
+    # Repeated rows, an id with two texts of which one is near a smaller id, copies and singles without an id.
+    rows = [(1, a), (2, b), (2, b), (2, b), (3, a), (3, c), (None, a), (None, d), (None, d), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert collections.Counter((r.doc_id, r.text or None) for r in got) == collections.Counter([(1, a), (2, b), (3, c), (None, d), (None, None)])
+
+
 def test_pipeline_stages(spark, sf):
     import corpus_pipeline
 
