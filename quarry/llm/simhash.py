@@ -1,7 +1,7 @@
 """SimHash near-duplicates by meet-in-the-middle ball hashing.
 
 Two fingerprints that differ in at most ``radius`` bits have a common variant within half the radius of
-both. Every distinct fingerprint therefore emits its whole ball of half-radius variants (2,081 for radius 4),
+both (radius odd: of one, and within half and one bit of the other). Every distinct fingerprint therefore emits its whole ball of half-radius variants (2,081 for radius 4),
 the variants are shuffled, and fingerprints that meet at a variant are verified and linked.
 
 Variants are dealt by a linear map of their bits: variant v belongs to coset L(v), with L(f ^ e) = L(f) ^ L(e).
@@ -13,7 +13,8 @@ the number of distinct fingerprints passes multiples of ROWS_A_COSET, so a coset
 
 At a variant all members are within the radius of each other (triangle inequality), so a group is tied to its
 smallest member, never expanded to pairs; each tie is verified by its Hamming distance, and each task sends
-a spanning forest, so a group of any size costs a row for each member.
+a spanning forest, so a group of any size costs a row for each member. With an odd radius the smallest of the
+members nearer to the variant is taken, if there are any: it is within the radius of all.
 
 Defined results for odd input: null, empty and wordless texts have fingerprint zero, which is linked like any
 other; repeated rows share a component; rows with a null doc_id keep a fingerprint and get the component of
@@ -130,7 +131,7 @@ def forest(nodes: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.n
 
 def meet(fps: np.ndarray, coset: int, bits: int, radius: int, members: int = MEMBERS) -> tuple[np.ndarray, np.ndarray]:
     """Links among sorted distinct fingerprints whose common variants lie in one coset, as a spanning forest."""
-    masks = ball(radius // 2)
+    masks = ball((radius + 1) // 2)
     more = max(0, int(np.ceil(np.log2(max(1, len(fps) * len(masks) / 2**bits / members)))))
     of_mask, of_fp = linear(masks, bits + more), linear(fps, bits + more)
     order = np.argsort(of_mask, kind="stable")
@@ -153,7 +154,8 @@ def meet(fps: np.ndarray, coset: int, bits: int, radius: int, members: int = MEM
         may = np.concatenate((same, [False])) | np.concatenate(([False], same)) if len(keys) else np.zeros(0, bool)
         at = (keys[may] & low).astype(np.int64)
         variants, who = variants[at], who[at]
-        by = np.lexsort((who, variants))
+        nearer = (np.bitwise_count(variants ^ fps[who]) > radius // 2,) if radius % 2 else ()
+        by = np.lexsort((who, *nearer, variants))
         variants, who = variants[by], who[by]
         if not len(who):
             continue
@@ -181,7 +183,7 @@ def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         bits += 1
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reach = np.unique(linear(ball(radius // 2), bits))
+        reach = np.unique(linear(ball((radius + 1) // 2), bits))
         for batch in batches:
             f = np.sort(batch.column("fp").to_numpy().view(np.uint64))
             if not len(f):

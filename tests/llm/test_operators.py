@@ -231,6 +231,20 @@ def test_simhash_ball_meets_every_near_pair():
     assert closure(fps.tolist(), links) == want
 
 
+@pytest.mark.parametrize("radius", [1, 3, 5])
+def test_simhash_odd_radius_loses_no_link(radius):
+    rng = np.random.default_rng(radius)
+    mask = lambda n: np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, n, replace=False).astype(np.uint64))
+    base = rng.integers(0, 2**63, 12, dtype=np.uint64)
+    fps = np.unique(np.concatenate((base, [f ^ mask(n) for f in base for n in (radius, radius, radius + 1)])))
+    links = []
+    for c in range(4):
+        a, b = simhash.meet(fps, c, 2, radius, members=50_000)
+        links += list(zip(a.tolist(), b.tolist(), strict=True))
+    near = [(a, b) for a in fps.tolist() for b in fps.tolist() if a < b and (a ^ b).bit_count() <= radius]
+    assert closure(fps.tolist(), links) == closure(fps.tolist(), near)
+
+
 def test_substring_dedup(spark):
     docs = sample_texts()
     owner: dict = {}
