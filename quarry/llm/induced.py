@@ -1,12 +1,12 @@
-"""Suffix sorting by external induction, in bulk.
+"""Suffix sorting by induction, in bulk and in memory.
 
 Suffixes are L or S by the order of their first two symbols; S suffixes after an L one (LMS) are sorted first
 (their substrings by induction, then by recursion on the string of their names), and all others are
 induced: L suffixes from left to right, S suffixes from right to left. The priority queue that carries
 suffix tuples is monotone, so it is one first-in first-out run for each symbol; all that waits for a
 symbol is popped and induced at once with array operations. Beyond a bound of tuples in memory the runs are
-written to an unlinked temporary file and read back when their symbol comes up, so memory follows the bound
-and not the shard. Tuples carry the length of the prefix they share with their neighbour (up to a cap): a
+written to an unlinked temporary file and read back when their symbol comes up. This is not an external sort:
+the text, popped tuples, order and common prefixes are in memory, which grows with the shard. Tuples carry the length of the prefix they share with their neighbour (up to a cap): a
 range minimum over the popped values, plus one.
 """
 

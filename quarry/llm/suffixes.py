@@ -1,4 +1,4 @@
-"""Removal of repeated 100-byte strings by suffix sorting of shards with external induction.
+"""Removal of repeated 100-byte strings by suffix sorting of shards with induction in memory.
 
 A byte is removed if a 100-byte string that covers it also starts earlier (smaller doc_id, or the same document and
 an earlier start). All strings that can be equal meet in one shard, whatever documents they are in:
