@@ -11,13 +11,14 @@ from quarry.session import staged
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One contraction of edges (u > v). Large: each node's larger neighbours are tied to its smallest
     neighbour; small: each node and its smaller neighbours are. Both keep components, and a
-    node's neighbours are only ever aggregated to a minimum, never gathered."""
+    node's neighbours are only ever aggregated to a minimum, never gathered. Minima are staged: the join
+    that follows is dealt anew, and the partition of a star's centre can be split."""
     if large:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         tied = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
+        least = staged(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
         joined = edges.join(least, "u")
         tied = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return tied.where("u <> v").distinct()
@@ -27,7 +28,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     """Edges of two long columns -> (node, component): the smallest node reachable, for every node with an edge.
 
     Edges may repeat, run either way or be loops; rows with a null end are passed over. A round costs
-    four shuffles of the remaining edges; the number of rounds grows with the logarithm of the nodes.
+    six shuffles of the remaining edges; the number of rounds grows with the logarithm of the nodes.
     Rounds are staged in the shared folder, so a lost executor costs one round at most.
     """
     a, b = F.col(src).cast("long"), F.col(dst).cast("long")

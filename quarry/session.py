@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -11,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+_HOMES: set[str] = set()
 
 
 def get_session(app: str = "quarry", cpus: str = "*", shuffle: int = 8, **conf: str) -> SparkSession:
@@ -38,7 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir, else the context's own.
 
-    Only where neither is set (a local session, as in tests) a temporary folder is made and set.
+    Only in a local session (as in tests) where neither is set a temporary folder is made and set; on a cluster
+    the executors would not see it, so there one must be named.
     """
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
@@ -47,14 +50,24 @@ def shared_dir(spark: SparkSession) -> str:
     held = context._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
     made = "file://" + tempfile.mkdtemp(prefix="quarry-")
     context.setCheckpointDir(made)
     return made
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/quarry/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, in a folder of the application's own that goes when its driver ends."""
+    context = spark.sparkContext
+    home = f"{shared_dir(spark)}/quarry/{context.applicationId}"
+    if home not in _HOMES:
+        where = context._jvm.org.apache.hadoop.fs.Path(home)
+        store = where.getFileSystem(context._jsc.hadoopConfiguration())
+        store.mkdirs(where)
+        store.deleteOnExit(where)
+        _HOMES.add(home)
+    return f"{home}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -75,7 +88,7 @@ def drop_staged(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-#: Rows of an Arrow batch: texts run to hundreds of kilobytes, and a batch is held several times.
+#: Rows of an Arrow batch at most (Spark bounds its bytes): a batch is held several times.
 BATCH_ROWS = 2000
 
 
