@@ -4,18 +4,20 @@ A window is 13 consecutive words of a document; words covered by a window that a
 with a smaller doc_id are removed. Six steps, all over blocks of about BLOCK_BYTES of text:
 
 1. Documents become blocks (a row each: ids and words), staged in the shared folder.
-2. Each block sends its sketch: for each band of hashes the sorted distinct 32-bit window hashes, gap-coded
-   (about 2.5 bytes a window).
-3. A band's task merges the sketches of all blocks into a count-min table of two rows (how many blocks touch
-   a cell, up to two). The estimate of a window is the smaller of its two cells and never below its
-   true count. Each block gets back one bit for each hash that it sent: estimated in another block too.
+2. Each block sends its count-min sketch: of each of two rows the cells that its windows touch, sorted and
+   gap-coded (a cell counts a block once; about 2 bytes a window and row). A row has at least 64
+   cells for each window of the corpus, so that most texts without repeats are seen to have none, and is
+   cut into bands of cells.
+3. A band's task merges the sketches of all blocks by adding them up, cell by cell.
+   The estimate of a window is the smaller of its two cells and never below the number of blocks
+   that hold it. Each block gets back one bit for each cell that it sent: touched by another block too.
 4. With these bits a block keeps only windows estimated repeated or repeated in the block itself. Of each,
    hashed to 128 bits, it sends one row with its smallest doc_id: a window that stands in a third of all
    documents costs a row a block.
 5. A bucket's task groups these exactly and answers one bit for each: a smaller doc_id has it.
 6. Each block removes covered words. Documents without a kept window end at step 4.
 
-Nothing is broadcast, and no task holds more than one band, bucket or block. Equality of windows
+Nothing is broadcast, no task holds more than one band, bucket or block, and each step's input is removed once read. Equality of windows
 is equality of 128-bit hashes of their bytes.
 
 Defined results for odd input: null and empty texts have no words (hash of the empty string); documents of fewer
@@ -37,16 +39,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import drop_staged, release, scratch, ship, staged, table
+from quarry.session import drop_staged, release, scratch, ship, shuffles_removed, staged, table
 
 WINDOW = 13
 BLOCK_BYTES = 1_000_000
 #: Bytes of blocks that one task reads.
 TASK_BYTES = 16_000_000
-#: Windows that one band's task may merge, and the least number of bands.
-BAND_WINDOWS, BANDS = 16_000_000, 64
-#: log2 of the cells of a row of the largest count-min table (a byte each, two rows, two flags).
-CELL_BITS = 26
+#: Windows whose cells one band may hold, and log2 of the least number of bands of a row.
+BAND_WINDOWS, BAND_BITS = 4_000_000, 6
+#: log2 of the cells of a row for each window.
+SPARSE = 6
 NULL_ID = 2**63 - 1
 _R1, _R2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -186,27 +188,27 @@ def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int,
         yield now, held
 
 
-def count_min(parts: list[np.ndarray]) -> list[np.ndarray]:
-    """For each part's hashes, whether the count-min estimate over all parts is at least two."""
-    total = max(1, sum(map(len, parts)))
-    bits = min(CELL_BITS, max(10, int(np.ceil(np.log2(total * 8)))))
-    shift = np.uint64(64 - bits)
-    cells = lambda v, r: (v.astype(np.uint64) * r) >> shift
-    flags = []
-    for r in (_R1, _R2):
-        once, twice = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool)
-        for part in parts:
-            c = cells(part, r)
-            twice[c] |= once[c]
-            once[c] = True
-        flags.append([twice[cells(part, r)] for part in parts])
-        del once, twice
-    return [a & b for a, b in zip(*flags, strict=True)]
+def sketch_bits(total_bytes: int) -> tuple[int, int]:
+    """log2 of the cells of a row (2**SPARSE for each window, at about six bytes a word) and of its bands."""
+    windows = max(1, total_bytes / 6)
+    bits = max(16, SPARSE + int(np.ceil(np.log2(windows))))
+    return bits, max(BAND_BITS, int(np.ceil(np.log2(windows / BAND_WINDOWS))))
 
 
-def band_bits(total_bytes: int) -> int:
-    """log2 of the number of bands: so many that a band holds BAND_WINDOWS at most (a word has two bytes at least)."""
-    return int(np.ceil(np.log2(max(BANDS, total_bytes / 7 / BAND_WINDOWS))))
+def cells(h: np.ndarray, row: int, bits: int) -> np.ndarray:
+    """The cells of window hashes in one row of the sketch."""
+    return (h * (_R1, _R2)[row]) >> np.uint64(64 - bits)
+
+
+def merged(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """Sketches of one band (the sorted cells of each) added up; for each part's cells, whether the sum is above one."""
+    every = np.concatenate(parts)
+    order = np.argsort(every, kind="stable")
+    same = every[order][1:] == every[order][:-1]
+    shared = np.zeros(len(every), bool)
+    shared[order[1:][same]] = True
+    shared[order[:-1][same]] = True
+    return np.split(shared, np.cumsum([len(p) for p in parts])[:-1])
 
 
 def covered(n: int, starts: np.ndarray, size: int = WINDOW) -> np.ndarray:
@@ -232,35 +234,45 @@ def _entries(h1: np.ndarray, h2: np.ndarray, ids: np.ndarray) -> tuple[np.ndarra
     return order[new], entry, least
 
 
-def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, n_words, n_removed, kept (the words left, by single spaces), kept_sha256."""
+def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, texts: bool = True) -> DataFrame:
+    """docs(doc_id, text) -> doc_id, n_words, n_removed, kept (the words left, by single spaces), kept_sha256.
+
+    Without texts, kept is null and not written for documents that lose nothing."""
     spark = docs.sparkSession
     ship(spark)
+    with shuffles_removed(spark):
+        return _remove_repeats(spark, docs, block_bytes, texts)
+
+
+def _remove_repeats(spark: SparkSession, docs: DataFrame, block_bytes: int, texts: bool) -> DataFrame:
     block_path = scratch(spark, "blocks")
     to_blocks(docs, block_bytes).write.option("compression", "none").parquet(block_path)
     blocks = spark.read.parquet(block_path)
     total = blocks.agg(F.sum("size")).first()[0] or 0
-    lb = band_bits(total)
-    drop = np.uint64(32 - lb)
+    bits, lb = sketch_bits(total)
+    low = np.uint64((1 << (bits - lb)) - 1)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in one_by_one(batch):
-                q = distinct(windows(unpacked(row["words"]))[4] >> drop)
-                band = (q >> np.uint64(32)).astype(np.int64)
-                edges = np.searchsorted(band, np.arange((1 << lb) + 1))
-                some = np.flatnonzero(np.diff(edges))
-                blobs = [coded((q[edges[b] : edges[b + 1]] & np.uint64(0xFFFFFFFF)).astype(np.uint32)) for b in some]
-                yield pa.RecordBatch.from_pydict({"band": pa.array(some, pa.int64()), "block": pa.array([row["block"]] * len(some), pa.int64()), "blob": pa.array(blobs, pa.binary())})
+                h = windows(unpacked(row["words"]))[4]
+                for k in (0, 1):
+                    c = distinct(cells(h, k, bits))
+                    edges = np.searchsorted((c >> np.uint64(bits - lb)).astype(np.int64), np.arange((1 << lb) + 1))
+                    some = np.flatnonzero(np.diff(edges))
+                    blobs = [coded((c[edges[b] : edges[b + 1]] & low).astype(np.uint32)) for b in some]
+                    yield pa.RecordBatch.from_pydict({"part": pa.array((k << lb) + some, pa.int64()), "block": pa.array([row["block"]] * len(some), pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for band, rows in grouped(batches, "band"):
-            marks = count_min([decoded(r["blob"]) for r in rows])
-            yield pa.RecordBatch.from_pydict({"block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([band] * len(rows), pa.int64()), "blob": pa.array([np.packbits(m).tobytes() for m in marks], pa.binary()), "n": pa.array([len(m) for m in marks], pa.int64())})
+        for part, rows in grouped(batches, "part"):
+            marks = merged([decoded(r["blob"]) for r in rows])
+            yield pa.RecordBatch.from_pydict({"block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([part] * len(rows), pa.int64()), "blob": pa.array([np.packbits(m).tobytes() for m in marks], pa.binary()), "n": pa.array([len(m) for m in marks], pa.int64())})
 
-    sketches = blocks.select("block", "words").mapInArrow(sketch, "band long, block long, blob binary")
-    marks = staged(sketches.repartition(max(tasks, 1 << lb), "band").sortWithinPartitions("band", "block").mapInArrow(merge, "block long, part long, blob binary, n long"), "estimates")
+    sketches = blocks.select("block", "words").mapInArrow(sketch, "part long, block long, blob binary")
+    mark_path = scratch(spark, "estimates")
+    sketches.repartition(max(tasks, 2 << lb), "part").sortWithinPartitions("part", "block").mapInArrow(merge, "block long, part long, blob binary, n long").write.parquet(mark_path)
+    marks = spark.read.schema("block long, part long, blob binary, n long").parquet(mark_path)
     release(spark)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,25 +289,28 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
             words = unpacked(head["words"])
             lines = _lines(words, len(ids))
             begin, end, doc, _, h = windows(words)
-            order = np.argsort(h >> drop)
-            new = np.ones(len(h), bool)
-            new[1:] = (h[order][1:] >> drop) != (h[order][:-1] >> drop)
-            back = np.empty(len(h), np.int64)
-            back[order] = np.cumsum(new) - 1
-            q = h[order][new]
-            del h, order, new
-            mark = np.concatenate([np.unpackbits(np.frombuffer(r["blob"], np.uint8), count=r["n"]).astype(bool) for r in answers]) if answers else np.zeros(0, bool)
-            if len(mark) != len(q):
-                raise ValueError(f"block {block}: {len(q)} hashes, {len(mark)} answers")
-            low, high = np.full(len(q), NULL_ID, np.int64), np.full(len(q), -(2**63), np.int64)
-            np.minimum.at(low, back, ids[doc])
-            np.maximum.at(high, back, ids[doc])
-            keep = (mark | (low < high))[back] if len(q) else np.zeros(0, bool)
+            # Repeated in this block itself, by whole hashes.
+            value, back = np.unique(h, return_inverse=True)
+            least, most = np.full(len(value), NULL_ID, np.int64), np.full(len(value), -(2**63), np.int64)
+            np.minimum.at(least, back, ids[doc])
+            np.maximum.at(most, back, ids[doc])
+            own = (least < most)[back] if len(h) else np.zeros(0, bool)
+            # Repeated in another block, by the sketch: both of a window's cells are touched there.
+            keep = np.ones(len(h), bool)
+            for k in (0, 1):
+                got = [np.unpackbits(np.frombuffer(r["blob"], np.uint8), count=r["n"]).astype(bool) for r in answers if r["part"] >> lb == k]
+                mark = np.concatenate(got) if got else np.zeros(0, bool)
+                c, back = np.unique(cells(h, k, bits), return_inverse=True)
+                if len(mark) != len(c):
+                    raise ValueError(f"block {block}: {len(c)} cells, {len(mark)} answers")
+                keep &= mark[back] if len(h) else True
+            keep |= own
+            del value, back, own, h
             busy = np.zeros(len(ids), bool)
             busy[doc[keep]] = True
             free = np.flatnonzero(~busy)
             for s in range(0, len(free), 2000):
-                yield out([{"kind": "r", "block": block, "doc_id": None if nulls[d] else int(ids[d]), "n_words": lines[d].count(b" ") + 1 if lines[d] else 0, "sha": hashlib.sha256(lines[d]).hexdigest(), "kept": lines[d].decode("utf-8", "surrogatepass")} for d in free[s : s + 2000]])
+                yield out([{"kind": "r", "block": block, "doc_id": None if nulls[d] else int(ids[d]), "n_words": lines[d].count(b" ") + 1 if lines[d] else 0, "sha": hashlib.sha256(lines[d]).hexdigest(), "kept": lines[d].decode("utf-8", "surrogatepass") if texts else None} for d in free[s : s + 2000]])
             if not busy.any():
                 continue
             held = np.flatnonzero(busy)
@@ -315,6 +330,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     path = scratch(spark, "windows")
     chosen.write.option("compression", "none").partitionBy("kind").parquet(path)
     drop_staged(spark, block_path)
+    drop_staged(spark, mark_path)
     release(spark)
     stored = spark.read.schema("part long, block long, n long, doc_id long, n_words long, sha string, blob binary, ids binary, nulls binary, words binary, kept string, kind string").parquet(path)
 
@@ -330,6 +346,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     sent = stored.where("kind = 'c'").select("part", "block", "n", "blob")
     smaller = sent.repartition(max(tasks, 1 << lb), "part").sortWithinPartitions("part", "block").mapInArrow(group, "block long, part long, blob binary, n long")
     smaller = staged(smaller, "answers")
+    drop_staged(spark, f"{path}/kind=c")
     release(spark)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,7 +373,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
                 lengths = np.diff(np.flatnonzero(raw == 32), prepend=-1)
                 cut = covered(len(lengths), first_word[at[d] : at[d + 1]])
                 left = raw[~np.repeat(cut, lengths)].tobytes()[:-1]
-                for k, v in zip(cols, (None if nulls[d] else int(ids[d]), len(lengths), int(cut.sum()), left.decode("utf-8", "surrogatepass"), hashlib.sha256(left).hexdigest()), strict=True):
+                for k, v in zip(cols, (None if nulls[d] else int(ids[d]), len(lengths), int(cut.sum()), left.decode("utf-8", "surrogatepass") if texts else None, hashlib.sha256(left).hexdigest()), strict=True):
                     cols[k].append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols.values(), kinds, strict=True)], names=list(cols))
@@ -369,7 +386,7 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
 
 
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return remove_repeats(table(spark, sf_dir, "documents"), texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 OP5_SQL = r"""

@@ -41,18 +41,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.induced import suffix_array
-from quarry.llm.substring import BLOCK_BYTES, NULL_ID, TASK_BYTES, band_bits, coded, count_min, decoded, distinct, grouped, mixed, one_by_one, packed, unpacked
-from quarry.session import drop_staged, release, scratch, ship, staged, table
+from quarry.llm.substring import _R1, _R2, BLOCK_BYTES, NULL_ID, TASK_BYTES, coded, decoded, distinct, grouped, mixed, one_by_one, packed, unpacked
+from quarry.session import drop_staged, release, scratch, ship, shuffles_removed, staged, table
 
 LENGTH = 100
 GRAM = 32
-#: Bytes of contexts that one shard should hold, and the least number of shards (as a power of two).
-SHARD_BYTES, SHARD_BITS = 32_000_000, 7
+#: Bytes of contexts that one shard should hold (it is sorted in memory, about 120 bytes for each), and the least number of shards (as a power of two).
+SHARD_BYTES, SHARD_BITS = 8_000_000, 7
 #: Distinct contexts of an anchor, beyond one a block, from which it is split; binary digits by which shards of strings are more.
 HOT_CONTEXTS, STRING_BITS = 8192, 2
+#: Anchors that one band's task may merge, the least number of bands, and log2 of the cells of a row of the largest count-min table.
+BAND_ANCHORS, BANDS, CELL_BITS = 16_000_000, 64, 26
 _R = np.uint64(0x9E3779B97F4A7C15)
 
 
+def count_min(parts: list[np.ndarray]) -> list[np.ndarray]:
+    """For each part's hashes, whether the count-min estimate over all parts is at least two."""
+    total = max(1, sum(map(len, parts)))
+    bits = min(CELL_BITS, max(10, int(np.ceil(np.log2(total * 8)))))
+    shift = np.uint64(64 - bits)
+    cells = lambda v, r: (v.astype(np.uint64) * r) >> shift
+    flags = []
+    for r in (_R1, _R2):
+        once, twice = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool)
+        for part in parts:
+            c = cells(part, r)
+            twice[c] |= once[c]
+            once[c] = True
+        flags.append([twice[cells(part, r)] for part in parts])
+        del once, twice
+    return [a & b for a, b in zip(*flags, strict=True)]
+
+
+def band_bits(total_bytes: int) -> int:
+    """log2 of the number of bands: so many that a band holds BAND_ANCHORS at most (an anchor for about 35 bytes)."""
+    return int(np.ceil(np.log2(max(BANDS, total_bytes / 35 / BAND_ANCHORS))))
+
+
 def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs(doc_id, text) -> (block, ids, nulls, lengths, size, bytes): the documents' UTF-8, one after another."""
     ship(docs.sparkSession)
@@ -97,9 +122,11 @@ def contexts(data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         power = np.uint64(pow(int(power), 2, 2**64))
         width *= 2
     h = mixed(h)
-    # The least 40 bits of hash over the strings' grams, leftmost of equals: the place stands below the hash.
-    bits = max(1, int(len(h)).bit_length())
-    low = np.uint64((1 << bits) - 1)
+    # The least upper half of the hash over the strings' grams, leftmost of equals: the place stands below it. The halves
+    # are the same in any block, so that equal strings have equal anchors whatever their blocks' sizes.
+    if len(h) >> 32:
+        raise ValueError("a document of 4 GB or more")
+    low = np.uint64(0xFFFFFFFF)
     key = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     span, width = LENGTH - GRAM + 1, 1
     least = key
@@ -210,11 +237,16 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hot: int = H
     """docs(doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept (bytes left), kept_sha256."""
     spark = docs.sparkSession
     ship(spark)
+    with shuffles_removed(spark):
+        return _remove_repeats(spark, docs, block_bytes, hot)
+
+
+def _remove_repeats(spark: SparkSession, docs: DataFrame, block_bytes: int, hot: int) -> DataFrame:
     block_path = scratch(spark, "byte-blocks")
     to_blocks(docs, block_bytes).write.option("compression", "none").parquet(block_path)
     blocks = spark.read.parquet(block_path)
     total = blocks.agg(F.sum("size")).first()[0] or 0
-    lb = band_bits(total // 6)  # an anchor for about 35 bytes
+    lb = band_bits(total)
     sb = max(SHARD_BITS, int(np.ceil(np.log2(max(1, total / SHARD_BYTES)))))
     drop = np.uint64(32 - lb)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
