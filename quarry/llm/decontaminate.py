@@ -158,9 +158,13 @@ def _contaminated() -> Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs without the contaminated ones, all columns as they are."""
+    """docs without the rows that hold a passage of the benchmark, all columns as they are.
+
+    A row goes if a whole window of an item occurs in it, however long the rest is, or if hit words (short items among
+    them) are a twentieth of its words. Short items that occur in a long text are no reason: they are common phrases."""
     found = find_contamination(docs, benchmark, window, carry=tuple(docs.columns)).withColumn("n_hit", _n_hit())
-    return found.where(~_contaminated()).select(*(F.col("carried").getField(c).alias(c) for c in docs.columns))
+    passage = F.exists("word_ranges", lambda r: r["b"] - r["a"] >= window)
+    return found.where(~passage & ~_contaminated()).select(*(F.col("carried").getField(c).alias(c) for c in docs.columns))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
