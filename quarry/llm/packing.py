@@ -12,13 +12,15 @@ fit. Each piece finds its place by its rank among the pieces of its length: a ru
 partition plus the counts of the partitions before. Nothing is sorted or gathered by length.
 
 Defined results for odd input: null and empty texts are the single id 0; repeated rows are packed as
-documents of their own; a null doc_id is kept; an empty table gives no rows; other columns are passed over.
+documents of their own; a null doc_id is kept; a text of any length, runs of a million equal characters among them,
+is encoded whole; an empty table gives no rows; other columns are passed over.
 Special-token strings in a text become that special id, as the tokenizer's own encode does.
 """
 
 from __future__ import annotations
 
 import base64
+import os
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -36,18 +38,20 @@ from quarry.session import ship, staged, table
 CAPACITY = 2048
 END = 0
 TOKENIZER = "byte_bpe_50k.json"
-RANKS = "byte_bpe_50k.tiktoken"
-SPECIAL = {"<|endoftext|>": 50256}
 #: Rows put out at once.
 ROWS = 4096
-#: Letters that both tokenizer libraries class alike beyond doubt; texts with others take the slower one.
-_OTHER = re.compile("[^\x00-\u024f]")
+RANKS = "byte_bpe_50k.tiktoken"
+SPECIAL = {"<|endoftext|>": 50256}
+#: Texts that the tokenizers library itself takes: letters that the two libraries may class differently, and runs
+#: of white space beyond what the other's regular expressions can step back over.
+_OTHER = re.compile("[^\x00-\u024f]|\\s{10000}")
 _TOKENIZERS: dict = {}
 
 
 def tokenizer(name: str = TOKENIZER):
     """The public tokenizer, loaded once in a worker."""
     if name not in _TOKENIZERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import public_tokenizers
         from tokenizers import Tokenizer
 
@@ -56,7 +60,7 @@ def tokenizer(name: str = TOKENIZER):
 
 
 def fast_tokenizer(name: str = RANKS):
-    """The same vocabulary as ranks: the same ids at a fraction of the time."""
+    """The same vocabulary as ranks: the same ids at a quarter of the time."""
     if name not in _TOKENIZERS:
         import public_tokenizers
         import tiktoken
@@ -71,7 +75,7 @@ def token_ids(text: str | None) -> np.ndarray:
     """The text's ids, as the public tokenizer's own encode gives them."""
     text = text or ""
     if _OTHER.search(text):
-        return np.array(tokenizer().encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(tokenizer().encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
     return np.array(fast_tokenizer().encode(text, allowed_special="all"), "<u4")
 
 
@@ -249,7 +253,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             keep = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(sequence), pa.array(offset)], names=[*keep, "sequence_id", "offset"])
 
-    ranked = pieces.join(offsets, ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank"))
+    # Counts are as many as lengths and tasks: beside the pieces too many to broadcast, so a hashed join.
+    ranked = pieces.join(offsets.hint("shuffle_hash"), ["length", "part"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank"))
     return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
