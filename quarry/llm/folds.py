@@ -28,15 +28,23 @@ def label_rows(labels: DataFrame, column: str) -> DataFrame:
     )
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame, bound: int) -> list[tuple[int, str, int]]:
-    """Whole texts of at most bound wanted rows (doc_id, label), in the fixed order.
+#: Bytes of texts that one sample may bring to the driver; the first rows in the fixed order that fit.
+MAX_BYTES = 400_000_000
 
-    Only the ids are ordered over the cluster; the chosen ones, bounded, are then broadcast to one scan.
+
+def texts_of(docs: DataFrame, wanted: DataFrame, bound: int, max_bytes: int = MAX_BYTES) -> list[tuple[int, str, int]]:
+    """Whole texts of at most bound wanted rows (doc_id, label), in the fixed order; max_bytes bounds them together.
+
+    Only the ids are ordered over the cluster; the chosen ones, bounded, are then broadcast to one scan, which
+    makes one row of each id (its smallest text) before anything reaches the driver.
     """
     chosen = wanted.orderBy(order_key(F.col("doc_id")), "doc_id").limit(bound)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").collect()
-    kept: dict[int, tuple[int, str, int]] = {}
-    for r in sorted(tuple(r) for r in rows):
-        kept.setdefault(r[0], r)
-    return list(kept.values())
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "label")).alias("r")).select("doc_id", "r.text", "r.label")
+    rows, size = [], 0
+    for r in found.orderBy(order_key(F.col("doc_id")), "doc_id").toLocalIterator():
+        size += len(r["text"].encode("utf-8", "surrogatepass"))
+        if rows and size > max_bytes:
+            break
+        rows.append((r["doc_id"], r["text"], r["label"]))
+    return sorted(rows)

@@ -1,16 +1,18 @@
 """Toxicity by non-negative positive-unlabelled learning with numpy classifiers.
 
-Confirmed toxic documents are the positives; the unlabelled set is a sample of all documents outside the
-held-out fold, whose labels are not looked at. With class prior pi, the risk
+Confirmed toxic documents are the positives; the unlabelled set is a sample of labelled rows outside the
+held-out fold, toxic ones among them, whose labels are not looked at. With class prior pi, the risk
 ``pi*E_P[l(g)] + max(0, E_U[l(-g)] - pi*E_P[l(-g)])`` is minimised, and where the bracket turns
 negative the gradient climbs out of it instead. Several linear classifiers over the words of a whole
 text, trained from different random orders, are averaged.
 
 Features are presences of words and of word beginnings (4 to 6 bytes) from a vocabulary chosen on the training sample by how much oftener
-they stand in positives than in unlabelled text; a text of any length is read whole. The prior is
-estimated from the labels of the training folds (their toxic share).
+they stand in positives than in unlabelled text; a text of any length is read whole. Positives are a part of
+the unlabelled set, as large as the prior says, so a real feature of theirs stands there too: one that is much rarer
+there than its share of positives allows is chance and left out. The prior is estimated from the labels of the training
+folds (their toxic share).
 
-Bounds (documented parameters): MAX_POSITIVE and MAX_UNLABELLED documents reach the driver.
+Bounds (documented parameters): MAX_POSITIVE and MAX_UNLABELLED labelled documents reach the driver.
 
 Defined results for odd input: null and empty texts get the score of a text without known words;
 repeated rows are scored alike; without toxic or without any training rows every score is the prior;
@@ -86,8 +88,9 @@ class Model:
         return self.scorer()(text)
 
 
-def vocabulary(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: int = VOCABULARY) -> np.ndarray:
-    """Features whose share among positives exceeds chance, by a one-sided z statistic; sorted."""
+def vocabulary(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, size: int = VOCABULARY) -> np.ndarray:
+    """Features whose share among positives exceeds chance by a one-sided z statistic, and that unlabelled text
+    holds at least a quarter as often as positives within it would; sorted."""
     n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
     f, a = np.unique(np.concatenate(positive), return_counts=True)
     f, a = f[a >= 3], a[a >= 3]
@@ -97,7 +100,7 @@ def vocabulary(positive: list[np.ndarray], unlabelled: list[np.ndarray], size: i
     # Under "no relation", positives hold the feature as often as unlabelled text does.
     rate = (a + u + 1) / (n_p + n_u + 2)
     z = (a / n_p - u / n_u) / np.sqrt(rate * (1 - rate) * (1 / n_p + 1 / n_u))
-    good = (z > 4.0) | ((z > 2.5) & (u == 0))
+    good = (z > 3.0) & (u / n_u >= 0.25 * prior * a / n_p)
     f, z = f[good], z[good]
     return np.sort(f[np.lexsort((f, -z))[:size]])
 
@@ -113,29 +116,39 @@ def _sparse(docs: list[np.ndarray], words: np.ndarray) -> tuple[np.ndarray, np.n
     return rows[hit], at[hit]
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def risk(z_p: np.ndarray, z_u: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two parts of the risk under the logistic loss l(z) = log(1 + exp(-z)): positives as positive, and the bracket
+    (negatives, as unlabelled less the positives' share), which may be negative before it is cut at zero."""
+    n_p, n_u = max(1, len(z_p)), max(1, len(z_u))
+    return prior * float(np.logaddexp(0, -z_p).sum()) / n_p, float(np.logaddexp(0, z_u).sum()) / n_u - prior * float(np.logaddexp(0, z_p).sum()) / n_p
+
+
+def slopes(z_p: np.ndarray, z_u: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """What a step follows, by each score: the slope of the whole risk, or where the bracket is negative
+    the bracket's own, reversed."""
+    n_p, n_u = max(1, len(z_p)), max(1, len(z_u))
+    d_u, d_p = _sigmoid(z_u) / n_u, -prior * _sigmoid(z_p) / n_p
+    if risk(z_p, z_u, prior)[1] >= 0:
+        return d_p - prior * (1 - _sigmoid(z_p)) / n_p, d_u
+    return -d_p, -d_u
+
+
 def nn_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], words: np.ndarray, prior: float, seed: int, epochs: int = 120, rate: float = 0.1, decay: float = 2e-5) -> tuple[np.ndarray, float]:
     """One linear classifier by full sweeps over random thirds of both sets (Adam)."""
     rng = np.random.default_rng(seed)
     (pr, pc), (ur, uc) = _sparse(positive, words), _sparse(unlabelled, words)
     w, b = np.zeros(len(words)), -1.0
     m, v, t = np.zeros(len(words) + 1), np.zeros(len(words) + 1), 0
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for _ in range(epochs):
         fold_p, fold_u = rng.integers(0, 3, len(positive)), rng.integers(0, 3, len(unlabelled))
         for k in range(3):
-            z_p = np.bincount(pr, w[pc], len(positive)) + b
-            z_u = np.bincount(ur, w[uc], len(unlabelled)) + b
             use_p, use_u = fold_p == k, fold_u == k
-            n_p, n_u = max(1, use_p.sum()), max(1, use_u.sum())
-            # Logistic loss: l(z) = log(1 + exp(-z)).
-            s_p, s_u = sigmoid(z_p), sigmoid(z_u)
-            negative = np.logaddexp(0, z_u)[use_u].sum() / n_u - prior * np.logaddexp(0, z_p)[use_p].sum() / n_p
-            d_u = use_u * s_u / n_u
-            d_p = -prior * use_p * s_p / n_p
-            if negative >= 0:
-                d_p = d_p - prior * use_p * (1 - s_p) / n_p
-            else:  # climb out: only the bracket, reversed
-                d_u, d_p = -d_u, -d_p
+            d_p, d_u = np.zeros(len(positive)), np.zeros(len(unlabelled))
+            d_p[use_p], d_u[use_u] = slopes((np.bincount(pr, w[pc], len(positive)) + b)[use_p], (np.bincount(ur, w[uc], len(unlabelled)) + b)[use_u], prior)
             g = np.bincount(pc, d_p[pr], len(words)) + np.bincount(uc, d_u[ur], len(words)) + decay * w
             g = np.append(g, d_p.sum() + d_u.sum())
             t += 1
@@ -151,7 +164,7 @@ def fit(positive: list[str], unlabelled: list[str], prior: float, seeds: tuple[i
     if not positive or not unlabelled:
         return Model({}, float(np.log(prior / (1 - prior))))
     p, u = [features(x) for x in positive], [features(x) for x in unlabelled]
-    words = vocabulary(p, u)
+    words = vocabulary(p, u, prior)
     fits = [nn_pu(p, u, words, prior, s) for s in seeds]
     w = np.mean([f[0] for f in fits], axis=0) if len(words) else np.zeros(0)
     return Model({int(x): float(y) for x, y in zip(words, w, strict=True)}, float(np.mean([f[1] for f in fits])))
@@ -163,8 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     if not counts["n"]:
         return fit([], [], 0.05)
     positive = texts_of(docs, known.where("label = 1"), max_positive)
-    others = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).alias("label")).where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    unlabelled = texts_of(docs, others, max_unlabelled)
+    unlabelled = texts_of(docs, known.select("doc_id", F.lit(0).alias("label")), max_unlabelled)
     return fit([t for _, t, _ in positive], [t for _, t, _ in unlabelled], counts["prior"])
 
 
