@@ -8,8 +8,8 @@ Variants are dealt by a linear map of their bits: variant v belongs to coset L(v
 A fingerprint and a coset therefore determine which of its variants fall there, so the
 shuffle carries one 8-byte fingerprint for each coset instead of a row for each variant, and the
 receiving task expands and sorts just the variants of its coset (again split by further linear bits, so that
-a task never holds more than MEMBERS variants at once). The number of cosets is 256, doubled as
-the number of distinct fingerprints passes multiples of ROWS_A_COSET, so a coset stays within a task's memory.
+a task never holds more than MEMBERS variants at once, however they crowd). The number of cosets is 256, doubled
+until the fingerprints that a coset gets, n x (cosets reached by a ball) / cosets, are at most ROWS_A_COSET.
 
 At a variant all members are within the radius of each other (triangle inequality), so a group is tied to its
 smallest member, never expanded to pairs; each tie is verified by its Hamming distance, and each task sends
@@ -44,6 +44,8 @@ COSETS = 256
 ROWS_A_COSET = 16_000_000
 #: Variants expanded at once in a task.
 MEMBERS = 4_000_000
+#: Bits of the linear map that may be used.
+LINEAR = 40
 #: Bits of a position among the variants expanded at once.
 INDEX_BITS = 24
 
@@ -103,7 +105,7 @@ def ball(radius: int) -> np.ndarray:
 def linear(values: np.ndarray, bits: int) -> np.ndarray:
     """A linear map over GF(2) to bits bits: parities of fixed pseudo-random masks."""
     rng = np.random.default_rng(20240607)
-    rows = rng.integers(0, 2**63, 40, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 40, dtype=np.uint64)
+    rows = rng.integers(0, 2**63, LINEAR, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, LINEAR, dtype=np.uint64)
     out = np.zeros(len(values), np.int64)
     for k in range(bits):
         out |= (np.bitwise_count(values & rows[k]).astype(np.int64) & 1) << k
@@ -132,21 +134,29 @@ def forest(nodes: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.n
 def meet(fps: np.ndarray, coset: int, bits: int, radius: int, members: int = MEMBERS) -> tuple[np.ndarray, np.ndarray]:
     """Links among sorted distinct fingerprints whose common variants lie in one coset, as a spanning forest."""
     masks = ball((radius + 1) // 2)
-    more = max(0, int(np.ceil(np.log2(max(1, len(fps) * len(masks) / 2**bits / members)))))
-    of_mask, of_fp = linear(masks, bits + more), linear(fps, bits + more)
-    order = np.argsort(of_mask, kind="stable")
-    masks, of_mask = masks[order], of_mask[order]
+    of_mask, of_fp = linear(masks, LINEAR), linear(fps, LINEAR)
+    by_low: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     left, right = [], []
-    for sub in range(2**more):
-        target = coset | (sub << bits)
-        need = of_fp ^ target
-        lo, hi = np.searchsorted(of_mask, need), np.searchsorted(of_mask, need, "right")
+    start = min(LINEAR, bits + max(0, int(np.ceil(np.log2(max(1, len(fps) * len(masks) / 2**bits / members))))))
+    todo = [(coset | (sub << bits), start) for sub in range(2 ** (start - bits))]
+    while todo:
+        target, k = todo.pop()
+        if k not in by_low:
+            low = of_mask & ((1 << k) - 1)
+            order = np.argsort(low, kind="stable")
+            by_low[k] = masks[order], low[order]
+        sorted_masks, low = by_low[k]
+        need = (of_fp & ((1 << k) - 1)) ^ target
+        lo, hi = np.searchsorted(low, need), np.searchsorted(low, need, "right")
         n = hi - lo
+        if n.sum() > 2 * members and k < LINEAR:  # variants crowd here: split by one more bit
+            todo += [(target, k + 1), (target | (1 << k), k + 1)]
+            continue
         who = np.repeat(np.arange(len(fps)), n)
         which = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-        variants = fps[who] ^ masks[which]
+        variants = fps[who] ^ sorted_masks[which]
         if len(variants) >> INDEX_BITS:
-            raise ValueError("a part of a coset has too many variants")
+            raise ValueError("one variant has too many members")  # at 40 bits only fingerprints of one ball are left
         # A sort of 40 hashed bits with the position below them finds what may meet; only that is sorted exactly.
         low = np.uint64((1 << INDEX_BITS) - 1)
         keys = np.sort(((variants * np.uint64(0x9E3779B97F4A7C15)) & ~low) | np.arange(len(variants), dtype=np.uint64))
@@ -159,9 +169,9 @@ def meet(fps: np.ndarray, coset: int, bits: int, radius: int, members: int = MEM
         variants, who = variants[by], who[by]
         if not len(who):
             continue
-        start = np.append(True, variants[1:] != variants[:-1])
-        first = who[np.maximum.accumulate(np.where(start, np.arange(len(who)), 0))]
-        tied = ~start
+        head = np.append(True, variants[1:] != variants[:-1])
+        first = who[np.maximum.accumulate(np.where(head, np.arange(len(who)), 0))]
+        tied = ~head
         a, b = first[tied], who[tied]
         near = np.bitwise_count(fps[a] ^ fps[b]) <= radius
         child, root = forest(fps, a[near], b[near])
@@ -173,14 +183,19 @@ def meet(fps: np.ndarray, coset: int, bits: int, radius: int, members: int = MEM
     return fps[child], fps[root]
 
 
+def coset_bits(n: int, radius: int = RADIUS, rows: int = ROWS_A_COSET) -> int:
+    """log2 of the number of cosets, so that one gets at most rows of n distinct fingerprints."""
+    masks, bits = ball((radius + 1) // 2), int(np.log2(COSETS))
+    while bits < LINEAR and n * len(np.unique(linear(masks, bits))) / 2**bits > rows:
+        bits += 1
+    return bits
+
+
 def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """distinct(fp) -> (src, dst): forests over true links, which together join all that chains of links within the radius join."""
     spark = distinct.sparkSession
     ship(spark)
-    n = distinct.count()
-    bits = int(np.log2(COSETS))
-    while n / ROWS_A_COSET > 2 ** (bits - 8):
-        bits += 1
+    bits = coset_bits(distinct.count(), radius)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reach = np.unique(linear(ball((radius + 1) // 2), bits))
@@ -232,7 +247,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """docs(doc_id, text) -> doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     marked = staged(fingerprints(docs), "fingerprints")
     rooted = roots(staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-groups"), radius)
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Staged, so that the join below is dealt anew and a large component's partition can be split.
+    least = staged(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "components")
     named = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
