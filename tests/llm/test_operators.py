@@ -271,10 +271,21 @@ def test_count_min_loses_nothing():
     rng = np.random.default_rng(0)
     parts = [np.unique(rng.integers(0, 2000, 500).astype(np.uint32)) for _ in range(6)]
     n = collections.Counter(int(x) for p in parts for x in p)
-    for p, marks in zip(parts, substring.count_min(parts), strict=True):
+    for p, marks in zip(parts, suffixes.count_min(parts), strict=True):
         assert all(m for x, m in zip(p.tolist(), marks.tolist(), strict=True) if n[x] > 1)
 
 
+def test_sketches_merge_to_counts_of_blocks():
+    rng = np.random.default_rng(0)
+    parts = [np.unique(rng.integers(0, 1 << 12, 300)).astype(np.uint32) for _ in range(5)]
+    n = collections.Counter(int(x) for p in parts for x in p)
+    for p, marks in zip(parts, substring.merged(parts), strict=True):
+        assert marks.tolist() == [n[x] > 1 for x in p.tolist()]
+    h = substring.mixed(np.arange(5000, dtype=np.uint64))
+    for row in (0, 1):
+        assert int(substring.cells(h, row, 20).max()) < 1 << 20 and len(np.unique(substring.cells(h, row, 20))) > 4900
+
+
 def test_induced_sorting():
     rng = np.random.default_rng(0)
     for it in range(400):
@@ -377,6 +388,33 @@ def test_cover_tree(spark, monkeypatch):
     assert covertree.near_duplicates(vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("tile", [4, 4096])
+def test_dual_traversal_finds_all_pairs(monkeypatch, tile):
+    monkeypatch.setattr(covertree, "TILE", tile)
+    rng = np.random.default_rng(3)
+    heads = rng.normal(size=(6, 12))
+    loose = heads[rng.integers(0, 6, 150)] + rng.normal(size=(150, 12)) * 0.25
+    tight = heads[rng.integers(0, 3, 200)] + rng.normal(size=(200, 12)) * 0.01
+    x = np.concatenate((loose, tight, rng.normal(size=(100, 12))))[rng.permutation(450)]
+    count = rng.integers(1, 4, len(x))
+
+    def tree(at):
+        order, built = covertree.build(covertree.unit(x[at]), float(np.sqrt(0.2)))
+        return covertree.unpacked(covertree.packed(at[order], count[at][order], x[at][order], built))
+
+    s = covertree.unit(x) @ covertree.unit(x).T >= 0.9
+    np.fill_diagonal(s, False)
+    for a, b in ((np.arange(450), None), (np.arange(200), np.arange(200, 450)), (np.arange(3), np.arange(3, 10))):
+        ids, links, roots = covertree.compare(tree(a), None if b is None else tree(b), 0.9)
+        use = np.zeros_like(s)
+        use[np.ix_(a, a if b is None else b)] = True
+        use = s & (use | use.T)
+        want = {i: int(use[i] @ count) for i in range(450) if use[i].any()}
+        assert dict(zip(ids.tolist(), links.tolist(), strict=True)) == want
+        near = [(i, j) for i, j in zip(*np.nonzero(use), strict=True) if i < j]
+        assert closure(range(450), list(zip(ids.tolist(), roots.tolist(), strict=True))) == closure(range(450), near)
+
+
 def test_quality_held_out(spark):
     rng = random.Random(0)
     good = [" ".join(rng.choice(["the", "of", "tion", "and", "er"]) for _ in range(60)) + "." for _ in range(60)]
@@ -398,13 +436,111 @@ def test_toxicity_held_out(spark, sf):
     docs, labels = spark.read.parquet(sf.replace("0.001", "0.1") + "/documents.parquet"), spark.read.parquet(sf.replace("0.001", "0.1") + "/labels.parquet")
     model = toxicity.train(docs, labels)
     got = toxicity.score(docs, model).join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).select("predicted", "toxic").collect()
-    right = sum(r.predicted == r.toxic for r in got)
-    assert right >= 0.94 * len(got)
+    assert sum(r.predicted == r.toxic for r in got) >= 0.97 * len(got)
+    caught = [r.predicted for r in got if r.toxic == 1]
+    # Some rows labelled toxic hold no word that others share: 0.9 is out of reach here.
+    assert sum(caught) >= 0.82 * len(caught)
+    assert sum(r.predicted for r in got if r.toxic == 0) <= 0.01 * len(got)
     odd = toxicity.score(make(spark, [(1, None), (2, ""), (None, "x")]), model).collect()
     assert len(odd) == 3 and all(0 <= r.score <= 1 for r in odd)
     assert toxicity.train(docs, labels.limit(0)).weights == {}
 
 
+def test_toxicity_risk_and_slopes():
+    rng = np.random.default_rng(2)
+    for prior, shift in ((0.1, 0.0), (0.3, 1.0), (0.9, -4.0)):
+        z_p, z_u = rng.normal(size=7) - shift, rng.normal(size=11) + shift
+        loss = lambda z: np.log(1 + np.exp(-z))
+        positive, bracket = toxicity.risk(z_p, z_u, prior)
+        assert np.isclose(positive, prior * loss(z_p).mean()) and np.isclose(bracket, loss(-z_u).mean() - prior * loss(-z_p).mean())
+        of = (lambda p, u: sum(toxicity.risk(p, u, prior))) if bracket >= 0 else (lambda p, u: -toxicity.risk(p, u, prior)[1])  # noqa: B023
+        d_p, d_u = toxicity.slopes(z_p, z_u, prior)
+        for z, d, which in ((z_p, d_p, 0), (z_u, d_u, 1)):
+            for i in range(len(z)):
+                up, down = z.copy(), z.copy()
+                up[i], down[i] = z[i] + 1e-5, z[i] - 1e-5
+                pair = lambda x: (x, z_u) if which == 0 else (z_p, x)  # noqa: B023, E731
+                assert np.isclose(d[i], (of(*pair(up)) - of(*pair(down))) / 2e-5, atol=1e-6)
+    assert toxicity.risk(np.full(3, 9.0), np.full(3, -9.0), 0.9)[1] < 0  # the case that is cut
+
+
+def test_toxicity_and_quality_of_odd_rows(spark):
+    rows = [(1, "same text here"), (1, "same text here"), (None, None), (3, ""), (4, "x" * 400_000)]
+    model = toxicity.fit(["bad awful words"] * 5 + ["bad day"] * 5, ["fine"] * 60 + ["bad awful words"] * 5 + ["bad day"] * 5, 0.15)
+    net = quality.fit(["a good text"] * 8 + ["BAD!! BAD!!"] * 8, [1] * 8 + [0] * 8, visits=80)
+    for got in (toxicity.score(make(spark, rows), model), quality.score(make(spark, rows), net)):
+        by = collections.defaultdict(list)
+        for r in got.collect():
+            by[r.doc_id].append(r.score)
+        assert len(by[1]) == 2 and by[1][0] == by[1][1] and all(0 <= s <= 1 for v in by.values() for s in v)
+    assert toxicity.score(make(spark, rows).limit(0), model).count() == 0
+    assert model.score("bad awful words") > 0.5 > model.score("fine")
+
+
+def test_quality_forward_pass():
+    rng = np.random.default_rng(4)
+    net = quality.fit(["aab", "bba cc"] * 3, [1, 0] * 3, visits=30)
+    for text in ("", "short", "a longer text, é and more of it than one chunk holds", "".join(rng.choice(list("abc é"), 300))):
+        raw = text.encode()
+        n = max(1, -(-max(0, len(raw) - quality.WIDTH) // quality.STRIDE) + 1)
+        padded = bytes(quality.LAGS[-1]) + raw + bytes((n - 1) * quality.STRIDE + quality.WIDTH - len(raw))
+        best = np.full(quality.FILTERS, -np.inf)
+        for k in range(n):
+            at = quality.LAGS[-1] + k * quality.STRIDE
+            x = [float(v) for b in padded[at : at + quality.WIDTH] for v in net.embed[b]]
+            x += [sum(padded[at + i] == padded[at + i - lag] != 0 for i in range(quality.WIDTH)) / quality.WIDTH for lag in quality.LAGS]
+            best = np.maximum(best, np.array(x) @ net.filters)
+        z = np.maximum(best + net.shift, 0) @ net.out + net.bias
+        assert np.isclose(net.score(text), 1 / (1 + np.exp(-z)), atol=1e-4)
+
+
+def test_many_spans_take_little_time():
+    import time
+
+    began = time.time()
+    base, every = pii.all_spans(" ".join(f"user{i}@example.com" for i in range(50_000)), {})
+    assert len(base) == 50_000 == len(every) and time.time() - began < 10
+    text = " ".join(f"call 555-123-4567 or {i}" for i in range(20_000))
+    model = dict.fromkeys({c[3] for c in pii.candidates(text)[1]}, 0.9)
+    assert len(pii.all_spans(text, model)[1]) >= 20_000 and time.time() - began < 20
+
+
+def test_packing_encodes_long_runs():
+    for run in (" ", "\t", "\n", "a", "1", "!", "é"):
+        text = "x" + run * 1_000_000 + "y"
+        assert packing.token_ids(text).tolist() == packing.tokenizer().encode(text, add_special_tokens=False).ids
+    rng = random.Random(11)
+    letters = [chr(c) for c in range(0x250)]
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) if rng.random() < 0.5 else rng.choice(" \n\t aeiou'1.") * rng.choice([1, 1, 2, 40]) for _ in range(rng.randint(0, 40)))
+        assert packing.token_ids(text).tolist() == packing.tokenizer().encode(text, add_special_tokens=False).ids
+
+
+def test_anchors_do_not_depend_on_the_block():
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(3000)).encode()
+    alone = suffixes.contexts(text, np.array([len(text)]))
+    for pad in (100, 5_000, 70_000, 1_100_000):
+        more = bytes(rng.choice(b"xyz") for _ in range(pad))
+        first, count, doc, h = suffixes.contexts(more + text, np.array([len(more), len(text)]))
+        mine = doc == 1
+        assert (first[mine] - pad).tolist() == alone[0].tolist() and count[mine].tolist() == alone[1].tolist() and h[mine].tolist() == alone[3].tolist()
+
+
+def test_cosets_stay_within_a_task():
+    for n in (10**6, 10**8, 10**9, 3 * 10**10):
+        bits = simhash.coset_bits(n)
+        reached = len(np.unique(simhash.linear(simhash.ball(2), bits)))
+        assert n * reached / 2**bits <= simhash.ROWS_A_COSET
+    rng = np.random.default_rng(5)
+    fps = np.unique(rng.integers(0, 2**63, 3000, dtype=np.uint64))
+    fps = np.unique(np.concatenate((fps, fps ^ np.uint64(5), fps[:9] ^ np.uint64(1 << 60))))
+    links = [p for c in range(4) for p in zip(*(x.tolist() for x in simhash.meet(fps, c, 2, 4, members=1000)), strict=True)]
+    near = [(int(f), int(f ^ np.uint64(5))) for f in fps if f ^ np.uint64(5) in fps] + [(int(f), int(f ^ np.uint64(1 << 60))) for f in fps if f ^ np.uint64(1 << 60) in fps]
+    got = closure(fps.tolist(), links)
+    assert all(got[a] == got[b] for a, b in near)
+
+
 def test_pipeline_keeps_one_row_of_each_component(spark):
     import corpus_pipeline
 
