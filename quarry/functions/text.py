@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Month names in order.
+#: Month names in order; each may also be cut to its first three letters, September to four.
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+_MONTH_YEAR = r"(?i)\b(" + "|".join(f"{m[:3]}(?:{'t(?:ember)?' if m == 'september' else m[3:]})?" for m in MONTHS) + r")\.?,?\s+([0-9]{4})\b"
 
 
 def block_key(c: Column) -> Column:
@@ -15,8 +18,9 @@ def block_key(c: Column) -> Column:
 
 
 def slugify(c: Column, sep: str = "-", fallback: str = "") -> Column:
-    """Lower case; keeps letters, digits, underscore, hyphen and space; spaces become sep."""
-    s = F.regexp_replace(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}_\- ]", ""), " ", sep)
+    """Lower case without white space around; keeps letters, digits, underscore, hyphen and space; spaces become sep."""
+    bare = F.regexp_replace(F.lower(c), r"^[ \t\n\r\x0B\f]+|[ \t\n\r\x0B\f]+$", "")
+    s = F.regexp_replace(F.regexp_replace(bare, r"[^\p{L}\p{N}_\- ]", ""), " ", sep)
     return F.when(s == "", F.lit(fallback)).otherwise(s)
 
 
@@ -45,10 +49,18 @@ def strip_tags(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """The five predefined entities and a few common ones; the ampersand last, so one level only."""
-    for name, value in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(name), F.lit(value))
-    return c
+    """One level of character references that end with a semicolon: all numbers, and the names of HTML 4."""
+    names = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
+
+    def one(part: Column) -> Column:
+        ref = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});", 1)
+        code = F.when(ref.rlike("^#[xX]"), F.conv(F.substr(ref, F.lit(3)), 16, 10)).when(F.startswith(ref, F.lit("#")), F.substr(ref, F.lit(2))).try_cast("int")
+        sound = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        got = F.coalesce(F.when(sound, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")), F.when(ref != "", names[ref]))
+        return F.when(got.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(got, F.substr(part, F.length(ref) + 2)))
+
+    parts = F.split(c, "&", -1)
+    return F.when(F.contains(c, F.lit("&")), F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), one), ""))).otherwise(c)
 
 
 def strip_html(c: Column) -> Column:
@@ -56,15 +68,14 @@ def strip_html(c: Column) -> Column:
 
 
 def month_year(c: Column) -> Column:
-    """YYYY-MM of the first "Month YYYY", else null."""
-    pattern = "(?i)(" + "|".join(MONTHS) + r") ([0-9]{4})"
-    month, year = F.lower(F.regexp_extract(c, pattern, 1)), F.regexp_extract(c, pattern, 2)
-    number = F.array_position(F.array(*map(F.lit, MONTHS)), month)
+    """YYYY-MM of the first month name or its short form and year ("Sept. 2018", "Mar, 2018"), else null."""
+    month, year = F.lower(F.substring(F.regexp_extract(c, _MONTH_YEAR, 1), 1, 3)), F.regexp_extract(c, _MONTH_YEAR, 2)
+    number = F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), month)
     return F.when(year != "", F.concat(year, F.lit("-"), F.lpad(number.cast("string"), 2, "0")))
 
 
 def decade(c: Column) -> Column:
-    """The decade of the first "Month YYYY", like 2010s, else unknown."""
+    """The decade of the first month and year, like 2010s, else unknown."""
     year = F.substring(month_year(c), 1, 3)
     return F.coalesce(F.concat(year, F.lit("0s")), F.lit("unknown"))
 

@@ -54,32 +54,59 @@ def minhash_exact(hashes: Column, i: int) -> Column:
     return F.coalesce(F.array_min(each).cast("long"), F.lit(MASK))
 
 
-def _mulmod(a: int, h: np.ndarray) -> np.ndarray:
-    """a*h mod 2**61-1 for 64-bit h in unsigned arithmetic, by parts of 31 bits."""
-    p = np.uint64(PRIME)
-    h = h % p
-    hi, lo = h >> np.uint64(31), h & np.uint64(2**31 - 1)
-    a_hi, a_lo = np.uint64(a >> 31), np.uint64(a & (2**31 - 1))
-    mid = a_hi * lo + a_lo * hi  # below 2**62
-    top = (a_hi * hi) % p
-    # 2**62 = 2 and 2**31 * mid = (mid >> 30) + (mid & (2**30 - 1)) * 2**31, modulo the prime.
-    return (top * np.uint64(2) % p + (mid >> np.uint64(30)) + ((mid & np.uint64(2**30 - 1)) << np.uint64(31)) % p + a_lo * lo % p) % p
+def shingle_set(text: Column, k: int = 3) -> Column:
+    """The text's distinct shingles as 64-bit hashes, for comparing sets of one corpus."""
+    return F.array_distinct(F.transform(shingles(text, k), lambda s: F.xxhash64(s)))
+
+
+def signed_hash(s: Column) -> Column:
+    """shingle_hash() as the signed long of the same bits, which travels in eight bytes."""
+    return F.conv(F.substring(F.sha1(s), 1, 16), 16, -10).cast("long")
+
+
+def _permuted(h: np.ndarray, family: np.ndarray) -> np.ndarray:
+    """(a*h + b) mod 2**61-1 of all hashes (columns) under all permutations (rows), in unsigned arithmetic by parts of 31 bits.
+
+    2**61 is 1 and 2**62 is 2, so that products are folded by shifts and never divided."""
+    p, low30, low31 = np.uint64(PRIME), np.uint64(2**30 - 1), np.uint64(2**31 - 1)
+    h = (h & p) + (h >> np.uint64(61))
+    h = np.where(h >= p, h - p, h)
+    a, b = family[:, :1], family[:, 1:]
+    h1, h0, a1, a0 = h >> np.uint64(31), h & low31, a >> np.uint64(31), a & low31
+    mid = a1 * h0 + a0 * h1  # below 2**62
+    x = ((a1 * h1) << np.uint64(1)) + (mid >> np.uint64(30)) + ((mid & low30) << np.uint64(31)) + a0 * h0
+    x = (x & p) + (x >> np.uint64(61)) + b
+    x = (x & p) + (x >> np.uint64(61))
+    return np.where(x >= p, x - p, x)
+
+
+def signatures(hashes: np.ndarray, sizes: np.ndarray, family: np.ndarray, block: int = 2048) -> np.ndarray:
+    """Rows of minima for sets that follow each other in one array; an empty set has the mask everywhere."""
+    out = np.full((len(sizes), len(family)), MASK, np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    for s in range(0, len(hashes), block):
+        some = owner[s : s + block]
+        edge = np.flatnonzero(np.diff(some, prepend=-1))
+        least = np.minimum.reduceat(_permuted(hashes[s : s + block], family) & np.uint64(MASK), edge, axis=1)
+        out[some[edge]] = np.minimum(out[some[edge]], least.T.astype(np.int64))
+    return out
 
 
 def minhash(docs: DataFrame, key: str = "doc_id", text: str = "text", permutations: int = 128, k: int = 3) -> DataFrame:
-    """(key, signature) with the exact family of coefficients(); Arrow batches, numpy arithmetic."""
+    """(key, signature) with the exact family of coefficients(). Shingles are hashed on the JVM; Arrow batches of hashes, numpy arithmetic."""
     ship(docs.sparkSession)
-    family = [coefficients(i) for i in range(permutations)]
+    family = np.array([coefficients(i) for i in range(permutations)], np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for s in batch.column("shingles").to_pylist():
-                h = np.array([int.from_bytes(hashlib.sha1(x.encode()).digest()[:8], "big") for x in s], np.uint64)
-                out.append([int(((_mulmod(a, h) + np.uint64(b)) % np.uint64(PRIME) & np.uint64(MASK)).min()) for a, b in family] if len(h) else [MASK] * permutations)
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(out, pa.list_(pa.int64()))], names=[key, "signature"])
-
-    rows = docs.select(key, shingles(F.coalesce(F.col(text), F.lit("")), k).alias("shingles"))
+            column = batch.column("hashes")
+            sizes = column.value_lengths().to_numpy()
+            found = signatures(column.flatten().to_numpy().view(np.uint64), sizes, family)
+            flat = pa.array(found.reshape(-1))
+            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * permutations), flat)
+            yield pa.RecordBatch.from_arrays([batch.column(key), listed], names=[key, "signature"])
+
+    rows = docs.select(key, F.transform(shingles(F.coalesce(F.col(text), F.lit("")), k), signed_hash).alias("hashes"))
     return rows.mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, signature array<long>")
 
 
@@ -90,33 +117,57 @@ def estimate(a: Column, b: Column) -> Column:
 
 def auto_bands(permutations: int, threshold: float) -> int:
     """The fewest bands that divide the length and whose S-curve rises at the threshold or before."""
-    for b in range(1, permutations + 1):
-        if permutations % b == 0 and (1 / b) ** (b / permutations) <= threshold:
-            return b
-    return permutations
+    divisors = np.flatnonzero(permutations % np.arange(1, permutations + 1) == 0) + 1
+    rises = (1.0 / divisors) ** (divisors / permutations)
+    return int(divisors[rises <= threshold].min(initial=permutations))
+
+
+#: Members of a bucket that are compared at once.
+BUCKET = 256
+
 
+def links(signatures: DataFrame, key: str, threshold: float, bands: int, permutations: int) -> DataFrame:
+    """(a, b): forests over all pairs of different signatures that agree on a band and whose estimate reaches the threshold.
 
-def candidate_pairs(signatures: DataFrame, key: str, bands: int, permutations: int) -> DataFrame:
-    """Distinct pairs (a < b) of different signatures that agree on a band. Equal signatures are one class: its
-    smallest key stands for it, so a group of copies costs no pairs."""
+    A bucket of more than BUCKET members is cut into blocks, and pairs of blocks are compared in tasks of
+    their own: a task holds two blocks, and sends back a row for each linked member instead of the pairs.
+    Equal signatures are one class: the smallest key stands for it, so that a group of copies costs no pairs."""
     rows = permutations // bands
     if rows * bands != permutations:
         raise ValueError("bands must divide the signature")
-    one = signatures.groupBy("signature").agg(F.min(key).alias(key))
+    ship(signatures.sparkSession)
+    one = signatures.groupBy("signature").agg(F.min(key).alias("k"))
     parts = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("signature", b * rows + 1, rows)).alias("h")) for b in range(bands)])
-    each = one.select(F.col(key).alias("k"), F.explode(parts).alias("x")).select("k", "x.band", "x.h")
-    left, right = each.withColumnRenamed("k", "a"), each.withColumnRenamed("k", "b")
-    return left.join(right, ["band", "h"]).where("a < b").select("a", "b").distinct()
+    each = one.select("k", F.explode(parts).alias("x")).select("k", "x.band", "x.h")
+    sizes = each.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1")
+    dealt = each.join(sizes, ["band", "h"]).withColumn("blocks", F.ceil(F.col("n") / BUCKET)).withColumn("mine", F.pmod(F.xxhash64("k", "band"), "blocks"))
+    paired = dealt.select("band", "h", "k", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    placed = paired.select("band", "h", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k")
+
+    def meet(table: pa.Table) -> pa.Table:
+        k = table.column("k").to_numpy()
+        s = table.column("signature").combine_chunks().flatten().to_numpy().reshape(len(k), -1)
+        mine, root = table.column("mine").to_numpy(), np.arange(len(k))
+        within = table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        for a in range(len(k)):
+            # Blocks of their own were compared within themselves elsewhere.
+            b = np.arange(a + 1, len(k)) if within else a + 1 + np.flatnonzero(mine[a + 1 :] != mine[a])
+            near = b[(s[b] == s[a]).mean(1) >= threshold]
+            for r in {*root[near].tolist()} - {root[a]}:
+                root[root == max(r, root[a])] = min(r, root[a])
+        tied = np.flatnonzero(root != np.arange(len(k)))
+        return pa.table({"a": pa.array(k[root[tied]]), "b": pa.array(k[tied])})
+
+    wide = placed.join(one, "k")
+    kind = signatures.schema[key].dataType.simpleString()
+    return wide.groupBy("band", "h", "i", "j").applyInArrow(meet, f"a {kind}, b {kind}")
 
 
 def clusters(signatures: DataFrame, key: str, threshold: float, permutations: int, bands: int | None = None) -> DataFrame:
     """(key, cluster): the smallest key of the documents that chains of estimates at the threshold join."""
     bands = bands or auto_bands(permutations, threshold)
-    pairs = candidate_pairs(signatures, key, bands, permutations)
+    joined = connected_components(links(signatures, key, threshold, bands, permutations), "a", "b")
     heads = signatures.groupBy("signature").agg(F.min(key).alias("head"))
-    of = heads.select("head", "signature")
-    near = pairs.join(of.withColumnsRenamed({"head": "a", "signature": "sa"}), "a").join(of.withColumnsRenamed({"head": "b", "signature": "sb"}), "b").where(estimate(F.col("sa"), F.col("sb")) >= threshold)
-    joined = connected_components(near.select("a", "b"), "a", "b")
     named = heads.join(joined, heads["head"] == joined["node"], "left").select("signature", F.coalesce("component", "head").alias("cluster"))
     return signatures.select(key, "signature").join(named, "signature").select(key, "cluster")
 

@@ -46,16 +46,24 @@ def top_per_type(counts: DataFrame, n: int = 25, low_signal: dict[str, int] | No
     return counts.withColumn("rank", rank.cast("long")).where(F.col("rank") <= bound)
 
 
-def tag_texts(texts: DataFrame, surfaces: DataFrame, key: str, text: str, words: int = 3) -> DataFrame:
-    """Distinct (key, node) where a distinctive surface stands in the text as whole words.
+def tag_texts(texts: DataFrame, surfaces: DataFrame, key: str, text: str) -> DataFrame:
+    """Distinct (key, node) where a surface stands in the text as whole words.
 
-    The texts' word sequences of up to ``words`` words are joined to the surfaces, not compared one by one.
+    Word sequences are joined to the surfaces, not compared one by one, for each length in words that a surface has;
+    the lengths, a few numbers, are counted first.
     """
-    w = F.regexp_extract_all(F.upper(F.col(text)), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    words_of = lambda c: F.regexp_extract_all(F.upper(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    named = surfaces.select(words_of(F.col("surface")).alias("w"), "node").where(F.size("w") > 0)
+    lengths = sorted(r[0] for r in named.select(F.size("w")).distinct().collect())
+
+    def of_length(w, n):
+        each = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) >= n, each).otherwise(F.array().cast("array<string>"))
 
     def grams_of(w):
-        return F.flatten(F.transform(F.sequence(F.lit(1), F.lit(words)), lambda n: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>"))))
+        some = [of_length(w, n) for n in lengths]
+        return F.flatten(F.array(*some)) if some else F.array().cast("array<string>")
 
-    grams = F.transform(F.array(w), grams_of)[0]
+    grams = F.transform(F.array(words_of(F.col(text))), grams_of)[0]
     each = texts.select(key, F.explode(F.array_distinct(grams)).alias("surface"))
-    return each.join(surfaces.select(F.upper("surface").alias("surface"), "node"), "surface").select(key, "node").distinct()
+    return each.join(named.select(F.array_join("w", " ").alias("surface"), "node"), "surface").select(key, "node").distinct()

@@ -1,20 +1,36 @@
-"""Field-weighted BM25 search over postings, facets and result shaping.
+"""Field-weighted BM25 search over a persisted index of postings, with hit rows, facets, phrases and snippets.
 
-Statistics are those of the whole corpus; filters apply before the limit and do not change them.
-Terms are lower-cased runs of letters and digits.
+Statistics are those of the whole corpus; filters apply before the limit and do not change them. Terms are lower-cased
+runs of letters and digits; a query token with an underscore is the phrase of its parts.
+
+An index is a folder of Parquet tables: ``postings`` (a term's positions in a field of a chunk), dealt to folders by the
+term's hash and sorted by term, so that a query reads the row groups of its own terms; ``terms`` (in how many chunks a term
+stands), dealt alike; ``lengths`` joined to the facets as ``chunks``; ``meta``. It is built beside the current one and
+swapped in by name, so that readers never see half of it.
 """
 
 from __future__ import annotations
 
+import json
+import math
+import re
+import zlib
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.operators import stores
+
 K1, B = 1.2, 0.75
 #: Weights of the indexed fields.
 WEIGHTS = {"doc_title": 2.5, "title": 2.0, "section_path": 1.5, "body": 1.0}
+#: Fixed value: characters below which a section may restate its child.
+SHORT = 300
 TERM = r"([\p{L}\p{N}]+)"
+#: Folders that terms are dealt to.
+SHARDS = 64
+SCHEMA_VERSION = "1"
 
 
 def terms(c: Column) -> Column:
@@ -23,73 +39,170 @@ def terms(c: Column) -> Column:
 
 def query_terms(text: str) -> list[str]:
     """Tokens of at least two characters, duplicates kept; an underscore is part of a token."""
-    import re
-
     return [t for t in re.findall(r"[A-Za-z0-9_]+", text) if len(t) >= 2]
 
 
-def postings(chunks: DataFrame, key: str, fields: Mapping[str, float]) -> tuple[DataFrame, DataFrame]:
-    """(term, key, f: weighted occurrences) and (key, d: tokens over all fields). One pass, one map-side combined aggregation."""
-    weighed = lambda c, w: F.transform(terms(F.col(c)), lambda t: F.struct(t.alias("term"), F.lit(float(w)).alias("w")))
-    tokens = [weighed(c, w) for c, w in fields.items()]
-    each = chunks.select(key, F.explode(F.concat(*tokens)).alias("x")).select(key, "x.term", "x.w")
-    lengths = chunks.select(key, sum((F.size(terms(F.col(c))) for c in fields), F.lit(0)).cast("long").alias("d"))
-    return each.groupBy("term", key).agg(F.sum("w").alias("f")), lengths
+def phrase(token: str) -> tuple[str, ...]:
+    """The terms of a token or phrase, which must follow each other."""
+    return tuple(re.findall(r"[^\W_]+", token.lower()))
+
+
+def _shard(term: Column) -> Column:
+    return F.crc32(term.cast("binary")) % SHARDS
+
+
+def postings(chunks: DataFrame, key: str, fields: Mapping[str, float]) -> DataFrame:
+    """(key, field, term, positions) of every term: one pass, grouped within a chunk by one aggregation."""
+    rows = chunks.select(key, F.explode(F.concat(*map(_marked, fields))).alias("x")).select(key, "x.field", "x.term", "x.at")
+    return rows.groupBy("term", key, "field").agg(F.sort_array(F.collect_list("at")).alias("positions"))
+
+
+def _marked(name: str) -> Column:
+    return F.transform(terms(F.col(name)), lambda t, i: F.struct(F.lit(name).alias("field"), t.alias("term"), i.alias("at")))
+
+
+def build_index(chunks: DataFrame, key: str, fields: Mapping[str, float], home: str, facets: tuple[str, ...] = (), shown: tuple[str, ...] = ()) -> str:
+    """Write an index of chunks below home and make it the current one; returns its path."""
+    spark = chunks.sparkSession
+    path = stores.new_version(home)
+    found = postings(chunks, key, fields).withColumn("shard", _shard(F.col("term")))
+    found.repartition(SHARDS, "shard", F.pmod(F.xxhash64("term"), F.lit(8))).sortWithinPartitions("shard", "term").write.partitionBy("shard").parquet(f"{path}/postings")
+    stored = spark.read.parquet(f"{path}/postings")
+    stored.groupBy("shard", "term").agg(F.countDistinct(key).alias("n"), F.sum(F.size("positions")).alias("times")).repartition(SHARDS, "shard").sortWithinPartitions("term").write.partitionBy("shard").parquet(f"{path}/terms")
+    size = sum((F.size(terms(F.col(c))) for c in fields), F.lit(0)).cast("long")
+    keep = [c for c in dict.fromkeys((*facets, *shown)) if c != key]
+    chunks.select(key, size.alias("d"), *keep).write.parquet(f"{path}/chunks")
+    stats = spark.read.parquet(f"{path}/chunks").agg(F.count("*").alias("n"), F.avg("d").alias("avgdl"))
+    stats.select(F.lit(SCHEMA_VERSION).alias("schema_version"), F.lit(key).alias("key"), F.lit(json.dumps(dict(fields))).alias("fields"), "n", "avgdl").coalesce(1).write.parquet(f"{path}/meta")
+    stores.swap(spark, home, path)
+    return path
+
+
+def _read_terms(spark: SparkSession, path: str, table: str, wanted: list[str]) -> DataFrame:
+    """Rows of the wanted terms: their folders only, and within them by pushed filters."""
+    shards = sorted({zlib.crc32(t.encode()) % SHARDS for t in wanted})
+    return spark.read.parquet(f"{path}/{table}").where(F.col("shard").isin(shards) & F.col("term").isin(wanted))
+
+
+def _times(unit: tuple[str, ...], weights: Mapping[str, float]) -> Column:
+    """Weighted occurrences of a term or phrase among a chunk's collected (field, term, positions)."""
+    total = F.lit(0.0)
+    for name, w in weights.items():
+        first, *more = (F.flatten(F.transform(F.filter("found", _is(name, t)), lambda x: x["positions"])) for t in unit)
+        for k, there in enumerate(more, 1):
+            first = F.filter(first, _follows(there, k))
+        total = total + F.lit(float(w)) * F.size(first)
+    return total
+
 
+def _is(name: str, term: str):
+    return lambda x: (x["field"] == name) & (x["term"] == term)
 
-def bm25(chunks: DataFrame, key: str, fields: Mapping[str, float], query: list[str]) -> DataFrame:
-    """(key, score) of chunks that hold any query term; each repeat of a term counts again.
 
-    Only occurrences of query terms are exploded; corpus size and mean length are one aggregation.
+def _follows(there: Column, k: int):
+    return lambda at: F.array_contains(there, at + k)
+
+
+def scores(spark: SparkSession, path: str, query: list[str], weights: Mapping[str, float] | None = None) -> DataFrame:
+    """(key, score) of chunks that hold any query token or phrase; each repeat of one counts again.
+
+    Only the postings of the query's terms are read; a chunk gathers at most one row for each of them and field.
+    Chunks that hold a term are counted by the index; those that hold a phrase are counted here.
     """
-    wanted = [t.lower() for t in query]
+    meta = spark.read.parquet(f"{path}/meta").first()
+    key, weights = meta["key"], dict(weights or json.loads(meta["fields"]))
+    units = [u for u in map(phrase, query) if u]
+    wanted = sorted({t for u in units for t in u})
     if not wanted:
-        return chunks.select(key, F.lit(0.0).alias("score")).where(F.lit(False))
-    want = sorted(set(wanted))
-    each = []
-    size = F.lit(0)
-    for c, w in fields.items():
-        t = terms(F.col(c))
-        size = size + F.size(t)
-        each.append((t, float(w)))
-    times = lambda t, q: F.size(F.filter(t, lambda x: x == F.lit(q)))
-    counts = [sum((times(t, q) * F.lit(w) for t, w in each), F.lit(0.0)).cast("double").alias(f"f{k}") for k, q in enumerate(want)]
-    scored = chunks.select(key, size.cast("long").alias("d"), *counts)
-    stats = scored.agg(F.count("*").alias("n"), F.avg("d").alias("avgdl"), *[F.count_if(F.col(f"f{k}") > 0).alias(f"n{k}") for k in range(len(want))])
-    joined = scored.where(" OR ".join(f"f{k} > 0" for k in range(len(want)))).crossJoin(F.broadcast(stats))  # one row of statistics
+        return spark.read.parquet(f"{path}/chunks").select(key, F.lit(0.0).alias("score")).where(F.lit(False))
+    found = _read_terms(spark, path, "postings", wanted).groupBy(key).agg(F.collect_list(F.struct("field", "term", "positions")).alias("found"))
+    want = sorted(set(units))
+    counted = found.select(key, *[_times(u, weights).alias(f"f{k}") for k, u in enumerate(want)])
+    n = {(r["term"],): r["n"] for r in _read_terms(spark, path, "terms", wanted).select("term", "n").collect()}
+    phrases = [k for k, u in enumerate(want) if len(u) > 1]
+    if phrases:
+        one = counted.agg(*[F.count_if(F.col(f"f{k}") > 0).alias(f"n{k}") for k in phrases]).first()
+        n |= {want[k]: one[f"n{k}"] for k in phrases}
     total = F.lit(0.0)
-    for k, q in enumerate(want):
-        idf = F.log((F.col("n") - F.col(f"n{k}") + 0.5) / (F.col(f"n{k}") + 0.5))
-        idf = F.when(idf > 0, idf).otherwise(F.lit(1e-6))
+    for k, u in enumerate(want):
+        holds = n.get(u, 0)
+        rare = (meta["n"] - holds + 0.5) / (holds + 0.5)
+        rare = math.log(rare) if rare > 1 else 1e-6
         f = F.col(f"f{k}")
-        total = total + F.lit(float(wanted.count(q))) * idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("d") / F.col("avgdl")))
-    return joined.select(key, total.alias("score"))
+        total = total + F.lit(float(units.count(u)) * rare) * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("d") / F.lit(float(meta["avgdl"]))))
+    lengths = spark.read.parquet(f"{path}/chunks").select(key, "d")
+    some = " OR ".join(f"f{k} > 0" for k in range(len(want)))
+    return counted.where(some).join(lengths, key).select(key, total.alias("score"))
+
 
+def search(spark: SparkSession, path: str, text: str | list[str], k: int = 10, facets: Mapping[str, list[str] | None] | None = None, expansions: Mapping[str, str] | None = None, weights: Mapping[str, float] | None = None) -> DataFrame:
+    """The k best chunks with their rank, score and stored columns; facets narrow before the limit, equal scores go by key."""
+    query = query_terms(text) if isinstance(text, str) else list(text)
+    query += [p.replace(" ", "_") for p in expansion_clauses(query, expansions or {})]
+    key = spark.read.parquet(f"{path}/meta").first()["key"]
+    chunks = spark.read.parquet(f"{path}/chunks")
+    found = scores(spark, path, query, weights)
+    if any((facets or {}).values()):
+        found = found.join(facet_filter(chunks, **(facets or {})).select(key), key, "left_semi")
+    best = top_k(found, key, k)
+    hits = chunks.join(F.broadcast(best), key)  # k rows
+    place = F.row_number().over(_best_first(key)).cast("long")
+    return hits.withColumn("rank", place).withColumn("score", F.round("score", 4)).drop("d")
 
-def top_k(scores: DataFrame, key: str, k: int) -> DataFrame:
+
+def _best_first(key: str):
+    return Window.orderBy(F.desc(F.round("score", 4)), key)  # over the k rows of a result
+
+
+def top_k(found: DataFrame, key: str, k: int) -> DataFrame:
     """The k best; equal scores by key."""
-    return scores.orderBy(F.desc(F.round("score", 4)), key).limit(k)
+    return found.orderBy(F.desc(F.round("score", 4)), key).limit(k)
+
 
+def snippet(text: Column, wanted: list[str], width: int = 16) -> Column:
+    """The window of width words that holds most query words (the first among equals), these in brackets, dots where text was cut."""
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(\S+)"), F.lit(1))
+    low = [t.lower() for t in wanted]
+    hit = lambda w: F.regexp_replace(F.lower(w), r"[^\p{L}\p{N}_]", "").isin(low)
 
-def demote_restating_parents(hits: list[dict], short: int = 300) -> list[dict]:
+    def cut(w: Column) -> Column:
+        running = F.transform(F.array(F.transform(w, lambda x: hit(x).cast("int"))), lambda m: F.aggregate(m, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x))))[0]
+        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - width, F.lit(0)))
+        best = F.transform(F.array(running), lambda r: F.array_max(F.transform(starts, lambda i: F.struct((F.get(r, F.least(i + width, F.size(w))) - F.get(r, i)).alias("n"), (-i).alias("at")))))[0]["at"]
+        shown = F.transform(F.slice(w, 1 - best, F.lit(width)), lambda x: F.when(hit(x), F.concat(F.lit("["), x, F.lit("]"))).otherwise(x))
+        return F.concat(F.when(best < 0, F.lit("… ")).otherwise(F.lit("")), F.array_join(shown, " "), F.when(F.size(w) > width - best, F.lit(" …")).otherwise(F.lit("")))
+
+    return F.transform(F.array(words), cut)[0]
+
+
+def demote_restating_parents(hits: list[dict], short: int = SHORT) -> list[dict]:
     """A short section whose direct child in the list restates its title gives the child its place and follows it.
 
-    Works on the few rows of a result. A hit has section_id, section_title, section_path, body_len.
+    Titles restate each other where the words of one begin the other's. Works on the few rows of a result; a hit
+    has section_id, section_title, section_path, body_len. Each hit comes out once: of two parents of one child the
+    better placed has it.
     """
-    out: list[dict] = []
-    placed: set[str] = set()
-    for hit in hits:
-        if hit["section_id"] in placed:
-            continue
-        child = None
-        if hit["body_len"] < short:
-            child = next((h for h in hits if h["section_path"] == f"{hit['section_path']} > {hit['section_title']}".strip(" >") and h["section_title"].lower().startswith(hit["section_title"].lower()) and h["section_id"] not in placed), None)
-        if child is not None and child is not hit:
-            out.append(child)
-            placed.add(child["section_id"])
-        out.append(hit)
-        placed.add(hit["section_id"])
-    return out
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+
+    def twins(a: str, b: str) -> bool:
+        x, y = sorted((words(a), words(b)), key=len)
+        return bool(x) and y[: len(x)] == x
+
+    path = lambda h: (h["section_path"] or "").strip(" >")
+    below = lambda p, c: path(c) == f"{path(p)} > {p['section_title']}".strip(" >")
+    child_of: dict[int, int] = {}
+    for i, h in enumerate(hits):
+        if h["body_len"] < short:
+            j = next((j for j, c in enumerate(hits) if j != i and j not in child_of.values() and below(h, c) and twins(h["section_title"], c["section_title"])), None)
+            if j is not None:
+                child_of[i] = j
+    # A parent's group takes the parent's place; a child that is itself a parent brings its own child before it.
+    grouped = set(child_of.values())
+
+    def group(i: int) -> list[int]:
+        return (group(child_of[i]) if i in child_of else []) + [i]
+
+    return [hits[j] for i in range(len(hits)) if i not in grouped for j in group(i)]
 
 
 def envelope(hits: list[dict]) -> dict:
@@ -102,12 +215,8 @@ def envelope(hits: list[dict]) -> dict:
 
 def expansion_clauses(tokens: list[str], expansions: Mapping[str, str]) -> list[str]:
     """Phrases of at least two words for tokens of at least three characters, each once."""
-    found: list[str] = []
-    for t in tokens:
-        phrase = expansions.get(t.upper(), "").lower() if len(t) >= 3 else ""
-        if len(phrase.split()) >= 2 and phrase not in found:
-            found.append(phrase)
-    return found
+    phrases = (expansions.get(t.upper(), "").lower() for t in tokens if len(t) >= 3)
+    return list(dict.fromkeys(p for p in phrases if len(p.split()) >= 2))
 
 
 def expansion_map(entities: DataFrame) -> DataFrame:

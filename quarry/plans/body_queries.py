@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.operators import normalize
 from quarry.session import scratch, ship, table
 from quarry.sources import html, markdown
-from quarry.streaming.incremental import upsert_latest, windowed_counts
+from quarry.streaming.incremental import newest_state, upsert_latest, windowed_counts
 
 
 def normalized(spark: SparkSession, d: str) -> DataFrame:
@@ -39,11 +39,11 @@ def hourly(spark: SparkSession, d: str) -> DataFrame:
 
 
 def streamed_state(spark: SparkSession, d: str) -> DataFrame:
-    """The events as a stream of one batch, merged into the latest row of each user."""
+    """The events as a stream, a file a batch, merged into the latest row of each user."""
     path = scratch(spark, "state")
-    stream = spark.readStream.schema(table(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    stream = spark.readStream.schema(table(spark, d, "events").schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/events.parquet*")
     upsert_latest(stream, path, f"{path}-checkpoint", "user_id", "ts", ["event_id", "event_type"]).awaitTermination()
-    return spark.read.parquet(f"{path}/version=0")
+    return newest_state(spark, path, spark.createDataFrame([], "user_id long, ts timestamp, event_id long, event_type string").schema)
 
 
 QUERIES = {"normalize_bodies": normalized, "chunk_oversized": chunks, "page_markdown": page_markdown, "windowed_counts": hourly, "stream_latest_state": streamed_state}

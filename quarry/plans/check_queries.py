@@ -81,13 +81,6 @@ def frontmatter(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("p_partkey", meta["brand"].alias("brand"), meta["size"].cast("int").alias("size"), F.regexp_replace("text", r"(?s)^---\n.*?\n---\n", "").alias("body"))
 
 
-def phrase_search(spark: SparkSession, d: str) -> DataFrame:
-    """Documents with a phrase of two words in a row, and how often."""
-    line = F.concat(F.lit(" "), F.array_join(search.terms(F.col("text")), "  "), F.lit(" "))
-    rows = table(spark, d, "documents").select("doc_id", F.regexp_count(line, F.lit(" of  the ")).cast("long").alias("n"))
-    return rows.where("n > 0")
-
-
 def newest_versions(spark: SparkSession, d: str) -> DataFrame:
     """The largest version of each brand, by numbers and not by text."""
     version = F.concat_ws(".", F.col("p_size").cast("string"), (F.col("p_partkey") % 100).cast("string"))
@@ -99,30 +92,10 @@ def url_multiplicity(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").groupBy("url").agg(F.count("*").alias("n"), F.min("page_id").alias("first")).where("n > 1")
 
 
-def snippets(spark: SparkSession, d: str) -> DataFrame:
-    """The 16 words of each hit that hold most query words, these in brackets."""
-    ship(spark)
-    wanted = {"the", "tion"}
-
-    @F.pandas_udf("string")
-    def cut(texts):
-        def best(text):
-            words = re.findall(r"\S+", text or "")
-            marks = [re.sub(r"[^\w]", "", w).lower() in wanted for w in words]
-            at = max(range(max(1, len(words) - 15)), key=lambda i: (sum(marks[i : i + 16]), -i))
-            return ("… " if at else "") + " ".join(f"[{w}]" if m else w for w, m in zip(words[at : at + 16], marks[at : at + 16], strict=True)) + (" …" if at + 16 < len(words) else "")
-
-        return texts.map(best)
-
-    docs = table(spark, d, "documents")
-    hits = search.top_k(search.bm25(docs, "doc_id", {"text": 1.0}, sorted(wanted)), "doc_id", 10)
-    return docs.join(F.broadcast(hits), "doc_id").select("doc_id", cut("text").alias("snippet"))
-
-
 QUERIES = {
     "doctor_checks": doctor, "bundle_integrity": integrity, "bundle_digest": digests, "count_reconcile": drops, "composition_departures": departed,
-    "fetch_actions": actions, "fetch_actions_whole": actions_whole, "raw_index_retain": retained_index, "content_addressed_names": stored_payloads, "csv_round_trip": csv_round_trip, "frontmatter": frontmatter,
-    "phrase_search": phrase_search, "newest_versions": newest_versions, "url_multiplicity": url_multiplicity, "snippets": snippets,
+    "fetch_actions_whole": actions_whole, "raw_index_retain": retained_index, "content_addressed_names": stored_payloads, "csv_round_trip": csv_round_trip, "frontmatter": frontmatter,
+    "newest_versions": newest_versions, "url_multiplicity": url_multiplicity,
 }
 
 ORACLES = {
@@ -140,12 +113,10 @@ ORACLES = {
     "count_reconcile": """WITH b AS (SELECT event_type, count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS before, count(*) FILTER (ts >= TIMESTAMP '2024-01-16' AND event_type <> 'error') AS after FROM events GROUP BY event_type)
         SELECT *, CASE WHEN after = 0 THEN 'zero' WHEN after < 0.9 * before THEN 'drop' ELSE 'ok' END AS finding FROM b WHERE before > 0""",
     "composition_departures": "SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_custkey % 6 = 0 AND c_mktsegment <> 'BUILDING' GROUP BY c_mktsegment",
-    "fetch_actions": "SELECT user_id, CASE WHEN bool_or(event_type = 'purchase') THEN 'fetched' WHEN count(*) FILTER (event_type = 'error') >= 3 THEN 'permanent' ELSE 'fetch' END AS action FROM events WHERE event_id % 9 = 0 GROUP BY user_id",
     "raw_index_retain": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, 'old' FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0",
     "content_addressed_names": "SELECT sha256(html) || '.html' AS name, min(page_id) AS first, count(*) AS n FROM pages GROUP BY html",
     "csv_round_trip": "SELECT p_partkey, p_name, 'a \"quoted\", ' || p_brand AS note FROM part",
     "frontmatter": "SELECT p_partkey, p_brand AS brand, p_size AS size, p_name AS body FROM part",
-    "phrase_search": r"SELECT doc_id, len(regexp_extract_all(' ' || array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), '  ') || ' ', ' of  the '))::BIGINT AS n FROM documents WHERE regexp_matches(' ' || array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), '  ') || ' ', ' of  the ')",
     "newest_versions": "SELECT p_brand, arg_max(p_size || '.' || (p_partkey % 100), [p_size, p_partkey % 100]) AS version FROM part GROUP BY p_brand",
     "url_multiplicity": "SELECT url, count(*) AS n, min(page_id) AS first FROM pages GROUP BY url HAVING count(*) > 1",
 }

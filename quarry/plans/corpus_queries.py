@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators import evaluate, inventory, mining, neardup, relations, search, versions
-from quarry.session import staged, table
+from quarry.session import scratch, staged, table
 from quarry.sources import html, markdown
 
 FIELDS = {"source": 2.5, "lang": 2.0, "text": 1.0}
@@ -36,26 +36,53 @@ def contents(spark: SparkSession, d: str) -> DataFrame:
     return markdown.table_of_contents(shredded(spark, d))
 
 
+_INDEXES: dict[tuple[str, str], str] = {}
+
+
+def index(spark: SparkSession, d: str) -> str:
+    """The index of the documents, built once for each application and input."""
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _INDEXES:
+        _INDEXES[at] = search.build_index(table(spark, d, "documents"), "doc_id", FIELDS, scratch(spark, "index"), facets=("lang", "source"), shown=("text",))
+    return _INDEXES[at]
+
+
 def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
-    scores = search.bm25(table(spark, d, "documents"), "doc_id", FIELDS, search.query_terms(" ".join(SEARCH)))
-    return search.top_k(scores, "doc_id", 10).select("doc_id", F.round("score", 4).alias("score"))
+    return search.search(spark, index(spark, d), " ".join(SEARCH)).select("doc_id", "score")
 
 
 def bm25_faceted(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    scores = search.bm25(docs, "doc_id", FIELDS, search.query_terms("the tion"))
-    narrowed = search.facet_filter(docs, lang=["en"], source=["src1", "src2", "src3"])
-    return search.top_k(scores.join(narrowed.select("doc_id"), "doc_id", "left_semi"), "doc_id", 10).select("doc_id", F.round("score", 4).alias("score"))
+    return search.search(spark, index(spark, d), "the tion", facets={"lang": ["en"], "source": ["src1", "src2", "src3"]}).select("doc_id", "score")
+
+
+def search_hits(spark: SparkSession, d: str) -> DataFrame:
+    """Shaped hit rows: rank, score, a citation and the length of the text."""
+    hits = search.search(spark, index(spark, d), "und tion", k=15, facets={"lang": ["de", "en"]})
+    return hits.select("rank", "doc_id", "score", "lang", "source", F.concat(F.lit("corpus://section/"), "doc_id").alias("uri"), F.length("text").cast("long").alias("body_len"))
+
+
+def snippets(spark: SparkSession, d: str) -> DataFrame:
+    """The 16 words of each hit that hold most query words, these in brackets."""
+    hits = search.search(spark, index(spark, d), ["the", "tion"])
+    return hits.select("doc_id", search.snippet(F.col("text"), ["the", "tion"]).alias("snippet"))
 
 
-def postings(spark: SparkSession, d: str) -> DataFrame:
-    found, _ = search.postings(table(spark, d, "documents").where("lang = 'en'"), "doc_id", FIELDS)
-    return found.groupBy("term").agg(F.count("*").alias("n"), F.round(F.sum("f"), 4).alias("f")).where("n >= 20")
+def phrase_search(spark: SparkSession, d: str) -> DataFrame:
+    """Documents by a phrase of two words in a row, as an underscore in a token asks for."""
+    return search.search(spark, index(spark, d), "of_the", k=20).select("doc_id", "score")
+
+
+def index_meta(spark: SparkSession, d: str) -> DataFrame:
+    """What the index says of itself, and how many terms and postings it has."""
+    path = index(spark, d)
+    more = spark.read.parquet(f"{path}/terms").agg(F.count("*").alias("terms"), F.sum("times").alias("tokens"))
+    return spark.read.parquet(f"{path}/meta").select("schema_version", "n", F.round("avgdl", 4).alias("avgdl")).crossJoin(F.broadcast(more))  # one row each
 
 
 def postings_whole(spark: SparkSession, d: str) -> DataFrame:
-    """Every term of all documents; search_postings has the frequent ones of one language."""
-    found, _ = search.postings(table(spark, d, "documents"), "doc_id", FIELDS)
+    """Every term of all documents: in how many it stands, and its weight."""
+    w = F.create_map(*[F.lit(x) for c, v in FIELDS.items() for x in (c, float(v))])
+    found = spark.read.parquet(f"{index(spark, d)}/postings").groupBy("term", "doc_id").agg(F.sum(w[F.col("field")] * F.size("positions")).alias("f"))
     return found.groupBy("term").agg(F.count("*").alias("n"), F.round(F.sum("f"), 4).alias("f"))
 
 
@@ -64,23 +91,39 @@ def exact_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shingle_jaccard(spark: SparkSession, d: str) -> DataFrame:
-    """Each document with the next of its source and language."""
-    from pyspark.sql import Window
+    """Each document with the next of its source and language: ids are put in order, shingle sets are joined by id as hashes."""
+    docs = table(spark, d, "documents")
+    nxt = F.lead("doc_id").over(Window.partitionBy("source", "lang").orderBy("doc_id"))
+    pairs = docs.select("doc_id", nxt.alias("other")).where("other IS NOT NULL")
+    sets = staged(docs.select("doc_id", neardup.shingle_set(F.coalesce("text", F.lit(""))).alias("s")), "shingle-sets")
+    both = pairs.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("other"), F.col("s").alias("t")), "other")
+    return both.select("doc_id", F.round(neardup.jaccard(F.col("s"), F.col("t")), 6).alias("similarity"))
+
+
+def _signatures(spark: SparkSession, d: str) -> DataFrame:
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _SIGNED:
+        _SIGNED[at] = staged(neardup.minhash(table(spark, d, "documents")), "signatures")
+    return _SIGNED[at]
 
-    nxt = F.lead("text").over(Window.partitionBy("source", "lang").orderBy("doc_id"))
-    rows = table(spark, d, "documents").select("doc_id", "text", nxt.alias("other")).where("other IS NOT NULL")
-    return rows.select("doc_id", F.round(neardup.jaccard(neardup.shingles(F.col("text")), neardup.shingles(F.col("other"))), 6).alias("similarity"))
+
+_SIGNED: dict[tuple[str, str], DataFrame] = {}
+
+
+def signatures(spark: SparkSession, d: str) -> DataFrame:
+    """The signature of every document: first and last permutation, and a digest of all 128."""
+    s = F.col("signature")
+    return _signatures(spark, d).select("doc_id", s[0].alias("m0"), s[127].alias("m127"), F.md5(F.concat_ws(",", s.cast("array<string>"))).alias("digest"))
 
 
 def minhash_first(spark: SparkSession, d: str) -> DataFrame:
-    """Two permutations of the family by decimal arithmetic over benchmark texts."""
+    """Two permutations of the family by decimal arithmetic over benchmark texts, as a check of the fast path."""
     h = F.transform(neardup.shingles(F.col("text")), neardup.shingle_hash)
     return table(spark, d, "benchmark").select("item_id", neardup.minhash_exact(h, 0).alias("m0"), neardup.minhash_exact(h, 1).alias("m1"))
 
 
 def near_clusters(spark: SparkSession, d: str) -> DataFrame:
-    signatures = staged(neardup.minhash(table(spark, d, "documents")), "signatures")
-    return neardup.clusters(signatures, "doc_id", 0.8, 128)
+    return neardup.clusters(_signatures(spark, d), "doc_id", 0.8, 128)
 
 
 def _mentions(spark: SparkSession, d: str) -> DataFrame:
@@ -195,8 +238,6 @@ def urls_shared(spark: SparkSession, d: str) -> DataFrame:
 
 
 def metrics(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
     o = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_extendedprice").alias("l_extendedprice"), F.max("l_suppkey").alias("l_suppkey"))
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(F.desc("l_extendedprice"), "l_linenumber"))
     ranked = o.select(F.col("l_orderkey").alias("query"), F.col("l_linenumber").alias("item"), place.alias("rank"))
@@ -215,7 +256,7 @@ def digest(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "page_links": page_links, "page_parts": page_parts, "conversation_bodies": bodies, "shred_sections": shredded, "toc_build": contents,
-    "search_bm25_topk": bm25_topk, "search_bm25_faceted": bm25_faceted, "search_postings": postings, "search_postings_whole": postings_whole,
+    "search_bm25_topk": bm25_topk, "search_bm25_faceted": bm25_faceted, "search_hits": search_hits, "snippets": snippets, "phrase_search": phrase_search, "index_meta": index_meta, "search_postings_whole": postings_whole, "minhash_signatures": signatures,
     "exact_dup_groups": exact_groups, "shingle_jaccard": shingle_jaccard, "minhash_permutations": minhash_first, "near_dup_clusters": near_clusters,
     "entity_counts": entity_counts, "relation_edges": edges, "top_entities_per_type": top_entities, "tag_texts": tagged,
     "latest_per_group": latest, "history_merge": history, "snapshot_delta": delta, "latest_state": latest_events, "chain_reconcile": chain,
@@ -286,7 +327,12 @@ ORACLES = {
     "toc_build": f"{_SECTIONS} SELECT doc_key, string_agg('- [' || title || '](#' || slug || ')', chr(10) ORDER BY seq) AS toc FROM sec WHERE level = 2 GROUP BY doc_key",
     "search_bm25_topk": _bm25(SEARCH, "true"),
     "search_bm25_faceted": _bm25(["the", "tion"], "lang = 'en' AND source IN ('src1', 'src2', 'src3')"),
-    "search_postings": "WITH p AS (" + " UNION ALL ".join(f"SELECT doc_id, unnest({_TOK.format(c)}) AS term, {w}::DOUBLE AS w FROM documents WHERE lang = 'en'" for c, w in FIELDS.items()) + ") SELECT term, count(*) AS n, round(sum(f), 4) AS f FROM (SELECT term, doc_id, sum(w) AS f FROM p GROUP BY term, doc_id) GROUP BY term HAVING count(*) >= 20",
+    "search_hits": _bm25(["und", "tion"], "lang IN ('de', 'en')").replace("SELECT doc_id, score FROM r ORDER BY score DESC, doc_id LIMIT 10", """
+        SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, score, lang, source, 'corpus://section/' || doc_id AS uri, length(text)::BIGINT AS body_len FROM r JOIN documents USING (doc_id) ORDER BY score DESC, doc_id LIMIT 15"""),
+    "phrase_search": """WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w, len(regexp_extract_all(lower(source), '[\\p{L}\\p{N}]+')) + len(regexp_extract_all(lower(lang), '[\\p{L}\\p{N}]+')) AS more FROM documents),
+        c AS (SELECT doc_id, len(w) + more AS d, len(list_filter(range(1, len(w)), lambda i: w[i] = 'of' AND w[i + 1] = 'the'))::DOUBLE AS f FROM t), s AS (SELECT count(*)::DOUBLE AS n, avg(d) AS avgdl, count(*) FILTER (f > 0)::DOUBLE AS p FROM c)
+        SELECT doc_id, round((CASE WHEN ln((n - p + 0.5) / (p + 0.5)) > 0 THEN ln((n - p + 0.5) / (p + 0.5)) ELSE 1e-6 END) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * d / avgdl)), 4) AS score FROM c, s WHERE f > 0 ORDER BY score DESC, doc_id LIMIT 20""",
+    "index_meta": "WITH t AS (SELECT doc_id, " + " || ".join(_TOK.format(f"coalesce({c}, '')") for c in FIELDS) + " AS w FROM documents) SELECT '1' AS schema_version, count(*) AS n, round(avg(len(w)), 4) AS avgdl, (SELECT count(DISTINCT x) FROM (SELECT unnest(w) AS x FROM t)) AS terms, sum(len(w))::BIGINT AS tokens FROM t",
     "exact_dup_groups": "SELECT sha256(text) AS digest, min(doc_id) AS first, count(*) AS n FROM documents GROUP BY text HAVING count(*) > 1",
     "shingle_jaccard": rf"""WITH n AS (SELECT doc_id, text, lead(text) OVER (PARTITION BY source, lang ORDER BY doc_id) AS other FROM documents),
         s AS (SELECT doc_id, (SELECT {_SHINGLES} FROM (SELECT regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') AS w)) AS a, (SELECT {_SHINGLES} FROM (SELECT regexp_extract_all(lower(other), '[\p{{L}}\p{{N}}_]+') AS w)) AS b FROM n WHERE other IS NOT NULL)

@@ -14,8 +14,8 @@ def block_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def slugs(spark: SparkSession, d: str) -> DataFrame:
-    head = F.substring("text", 1, 60)
-    return table(spark, d, "documents").select("doc_id", T.slugify(head).alias("slug"), T.safe_component(head).alias("component"))
+    said = F.concat(F.lit("  "), "text", F.lit("\n"))
+    return table(spark, d, "documents").select("doc_id", F.md5(T.slugify(said)).alias("slug"), T.safe_component(F.col("text")).alias("component"))
 
 
 def scrubbed(spark: SparkSession, d: str) -> DataFrame:
@@ -33,7 +33,8 @@ def url_parts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dates(spark: SparkSession, d: str) -> DataFrame:
-    said = F.when(F.col("o_orderkey") % 7 == 0, F.lit("no date")).otherwise(F.concat(F.lit("Revised "), F.date_format("o_orderdate", "MMMM yyyy"), F.lit(" for use")))
+    short = F.when(F.col("o_orderkey") % 5 == 0, F.date_format("o_orderdate", "MMM,  yyyy")).when(F.col("o_orderkey") % 5 == 1, F.date_format("o_orderdate", "MMM. yyyy"))
+    said = F.when(F.col("o_orderkey") % 7 == 0, F.lit("no date")).otherwise(F.concat(F.lit("Revised "), F.coalesce(short, F.date_format("o_orderdate", "MMMM yyyy")), F.lit(" for use")))
     return table(spark, d, "orders").select("o_orderkey", T.month_year(said).alias("iso"), T.decade(said).alias("decade"))
 
 
@@ -79,20 +80,19 @@ QUERIES = {
 }
 
 _UNESCAPED = r"""replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"""
-_MONTH = "regexp_extract(said, '(?i)(january|february|march|april|may|june|july|august|september|october|november|december) ([0-9]{4})', %d)"
 
 ORACLES = {
     "text_block_key": r"SELECT doc_id, trim(regexp_replace(lower(text), '[ \t\n\r\x0B\f]+', ' ', 'g')) AS key, len(regexp_extract_all(text, '[^ \t\n\r\x0B\f]+'))::BIGINT AS words FROM documents",
-    "text_slugs": r"""SELECT doc_id, replace(regexp_replace(lower(h), '[^\p{L}\p{N}_\- ]', '', 'g'), ' ', '-') AS slug,
+    "text_slugs": r"""SELECT doc_id, md5(replace(regexp_replace(regexp_replace(lower('  ' || h || chr(10)), '^[ \t\n\r\x0B\f]+|[ \t\n\r\x0B\f]+$', '', 'g'), '[^\p{L}\p{N}_\- ]', '', 'g'), ' ', '-')) AS slug,
         coalesce(nullif(regexp_replace(regexp_replace(h, '[^A-Za-z0-9._-]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), '_') AS component
-        FROM (SELECT doc_id, substring(text, 1, 60) AS h FROM documents)""",
+        FROM (SELECT doc_id, text AS h FROM documents)""",
     "text_scrub_control": r"SELECT doc_id, length(s)::BIGINT AS n, md5(s) AS digest FROM (SELECT doc_id, regexp_replace(chr(1) || text || chr(127), '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g') AS s FROM documents)",
     "text_strip_html": rf"SELECT page_id, md5(s) AS digest, length(s)::BIGINT AS n FROM (SELECT page_id, trim(regexp_replace({_UNESCAPED}, '[ \t]+', ' ', 'g')) AS s FROM pages)",
     "text_url_parts": r"""SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1)) AS host, 'docx' AS ext, 'my_guide_v2' AS slug,
         coalesce(nullif(regexp_replace(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), '^_+|_+$', '', 'g'), ''), '_') AS safe FROM pages""",
-    "text_month_decade": f"""WITH s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'no date' ELSE 'Revised ' || strftime(o_orderdate, '%B %Y') || ' for use' END AS said, o_orderdate FROM orders)
-        SELECT o_orderkey, CASE WHEN {_MONTH % 2} <> '' THEN strftime(o_orderdate, '%Y-%m') END AS iso,
-        CASE WHEN {_MONTH % 2} <> '' THEN substring({_MONTH % 2}, 1, 3) || '0s' ELSE 'unknown' END AS decade FROM s""",
+    "text_month_decade": """WITH s AS (SELECT o_orderkey, o_orderkey % 7 <> 0 AS told, o_orderdate FROM orders)
+        SELECT o_orderkey, CASE WHEN told THEN strftime(o_orderdate, '%Y-%m') END AS iso,
+        CASE WHEN told THEN substring(strftime(o_orderdate, '%Y'), 1, 3) || '0s' ELSE 'unknown' END AS decade FROM s""",
     "text_headings": "SELECT p_partkey, p_name AS heading, p_name AS title, 'see ' || p_name || ' now' AS linked FROM part",
     "text_version_parts": "SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN '' ELSE p_size::VARCHAR END AS major, CASE WHEN p_size % 3 = 0 THEN '' ELSE p_partkey::VARCHAR END AS minor, CASE WHEN p_size % 5 <> 0 THEN p_partkey::INT END AS patch FROM part",
     "text_surfaces": r"""SELECT p_partkey, upper(trim(regexp_replace('  ' || p_name || '  x ', '\s+', ' ', 'g'))) AS surface,

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.operators.versions import latest_state
 
@@ -27,3 +28,12 @@ def upsert_latest(stream: DataFrame, path: str, checkpoint: str, key: str, at: s
         latest_state(rows, key, at, values).write.mode("overwrite").parquet(f"{path}/version={number}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def newest_state(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The state after the last finished batch; no rows before the first."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [f.getPath().getName() for f in store.listStatus(where)] if store.exists(where) else []
+    done = [int(n.partition("=")[2]) for n in found if n.startswith("version=") and store.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    return spark.read.schema(schema).parquet(f"{path}/version={max(done)}") if done else spark.createDataFrame([], schema)
