@@ -122,10 +122,23 @@ def pipe_cells(c: Column) -> Column:
     return F.transform(F.split(line, r"(?<!\\)\|"), lambda x: F.trim(F.replace(x, F.lit("\\|"), F.lit("|"))))
 
 
+def html_cells(row: Column) -> Column:
+    """Texts of the cells of one row of an HTML table."""
+    return F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1)), strip_html)
+
+
 def html_rows(c: Column) -> Column:
     """Rows of an HTML table as arrays of cell texts."""
-    rows = F.regexp_extract_all(c, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
-    return F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1)), strip_html))
+    return F.transform(F.regexp_extract_all(c, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1)), html_cells)
+
+
+def gfm_table(rows: Column) -> Column:
+    """Rows of cells as a markdown table: all as wide as the first, pipes escaped."""
+    width = F.size(rows[0])
+    cells = lambda r: F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.regexp_replace(F.coalesce(F.get(r, i), F.lit("")), r"\|", r"\\|"))
+    line = lambda r: F.concat(F.lit("| "), F.array_join(cells(r), " | "), F.lit(" |"))
+    rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), width), " | "), F.lit(" |"))
+    return F.array_join(F.concat(F.array(line(rows[0]), rule), F.transform(F.slice(rows, F.lit(2), F.size(rows)), line)), "\n")
 
 
 def strip_numbering(c: Column) -> Column:

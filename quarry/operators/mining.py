@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import acronyms, block_key
+from quarry.functions.text import acronyms, block_key, strip_numbering
+from quarry.operators import neardup
+from quarry.session import staged
 
 
 def recurring_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 3, sure: int = 10, phrase: int = 60) -> DataFrame:
@@ -43,3 +45,59 @@ def consensus(outline: DataFrame, members: str, title: str, level: str, pos: str
 
 def shared_urls(rows: DataFrame, url: str) -> DataFrame:
     return rows.withColumn("shared", F.count("*").over(Window.partitionBy(url)) > 1)
+
+
+def structures(docs: DataFrame, pattern: str, key: str = "doc_id", text: str = "text", least: int = 3, shown: int = 8) -> DataFrame:
+    """(label, documents, variants: the commonest spellings with their documents) of lines that a pattern with one group labels."""
+    each = docs.select(key, F.explode(F.split(F.col(text), "\n")).alias("line")).select(key, F.regexp_extract("line", pattern, 1).alias("variant")).where("variant <> ''").withColumn("label", F.upper("variant")).distinct()
+    spelled = each.groupBy("label", "variant").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("n"), "variant"))
+    best = spelled.withColumn("place", place).where(F.col("place") <= shown).groupBy("label").agg(F.array_sort(F.collect_list(F.struct("place", "variant", "n"))).alias("variants"))
+    return each.groupBy("label").agg(F.countDistinct(key).alias("documents")).where(F.col("documents") >= least).join(best, "label")
+
+
+def _plain_titles(titles: Column) -> Column:
+    return F.transform(titles, lambda t: block_key(strip_numbering(t)))
+
+
+def structural_fingerprint(titles: Column) -> Column:
+    """One digest of an outline: its titles in order, without numbers and case."""
+    return F.sha2(F.array_join(_plain_titles(titles), "\n"), 256)
+
+
+def scaffold_shingles(titles: Column, k: int = 2) -> Column:
+    """Distinct runs of k titles; a shorter outline is one, an empty one has none."""
+    plain = _plain_titles(titles)
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(plain) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(plain, i, k), " › "))
+    return F.when(F.size(titles) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(runs))
+
+
+def bare_markers(text: Column) -> Column:
+    """Lines that hold only a list marker."""
+    return F.regexp_count(text, F.lit(r"(?m)^[ \t]*(?:[0-9]+\.|[-*])[ \t]*$")).cast("long")
+
+
+def cross_wraps(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(r"\[\[")).cast("long")
+
+
+def boilerplate_clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 3, sure: int = 10, phrase: int = 60, threshold: float = 0.8) -> DataFrame:
+    """(block, documents, spellings, grade): near-identical lines as one, named by the spelling with most documents (the larger
+    among equals); documents of all spellings count once, so that rare spellings may qualify together."""
+    each = docs.select(key, F.explode(F.split(F.col(text), "\n")).alias("line"))
+    keyed = staged(each.where(F.length("line") > phrase).select(key, block_key(F.col("line")).alias("block")).where("block <> ''").distinct(), "blocks-of-documents")
+    spelled = keyed.groupBy("block").agg(F.count("*").alias("n"))
+    numbered = staged(spelled.withColumn("number", F.monotonically_increasing_id()), "blocks")
+    grouped = staged(neardup.clusters(staged(neardup.minhash(numbered, "number", "block"), "block-signatures"), "number", threshold, 128), "block-clusters")
+    named = numbered.join(grouped, "number")
+    heads = named.groupBy("cluster").agg(F.max(F.struct("n", "block"))["block"].alias("block"), F.count("*").alias("spellings"))
+    documents = keyed.join(named.select("block", "cluster"), "block").select(key, "cluster").distinct().groupBy("cluster").agg(F.count("*").alias("documents")).where(F.col("documents") >= least)
+    return documents.join(heads, "cluster").select("block", "documents", "spellings", F.when(F.col("documents") >= sure, "auto").otherwise("review").alias("grade"))
+
+
+def shared_titles(rows: DataFrame, group: str, member: str, title: str, admit: float = 0.25, required: float = 0.5) -> DataFrame:
+    """(group, title, n, required): titles that enough members of a group share, a template's sections."""
+    total = rows.groupBy(group).agg(F.countDistinct(member).alias("_total"))
+    shared = rows.groupBy(group, title).agg(F.countDistinct(member).alias("n"))
+    both = shared.join(total, group).where(F.col("n") >= F.greatest(F.lit(2), F.ceil(F.col("_total") * admit)))
+    return both.withColumn("required", F.col("n") >= F.col("_total") * required).drop("_total")

@@ -58,3 +58,21 @@ def reconcile(sets: dict[str, DataFrame], key: str) -> DataFrame:
 
 def group_key(anchor: Column, doc_id: Column) -> Column:
     return F.coalesce(F.nullif(anchor, F.lit("")), doc_id)
+
+
+def snapshot_names(rows: DataFrame, day: str, order: str) -> DataFrame:
+    """rows with name: the day for its first snapshot, then day-2, day-3 and so on."""
+    nth = F.row_number().over(Window.partitionBy(day).orderBy(order))
+    return rows.withColumn("name", F.when(nth == 1, F.col(day)).otherwise(F.concat(F.col(day), F.lit("-"), nth.cast("string"))))
+
+
+def changed_snapshots(rows: DataFrame, key: str, order: list[str], digest: str) -> DataFrame:
+    """Snapshots that are kept: the first of each key, and each that differs from the one before (a reversion does)."""
+    before = F.lag(digest).over(Window.partitionBy(key).orderBy(*order))
+    return rows.withColumn("_before", before).where(~F.col(digest).eqNullSafe(F.col("_before"))).drop("_before")
+
+
+def revision_summary(rows: DataFrame, key: str, said: str) -> DataFrame:
+    """(key, n, first, last): how many revisions, and the range of those dated YYYY-MM."""
+    dated = F.when(F.col(said).rlike("^[0-9]{4}-[0-9]{2}$"), F.col(said))
+    return rows.groupBy(key).agg(F.count("*").alias("n"), F.min(dated).alias("first"), F.max(dated).alias("last"))
