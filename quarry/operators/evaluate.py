@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.operators import search
+
 
 def ranking_metrics(ranked: DataFrame, judged: DataFrame, k: int = 10) -> DataFrame:
     """ranked(query, item, rank) and judged(query, item, grade) -> query, ndcg, rr, recall.
@@ -49,3 +54,20 @@ def content_hash(rows: DataFrame, columns: list[str]) -> DataFrame:
     digest = F.sha2(F.concat_ws("\x1f", *cells), 256)
     parts = rows.select(digest.alias("d")).groupBy(F.substring("d", 1, 3).alias("bucket")).agg(F.sum(F.conv(F.substring("d", 4, 14), 16, 10).cast("decimal(38,0)")).alias("s"), F.count("*").alias("n"))
     return parts.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "bucket", F.col("s").cast("string"), F.col("n").cast("string")))), "\n"), 256).alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
+def golden_scores(spark: SparkSession, path: str, queries: list[tuple[str, str]], judged: DataFrame, k: int = 10, weights: Mapping[str, float] | None = None, facets: Mapping[str, Mapping[str, list[str]]] | None = None) -> DataFrame:
+    """queries (id, text), judged(query, item, grade) -> the metrics of each query over an index; facets narrow a query by its id.
+
+    Each query reads its own terms of the index; a result has k rows."""
+    ranked = [search.search(spark, path, text, k, (facets or {}).get(name), weights=weights) for name, text in queries]
+    key = spark.read.parquet(f"{path}/meta").first()["key"]
+    rows = [r.select(F.lit(name).alias("query"), F.col(key).alias("item"), "rank") for (name, _), r in zip(queries, ranked, strict=True)]
+    return ranking_metrics(reduce(DataFrame.unionByName, rows), judged, k)
+
+
+def sweep(spark: SparkSession, path: str, queries: list[tuple[str, str]], judged: DataFrame, grid: list[Mapping[str, float]], k: int = 10) -> list[dict]:
+    """The mean nDCG of each point of a grid of weights against the first, and which queries it makes worse: it is to be taken only if none."""
+    scored = [{r["query"]: r["ndcg"] or 0.0 for r in golden_scores(spark, path, queries, judged, k, w).collect()} for w in grid]
+    mean = lambda s: sum(s.values()) / max(1, len(s))
+    return [{"weights": dict(w), "ndcg": round(mean(s), 6), "worse": sorted(q for q in scored[0] if s.get(q, 0.0) < scored[0][q] - 1e-9), "adopt": mean(s) > mean(scored[0]) and all(s.get(q, 0.0) >= scored[0][q] - 1e-9 for q in scored[0])} for w, s in zip(grid, scored, strict=True)]

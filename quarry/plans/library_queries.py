@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from quarry.functions import text as T
-from quarry.operators import catalog, checks, chunking, mining, resolve, stores, versions
-from quarry.session import scratch, table
-from quarry.sources import markdown
+from quarry.operators import bodies, catalog, checks, chunking, mining, release, resolve, stores, versions
+from quarry.plans import sqlapi, tools
+from quarry.session import scratch, ship, table
+from quarry.sources import markdown, registries
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -557,3 +558,158 @@ def boilerplate_clusters(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH m AS (SELECT p_brand, p_type, p_size % 50 AS v FROM part), c AS (SELECT p_brand, count(*) AS n FROM m GROUP BY p_brand) SELECT p_brand, p_type, count(*) AS n, count(*) >= 0.5 * max(c.n) AS required FROM m JOIN c USING (p_brand) GROUP BY p_brand, p_type HAVING count(*) >= greatest(2, ceil(0.25 * max(c.n)))""")
 def template_titles(spark: SparkSession, d: str) -> DataFrame:
     return mining.shared_titles(table(spark, d, "part").select("p_brand", "p_partkey", "p_type"), "p_brand", "p_partkey", "p_type").select("p_brand", "p_type", "n", "required")
+
+
+# Bodies
+
+
+def _built_bodies(spark: SparkSession, d: str) -> DataFrame:
+    """A body for each order, by parts that are known: a revision history, a table of its lines, headings with bookmarks."""
+    line = F.concat(F.lit("| "), F.col("l_linenumber").cast("string"), F.lit(" | a \\| b | "), "l_returnflag", F.lit(" |"))
+    lines = table(spark, d, "lineitem").where("l_linenumber <= 7").groupBy("l_orderkey").agg(F.sort_array(F.collect_set(line)).alias("rows")).select("l_orderkey", F.array_join(F.concat("rows", F.transform(F.sequence(F.lit(10), F.lit(17)), lambda i: F.concat(F.lit("| "), i.cast("string"), F.lit(" | x | y |")))), "\n").alias("rows"))
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.date_format("o_orderdate", "MM/dd/yyyy").alias("day"))
+    body = F.concat(
+        F.lit("# Order\n\n## Revision History\n\n<table><tr><th>Date</th><th>Version</th><th>Description</th></tr><tr><td>"), "day", F.lit("</td><td>1.0</td><td>made &amp; sent</td></tr></table>\n\n"),
+        F.lit('<span id="_Toc7"></span>\n## Lines\n\n| No | What | Flag |\n|---|---|---|\n'), "rows", F.lit("\n\n## Lines\n\nsee [lines](#_Toc7) and [none](#_Ref9)\n```\n# no heading\n```\n### Deep: end?\n"),
+    )
+    return orders.join(lines, "l_orderkey").select("l_orderkey", body.alias("body"))
+
+
+def _rows_of(bodies_of: DataFrame, each, schema: str) -> DataFrame:
+    """Rows that a plain function gives for each body, by Arrow batches."""
+    import pandas as pd
+
+    ship(bodies_of.sparkSession)
+
+    def run(parts):
+        for part in parts:
+            yield pd.DataFrame([(int(k), *row) for k, b in zip(part["l_orderkey"], part["body"], strict=True) for row in each(b)], columns=[c.split(" ")[0] for c in schema.split(", ")])
+
+    return bodies_of.mapInPandas(run, schema)
+
+
+_ORDERS_WITH_LINES = "(SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linenumber <= 7)"
+
+
+@query(f"""SELECT l_orderkey, h.title, h.slug, h.level, h.bookmark FROM {_ORDERS_WITH_LINES}, (VALUES ('Order', 'order', 1, NULL), ('Revision History', 'revision-history', 2, NULL), ('Lines', 'lines', 2, '_Toc7'), ('Lines', 'lines-1', 2, NULL), ('Deep: end?', 'deep-end', 3, NULL)) h(title, slug, level, bookmark)""")
+def body_headings(spark: SparkSession, d: str) -> DataFrame:
+    return _rows_of(_built_bodies(spark, d), lambda b: [(h.text, h.slug, h.level, h.bookmark) for h in bodies.headings(b)], "l_orderkey long, title string, slug string, level int, bookmark string")
+
+
+@query("""WITH r AS (SELECT l_orderkey, count(DISTINCT l_linenumber || l_returnflag) + 8 AS n FROM lineitem WHERE l_linenumber <= 7 GROUP BY l_orderkey), s AS (SELECT DISTINCT l_orderkey, '| ' || l_linenumber || ' | a \\| b | ' || l_returnflag || ' |' AS k, l_linenumber || ',a | b,' || l_returnflag AS line FROM lineitem WHERE l_linenumber <= 7)
+    SELECT l_orderkey, 'table-01.csv' AS name, (n + 1)::BIGINT AS n_rows, sha256('No,What,Flag' || chr(10) || (SELECT string_agg(line, chr(10) ORDER BY k) FROM s WHERE s.l_orderkey = r.l_orderkey) || chr(10) || (SELECT string_agg(i || ',x,y', chr(10) ORDER BY i) FROM range(10, 18) t(i)) || chr(10)) AS digest FROM r WHERE n + 1 >= 10""")
+def body_tables(spark: SparkSession, d: str) -> DataFrame:
+    import hashlib
+
+    return _rows_of(_built_bodies(spark, d), lambda b: [(t.name, len(t.rows), hashlib.sha256(t.text.encode()).hexdigest()) for t in bodies.extract_tables(b)[1]], "l_orderkey long, name string, n_rows long, digest string")
+
+
+@query(f"""SELECT o_orderkey AS l_orderkey, strftime(o_orderdate, '%Y-%m') AS said, '1.0' AS version, 'made & sent' AS description FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM {_ORDERS_WITH_LINES})""")
+def body_revisions(spark: SparkSession, d: str) -> DataFrame:
+    return _rows_of(_built_bodies(spark, d), lambda b: [(r["date"], r["version"], r["description"]) for r in bodies.extract_revisions(b)[1]], "l_orderkey long, said string, version string, description string")
+
+
+@query(f"""SELECT l_orderkey, t.bookmark, t.target FROM {_ORDERS_WITH_LINES}, (VALUES ('_Toc7', 'lines'), ('_Ref9', 'UNRESOLVED')) t(bookmark, target)""")
+def body_links(spark: SparkSession, d: str) -> DataFrame:
+    """Where links to bookmarks lead, by the headings of the same body."""
+    return _rows_of(_built_bodies(spark, d), lambda b: sorted(bodies.rewrite_links(b, {h.bookmark: h.slug for h in bodies.headings(b) if h.bookmark})[1].items()), "l_orderkey long, bookmark string, target string")
+
+
+@query(f"""SELECT l_orderkey, 0 AS comments, 0 AS bookmarks, 0 AS large_tables, 0 AS revision_tables FROM {_ORDERS_WITH_LINES}""")
+def body_audit(spark: SparkSession, d: str) -> DataFrame:
+    """What is left in bodies after their tables, revisions and links were taken: nothing."""
+
+    def each(b: str) -> list[tuple]:
+        slugs = {"_Toc7": "lines", "_Ref9": "order"}
+        left = bodies.audit(bodies.rewrite_links(bodies.extract_tables(bodies.extract_revisions(b)[0])[0], slugs)[0])
+        return [tuple(left[k] for k in ("comments", "bookmarks", "large_tables", "revision_tables"))]
+
+    return _rows_of(_built_bodies(spark, d), each, "l_orderkey long, comments int, bookmarks int, large_tables int, revision_tables int")
+
+
+# Recipes, cards and lists
+
+
+def _published(spark: SparkSession, d: str) -> None:
+    """Views of the test tables in the shape that the recipes ask for."""
+    o, p = table(spark, d, "orders"), table(spark, d, "part")
+    docs = o.select(F.col("o_orderkey").cast("string").alias("doc_key"), F.concat(F.lit("Order "), "o_orderkey").alias("title"), F.col("o_orderpriority").alias("kind"), F.col("o_orderstatus").alias("app"), F.year("o_orderdate").alias("year"), (F.col("o_orderkey") % 2 == 0).alias("is_latest"))
+    lines = table(spark, d, "lineitem")
+    mentions = lines.select(F.col("l_orderkey").cast("string").alias("doc_key"), F.concat(F.lit("part:"), "l_partkey").alias("entity_id"))
+    entities = mentions.groupBy("entity_id").agg(F.count("*").alias("mentions")).join(p.select(F.concat(F.lit("part:"), "p_partkey").alias("entity_id"), F.col("p_brand").alias("type"), F.col("p_name").alias("name")), "entity_id")
+    chunks = lines.select(F.col("l_orderkey").cast("string").alias("section_id"), F.col("l_linenumber").alias("part"), F.concat_ws(" ", "l_returnflag", "l_linestatus").alias("text"))
+    nodes = _nation_nodes(spark, d)
+    meta = spark.createDataFrame([("schema_version", "1")], "key string, value string")
+    tables = {"documents": docs, "mentions": mentions, "entities": entities, "chunks": chunks, "nodes": nodes.select("node", "name"), "synonyms": resolve.synonym_rows(nodes), "meta": meta}
+    sqlapi.publish(spark, tables, {k: v.columns for k, v in tables.items()})
+
+
+@query("SELECT o_orderkey::VARCHAR AS doc_key, 'Order ' || o_orderkey AS title, o_orderpriority AS kind, o_orderstatus AS app, year(o_orderdate)::INT AS year FROM orders WHERE o_orderkey % 2 = 0 AND o_orderstatus = 'O' AND o_orderpriority = '1-URGENT'")
+def recipe_filter_documents(spark: SparkSession, d: str) -> DataFrame:
+    _published(spark, d)
+    return tools.recipe(spark, "filter_documents", app="O", kind="1-URGENT")
+
+
+@query("""WITH m AS (SELECT 'part:' || l_partkey AS entity_id, l_partkey, count(*) AS mentions FROM lineitem GROUP BY l_partkey) SELECT entity_id, p_brand AS type, p_name AS name, mentions FROM m JOIN part ON p_partkey = l_partkey WHERE p_brand = 'Brand#11' AND p_name LIKE '%e%' ORDER BY mentions DESC, entity_id LIMIT 20""")
+def recipe_entity_lookup(spark: SparkSession, d: str) -> DataFrame:
+    _published(spark, d)
+    return tools.recipe(spark, "entity_lookup", type="Brand#11", name="%e%", k=20)
+
+
+@query("SELECT DISTINCT l_orderkey::VARCHAR AS doc_key, 'Order ' || l_orderkey AS title FROM lineitem WHERE l_partkey = 7 AND l_orderkey IN (SELECT o_orderkey FROM orders)")
+def recipe_entity_documents(spark: SparkSession, d: str) -> DataFrame:
+    _published(spark, d)
+    return tools.recipe(spark, "entity_documents", entity_id="part:7")
+
+
+@query("SELECT l_returnflag || ' ' || l_linestatus AS text FROM lineitem WHERE l_orderkey = 3")
+def recipe_section_text(spark: SparkSession, d: str) -> DataFrame:
+    _published(spark, d)
+    return tools.recipe(spark, "section_text", section_id="3")
+
+
+@query("SELECT x.surface, x.kind FROM (SELECT n_name, unnest([{'surface': n_name, 'kind': 'canonical_name'}, {'surface': lower(n_name), 'kind': 'synonym'}, {'surface': 'land ' || n_regionkey, 'kind': 'synonym'}]) AS x FROM nation WHERE n_nationkey = 3)")
+def recipe_synonyms(spark: SparkSession, d: str) -> DataFrame:
+    _published(spark, d)
+    name = table(spark, d, "nation").where("n_nationkey = 3").first()["n_name"]
+    return tools.recipe(spark, "synonyms", name=name)
+
+
+@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_name) AS i, count(*) OVER (PARTITION BY p_brand) AS n FROM part)
+    SELECT p_brand, n, '## ' || p_brand || ' (' || n || ')' || chr(10) || string_agg('- ' || p_name, chr(10) ORDER BY p_name) FILTER (i <= 5) || CASE WHEN n > 5 THEN chr(10) || '- and ' || (n - 5) || ' more' ELSE '' END AS card FROM r GROUP BY p_brand, n""")
+def corpus_cards(spark: SparkSession, d: str) -> DataFrame:
+    return release.corpus_card(table(spark, d, "part"), "p_brand", "p_name")
+
+
+@query("SELECT 'nation' AS kind, n_nationkey::VARCHAR AS code, n_name AS label FROM nation UNION ALL SELECT 'region', r_regionkey::VARCHAR, r_name FROM region")
+def vocabulary_rows(spark: SparkSession, d: str) -> DataFrame:
+    nation = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("label"))
+    region = table(spark, d, "region").select(F.col("r_regionkey").cast("string").alias("code"), F.col("r_name").alias("label"))
+    return release.vocabulary_rows(nation=nation.unionByName(nation), region=region)
+
+
+@query(f"{_PRODUCTS}, a AS (SELECT DISTINCT unnest(string_split(surface, ' ')) AS word FROM r) SELECT 'accept' AS list, word AS a, '' AS b FROM a WHERE word <> '' UNION ALL SELECT 'swap', lower(surface), surface FROM r WHERE NOT contains(surface, ' ') AND enforce AND NOT collides AND lower(surface) <> surface UNION ALL SELECT 'typos', 'teh', 'the'")
+def term_lists(spark: SparkSession, d: str) -> DataFrame:
+    found = release.term_artifacts(_terms(spark, d), {"teh": "the"})
+    accept = found["accept"].select(F.lit("accept").alias("list"), F.col("word").alias("a"), F.lit("").alias("b"))
+    return accept.unionByName(found["swap"].select(F.lit("swap").alias("list"), F.col("wrong").alias("a"), F.col("right").alias("b"))).unionByName(found["typos"].select(F.lit("typos").alias("list"), F.col("wrong").alias("a"), F.col("right").alias("b")))
+
+
+@query("SELECT p_partkey AS k, p_size % 2 AS even FROM part")
+def inventory_json(spark: SparkSession, d: str) -> DataFrame:
+    """An inventory written as lines of JSON, flags as numbers, and read again."""
+    path = scratch(spark, "inventory")
+    release.json_lines(table(spark, d, "part").select(F.col("p_partkey").alias("k"), (F.col("p_size") % 2 == 1).alias("even"))).write.text(path)
+    return spark.read.schema("k long, even int").json(path)
+
+
+@query("SELECT n_regionkey || '.csv' AS name, i AS pos, cells FROM (SELECT n_regionkey, 0 AS i, 'key|name, or \"none\"' AS cells FROM nation GROUP BY n_regionkey UNION ALL SELECT n_regionkey, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey), n_nationkey || '|' || n_name || ', or \"none\"' FROM nation)")
+def csv_sidecars(spark: SparkSession, d: str) -> DataFrame:
+    """CSV texts in files of their own, read back as rows of cells."""
+    line = F.concat(F.col("n_nationkey").cast("string"), F.lit(',"'), "n_name", F.lit(', or ""none"""'))
+    files = table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", line.alias("l")))), lambda e: e["l"]), "\n").alias("text"))
+    path = scratch(spark, "sidecars")
+    text = F.concat(F.lit('key,"name, or ""none"""\n'), "text")
+    files.select(text.alias("value"), F.concat(F.col("n_regionkey").cast("string"), F.lit(".csv")).alias("name")).repartition(5, "name").write.partitionBy("name").text(path)
+    found = registries.csv_rows(spark, f"{path}/*/*.txt")
+    return found.select(F.regexp_extract("path", "name=([^/]+)", 1).alias("name"), "pos", F.array_join("cells", "|").alias("cells"))
