@@ -190,25 +190,27 @@ def _induce(t: np.ndarray, s_type: np.ndarray, lms: np.ndarray, lms_lcp: np.ndar
 
 
 def _doubled(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names over a large alphabet, by sorting pairs of ranks."""
+    """Order of the suffixes of a string of names over a large alphabet, by sorting pairs of ranks; a rank is the place where
+    a group of equals begins, and only groups of several are sorted again."""
     n = len(names)
-    rank, k = names.astype(np.uint64) + np.uint64(1), 1
-    bits = int(n + 1).bit_length()
-    while True:
-        second = np.zeros(n, np.uint64)
-        second[: max(0, n - k)] = rank[k:] if k < n else 0
-        if 3 * bits <= 64:
-            keys = np.sort((((rank << np.uint64(bits)) | second) << np.uint64(bits)) | np.arange(n, dtype=np.uint64))
-            order = (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
-        else:
-            order = np.lexsort((second, rank))
-        new = np.ones(n, bool)
-        new[1:] = (rank[order][1:] != rank[order][:-1]) | (second[order][1:] != second[order][:-1])
-        rank = np.empty(n, np.uint64)
-        rank[order] = np.cumsum(new).astype(np.uint64)
-        if new.all():
-            return order
+    order = np.argsort(names, kind="stable")
+    new = np.append(True, names[order][1:] != names[order][:-1])
+    rank = np.empty(n + 1, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    rank[n] = -1  # beyond the end
+    single = new & np.append(new[1:], True)
+    at, k = np.flatnonzero(~single), 1
+    while len(at):
+        who = order[at]
+        key = (rank[who] << 32) | (rank[np.minimum(who + k, n)] + 1)
+        by = np.argsort(key)
+        who, key = who[by], key[by]
+        order[at] = who
+        new = np.append(True, key[1:] != key[:-1])
+        rank[who] = at[np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))]
+        at = at[~(new & np.append(new[1:], True))]
         k *= 2
+    return order
 
 
 def _neighbours(t: np.ndarray, pos: np.ndarray, cap: int) -> np.ndarray:
