@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -166,3 +167,32 @@ def first_keyword(c: Column, roles: list[tuple[str, str]]) -> Column:
     for word, role in reversed(roles):
         out = F.when(F.contains(F.lower(c), F.lit(word)), F.lit(role)).otherwise(out)
     return out
+
+
+def patch_identity(c: Column) -> Column:
+    """(package, version, number, several) of the first patch id like AB*5.3*12 in a title; several where more packages share one."""
+    pattern = r"\b([A-Z][A-Z0-9]+)\*([0-9.]+)\*([0-9]+)"
+    package = F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
+    return F.struct(package.alias("package"), F.nullif(F.regexp_extract(c, pattern, 2), F.lit("")).alias("version"), F.regexp_extract(c, pattern, 3).try_cast("int").alias("number"), c.rlike(r"\b[A-Z][A-Z0-9]+\*[0-9.]+\*[0-9]+/[A-Z][A-Z0-9]+\*").alias("several"))
+
+
+def without_versions(c: Column) -> Column:
+    """A title without patch ids, version and release numbers."""
+    bare = F.regexp_replace(c, r"\b[A-Z][A-Z0-9]+\*[0-9.]+\*[0-9]+(/[A-Z][A-Z0-9]+\*[0-9.]+\*[0-9]+)*", "")
+    bare = F.regexp_replace(bare, r"(?i)\b(version|ver\.?|v\.?|release|rel\.?|patch|build|rev\.?)\s*[0-9]+(\.[0-9]+)*\b", "")
+    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"\s+", " "), r"^[\s,;:\-–—]+|[\s,;:\-–—]+$", ""))
+
+
+def corrected(c: Column, corrections: list[tuple[str, str]]) -> Column:
+    """(text, aliases): replacements in the given order, and the misspellings that were found."""
+    text, found = c, []
+    for wrong, right in corrections:
+        found.append(F.when(F.contains(text, F.lit(wrong)), F.lit(wrong)))
+        text = F.replace(text, F.lit(wrong), F.lit(right))
+    return F.struct(text.alias("text"), F.filter(F.array(*found), lambda x: x.isNotNull()).alias("aliases"))
+
+
+def bounded_pattern(surface: str) -> str:
+    """A pattern of a surface that no letter or digit continues at an end that is one itself."""
+    left, right = (r"(?<![A-Za-z0-9])" if surface[:1].isalnum() else "", r"(?![A-Za-z0-9])" if surface[-1:].isalnum() else "")
+    return left + re.escape(surface) + right

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quarry.functions.text import html_cells, month_year, safe_component, strip_html, url_extension, url_host
+from quarry.functions.text import html_cells, image_targets, month_year, safe_component, strip_html, url_extension, url_host, without_versions
 from quarry.operators.inventory import facet_distribution
 
 #: Endings that make a link a document, and labels that are formats rather than titles.
@@ -261,3 +261,42 @@ def reading_mode(code: Column) -> Column:
 def needs_layout_converter(ending: Column, key: Column, routed: list[str]) -> Column:
     """Whether a document goes to the converter that reads layouts: it is a PDF, or its key is on the list."""
     return (F.lower(ending) == "pdf") | key.isin(routed)
+
+
+def display_titles(rows: DataFrame, title: str, app: str, products: DataFrame) -> DataFrame:
+    """rows with shown: the title without versions, behind the abbreviation of the longest name of the application's products
+    (products(app, abbr, alias)) that begins it; a title that no name begins stays as it is."""
+    bare = rows.withColumn("_bare", without_versions(F.col(title)))
+    names = products.select(F.col("app").alias(app), "abbr", "alias").where("alias <> ''").groupBy(app).agg(F.collect_set(F.struct("alias", "abbr")).alias("_names"))  # an application's few products
+    known = bare.join(F.broadcast(names), app, "left")
+    fits = F.filter(F.coalesce("_names", F.array().cast("array<struct<alias:string,abbr:string>>")), lambda n: F.startswith(F.lower("_bare"), F.lower(n["alias"])) & ~F.substr(F.col("_bare"), F.length(n["alias"]) + 1, F.lit(1)).rlike("[A-Za-z0-9]"))
+    best = F.array_max(F.transform(fits, lambda n: F.struct(F.length(n["alias"]).alias("n"), n["abbr"].alias("abbr"))))
+    rest = F.regexp_replace(F.substr(F.col("_bare"), best["n"] + 1), r"^[\s,;:\-–—()]+", "")
+    shown = F.when(best.isNull(), F.col("_bare")).when(rest == "", best["abbr"]).otherwise(F.concat(best["abbr"], F.lit(" — "), rest))
+    return known.withColumn("shown", shown).drop("_bare", "_names")
+
+
+def longest_known_prefix(rows: DataFrame, key: str, text: str, vocabulary: DataFrame) -> DataFrame:
+    """(key, member): the longest run of words from the text's first on that the vocabulary(member) holds; rows without any are left out."""
+    words = F.split(F.trim(F.col(text)), r"\s+")
+    each = rows.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.size(words)), lambda n: F.struct(n.alias("n"), F.array_join(F.slice(words, F.lit(1), n), " ").alias("member")))).alias("p")).select(key, "p.n", "p.member")
+    return each.join(vocabulary.select("member").distinct(), "member").groupBy(key).agg(F.max_by("member", "n").alias("member"))
+
+
+def asset_stats(docs: DataFrame, key: str, body: str, assets: DataFrame) -> DataFrame:
+    """(key, images, found, bytes): images that a body names, each once, and those that assets(name, length) has."""
+    each = docs.select(key, F.explode_outer(image_targets(F.col(body))).alias("name"))
+    both = each.join(assets.select("name", "length"), "name", "left")
+    return both.groupBy(key).agg(F.count("name").alias("images"), F.count("length").alias("found"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
+def table_kind(rows: Column, tokens: list[str], least: int = 12) -> Column:
+    """Whether a table is for looking up (many rows, or a header that names a reference) or told along."""
+    head = F.exists(rows[0], lambda c: F.lower(c).rlike("|".join(tokens)))
+    return F.when((F.size(rows) >= least) | head, "reference").otherwise("narrative")
+
+
+def validation(findings: dict[str, DataFrame], blocking: list[str]) -> DataFrame:
+    """(kind, findings, blocks) of several frames of findings; only some kinds block."""
+    told = [df.agg(F.count("*").alias("findings")).select(F.lit(k).alias("kind"), "findings", (F.lit(k in blocking) & (F.col("findings") > 0)).alias("blocks")) for k, df in sorted(findings.items())]
+    return reduce(DataFrame.unionByName, told)

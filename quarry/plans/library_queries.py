@@ -713,3 +713,72 @@ def csv_sidecars(spark: SparkSession, d: str) -> DataFrame:
     files.select(text.alias("value"), F.concat(F.col("n_regionkey").cast("string"), F.lit(".csv")).alias("name")).repartition(5, "name").write.partitionBy("name").text(path)
     found = registries.csv_rows(spark, f"{path}/*/*.txt")
     return found.select(F.regexp_extract("path", "name=([^/]+)", 1).alias("name"), "pos", F.array_join("cells", "|").alias("cells"))
+
+
+# Titles and prefixes
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'AB' END AS package, CASE WHEN p_size % 2 = 0 THEN '5.3' END AS version, CASE WHEN p_size % 2 = 0 THEN p_partkey::INT END AS number, p_size % 4 = 0 AS several, p_name AS bare FROM part")
+def patch_identities(spark: SparkSession, d: str) -> DataFrame:
+    patch = F.when(F.col("p_size") % 4 == 0, F.concat(F.lit("AB*5.3*"), "p_partkey", F.lit("/CD*1.0*7 "))).when(F.col("p_size") % 2 == 0, F.concat(F.lit("AB*5.3*"), "p_partkey", F.lit(" - "))).otherwise("Version 2.1, ")
+    title = F.concat(patch, "p_name", F.lit(" Rev. 3"))
+    return table(spark, d, "part").select("p_partkey", T.patch_identity(title).alias("i"), T.without_versions(title).alias("bare")).select("p_partkey", "i.*", "bare")
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'B — ' || p_name WHEN p_size % 3 = 1 THEN 'A' ELSE 'alphabet ' || p_name END AS shown FROM part")
+def display_titles(spark: SparkSession, d: str) -> DataFrame:
+    names = spark.createDataFrame([("x", "A", "Alpha"), ("x", "B", "alpha Beta"), ("y", "C", "alphabet")], "app string, abbr string, alias string")
+    title = F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("Alpha beta: "), "p_name", F.lit(" v1.2"))).when(F.col("p_size") % 3 == 1, "ALPHA").otherwise(F.concat(F.lit("alphabet "), "p_name"))
+    return catalog.display_titles(table(spark, d, "part").select("p_partkey", title.alias("title"), F.lit("x").alias("app")), "title", "app", names).select("p_partkey", "shown")
+
+
+_TWO = "split_part(p_name, ' ', 1) || ' ' || split_part(p_name, ' ', 2)"
+
+
+@query(f"""WITH v AS (SELECT {_TWO} AS member FROM part WHERE p_brand = 'Brand#11' UNION SELECT split_part(p_name, ' ', 1) FROM part WHERE p_brand = 'Brand#12'),
+    p AS (SELECT p_partkey, {_TWO} AS two, split_part(p_name, ' ', 1) AS one FROM part)
+    SELECT p_partkey, CASE WHEN two IN (SELECT member FROM v) THEN two ELSE one END AS member FROM p WHERE two IN (SELECT member FROM v) OR one IN (SELECT member FROM v)""")
+def known_prefixes(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    words = F.split("p_name", " ")
+    vocabulary = part.where("p_brand = 'Brand#11'").select(F.concat_ws(" ", words[0], words[1]).alias("member")).unionByName(part.where("p_brand = 'Brand#12'").select(words[0].alias("member")))
+    return catalog.longest_known_prefix(part, "p_partkey", "p_name", vocabulary)
+
+
+@query("SELECT p_partkey, replace(replace(p_name, 'e', 'E'), 'Ea', 'x') AS text, concat_ws(',', CASE WHEN contains(p_name, 'e') THEN 'e' END, CASE WHEN contains(replace(p_name, 'e', 'E'), 'Ea') THEN 'Ea' END) AS aliases FROM part")
+def corrected_titles(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").select("p_partkey", T.corrected(F.col("p_name"), [("e", "E"), ("Ea", "x")]).alias("c")).select("p_partkey", "c.text", F.array_join("c.aliases", ",").alias("aliases"))
+
+
+@query("""SELECT p_partkey, 2::BIGINT AS images, CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END::BIGINT AS found, CASE WHEN p_size % 2 = 0 THEN p_size * 10 ELSE 0 END::BIGINT AS bytes FROM part""")
+def asset_statistics(spark: SparkSession, d: str) -> DataFrame:
+    part = table(spark, d, "part")
+    body = F.concat(F.lit("![a](media/"), "p_size", F.lit(".png) ![b](x/"), "p_size", F.lit(".png) ![c](none.gif)"))
+    assets = part.where("p_size % 2 = 0").select(F.concat("p_size", F.lit(".png")).alias("name"), (F.col("p_size") * 10).cast("long").alias("length")).distinct()
+    return catalog.asset_stats(part.select("p_partkey", body.alias("body")), "p_partkey", "body", assets)
+
+
+@query("SELECT l_orderkey, CASE WHEN count(*) + 1 >= 6 OR l_orderkey % 5 = 0 THEN 'reference' ELSE 'narrative' END AS kind FROM lineitem GROUP BY l_orderkey")
+def table_kinds(spark: SparkSession, d: str) -> DataFrame:
+    head = F.when(F.col("l_orderkey") % 5 == 0, F.array(F.lit("x"), F.lit("Field Name"))).otherwise(F.array(F.lit("x"), F.lit("y")))
+    rows = _order_tables(spark, d).select("l_orderkey", F.concat(F.array(head), F.slice("rows", F.lit(2), F.size("rows"))).alias("rows"))
+    return rows.select("l_orderkey", catalog.table_kind(F.col("rows"), ["field", "code"], 6).alias("kind"))
+
+
+@query("""SELECT 'dangling' AS kind, count(*) AS findings, count(*) > 0 AS blocks FROM labels WHERE doc_id NOT IN (SELECT page_id FROM pages) UNION ALL SELECT 'empty', count(*), false FROM documents WHERE text = '' UNION ALL SELECT 'orphans', count(*), count(*) > 0 FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""")
+def validation_report(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels, pages = (table(spark, d, t) for t in ("documents", "labels", "pages"))
+    found = {"dangling": labels.join(pages.select(F.col("page_id").alias("doc_id")), "doc_id", "left_anti"), "empty": docs.where("text = ''"), "orphans": checks.orphans(table(spark, d, "lineitem"), "l_orderkey", table(spark, d, "orders"), "o_orderkey")}
+    return catalog.validation(found, ["dangling", "orphans"])
+
+
+@query()
+def normalize_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Bodies through all steps: what was taken out of each, and a digest of what is left."""
+    import hashlib
+
+    def each(b: str) -> list[tuple]:
+        got = bodies.normalized(b)
+        return [(hashlib.md5(got["body"].encode()).hexdigest(), len(got["revisions"]), len(got["tables"]), sum(v == bodies.UNRESOLVED for v in got["links"].values()))]
+
+    return _rows_of(_built_bodies(spark, d), each, "l_orderkey long, digest string, revisions int, tables int, unresolved int")

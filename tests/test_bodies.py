@@ -198,3 +198,36 @@ def test_release():
     told = release.bundle_manifest(parts, doc_id="d")
     assert told["doc_id"] == "d" and list(told["parts"]) == ["a.md", "b.md"] and told["digest"] != release.bundle_manifest({"a.md": b"A"})["digest"]
     assert np.array_equal(normalize.fence_mask(["a", "```", "b", "```", "c"]), [False, True, True, True, False])
+
+
+def test_repairs_and_rules():
+    assert bodies.repair_mojibake("cafÃ© â€œxâ€\x9d Ã plain é") == "café “x” Ã plain é"
+    for text in ("a\x00b <b>c</b>  &amp;lt; d", "cafÃ©", "", "é", "Â\t0"):
+        assert bodies.clean(bodies.clean(text)) == bodies.clean(text)
+    assert bodies.clean("a\x00b <b>c</b>\t &amp; d") == "ab c & d" and bodies.clean("é") == "é"
+    pattern = bodies.title_pattern(["1. Purpose", "PURPOSE  of it", "purpose"])
+    assert all(__import__("re").match(pattern, t) for t in ("Purpose", "2.1 purpose  Of It")) and not __import__("re").match(pattern, "Purposes")
+    rules = bodies.compile_rules([{"type": "a", "pattern": "(x)"}, {"type": "b", "terms": ["N", "N P"], "vocabulary": "v"}, {"type": "c", "terms": []}, {"type": "d", "terms": ["q"]}], {"v": ["Z.1"]}, ["d"])
+    assert [t for t, _ in rules] == ["a", "b"] and __import__("re").findall(rules[1][1], "N P NX Z.1 N") == ["N P", "Z.1", "N"]
+    with pytest.raises(ValueError, match="no vocabulary"):
+        bodies.compile_rules([{"type": "b", "vocabulary": "w"}], {})
+    assert bodies.rewrite_images('![a](m/x.png) <img alt="" src="y.gif"> ![b](z.png)', {"x.png": "assets/1.png", "y.gif": "assets/2.gif"}) == '![a](assets/1.png) <img alt="" src="assets/2.gif"> ![b](z.png)'
+
+
+def test_old_contents():
+    cases = {"- [One 12](#_Toc1)": ("One", "_Toc1", "12"), "[Two](#two)": ("Two", "two", None), "Three ........ iv": ("Three", None, "iv"), "| Four | 9 |": ("Four", None, "9"), "just text": None, "x": None}
+    assert {k: bodies.toc_entry(k) for k in cases} == cases
+    body = "# T\n\n## Table of Contents\n\n- [One 12](#_Toc1)\nThree ........ iv\n\ntext\n## Contents\nprose here\n"
+    out, taken = bodies.strip_toc(body)
+    assert out == "# T\n\ntext\n## Contents\nprose here\n" and [t[0] for t in taken] == ["One", "Three"]
+    assert bodies.strip_toc(out) == (out, [])
+
+
+def test_whole_normalisation_settles(spark, sf):
+    from quarry.plans import library_queries
+
+    for r in library_queries._built_bodies(spark, sf).limit(25).collect():
+        once = bodies.normalized(r.body)
+        assert len(once["revisions"]) == 1 and "## Contents" in once["body"] and "<table" not in once["body"]
+        again = bodies.normalized(once["body"])
+        assert again["body"] == once["body"] and not again["revisions"] and not again["tables"]
