@@ -1,12 +1,17 @@
 """Benchmark decontamination by one Aho-Corasick automaton over normalised benchmark items.
 
-Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased. Patterns are all
-windows of 13 consecutive words of an item (an item of fewer words, but not none, is one window), each
-between single spaces, so that the overlapping matches of the automaton in a document's normalised
-text are exactly the occurrences of windows. Each whole text is scanned once.
+Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased. A window is 13 consecutive words of
+an item; an item of fewer words, but not none, is one window. The automaton runs over numbers of the benchmark's
+words (any other word of a document is 0), so that a state stands for a word and not for a letter.
 
-The automaton covers a bounded block of items (``block_chars``). Where the benchmark is larger, the
-documents are scanned by one automaton per block, a staged table between them; results do not differ.
+Its patterns are the items' runs of 7 words at every 7th place: each window of 13 holds one of them, and their states
+are as many as the benchmark has words, not 13 times as many. Where one is found, the match is followed to both
+sides as far as document and item agree: a common run of 13 words or more is all windows in it. Short items are
+patterns as a whole. Each whole text is scanned once.
+
+The automaton covers a block of items of at most ``block_words`` words (5 million: about 1 GB in a worker). Only where
+the benchmark is larger, the documents are scanned by one automaton per block, a staged table between them; results do
+not differ.
 
 Defined results for odd input: null and empty texts have no words, no hit and are never contaminated;
 null and empty items have no windows; repeated items count once per distinct item_id; repeated
@@ -28,8 +33,8 @@ from pyspark.sql import functions as F
 from quarry.session import ship, staged, table
 
 WINDOW = 13
-#: Characters of patterns that one automaton holds; about 60 bytes of memory each at most.
-BLOCK_CHARS = 4_000_000
+#: Words of items that one automaton holds; about 200 bytes of memory each.
+BLOCK_WORDS = 5_000_000
 
 _WORD_TABLE = bytes((c | 0x20) if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 _AUTOMATA: dict[str, tuple] = {}
@@ -40,61 +45,93 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_WORD_TABLE).split()
 
 
-def windows_of(words: list[bytes], window: int = WINDOW) -> list[bytes]:
-    if len(words) < window:
-        return [b" ".join(words)] if words else []
-    return [b" ".join(words[i : i + window]) for i in range(len(words) - window + 1)]
+class Matcher:
+    """The automaton over a block of distinct items: (words joined by spaces, ids of the items that say them)."""
+
+    def __init__(self, items: list[tuple[bytes, list[str]]], window: int = WINDOW):
+        self.window, self.owners = window, [ids for _, ids in items]
+        self.numbers: dict[bytes, int] = {}
+        flat: list[int] = []
+        self.begin = [0]
+        for text, _ in items:
+            flat += [self.numbers.setdefault(w, len(self.numbers) + 1) for w in text.split()]
+            self.begin.append(len(flat))
+        self.flat, self.item = flat, np.repeat(np.arange(len(items)), np.diff(self.begin)).astype(np.int32)
+        step = (window + 1) // 2
+        places: dict[tuple[int, ...], list[int]] = {}
+        for a, b in zip(self.begin, self.begin[1:], strict=False):
+            for p in range(a, b - step + 1, step) if b - a >= window else (a,):
+                places.setdefault(tuple(flat[p : p + step] if b - a >= window else flat[a:b]), []).append(p)
+        self.found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for gram, at in places.items():
+            self.found.add_word(gram, (len(gram), at))
+        if places:
+            self.found.make_automaton()
+        self.empty = not places
+
+    def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
+        """Merged ranges of hit words and the items whose windows occur."""
+        if self.empty or not words:
+            return [], set()
+        of = self.numbers.get
+        doc = tuple([of(w, 0) for w in words])
+        spans, ids, done = [], set(), {}
+        for end, (n, places) in self.found.iter(doc):
+            first = end - n + 1
+            for p in places:
+                k = int(self.item[p])
+                a, b = self.begin[k], self.begin[k + 1]
+                if done.get((k, first - p), -1) > first:  # within a run that was followed already
+                    continue
+                lo, hi = 0, n
+                while p - lo > a and first - lo > 0 and self.flat[p - lo - 1] == doc[first - lo - 1]:
+                    lo += 1
+                while p + hi < b and first + hi < len(doc) and self.flat[p + hi] == doc[first + hi]:
+                    hi += 1
+                done[k, first - p] = first + hi
+                if lo + hi >= min(self.window, b - a):
+                    spans.append((first - lo, first + hi))
+                    ids.update(self.owners[k])
+        return merged(spans), ids
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
 
-def _automaton(patterns: list[tuple[bytes, list[str]]], key: str) -> tuple | None:
-    """Built once per worker; values: (words of the pattern, its number)."""
+def _matcher(items: list[tuple[bytes, list[str]]], window: int, key: str) -> Matcher:
+    """Built once per worker."""
     if key not in _AUTOMATA:
         _AUTOMATA.clear()
-        found = ahocorasick.Automaton()
-        for i, (p, _) in enumerate(patterns):
-            found.add_word(" " + p.decode("latin-1") + " ", (p.count(b" ") + 1, i))
-        if patterns:
-            found.make_automaton()
-        _AUTOMATA[key] = (found, [items for _, items in patterns])
+        _AUTOMATA[key] = Matcher(items, window)
     return _AUTOMATA[key]
 
 
-def _blocks(benchmark: DataFrame, window: int, block_chars: int) -> Iterator[list[tuple[bytes, list[str]]]]:
-    """Windows with the ids of their items, in blocks of bounded size; items stream to the driver one partition at a time."""
+def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[bytes, list[str]]]]:
+    """Distinct item texts with their ids, in blocks of bounded size; items stream to the driver one partition at a time, and
+    a block is given away before the next one is gathered."""
     owners: dict[bytes, set[str]] = {}
     size = 0
     for item_id, text in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        for w in windows_of(words_of(text), window):
-            if w not in owners:
-                owners[w] = set()
-                size += len(w) + 2
-            if item_id is not None:
-                owners[w].add(item_id)
-        if size >= block_chars:
+        words = words_of(text)
+        said = b" ".join(words)
+        if words and said not in owners:
+            owners[said] = set()
+            size += len(words)
+        if words and item_id is not None:
+            owners[said].add(item_id)
+        if size >= block_words:
             yield [(w, sorted(s)) for w, s in sorted(owners.items())]
             owners, size = {}, 0
     yield [(w, sorted(s)) for w, s in sorted(owners.items())]
 
 
-def hit_words(words: list[bytes], automaton, items: list[list[str]]) -> tuple[list[tuple[int, int]], set[str]]:
-    """Merged ranges of hit words and the items whose windows occur."""
-    norm = (b" " + b" ".join(words) + b" ").decode("latin-1")
-    spans, hit_items, starts = [], set(), None
-    for end, (n, i) in automaton.iter(norm):
-        if starts is None:
-            starts = np.flatnonzero(np.frombuffer(norm.encode("latin-1"), np.uint8) == 32)
-        last = int(np.searchsorted(starts, end))  # the space that ends the match follows word last - 1
-        spans.append((last - n, last))
-        hit_items.update(items[i])
-    merged: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-        else:
-            merged.append((a, b))
-    return merged, hit_items
-
-
 def original_offsets(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Code point ranges in the original text of ranges of words."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
@@ -105,7 +142,7 @@ def original_offsets(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int
     return [(int(points[begins[a]]), int(points[ends[b - 1]])) for a, b in ranges]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS, carry: tuple[str, ...] = ()) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
     """docs(doc_id, text) -> doc_id, text, n_words, word_ranges, spans (code points), items (sorted strings).
 
     Columns named in carry come along as one struct, "carried", whatever their names. One narrow pass;
@@ -116,36 +153,28 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     out = "doc_id long, text string, n_words long, word_ranges array<struct<a:int,b:int>>, spans array<struct<a:int,b:int>>, items array<string>"
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(None).cast("array<struct<a:int,b:int>>").alias("word_ranges"), F.lit(None).cast("array<string>").alias("items"), F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
     out += f", carried {df.schema['carried'].dataType.simpleString()}"
-    blocks = list(_blocks(benchmark, window, block_chars)) or [[]]
-    for n, patterns in enumerate(blocks):
-        held = spark.sparkContext.broadcast(patterns)
-        key = hashlib.sha256(b"\0".join(p for p, _ in patterns) + repr([i for _, i in patterns]).encode()).hexdigest()
+    for n, items in enumerate(_blocks(benchmark, block_words)):
+        if n:
+            df = staged(df, "decontaminate")
+        held = spark.sparkContext.broadcast(items)
+        key = hashlib.sha256(repr((window, items)).encode()).hexdigest()
 
         def scan(batches: Iterator[pa.RecordBatch], held=held, key=key) -> Iterator[pa.RecordBatch]:
-            automaton, items = _automaton(held.value, key)
+            matcher = _matcher(held.value, window, key)
             kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
             for batch in batches:
                 texts, counts, ranges, spans, found = batch.column("text"), [], [], [], []
                 for text, before, known in zip(texts.to_pylist(), batch.column("word_ranges").to_pylist(), batch.column("items").to_pylist(), strict=True):
                     words = words_of(text)
-                    merged, ids = hit_words(words, automaton, items) if items and words else ([], set())
-                    if before:
-                        both = sorted(merged + [(r["a"], r["b"]) for r in before])
-                        merged = []
-                        for a, b in both:
-                            if merged and a <= merged[-1][1]:
-                                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-                            else:
-                                merged.append((a, b))
+                    here, ids = matcher.hits(words)
+                    here = merged(here + [(r["a"], r["b"]) for r in before or ()])
                     counts.append(len(words))
-                    ranges.append([{"a": a, "b": b} for a, b in merged])
-                    spans.append([{"a": a, "b": b} for a, b in original_offsets(text, merged)] if merged else [])
+                    ranges.append([{"a": a, "b": b} for a, b in here])
+                    spans.append([{"a": a, "b": b} for a, b in original_offsets(text, here)] if here else [])
                     found.append(sorted(ids | set(known or ())))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts, pa.array(counts, pa.int64()), pa.array(ranges, kind), pa.array(spans, kind), pa.array(found, pa.list_(pa.string())), batch.column("carried")], names=["doc_id", "text", "n_words", "word_ranges", "spans", "items", "carried"])
 
         df = df.select("doc_id", "text", "word_ranges", "items", "carried").mapInArrow(scan, out)
-        if n + 1 < len(blocks):
-            df = staged(df, "decontaminate")
     return df
 
 
