@@ -4,10 +4,11 @@ estimates how reliable each is, and a span classifier is trained on the estimate
 Base spans (strict patterns with checks) always stay. Candidates are the base spans, matches of a base
 pattern that failed its check, and looser shapes (obfuscated addresses, numbers without a
 country code, IPv6). Each labeler votes +1, -1 or 0 on a candidate. All that the model sees of a
-candidate is its kind and votes, so the corpus is summed up by counts of vote patterns (a few hundred at most,
-whatever the corpus), over all documents; EM runs on these counts and the classifier, a logistic
-regression over kind and votes, learns the posteriors. Candidates that it gives at least 0.5 and that
-overlap no base span are added.
+candidate is its kind, its votes and a few classes of what the span itself looks like (its length, its share of digits,
+the marks in it, whether it stands alone), so the corpus is summed up by counts of such patterns (some thousand at most,
+whatever the corpus), over all documents. EM runs on the votes; the classifier, a logistic regression over kind, votes
+and looks, learns the posteriors, so that spans of one vote pattern may be told apart by how they look. Candidates that
+it gives at least 0.5 and that overlap no base span are added.
 
 Offsets are code points, ends exclusive. Both passes are narrow; only counts are shuffled.
 
@@ -34,6 +35,8 @@ from quarry.session import ship, table
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("strict", "loose", "gazetteer", "context", "against", "edges")
+#: Numbers of classes of each look.
+LOOKS = (4, 4, 4, 2, 2)
 THRESHOLD = 0.5
 CONTEXT = 40
 
@@ -143,15 +146,24 @@ def overlap(spans: list[tuple]) -> Callable[[int, int], bool]:
     return found
 
 
+def looks(text: str, start: int, end: int) -> tuple[int, ...]:
+    """Classes of a span's looks: length, share of digits, separators, letters in it, line of its own."""
+    span = text[start:end]
+    digits = sum(c.isdigit() for c in span)
+    marks = sum(not c.isalnum() for c in span)
+    alone = (start == 0 or text[start - 1] == "\n") and (end == len(text) or text[end] == "\n")
+    return (min(3, (end - start) // 8), min(3, 4 * digits // max(1, len(span))), min(3, marks), int(any(c.isalpha() for c in span)), int(alone))
+
+
 def candidates(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str, tuple]]]:
     """Base spans, and all candidates with their pattern (kind and votes)."""
     text = text or ""
     found = shapes(text)
     base = sorted((a, b, k) for a, b, k, ok in found if ok)
-    every = [(a, b, k, (k, *votes(text, a, b, k, 1 if ok else -1, 0))) for a, b, k, ok in found]
+    every = [(a, b, k, (k, *votes(text, a, b, k, 1 if ok else -1, 0), *looks(text, a, b))) for a, b, k, ok in found]
     taken = {(a, b, k) for a, b, k, _ in found}
     known = overlap(base)
-    every += [(a, b, k, (k, *votes(text, a, b, k, 0, 1))) for a, b, k in _loose(text) if (a, b, k) not in taken and not known(a, b)]
+    every += [(a, b, k, (k, *votes(text, a, b, k, 0, 1), *looks(text, a, b))) for a, b, k in _loose(text) if (a, b, k) not in taken and not known(a, b)]
     return base, every
 
 
@@ -160,7 +172,7 @@ def dawid_skene(patterns: list[tuple], counts: np.ndarray, rounds: int = 50) ->
     labeler's reliability (how often its votes agree with the truth, by class). A labeler is never thought
     worse than chance, which keeps the classes from changing places."""
     kinds = np.array([KINDS.index(p[0]) for p in patterns])
-    v = np.array([p[1:] for p in patterns], np.int64).reshape(len(patterns), len(LABELERS))
+    v = np.array([p[1 : 1 + len(LABELERS)] for p in patterns], np.int64).reshape(len(patterns), len(LABELERS))
     post = np.clip(0.5 + 0.2 * v.sum(1), 0.02, 0.98)
     good = np.full((len(LABELERS), 2), 0.75)
     for _ in range(rounds):
@@ -181,8 +193,10 @@ def dawid_skene(patterns: list[tuple], counts: np.ndarray, rounds: int = 50) ->
 
 
 def _design(patterns: list[tuple]) -> np.ndarray:
-    rows = [[float(p[0] == k) for k in KINDS] + [float(x > 0) for x in p[1:]] + [float(x < 0) for x in p[1:]] for p in patterns]
-    return np.array(rows).reshape(len(patterns), len(KINDS) + 2 * len(LABELERS))
+    """Kind, votes for and against, and the classes of looks, one column each."""
+    n = 1 + len(LABELERS)
+    rows = [[float(p[0] == k) for k in KINDS] + [float(x > 0) for x in p[1:n]] + [float(x < 0) for x in p[1:n]] + [float(x == c) for x, m in zip(p[n:], LOOKS, strict=True) for c in range(1, m)] for p in patterns]
+    return np.array(rows).reshape(len(patterns), len(KINDS) + 2 * len(LABELERS) + sum(m - 1 for m in LOOKS))
 
 
 def fit(counts: dict[tuple, int]) -> dict[tuple, float]:
