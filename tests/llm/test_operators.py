@@ -73,9 +73,9 @@ def brute_hits(docs, items, window=13):
     return out
 
 
-@pytest.mark.parametrize("block_chars", [4_000_000, 300])
-def test_decontamination(spark, monkeypatch, block_chars):
-    monkeypatch.setattr(decontaminate.find_contamination, "__defaults__", (13, block_chars, ()))
+@pytest.mark.parametrize("block_words", [5_000_000, 60])
+def test_decontamination(spark, monkeypatch, block_words):
+    monkeypatch.setattr(decontaminate.find_contamination, "__defaults__", (13, block_words, ()))
     docs = sample_texts()
     items = [(1, "Alpha"), (2, None), (3, ""), (4, docs[12][1]), (5, docs[15][1][:120]), (5, docs[15][1][:120]), (6, "ONE"), (10, "a b c")]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -85,7 +85,33 @@ def test_decontamination(spark, monkeypatch, block_chars):
     assert decontaminate.contamination_report(make(spark, docs), bench.limit(0)).where("n_hit > 0").count() == 0
     kept = decontaminate.drop_contaminated(make(spark, docs), bench)
     assert kept.columns == ["doc_id", "text", "score", "n_words", "block"]
-    assert kept.count() == sum(not r[5] for r in got)
+    whole = {d for d, t in docs for b, n in ((brute_hits([(d, t)], [i])[0], len(decontaminate.words_of(i[1]))) for i in items) if n >= 13 and b[2] >= 13}
+    assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == sorted(r[0] for r in got if not r[5] and r[0] is not None and r[0] not in whole)
+
+
+def test_grams_find_every_window():
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(6)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    for _ in range(60):
+        items = [(i, text(rng.choice([1, 3, 12, 13, 14, 30, 60]))) for i in range(6)]
+        items.append((9, items[-1][1]))
+        docs = []
+        for d in range(8):
+            said = text(rng.randint(0, 40)).split()
+            for _ in range(rng.randint(0, 3)):
+                w = rng.choice(items)[1].split()
+                a = rng.randrange(len(w))
+                at = rng.randint(0, len(said))
+                said[at:at] = w[a : a + rng.randint(1, 40)]
+            docs.append((d, " ".join(said)))
+        owners = collections.defaultdict(set)
+        for i, t in items:
+            owners[t.encode()].add(str(i))
+        matcher = decontaminate.Matcher([(t, sorted(o)) for t, o in sorted(owners.items())])
+        for d, want in zip(docs, brute_hits(docs, items), strict=True):
+            ranges, ids = matcher.hits(decontaminate.words_of(d[1]))
+            assert (sum(b - a for a, b in ranges), len(ids)) == want[2:4], (d, items)
 
 
 def test_original_offsets():
