@@ -2,6 +2,11 @@
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir). All but the last return the
 columns of documents; the last returns packed pieces.
+
+Defined results for odd input, in every stage: columns beyond those of documents are dropped, whatever their names; nulls
+in any column stay; rows without an id are kept like others; an empty table gives an empty one. A null or empty text is
+never toxic by its words, is a near-duplicate of all other wordless texts, holds no passage and no personal data, and packs
+as the closing id alone. Repeated rows are near-duplicates of each other. Texts are used whole, however long.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject."""
+    """Documents that the classifier does not reject; without toxic labels none is."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs.select(*COLUMNS), model).where("predicted = 0").select(*COLUMNS)
 
@@ -33,7 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of whose words less than a twentieth stand in passages of the benchmark."""
+    """Documents without a passage of the benchmark: no whole window of 13 words, and hit words below a twentieth."""
     return decontaminate.drop_contaminated(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
