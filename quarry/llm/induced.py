@@ -213,14 +213,22 @@ def _doubled(names: np.ndarray) -> np.ndarray:
     return order
 
 
-def _neighbours(t: np.ndarray, pos: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefixes, up to cap, of consecutive suffixes of a sorted list, several symbols at a time."""
-    step = 7
-    word = np.zeros(len(t) + cap + 2 * step, np.int64)
-    padded = np.zeros(len(t) + cap + 3 * step, np.int64)
+#: Symbols (of 9 bits) that one word holds.
+STEP = 7
+
+
+def _words(t: np.ndarray, cap: int) -> np.ndarray:
+    """For every place the next STEP symbols, plus one each, as one number; zeros stand beyond the end."""
+    padded = np.zeros(len(t) + cap + 3 * STEP, np.int64)
     padded[: len(t)] = t + np.int64(1)
-    for k in range(step):
-        word |= padded[k : k + len(word)] << (9 * (step - 1 - k))
+    word = np.zeros(len(t) + cap + 2 * STEP, np.int64)
+    for k in range(STEP):
+        word |= padded[k : k + len(word)] << (9 * (STEP - 1 - k))
+    return word
+
+
+def _neighbours(word: np.ndarray, pos: np.ndarray, cap: int) -> np.ndarray:
+    """Common prefixes, up to cap, of consecutive suffixes of a sorted list, STEP symbols at a time."""
     out = np.zeros(len(pos), np.int64)
     live = np.arange(1, len(pos))
     done = 0
@@ -230,13 +238,29 @@ def _neighbours(t: np.ndarray, pos: np.ndarray, cap: int) -> np.ndarray:
         x = (a ^ b)[apart]
         lead = np.frexp(x.astype(np.float64))[1] - 1  # highest differing bit, rounding may lift it by one
         lead = np.where((x >> np.minimum(lead, 62)) == 0, lead - 1, lead)
-        out[live[apart]] = done + (step - 1 - lead // 9)
+        out[live[apart]] = done + (STEP - 1 - lead // 9)
         live = live[~apart]
-        done += step
+        done += STEP
         out[live] = done
     return np.minimum(out, cap).astype(np.uint8)
 
 
+def _equal_substrings(word: np.ndarray, pos: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether each place's symbols (length of them) are those of the place before."""
+    same = np.zeros(len(pos), bool)
+    live = np.flatnonzero(length[1:] == length[:-1]) + 1
+    masks = np.array([(1 << (9 * STEP)) - (1 << (9 * (STEP - r))) for r in range(STEP + 1)], np.int64)
+    done = 0
+    while len(live):
+        left = length[live] - done
+        near = (word[np.minimum(pos[live] + done, len(word) - 1)] ^ word[np.minimum(pos[live - 1] + done, len(word) - 1)]) & masks[np.minimum(left, STEP)] == 0
+        live, left = live[near], left[near]
+        same[live[left <= STEP]] = True
+        live = live[left > STEP]
+        done += STEP
+    return same
+
+
 def suffix_array(t: np.ndarray, symbols: int, cap: int = 100, held: int = HELD) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of t (numbers below symbols, at most 510) in order, and the prefix, up to cap, each shares with the one before."""
     t = np.ascontiguousarray(t, np.uint16)
@@ -247,6 +271,7 @@ def suffix_array(t: np.ndarray, symbols: int, cap: int = 100, held: int = HELD)
     is_lms = np.zeros(n, bool)
     is_lms[1:] = s[1:] & ~s[:-1]
     lms = np.flatnonzero(is_lms)
+    word = _words(t, cap)
     if len(lms) > 1:
         # Sort the substrings between LMS positions by induction, name them, and sort the string of names.
         unsorted = lms[np.argsort(t[lms], kind="stable")]
@@ -256,17 +281,7 @@ def suffix_array(t: np.ndarray, symbols: int, cap: int = 100, held: int = HELD)
         ends = np.append(lms[1:], n - 1)
         length = np.zeros(n, np.int64)
         length[lms] = ends - lms + 1
-        same = np.zeros(len(by), bool)
-        live = np.flatnonzero(length[by[1:]] == length[by[:-1]]) + 1
-        k = 0
-        while len(live):
-            whole = length[by[live]] <= k
-            same[live[whole]] = True
-            live = live[~whole]
-            live = live[t[by[live] + k] == t[by[live - 1] + k]]
-            k += 1
-        if len(by) and lms[-1] in (by[0],):
-            same[:2] = same[:2]
+        same = _equal_substrings(word, by, length[by])
         last = np.flatnonzero(by == lms[-1])[0]  # the last one runs to the end: equal to none
         same[last] = False
         if last + 1 < len(by):
@@ -283,7 +298,7 @@ def suffix_array(t: np.ndarray, symbols: int, cap: int = 100, held: int = HELD)
             lms = lms[order]
         else:
             lms = by
-    large, small = _induce(t, s, lms, _neighbours(t, lms, cap), symbols, cap, held)
+    large, small = _induce(t, s, lms, _neighbours(word, lms, cap), symbols, cap, held)
     pos, lcp = [], []
     for c in range(symbols):
         pos += [large[c][0], small[c][0]]
