@@ -529,11 +529,13 @@ def gfm_tables(spark: SparkSession, d: str) -> DataFrame:
 # Patterns
 
 
-@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), k AS (SELECT doc_id, upper(regexp_extract(line, '^([A-Za-z]+):', 1)) AS label, regexp_extract(line, '^([A-Za-z]+):', 1) AS variant FROM l),
+@query(r"""WITH l AS (SELECT doc_id, unnest(string_split(CASE doc_id % 3 WHEN 0 THEN 'NOTE: ' WHEN 1 THEN 'Note: ' ELSE 'tip: ' END || text, chr(10))) AS line FROM documents), k AS (SELECT doc_id, upper(regexp_extract(line, '^([A-Za-z]+):', 1)) AS label, regexp_extract(line, '^([A-Za-z]+):', 1) AS variant FROM l),
     v AS (SELECT label, variant, count(DISTINCT doc_id) AS n FROM k WHERE label <> '' GROUP BY label, variant), r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY n DESC, variant) AS p FROM v), d AS (SELECT label, count(DISTINCT doc_id) AS documents FROM k WHERE label <> '' GROUP BY label)
     SELECT label, documents, string_agg(variant || ' ' || n, ',' ORDER BY p) FILTER (p <= 8) AS variants FROM r JOIN d USING (label) WHERE documents >= 3 GROUP BY label, documents""")
 def structure_labels(spark: SparkSession, d: str) -> DataFrame:
-    return mining.structures(table(spark, d, "documents"), r"^([A-Za-z]+):").select("label", "documents", F.array_join(F.transform("variants", lambda v: F.concat(v["variant"], F.lit(" "), v["n"].cast("string"))), ",").alias("variants"))
+    label = F.when(F.col("doc_id") % 3 == 0, "NOTE: ").when(F.col("doc_id") % 3 == 1, "Note: ").otherwise("tip: ")
+    docs = table(spark, d, "documents").select("doc_id", F.concat(label, F.col("text")).alias("text"))
+    return mining.structures(docs, r"^([A-Za-z]+):").select("label", "documents", F.array_join(F.transform("variants", lambda v: F.concat(v["variant"], F.lit(" "), v["n"].cast("string"))), ",").alias("variants"))
 
 
 @query("""WITH s AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations), t AS (SELECT conv_id AS doc_key, list(role ORDER BY i) AS r FROM s GROUP BY conv_id)

@@ -23,7 +23,7 @@ TEXTS = {
     "sql_top_customers": """WITH t AS (SELECT o_custkey, sum(o_totalprice) AS total FROM v_orders GROUP BY o_custkey)
         SELECT c_name, n_name, round(total, 2) AS total FROM t JOIN v_customer ON c_custkey = o_custkey JOIN v_nation ON n_nationkey = c_nationkey ORDER BY round(total, 2) DESC, c_name LIMIT 20""",
     "sql_order_ranks": """SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS nth, count(*) OVER (PARTITION BY o_custkey) AS orders FROM v_orders""",
-    "sql_customers_without_orders": """SELECT c_custkey, c_name FROM v_customer WHERE NOT EXISTS (SELECT 1 FROM v_orders WHERE o_custkey = c_custkey)""",
+    "sql_customers_without_orders": """SELECT c_custkey, c_name FROM v_customer WHERE NOT EXISTS (SELECT 1 FROM v_orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')""",
     "sql_brand_sets": """SELECT p_brand FROM v_part WHERE p_size > 40 INTERSECT SELECT p_brand FROM v_part WHERE p_size < 5 UNION SELECT 'none' AS p_brand""",
     "sql_event_rollup": """SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, round(sum(value), 4) AS total FROM v_events GROUP BY ROLLUP (event_type)""",
     "sql_document_facets": """SELECT lang, source, count(*) AS n, max(n_chars) AS longest FROM v_documents GROUP BY lang, source HAVING count(*) > 1""",
