@@ -45,10 +45,6 @@ def departed(spark: SparkSession, d: str) -> DataFrame:
     return checks.departures(c, c.where("c_custkey % 6 <> 0"), "c_custkey", "c_mktsegment", ["BUILDING"])
 
 
-def actions(spark: SparkSession, d: str) -> DataFrame:
-    return checks.fetch_state(table(spark, d, "events").where("event_id % 9 = 0"), "user_id", F.col("event_type") == "purchase", F.col("event_type") == "error")
-
-
 def actions_whole(spark: SparkSession, d: str) -> DataFrame:
     """Over all events, with conditions under which all actions occur: nearly every user has a purchase and three errors."""
     bought = (F.col("event_type") == "purchase") & (F.col("value") >= 150)
