@@ -1,4 +1,4 @@
-"""Removal of repeated 100-byte strings by suffix sorting of shards with induction in memory.
+"""Removal of repeated 100-byte strings by suffix sorting of shards with external induction.
 
 A byte is removed if a 100-byte string that covers it also starts earlier (smaller doc_id, or the same document and
 an earlier start). All strings that can be equal meet in one shard, whatever documents they are in:
@@ -46,7 +46,7 @@ from quarry.session import drop_staged, release, scratch, ship, shuffles_removed
 
 LENGTH = 100
 GRAM = 32
-#: Bytes of contexts that one shard should hold (it is sorted in memory, about 120 bytes for each), and the least number of shards (as a power of two).
+#: Bytes of contexts that one shard should hold (its task reads them at once, and gives all strings their classes), and the least number of shards (as a power of two).
 SHARD_BYTES, SHARD_BITS = 8_000_000, 7
 #: Distinct contexts of an anchor, beyond one a block, from which it is split; binary digits by which shards of strings are more.
 HOT_CONTEXTS, STRING_BITS = 8192, 2

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -321,8 +322,8 @@ def test_induced_sorting():
             t[n // 2 : n // 2 + n // 3] = t[: n // 3]
         if it % 7 == 0:
             t = np.repeat(t, rng.integers(1, 9, len(t)))
-        cap, held = int(rng.choice([3, 100])), int(rng.choice([1, 5, 1000]))
-        order, lcp = induced.suffix_array(t, symbols, cap, held)
+        cap, held, chunk = int(rng.choice([3, 100])), int(rng.choice([1, 50, 10_000])), int(rng.choice([3, 7, 64, 1000]))
+        order, lcp = induced.suffix_array(t, symbols, cap, held, chunk)
         b = t.tolist()
         want = sorted(range(len(b)), key=lambda i: b[i:])
         assert order.tolist() == want
@@ -334,6 +335,32 @@ def test_induced_sorting():
             assert lcp[k] == m
 
 
+def test_induced_sorting_beyond_memory():
+    rng = np.random.default_rng(3)
+    words = [rng.integers(97, 123, int(k)) for k in rng.integers(2, 10, 3000)]
+    t = np.concatenate([words[i] for i in np.minimum(rng.zipf(1.3, 200_000) - 1, 2999)]).astype(np.uint16)
+    t[500_000:700_000] = t[:200_000]
+    store = induced.Store(1 << 16, 1 << 13)
+    tracemalloc.start()
+    order, lcp = induced.suffix_array(t, 257, 100, store=store)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert store.spilled > 30 * len(t) and peak < 2 * len(t)
+    want, shared = induced.suffix_array(t, 257, 100)
+    assert (order == want).all() and (lcp == shared).all()
+    text = t.astype(">u2").tobytes()
+    for k in rng.integers(1, len(t), 20_000).tolist():
+        a, b = text[2 * order[k - 1] :][:2000], text[2 * order[k] :][:2000]
+        assert a <= b and a[: 2 * lcp[k]] == b[: 2 * lcp[k]] and (lcp[k] == 100 or a[2 * lcp[k] :][:2] != b[2 * lcp[k] :][:2])
+    assert np.array_equal(np.sort(order), np.arange(len(t)))
+
+
+def test_induced_sorting_of_one_symbol():
+    for n, chunk in ((1, 4), (3000, 64), (3000, 1 << 18)):
+        order, lcp = induced.suffix_array(np.ones(n, np.uint16), 2, 100, 100, chunk)
+        assert order.tolist() == list(range(n - 1, -1, -1)) and lcp.tolist() == [min(k, 100) for k in range(n)]
+
+
 def test_suffix_dedup(spark):
     docs = [r for r in sample_texts() if r[0] != 73] + [(90, "é" * 300), (91, "é" * 260), (92, "q" * 99), (93, "q" * 99)]
     first: dict = {}
