@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from quarry.functions import text as T
-from quarry.operators import bodies, catalog, checks, chunking, mining, release, resolve, stores, versions
+from quarry.operators import bodies, catalog, checks, chunking, mining, release, resolve, stores, versions, vocabulary
 from quarry.plans import sqlapi, tools
 from quarry.session import scratch, ship, table
 from quarry.sources import markdown, registries
@@ -784,3 +784,63 @@ def normalize_documents(spark: SparkSession, d: str) -> DataFrame:
         return [(hashlib.md5(got["body"].encode()).hexdigest(), len(got["revisions"]), len(got["tables"]), sum(v == bodies.UNRESOLVED for v in got["links"].values()))]
 
     return _rows_of(_built_bodies(spark, d), each, "l_orderkey long, digest string, revisions int, tables int, unresolved int")
+
+
+# Studies of a vocabulary
+
+
+@query("""WITH p AS (SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'file' WHEN 1 THEN 'routine' ELSE 'build' END AS type, CASE p_size % 3 WHEN 0 THEN (100 + p_partkey % 60)::VARCHAR WHEN 1 THEN split_part(p_name, ' ', 1) ELSE p_type END AS surface FROM part),
+    v AS (SELECT DISTINCT upper(split_part(p_name, ' ', 1)) AS word FROM part WHERE p_partkey % 7 = 0),
+    r AS (SELECT p.*, n_name, CASE type WHEN 'build' THEN 'unchecked' WHEN 'file' THEN CASE WHEN n_name IS NULL THEN 'not-a-file' ELSE 'valid' END ELSE CASE WHEN upper(surface) IN (SELECT word FROM v) THEN 'valid' ELSE 'unknown-to-the-measured-model' END END AS recognised
+        FROM p LEFT JOIN nation ON type = 'file' AND surface = (100 + n_nationkey)::VARCHAR)
+    SELECT p_partkey, type, surface, recognised, CASE WHEN type <> 'file' THEN 'inert-no-landing-place' WHEN recognised <> 'valid' THEN 'inert-not-a-real-file' WHEN contains(n_name, ' ') THEN 'would-expand' ELSE 'inert-guards-drop-it' END AS reach, coalesce(n_name, '') AS canonical_name FROM r""")
+def candidate_quality(spark: SparkSession, d: str) -> DataFrame:
+    k, word = F.col("p_size") % 3, F.split("p_name", " ")[0]
+    surface = F.when(k == 0, (F.col("p_partkey") % 60 + 100).cast("string")).when(k == 1, word).otherwise(F.col("p_type"))
+    part = table(spark, d, "part")
+    proposals = part.select("p_partkey", F.when(k == 0, "file").when(k == 1, "routine").otherwise("build").alias("type"), surface.alias("surface"))
+    files = table(spark, d, "nation").select(F.lit("file").alias("type"), (F.col("n_nationkey") + 100).cast("string").alias("surface"), F.col("n_name").alias("name"))
+    routines = part.where("p_partkey % 7 = 0").select(F.lit("routine").alias("type"), word.alias("surface"), F.lit("").alias("name"))
+    return vocabulary.candidate_quality(proposals, files.unionByName(routines), "file", ["file"])
+
+
+_FORMS = """WITH m AS (SELECT DISTINCT l_partkey % 50 AS number, l_orderkey AS doc, CASE l_linenumber % 3 WHEN 0 THEN 'number' WHEN 1 THEN 'name' ELSE 'global' END AS form, l_quantity > 25 AS c FROM lineitem WHERE l_partkey % 50 > 2 AND (l_partkey % 5 <> 1 OR l_linenumber % 3 <> 0)),
+    o AS (SELECT number, doc, bool_or(form = 'number') AS n, bool_or(form = 'name') AS w, bool_or(form = 'global') AS g, bool_or(form = 'name' AND c) AS k FROM m GROUP BY number, doc),
+    f AS (SELECT number, 'file ' || number AS name, count(*) FILTER (n) AS number_docs, count(*) FILTER (w) AS name_docs, count(*) FILTER (g) AS global_docs, count(*) FILTER (k) AS context_docs, count(*) FILTER (w AND NOT n) AS name_only_docs, count(*) FILTER (n AND NOT w) AS number_only_docs,
+        count(*) FILTER (k AND NOT n) AS context_only_docs, bool_or(n)::INT + bool_or(w)::INT + bool_or(g)::INT AS forms FROM o GROUP BY number)"""
+
+
+def _forms(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("l_linenumber") % 3
+    said = table(spark, d, "lineitem").where("l_partkey % 50 > 2 AND (l_partkey % 5 <> 1 OR l_linenumber % 3 <> 0)")
+    mentions = said.select((F.col("l_partkey") % 50).alias("number"), F.col("l_orderkey").alias("doc"), F.when(k == 0, "number").when(k == 1, "name").otherwise("global").alias("form"), (F.col("l_quantity") > 25).alias("in_context"))
+    files = spark.range(60).select(F.col("id").alias("number"), F.concat(F.lit("file "), F.col("id").cast("string")).alias("name"))
+    return vocabulary.mention_forms(files, mentions)
+
+
+@query(f"{_FORMS} SELECT * FROM f")
+def mention_forms(spark: SparkSession, d: str) -> DataFrame:
+    return _forms(spark, d)
+
+
+@query(f"""{_FORMS} SELECT count(*) AS mentioned, count(*) FILTER (forms >= 2) AS several_forms, count(*) FILTER (name_only_docs > 0 AND number_docs > 0) AS split_raw, count(*) FILTER (context_only_docs > 0 AND number_docs > 0) AS split_anchored,
+    count(*) FILTER (number_docs > 0 AND name_docs = 0) AS number_only, count(*) FILTER (name_docs > 0 AND number_docs = 0) AS name_only,
+    coalesce(sum(name_only_docs) FILTER (number_docs > 0), 0)::BIGINT AS pairs_raw, coalesce(sum(context_only_docs) FILTER (number_docs > 0), 0)::BIGINT AS pairs_anchored FROM f""")
+def form_totals(spark: SparkSession, d: str) -> DataFrame:
+    return vocabulary.form_totals(_forms(spark, d))
+
+
+@query("""WITH e AS (SELECT s_nationkey, max(s_suppkey) AS line, arg_max(s_name, s_suppkey) AS purpose FROM supplier WHERE s_suppkey % 3 = 0 GROUP BY s_nationkey),
+    x AS (SELECT c_custkey, c_name, c_nationkey, c_custkey % 4 <> 3 AS s, i.line AS a, i.purpose AS ap, e.line AS b, e.purpose AS bp, r_name FROM customer LEFT JOIN (SELECT s_suppkey AS line, s_name AS purpose FROM supplier WHERE s_suppkey % 3 = 0) i ON c_custkey = i.line
+        LEFT JOIN e ON c_custkey % 2 = 0 AND c_nationkey = s_nationkey LEFT JOIN region ON c_custkey % 50 = r_regionkey)
+    SELECT 'c' || c_custkey AS abbr, CASE WHEN NOT s THEN 'excluded' WHEN coalesce(a, b) IS NOT NULL THEN 'profile' WHEN r_name IS NOT NULL THEN 'fallback' ELSE 'needs-fallback' END AS kind,
+    CASE WHEN NOT s THEN NULL WHEN coalesce(a, b) IS NOT NULL THEN 'registry' WHEN r_name IS NOT NULL THEN 'manual' END AS source, CASE WHEN NOT s THEN NULL WHEN a IS NOT NULL THEN 'appid' WHEN b IS NOT NULL THEN 'namespace' END AS match,
+    CASE WHEN NOT s THEN NULL WHEN a IS NOT NULL THEN 'high' WHEN b IS NOT NULL THEN 'medium' WHEN r_name IS NOT NULL THEN 'low' END AS confidence, CASE WHEN s THEN coalesce(a, b) END AS line, CASE WHEN s THEN coalesce(ap, bp, r_name) END AS purpose,
+    CASE WHEN NOT s THEN c_name || ' — inactive' WHEN coalesce(a, b) IS NULL AND r_name IS NULL THEN c_name END AS note FROM x""")
+def seeded_profiles(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("c_custkey").cast("string")
+    abbr, land = F.concat(F.lit("c"), key), F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))
+    apps = table(spark, d, "customer").select(abbr.alias("abbr"), F.col("c_name").alias("name"), key.alias("appid"), F.when(F.col("c_custkey") % 2 == 0, land).otherwise("").alias("namespace"), (F.col("c_custkey") % 4 != 3).alias("in_scope"), F.lit("inactive").alias("reason"), (F.col("c_custkey") % 50).alias("k"))
+    entries = table(spark, d, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").cast("string").alias("appid"), F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("namespace"), F.col("s_suppkey").cast("long").alias("line"), F.col("s_name").alias("purpose"))
+    fallbacks = apps.join(table(spark, d, "region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("purpose")), "k").select("abbr", "purpose")
+    return vocabulary.seed_profiles(apps.drop("k"), entries, fallbacks)
