@@ -844,3 +844,18 @@ def seeded_profiles(spark: SparkSession, d: str) -> DataFrame:
     entries = table(spark, d, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_suppkey").cast("string").alias("appid"), F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("namespace"), F.col("s_suppkey").cast("long").alias("line"), F.col("s_name").alias("purpose"))
     fallbacks = apps.join(table(spark, d, "region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("purpose")), "k").select("abbr", "purpose")
     return vocabulary.seed_profiles(apps.drop("k"), entries, fallbacks)
+
+
+@query("""SELECT o_orderkey AS l_orderkey, 'Order' || chr(10) || chr(10) || CASE WHEN o_orderkey % 2 = 0 THEN '```console' ELSE '```mumps' END || chr(10) || CASE WHEN o_orderkey % 2 = 0 THEN '>' ELSE '' END || 'S X=' || o_orderkey || chr(10) || 'W $P(X,1)' || chr(10) || '```' || chr(10) || chr(10) || 'If the call (x)' AS fenced,
+    1::BIGINT AS blocks, (1 - o_orderkey % 2)::BIGINT AS consoles, (2 - o_orderkey % 2)::BIGINT AS unescaped FROM orders""")
+def code_fences(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("o_orderkey").cast("string")
+    prompt = F.when(F.col("o_orderkey") % 2 == 0, "\\>").otherwise("")
+    body = F.concat(F.lit("Order\n**"), prompt, F.lit("S X="), key, F.lit("**\n\nW \\$P(X,1)\nIf the call (x)"))
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), body.alias("body"))
+
+    def each(b):
+        new, told = bodies.fence_code(b)
+        return [(new, told.blocks, told.consoles, told.unescaped)]
+
+    return _rows_of(rows, each, "l_orderkey long, fenced string, blocks long, consoles long, unescaped long")

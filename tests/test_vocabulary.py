@@ -11,10 +11,10 @@ from quarry.sources.sqlite import sqlite_table
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["candidate_quality", "mention_forms", "form_totals", "seeded_profiles"])
+@pytest.mark.parametrize("name", ["candidate_quality", "mention_forms", "form_totals", "seeded_profiles", "code_fences"])
 def test_against_sql(spark, name):
     db = duckdb.connect()
-    for t in ("part", "nation", "lineitem", "customer", "supplier", "region"):
+    for t in ("part", "nation", "lineitem", "customer", "supplier", "region", "orders"):
         db.sql(f"CREATE VIEW {t} AS FROM '{SF}/{t}.parquet'")
     got = library_queries.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
