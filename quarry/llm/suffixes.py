@@ -9,8 +9,10 @@ an earlier start). All strings that can be equal meet in one shard, whatever doc
 2. A count-min estimate of anchors (as for words, quarry.llm.substring) gives each block one bit for each anchor:
    perhaps in another block. Contexts whose anchor is neither that nor repeated in the block are done.
 3. Equal contexts of a block are one: its first place is kept, and all later ones are repeats as a whole.
-   Each distinct context goes to the shard of its anchor with its first place.
-4. A shard's task takes each distinct context once and sorts the suffixes of their concatenation with common
+   Each distinct context goes to the shard of its anchor with its first place. Shards are sent in groups, as one
+   message from a block, so that messages do not grow with blocks times shards.
+4. A group's task parts the messages into shards, in a file of its own beyond a bound, and takes shard by shard. Of
+   a shard it takes each distinct context once and sorts the suffixes of their concatenation with common
    prefixes (quarry.llm.induced). Neighbours that share 100 bytes are equal strings; the earliest place of each
    class is known, and each sent context gets back one bit for each of its strings: starts earlier elsewhere.
 5. Each block removes covered bytes.
@@ -18,10 +20,11 @@ an earlier start). All strings that can be equal meet in one shard, whatever doc
 An anchor may stand in many documents between differing text, so that its contexts are all distinct and all in
 one shard. Blocks therefore send, with their anchors, how many distinct contexts each has there beyond the first.
 An anchor whose sum passes HOT_CONTEXTS is split in all blocks: each of its strings goes to a shard of strings
-by its own 128-bit hash, which equal strings share, and is compared there by that hash.
+by its own 128-bit hash, which equal strings share, and is compared there by that hash. The number of these shards
+follows the number of such strings.
 
 A context or string that stands in a third of all documents costs an entry for each block. Nothing is broadcast;
-no task holds more than one block, band or shard.
+no task holds more than one block, band or shard, and of a group the places of its contexts.
 
 Defined results for odd input: null and empty texts have no bytes; documents of fewer than 100 bytes lose nothing;
 rows with the same doc_id count as one document by start (equal starts do not remove each other); a null doc_id
@@ -31,6 +34,8 @@ counts as larger than all others; an empty table gives no rows; other columns ar
 from __future__ import annotations
 
 import hashlib
+import itertools
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,16 +45,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.induced import suffix_array
-from quarry.llm.substring import _R1, _R2, BLOCK_BYTES, NULL_ID, TASK_BYTES, coded, decoded, distinct, grouped, mixed, one_by_one, packed, unpacked
+from quarry.llm.induced import HELD, suffix_array
+from quarry.llm.substring import _R1, _R2, NULL_ID, TASK_BYTES, coded, decoded, distinct, grouped, mixed, one_by_one, packed, unpacked
 from quarry.session import drop_staged, release, scratch, ship, shuffles_removed, staged, table
 
 LENGTH = 100
 GRAM = 32
+#: Bytes of a block, and of whole documents in it whose contexts are found at once.
+BLOCK_BYTES, PIECE_BYTES = 4_000_000, 128_000
 #: Bytes of contexts that one shard should hold (its task reads them at once, and gives all strings their classes), and the least number of shards (as a power of two).
 SHARD_BYTES, SHARD_BITS = 8_000_000, 7
-#: Distinct contexts of an anchor, beyond one a block, from which it is split; binary digits by which shards of strings are more.
-HOT_CONTEXTS, STRING_BITS = 8192, 2
+#: Bytes of contexts that one group of shards should hold; there are as many groups as shards until shards are more than the least number.
+GROUP_BYTES = 64_000_000
+#: Distinct contexts of an anchor, beyond one a block, from which it is split.
+HOT_CONTEXTS = 8192
+#: Strings of split anchors that one shard of strings should hold; these shards have the same least number.
+SHARD_STRINGS = 2_000_000
 #: Anchors that one band's task may merge, the least number of bands, and log2 of the cells of a row of the largest count-min table.
 BAND_ANCHORS, BANDS, CELL_BITS = 16_000_000, 64, 26
 _R = np.uint64(0x9E3779B97F4A7C15)
@@ -110,6 +121,18 @@ def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 def contexts(data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First string's place in the block, number of strings, document and anchor hash of every context."""
+    ends = np.cumsum(lengths)
+    found, d, at = [], 0, 0
+    while d < len(lengths) or not found:
+        e = max(d + 1, int(np.searchsorted(ends, at + PIECE_BYTES)))
+        end = int(ends[min(e, len(ends)) - 1]) if len(ends) else 0
+        first, count, doc, h = _contexts(data[at:end], lengths[d:e])
+        found.append((first + at, count, doc + d, h))
+        d, at = e, end
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _contexts(data: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     raw = np.frombuffer(data, np.uint8)
     n = len(raw) - LENGTH + 1
     nothing = np.zeros(0, np.int64)
@@ -175,13 +198,14 @@ def crowds(data: bytes, first: np.ndarray, count: np.ndarray, q: np.ndarray) ->
     return values[more > 0], more[more > 0]
 
 
-def split_anchors(blobs: list[bytes | None], bound: int) -> np.ndarray:
-    """Sorted anchors of a band whose contexts beyond the first of each block pass the bound. blobs: numbers from crowds()."""
+def split_anchors(blobs: list[bytes | None], bound: int) -> tuple[np.ndarray, int]:
+    """Sorted anchors of a band whose contexts beyond the first of each block pass the bound, and the sum of these contexts. blobs: numbers from crowds()."""
     both = [np.frombuffer(unpacked(x), np.uint32).reshape(2, -1) for x in blobs if x is not None]
     if not both:
-        return np.zeros(0, np.uint32)
+        return np.zeros(0, np.uint32), 0
     values, back = np.unique(np.concatenate([x[0] for x in both]), return_inverse=True)
-    return values[np.bincount(back, np.concatenate([x[1] for x in both])) > bound]
+    sums = np.bincount(back, np.concatenate([x[1] for x in both]))
+    return values[sums > bound], int(sums[sums > bound].sum())
 
 
 def _later(keys: tuple[np.ndarray, ...], doc: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -244,6 +268,33 @@ def shard_answers(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, bytes]])
     return np.split(_later_in(klass, classes, doc, start), np.cumsum([int(p[2].sum()) for p in parts])[:-1])
 
 
+def group_answers(messages: Iterator[tuple[int, int, bytes]], shards: int, held: int = HELD) -> tuple[list[int], list[np.ndarray]]:
+    """Senders, and shard_answers() for the contexts of each, one shard of the group after another.
+
+    A message: sender, number of contexts, and as bytes the numbers of contexts by shard, then ids, starts and counts of strings, then the contexts' bytes."""
+    senders, numbers, cuts, places = [], [], [], []
+    with tempfile.SpooledTemporaryFile(held) as file:
+        for sender, n, blob in messages:
+            cut = np.concatenate(([0], np.cumsum(np.frombuffer(blob, np.int64, shards))))
+            three = np.frombuffer(blob, np.int64, 3 * n, 8 * shards).reshape(3, n).copy()
+            sizes = np.concatenate(([0], np.cumsum(three[2] + LENGTH - 1)))
+            senders.append(sender)
+            numbers.append(three)
+            cuts.append(cut)
+            places.append(file.tell() + sizes[cut])
+            file.write(memoryview(blob)[8 * (shards + 3 * n) :])
+        answers: list[list[np.ndarray]] = [[] for _ in senders]
+        for k in range(shards):
+            some = [m for m, cut in enumerate(cuts) if cut[k + 1] > cut[k]]
+            parts = []
+            for m in some:
+                file.seek(int(places[m][k]))
+                parts.append((*numbers[m][:, cuts[m][k] : cuts[m][k + 1]], file.read(int(places[m][k + 1] - places[m][k]))))
+            for m, later in zip(some, shard_answers(parts) if parts else [], strict=True):
+                answers[m].append(later)
+    return senders, [np.concatenate(x) for x in answers]
+
+
 def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES, hot: int = HOT_CONTEXTS) -> DataFrame:
     """docs(doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept (bytes left), kept_sha256."""
     spark = docs.sparkSession
@@ -259,6 +310,8 @@ def _remove_repeats(spark: SparkSession, docs: DataFrame, block_bytes: int, hot:
     total = blocks.agg(F.sum("size")).first()[0] or 0
     lb = band_bits(total)
     sb = max(SHARD_BITS, int(np.ceil(np.log2(max(1, total / SHARD_BYTES)))))
+    gb = max(SHARD_BITS, int(np.ceil(np.log2(max(1, total / GROUP_BYTES)))))
+    sb = max(sb, gb)
     drop = np.uint64(32 - lb)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
 
@@ -280,16 +333,20 @@ def _remove_repeats(spark: SparkSession, docs: DataFrame, block_bytes: int, hot:
         for band, rows in grouped(batches, "band"):
             sent = [decoded(r["blob"]) for r in rows]
             marks = count_min(sent)
-            split = split_anchors([r["more"] for r in rows], hot)
+            split, crowd = split_anchors([r["more"] for r in rows], hot)
             bits = [np.packbits(m).tobytes() for m in marks]
             for k, q in enumerate(sent if len(split) else []):  # a second row of bits where an anchor is split
                 found = np.isin(q, split)
                 bits[k] += np.packbits(found).tobytes() if found.any() else b""
-            yield pa.RecordBatch.from_pydict({"block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([band] * len(rows), pa.int64()), "blob": pa.array(bits, pa.binary()), "n": pa.array([len(m) for m in marks], pa.int64())})
+                crowd += int(found.sum())
+            yield pa.RecordBatch.from_pydict({"block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([band] * len(rows), pa.int64()), "blob": pa.array(bits, pa.binary()), "n": pa.array([len(m) for m in marks], pa.int64()), "crowd": pa.array([crowd] + [0] * (len(rows) - 1), pa.int64())})
 
     sketches = blocks.select("block", "lengths", "bytes").mapInArrow(sketch, "band long, block long, blob binary, more binary")
-    marks = staged(sketches.repartition(max(tasks, 1 << lb), "band").sortWithinPartitions("band", "block").mapInArrow(merge, "block long, part long, blob binary, n long"), "anchor-estimates")
+    marks = staged(sketches.repartition(max(tasks, 1 << lb), "band").sortWithinPartitions("band", "block").mapInArrow(merge, "block long, part long, blob binary, n long, crowd long"), "anchor-estimates")
     release(spark)
+    # Contexts of split anchors, of about half as many strings as one can have.
+    strings = (marks.agg(F.sum("crowd")).first()[0] or 0) * (LENGTH - GRAM + 1) / 2
+    tb = max(SHARD_BITS, int(np.ceil(np.log2(max(1, strings / SHARD_STRINGS)))))
 
     names = ["kind", "part", "block", "n", "doc_id", "n_bytes", "sha", "blob", "ids", "nulls", "lengths", "bytes"]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
@@ -335,7 +392,7 @@ def _remove_repeats(spark: SparkSession, docs: DataFrame, block_bytes: int, hot:
             first, doc, count = np.concatenate((first[whole], _ranges(first[split], n))), np.concatenate((doc[whole], np.repeat(doc[split], n))), np.concatenate((count[whole], np.ones(n.sum(), np.int64)))
             a, b = _chosen(data, first, count)
             start = first - begin[doc]
-            shard = np.concatenate((h[whole] >> np.uint64(64 - sb), np.uint64(1 << sb) + (a[whole.sum() :] >> np.uint64(64 - sb - STRING_BITS)))).astype(np.int64)
+            shard = np.concatenate((h[whole] >> np.uint64(64 - sb), np.uint64(1 << sb) + (a[whole.sum() :] >> np.uint64(64 - tb)))).astype(np.int64)
             by = np.lexsort((start, ids[doc], b, a, shard))
             new = np.ones(len(by), bool)
             new[1:] = (a[by][1:] != a[by][:-1]) | (b[by][1:] != b[by][:-1])
@@ -349,14 +406,18 @@ def _remove_repeats(spark: SparkSession, docs: DataFrame, block_bytes: int, hot:
             info = np.concatenate((start, count, places, entry, same.astype(np.int64))).astype("<i8").tobytes()
             text = b"".join(data[begin[d] : begin[d] + lengths[d]] for d in held)
             yield out([{"kind": "t", "block": block, "part": -1, "n": len(first), "ids": ids[held].tobytes(), "nulls": np.packbits(nulls[held]).tobytes(), "lengths": lengths[held].tobytes(), "bytes": packed(text), "blob": packed(info)}])
-            edges = np.searchsorted(shard[lead], np.arange((1 << sb) + (1 << sb + STRING_BITS) + 1))
+            # A message to each group of shards, and to each shard of strings.
+            shard = shard[lead]
+            part = np.where(shard >> sb, shard - (1 << sb) + (1 << gb), shard >> (sb - gb))
+            edges = np.searchsorted(part, np.arange((1 << gb) + (1 << tb) + 1))
             sent = []
             for p in np.flatnonzero(np.diff(edges)):
                 e = lead[edges[p] : edges[p + 1]]
-                if p >> sb:
+                if p >> gb:
                     sent.append({"kind": "c", "block": block, "part": int(p), "n": len(e), "blob": packed(np.stack((a[e].view(np.int64), b[e].view(np.int64), ids[doc[e]], start[e])).astype("<i8").tobytes())})
                     continue
-                numbers = np.concatenate((ids[doc[e]], start[e], count[e])).astype("<i8").tobytes()
+                of = np.bincount(shard[edges[p] : edges[p + 1]] & ((1 << sb - gb) - 1), minlength=1 << sb - gb)
+                numbers = np.concatenate((of, ids[doc[e]], start[e], count[e])).astype("<i8").tobytes()
                 sent.append({"kind": "c", "block": block, "part": int(p), "n": len(e), "blob": packed(numbers + b"".join(data[x : x + c + LENGTH - 1] for x, c in zip(first[e].tolist(), count[e].tolist(), strict=True)))})
             yield out(sent)
 
@@ -371,21 +432,21 @@ def _remove_repeats(spark: SparkSession, docs: DataFrame, block_bytes: int, hot:
     stored = spark.read.schema("part long, block long, n long, doc_id long, n_bytes long, sha string, blob binary, ids binary, nulls binary, lengths binary, bytes binary, kind string").parquet(path)
 
     def sort_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, rows in grouped(batches, "part"):
-            parts = []
-            for r in rows:
-                blob, n = unpacked(r["blob"]), r["n"]
-                r["blob"] = None
-                if part >> sb:
+        rows = (r for batch in batches for r in one_by_one(batch))
+        for part, own in itertools.groupby(rows, lambda r: r["part"]):
+            messages = ((r["block"], r["n"], unpacked(r["blob"])) for r in own)
+            if part >> gb:
+                senders, parts = [], []
+                for sender, n, blob in messages:
+                    senders.append(sender)
                     parts.append(np.frombuffer(blob, np.int64).reshape(4, n))
-                    continue
-                numbers = np.frombuffer(blob, np.int64, 3 * n).reshape(3, n)
-                parts.append((numbers[0], numbers[1], numbers[2], blob[24 * n :]))
-            later = string_answers(parts) if part >> sb else shard_answers(parts)
-            yield pa.RecordBatch.from_pydict({"block": pa.array([r["block"] for r in rows], pa.int64()), "part": pa.array([part] * len(rows), pa.int64()), "blob": pa.array([np.packbits(x).tobytes() for x in later], pa.binary()), "n": pa.array([len(x) for x in later], pa.int64())})
+                later = string_answers(parts)
+            else:
+                senders, later = group_answers(messages, 1 << sb - gb)
+            yield pa.RecordBatch.from_pydict({"block": pa.array(senders, pa.int64()), "part": pa.array([part] * len(senders), pa.int64()), "blob": pa.array([np.packbits(x).tobytes() for x in later], pa.binary()), "n": pa.array([len(x) for x in later], pa.int64())})
 
     sent = stored.where("kind = 'c'").select("part", "block", "n", "blob")
-    answers = staged(sent.repartition(max(tasks, 1 << sb), "part").sortWithinPartitions("part", "block").mapInArrow(sort_shard, "block long, part long, blob binary, n long"), "string-answers")
+    answers = staged(sent.repartition(max(tasks, 1 << gb), "part").sortWithinPartitions("part", "block").mapInArrow(sort_shard, "block long, part long, blob binary, n long"), "string-answers")
     release(spark)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

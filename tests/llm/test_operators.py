@@ -421,6 +421,42 @@ def test_suffix_dedup_splits_an_anchor_of_every_document(spark, monkeypatch):
         assert max(r[1] for r in sent) < 0.05 * sum(r[1] for r in sent)
 
 
+def test_suffix_messages_do_not_grow_with_blocks_times_shards(spark, monkeypatch):
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    docs = [(i, letters(600)) for i in range(80)]
+    docs += [(100 + i, letters(30) + docs[i][1][50:] + letters(20)) for i in range(80)]
+    paths = []
+    monkeypatch.setattr(suffixes, "scratch", lambda s, name: paths.append((name, scratch(s, name))) or paths[-1][1])
+    monkeypatch.setattr(suffixes, "SHARD_BYTES", 40)  # as many shards as 16 GB have
+    for hot in (suffixes.HOT_CONTEXTS, 0):
+        paths.clear()
+        got = suffixes.remove_repeats(make(spark, docs), 20_000, hot=hot).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        assert collections.Counter(map(tuple, got)) == brute_suffixes(docs)
+        sent = [r[1] for r in spark.read.parquet(dict(paths)["contexts"]).where("kind = 'c'").groupBy("block").count().collect()]
+        assert len(sent) > 1 and max(sent) <= 2 << suffixes.SHARD_BITS
+
+
+def test_suffix_groups_part_their_messages_on_disk():
+    rng = random.Random(10)
+    letters = lambda n: bytes(rng.choice(b"abc") for _ in range(n))
+    shared, shards, messages, want = [letters(120) for _ in range(40)], 4, [], [[] for _ in range(6)]
+    places = [[[(rng.randrange(50), rng.randrange(9000), rng.choice(shared)) for _ in range(rng.randrange(4))] for _ in range(shards)] for _ in range(6)]
+    blob = lambda part: np.array([[x[0] for x in part], [x[1] for x in part], [len(x[2]) - 99 for x in part]], np.int64)
+    for m, own in enumerate(places):
+        every = [x for part in own for x in part]
+        messages.append((m, len(every), np.array([len(part) for part in own], np.int64).tobytes() + blob(every).tobytes() + b"".join(x[2] for x in every)))
+    for k in range(shards):
+        answers = suffixes.shard_answers([(*blob(own[k]), b"".join(x[2] for x in own[k])) for own in places])
+        for m in range(6):
+            want[m] += answers[m].tolist()
+    messages = [x for x in messages if x[1]]
+    assert any(any(w) for w in want)
+    for held in (1000, 10**6):
+        senders, got = suffixes.group_answers(iter(messages), shards, held)
+        assert senders == [x[0] for x in messages] and [x.tolist() for x in got] == [want[m] for m in senders]
+
+
 def test_cover_tree(spark, monkeypatch):
     monkeypatch.setattr(covertree, "CELL", 60)
     rng = np.random.default_rng(1)
