@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quarry.llm.codes import OP11_SQL, op11_codes
 from quarry.llm.covertree import OP6_SQL, op6_covertree
 from quarry.llm.decontaminate import OP10_SQL, op10_decontaminate
 from quarry.llm.packing import op3_packing
@@ -10,7 +11,9 @@ from quarry.llm.quality import op1_quality
 from quarry.llm.simhash import op9_simhash
 from quarry.llm.substring import OP5_SQL, op5_substring
 from quarry.llm.suffixes import op8_suffixes
+from quarry.llm.topk import OP12_SQL, op12_topk
 from quarry.llm.toxicity import op7_toxicity
+from quarry.llm.wand import OP13_SQL, op13_wand
 from quarry.llm.warc import OP4_SQL, op4_warc
 
 QUERIES = {
@@ -24,5 +27,8 @@ QUERIES = {
     "op8_suffixes": op8_suffixes,
     "op9_simhash": op9_simhash,
     "op10_decontaminate": op10_decontaminate,
+    "op11_codes": op11_codes,
+    "op12_topk": op12_topk,
+    "op13_wand": op13_wand,
 }
-ORACLES = {"op4_warc": OP4_SQL, "op5_substring": OP5_SQL, "op6_covertree": OP6_SQL, "op10_decontaminate": OP10_SQL}
+ORACLES = {"op4_warc": OP4_SQL, "op5_substring": OP5_SQL, "op6_covertree": OP6_SQL, "op10_decontaminate": OP10_SQL, "op11_codes": OP11_SQL, "op12_topk": OP12_SQL, "op13_wand": OP13_SQL}
