@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import search
+from quarry.session import staged
 
 
 def ranking_metrics(ranked: DataFrame, judged: DataFrame, k: int = 10) -> DataFrame:
@@ -56,18 +56,79 @@ def content_hash(rows: DataFrame, columns: list[str]) -> DataFrame:
     return parts.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "bucket", F.col("s").cast("string"), F.col("n").cast("string")))), "\n"), 256).alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
-def golden_scores(spark: SparkSession, path: str, queries: list[tuple[str, str]], judged: DataFrame, k: int = 10, weights: Mapping[str, float] | None = None, facets: Mapping[str, Mapping[str, list[str]]] | None = None) -> DataFrame:
-    """queries (id, text), judged(query, item, grade) -> the metrics of each query over an index; facets narrow a query by its id.
-
-    Each query reads its own terms of the index; a result has k rows."""
-    ranked = [search.search(spark, path, text, k, (facets or {}).get(name), weights=weights) for name, text in queries]
-    key = spark.read.parquet(f"{path}/meta").first()["key"]
-    rows = [r.select(F.lit(name).alias("query"), F.col(key).alias("item"), "rank") for (name, _), r in zip(queries, ranked, strict=True)]
-    return ranking_metrics(reduce(DataFrame.unionByName, rows), judged, k)
-
-
-def sweep(spark: SparkSession, path: str, queries: list[tuple[str, str]], judged: DataFrame, grid: list[Mapping[str, float]], k: int = 10) -> list[dict]:
-    """The mean nDCG of each point of a grid of weights against the first, and which queries it makes worse: it is to be taken only if none."""
-    scored = [{r["query"]: r["ndcg"] or 0.0 for r in golden_scores(spark, path, queries, judged, k, w).collect()} for w in grid]
-    mean = lambda s: sum(s.values()) / max(1, len(s))
-    return [{"weights": dict(w), "ndcg": round(mean(s), 6), "worse": sorted(q for q in scored[0] if s.get(q, 0.0) < scored[0][q] - 1e-9), "adopt": mean(s) > mean(scored[0]) and all(s.get(q, 0.0) >= scored[0][q] - 1e-9 for q in scored[0])} for w, s in zip(grid, scored, strict=True)]
+def metrics_by_point(ranked: DataFrame, judged: DataFrame, points: int, k: int = 10) -> DataFrame:
+    """ranked(query, point, item, rank), judged(query, item, grade) -> (query, point, ndcg, rr, recall) for every judged query and point."""
+    named = F.struct("query", "point").alias("query")
+    every = judged.select("query", "item", "grade", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    found = ranking_metrics(ranked.select(named, "item", "rank"), every.select(named, "item", "grade"), k)
+    return found.select("query.query", "query.point", "ndcg", "rr", "recall")
+
+
+def golden_scores(spark: SparkSession, path: str, queries: DataFrame | list[tuple[str, str]], judged: DataFrame, k: int = 10, grid: Sequence[Mapping[str, float] | None] = (None,), facets: DataFrame | None = None) -> DataFrame:
+    """queries(query, text), judged(query, item, grade) -> (query, point, ndcg, rr, recall) over an index, all queries and points in one pass; facets
+    narrow queries as in search_many()."""
+    if not isinstance(queries, DataFrame):
+        queries = spark.createDataFrame(queries, "query string, text string")
+    ranked = search.search_many(spark, path, queries, k, grid, facets)
+    key = next(c for c in ranked.columns if c not in ("query", "point", "rank", "score"))
+    return metrics_by_point(ranked.withColumnRenamed(key, "item"), judged, len(grid), k)
+
+
+def sweep(spark: SparkSession, path: str, queries: DataFrame | list[tuple[str, str]], judged: DataFrame, grid: Sequence[Mapping[str, float]], k: int = 10) -> DataFrame:
+    """(point, ndcg, delta, improved, regressed, worst, regressed_queries, adopt) of each point of a grid of weights against the first.
+
+    A point is to be adopted only if its mean is better and no query is worse. The list of worse queries is as long as the
+    judged set at most."""
+    scored = staged(golden_scores(spark, path, queries, judged, k, grid), "sweep")
+    shipped = scored.where("point = 0").select("query", F.col("ndcg").alias("shipped"))
+    both = scored.join(shipped, "query").withColumn("change", F.col("ndcg") - F.col("shipped"))
+    better, worse = F.col("change") > 1e-9, F.col("change") < -1e-9
+    told = both.groupBy("point").agg(
+        F.round(F.avg("ndcg"), 6).alias("ndcg"), F.round(F.avg("change"), 6).alias("delta"), F.count_if(better).alias("improved"), F.count_if(worse).alias("regressed"),
+        F.round(F.coalesce(F.min(F.when(worse, F.col("change"))), F.lit(0.0)), 6).alias("worst"), F.sort_array(F.collect_list(F.when(worse, F.col("query")))).alias("regressed_queries"),
+    )
+    return told.withColumn("adopt", (F.col("regressed") == 0) & (F.col("delta") > 0))
+
+
+def implied_facets(judged: DataFrame, chunks: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
+    """(query, a list of one value for each facet) of the best judged item of each query (of equals the smallest): what one who knows the answer would narrow by."""
+    best = judged.where("grade > 0").groupBy("query").agg(F.min_by("item", F.struct((-F.col("grade")).alias("g"), "item")).alias("item"))
+    return best.join(chunks, best["item"] == chunks[key]).select("query", *[F.array(F.col(c)).alias(c) for c in names])
+
+
+def faceted(spark: SparkSession, path: str, queries: DataFrame, judged: DataFrame, names: Sequence[str], k: int = 10) -> DataFrame:
+    """(query, open, faceted, change): nDCG of a search of everything, and of one narrowed by implied_facets()."""
+    from quarry.operators.index import Index
+
+    ix = Index(spark, path)
+    facets = implied_facets(judged, ix.chunks(), ix.key, names)
+    wide = golden_scores(spark, path, queries, judged, k).select("query", F.col("ndcg").alias("open"))
+    narrow = golden_scores(spark, path, queries, judged, k, facets=facets).select("query", F.col("ndcg").alias("faceted"))
+    return wide.join(narrow, "query").withColumn("change", F.round(F.col("faceted") - F.col("open"), 6))
+
+
+def reached(spark: SparkSession, path: str, questions: DataFrame, answers: DataFrame, k: int = 10) -> DataFrame:
+    """questions(subject, form, text), answers(subject, item) -> (subject, form, reached): whether an answer is among the k best, all questions in one pass."""
+    named = questions.select(F.struct("subject", "form").alias("query"), "text")
+    ranked = search.search_many(spark, path, named, k)
+    key = next(c for c in ranked.columns if c not in ("query", "point", "rank", "score"))
+    hits = ranked.select("query.subject", "query.form", F.col(key).alias("item")).join(answers, ["subject", "item"], "left_semi").select("subject", "form").distinct()
+    return questions.select("subject", "form").distinct().join(hits.withColumn("reached", F.lit(True)), ["subject", "form"], "left").withColumn("reached", F.coalesce("reached", F.lit(False)))
+
+
+def vocabulary_cost(spark: SparkSession, path: str, files: DataFrame, answers: DataFrame, k: int = 10) -> DataFrame:
+    """files(number, name), answers(number, item) -> one row a file that has answers: (number, answers, by_number, by_name, expanded, both).
+
+    What a search misses that knows a file by its number where the answers know it by name: the question by number, by name, by number with
+    the phrase that an expansion adds (where number and name can make one), and by both, the most that any expansion can reach."""
+    asked = files.join(answers.groupBy("number").agg(F.count("*").alias("answers")), "number")
+    number, name = F.col("number").cast("string"), F.trim("name")
+    by_number = F.concat(F.lit("what is file "), number, F.lit("?"))
+    usable = F.upper(number).rlike("^[A-Z0-9]{3,}$") & (F.size(F.split(name, r"\s+")) >= 2)
+    expanded = F.when(usable, F.concat(by_number, F.lit(" "), F.regexp_replace(F.lower(name), r"\s+", "_"))).otherwise(by_number)
+    forms = {"by_number": by_number, "by_name": F.concat(F.lit("what is the "), name, F.lit(" file?")), "expanded": expanded, "both": F.concat(by_number, F.lit(" "), name)}
+    asked = staged(asked, "vocabulary")
+    questions = asked.select(F.col("number").alias("subject"), F.explode(F.array(*[F.struct(F.lit(f).alias("form"), text.alias("text")) for f, text in forms.items()])).alias("q")).select("subject", "q.form", "q.text")
+    found = reached(spark, path, questions, answers.withColumnRenamed("number", "subject"), k)
+    wide = found.groupBy(F.col("subject").alias("number")).agg(*[F.bool_or((F.col("form") == f) & F.col("reached")).alias(f) for f in forms])
+    return asked.select("number", "answers").join(wide, "number")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -92,10 +92,11 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray, family: np.ndarray, block:
     return out
 
 
-def minhash(docs: DataFrame, key: str = "doc_id", text: str = "text", permutations: int = 128, k: int = 3) -> DataFrame:
-    """(key, signature) with the exact family of coefficients(). Shingles are hashed on the JVM; Arrow batches of hashes, numpy arithmetic."""
-    ship(docs.sparkSession)
+def minhash_of(rows: DataFrame, permutations: int = 128) -> DataFrame:
+    """rows with signature in the place of hashes, arrays of signed_hash(): the exact family of coefficients(), in numpy over Arrow batches."""
+    ship(rows.sparkSession)
     family = np.array([coefficients(i) for i in range(permutations)], np.uint64)
+    kept = [c for c in rows.columns if c != "hashes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,10 +105,15 @@ def minhash(docs: DataFrame, key: str = "doc_id", text: str = "text", permutatio
             found = signatures(column.flatten().to_numpy().view(np.uint64), sizes, family)
             flat = pa.array(found.reshape(-1))
             listed = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * permutations), flat)
-            yield pa.RecordBatch.from_arrays([batch.column(key), listed], names=[key, "signature"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), listed], names=[*kept, "signature"])
+
+    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept)
+    return rows.mapInArrow(run, f"{schema}, signature array<long>")
 
-    rows = docs.select(key, F.transform(shingles(F.coalesce(F.col(text), F.lit("")), k), signed_hash).alias("hashes"))
-    return rows.mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, signature array<long>")
+
+def minhash(docs: DataFrame, key: str = "doc_id", text: str = "text", permutations: int = 128, k: int = 3) -> DataFrame:
+    """(key, signature) of texts. Shingles are hashed on the JVM."""
+    return minhash_of(docs.select(key, F.transform(shingles(F.coalesce(F.col(text), F.lit("")), k), signed_hash).alias("hashes")), permutations)
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -126,18 +132,19 @@ def auto_bands(permutations: int, threshold: float) -> int:
 BUCKET = 256
 
 
-def links(signatures: DataFrame, key: str, threshold: float, bands: int, permutations: int) -> DataFrame:
+def links(signatures: DataFrame, key: str, threshold: float, bands: int, permutations: int, within: Sequence[str] = ()) -> DataFrame:
     """(a, b): forests over all pairs of different signatures that agree on a band and whose estimate reaches the threshold.
 
     A bucket of more than BUCKET members is cut into blocks, and pairs of blocks are compared in tasks of
     their own: a task holds two blocks, and sends back a row for each linked member instead of the pairs.
-    Equal signatures are one class: the smallest key stands for it, so that a group of copies costs no pairs."""
+    Equal signatures are one class: the smallest key stands for it, so that a group of copies costs no pairs. Only rows that
+    are equal in the columns of ``within`` are compared."""
     rows = permutations // bands
     if rows * bands != permutations:
         raise ValueError("bands must divide the signature")
     ship(signatures.sparkSession)
-    one = signatures.groupBy("signature").agg(F.min(key).alias("k"))
-    parts = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("signature", b * rows + 1, rows)).alias("h")) for b in range(bands)])
+    one = signatures.groupBy("signature", *within).agg(F.min(key).alias("k"))
+    parts = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("signature", b * rows + 1, rows), *within).alias("h")) for b in range(bands)])
     each = one.select("k", F.explode(parts).alias("x")).select("k", "x.band", "x.h")
     sizes = each.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1")
     dealt = each.join(sizes, ["band", "h"]).withColumn("blocks", F.ceil(F.col("n") / BUCKET)).withColumn("mine", F.pmod(F.xxhash64("k", "band"), "blocks"))
@@ -163,13 +170,13 @@ def links(signatures: DataFrame, key: str, threshold: float, bands: int, permuta
     return wide.groupBy("band", "h", "i", "j").applyInArrow(meet, f"a {kind}, b {kind}")
 
 
-def clusters(signatures: DataFrame, key: str, threshold: float, permutations: int, bands: int | None = None) -> DataFrame:
-    """(key, cluster): the smallest key of the documents that chains of estimates at the threshold join."""
+def clusters(signatures: DataFrame, key: str, threshold: float, permutations: int, bands: int | None = None, within: Sequence[str] = ()) -> DataFrame:
+    """(key, cluster): the smallest key of the documents that chains of estimates at the threshold join, among those equal in ``within``."""
     bands = bands or auto_bands(permutations, threshold)
-    joined = connected_components(links(signatures, key, threshold, bands, permutations), "a", "b")
-    heads = signatures.groupBy("signature").agg(F.min(key).alias("head"))
-    named = heads.join(joined, heads["head"] == joined["node"], "left").select("signature", F.coalesce("component", "head").alias("cluster"))
-    return signatures.select(key, "signature").join(named, "signature").select(key, "cluster")
+    joined = connected_components(links(signatures, key, threshold, bands, permutations, within), "a", "b")
+    heads = signatures.groupBy("signature", *within).agg(F.min(key).alias("head"))
+    named = heads.join(joined, heads["head"] == joined["node"], "left").select("signature", *within, F.coalesce("component", "head").alias("cluster"))
+    return signatures.select(key, "signature", *within).join(named, ["signature", *within]).select(key, "cluster")
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

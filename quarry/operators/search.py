@@ -1,40 +1,34 @@
-"""Field-weighted BM25 search over a persisted index of postings, with hit rows, facets, phrases and snippets.
+"""Field-weighted BM25 search over a persisted index, one query or many at once, with hit rows, facets, phrases and snippets.
 
 Statistics are those of the whole corpus; filters apply before the limit and do not change them. Terms are lower-cased
-runs of letters and digits; a query token with an underscore is the phrase of its parts.
+runs of letters and digits; a query token with an underscore is the phrase of its parts. The index is that of
+quarry.operators.index.
 
-An index is a folder of Parquet tables: ``postings`` (a term's positions in a field of a chunk), dealt to folders by the
-term's hash and sorted by term, so that a query reads the row groups of its own terms; ``terms`` (in how many chunks a term
-stands), dealt alike; ``lengths`` joined to the facets as ``chunks``; ``meta``. It is built beside the current one and
-swapped in by name, so that readers never see half of it.
+Many queries are one pass: their terms meet the postings in one join, and a chunk keeps how often each of a query's tokens stands in each
+field, so that any number of weights are scored from the same rows.
 """
 
 from __future__ import annotations
 
-import json
 import math
 import re
-import zlib
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.operators import stores
+from quarry.operators import index
+from quarry.session import staged
 
 K1, B = 1.2, 0.75
 #: Weights of the indexed fields.
 WEIGHTS = {"doc_title": 2.5, "title": 2.0, "section_path": 1.5, "body": 1.0}
 #: Fixed value: characters below which a section may restate its child.
 SHORT = 300
-TERM = r"([\p{L}\p{N}]+)"
-#: Folders that terms are dealt to.
-SHARDS = 64
-SCHEMA_VERSION = "1"
+#: Different terms of many queries up to which they are pushed into the scan of the postings by name.
+PUSHED = 2000
 
-
-def terms(c: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(TERM), F.lit(1))
+build_index = index.build
 
 
 def query_terms(text: str) -> list[str]:
@@ -47,78 +41,54 @@ def phrase(token: str) -> tuple[str, ...]:
     return tuple(re.findall(r"[^\W_]+", token.lower()))
 
 
-def _shard(term: Column) -> Column:
-    return F.crc32(term.cast("binary")) % SHARDS
-
-
-def postings(chunks: DataFrame, key: str, fields: Mapping[str, float]) -> DataFrame:
-    """(key, field, term, positions) of every term: one pass, grouped within a chunk by one aggregation."""
-    rows = chunks.select(key, F.explode(F.concat(*map(_marked, fields))).alias("x")).select(key, "x.field", "x.term", "x.at")
-    return rows.groupBy("term", key, "field").agg(F.sort_array(F.collect_list("at")).alias("positions"))
-
-
-def _marked(name: str) -> Column:
-    return F.transform(terms(F.col(name)), lambda t, i: F.struct(F.lit(name).alias("field"), t.alias("term"), i.alias("at")))
-
-
-def build_index(chunks: DataFrame, key: str, fields: Mapping[str, float], home: str, facets: tuple[str, ...] = (), shown: tuple[str, ...] = ()) -> str:
-    """Write an index of chunks below home and make it the current one; returns its path."""
-    spark = chunks.sparkSession
-    path = stores.new_version(home)
-    found = postings(chunks, key, fields).withColumn("shard", _shard(F.col("term")))
-    found.repartition(SHARDS, "shard", F.pmod(F.xxhash64("term"), F.lit(8))).sortWithinPartitions("shard", "term").write.partitionBy("shard").parquet(f"{path}/postings")
-    stored = spark.read.parquet(f"{path}/postings")
-    stored.groupBy("shard", "term").agg(F.countDistinct(key).alias("n"), F.sum(F.size("positions")).alias("times")).repartition(SHARDS, "shard").sortWithinPartitions("term").write.partitionBy("shard").parquet(f"{path}/terms")
-    size = sum((F.size(terms(F.col(c))) for c in fields), F.lit(0)).cast("long")
-    keep = [c for c in dict.fromkeys((*facets, *shown)) if c != key]
-    chunks.select(key, size.alias("d"), *keep).write.parquet(f"{path}/chunks")
-    stats = spark.read.parquet(f"{path}/chunks").agg(F.count("*").alias("n"), F.avg("d").alias("avgdl"))
-    stats.select(F.lit(SCHEMA_VERSION).alias("schema_version"), F.lit(key).alias("key"), F.lit(json.dumps(dict(fields))).alias("fields"), "n", "avgdl").coalesce(1).write.parquet(f"{path}/meta")
-    stores.swap(spark, home, path)
-    return path
-
-
-def _read_terms(spark: SparkSession, path: str, table: str, wanted: list[str]) -> DataFrame:
-    """Rows of the wanted terms: their folders only, and within them by pushed filters."""
-    shards = sorted({zlib.crc32(t.encode()) % SHARDS for t in wanted})
-    return spark.read.parquet(f"{path}/{table}").where(F.col("shard").isin(shards) & F.col("term").isin(wanted))
-
-
-def _times(unit: tuple[str, ...], weights: Mapping[str, float]) -> Column:
-    """Weighted occurrences of a term or phrase among a chunk's collected (field, term, positions)."""
+def _times(unit: tuple[str, ...], weights: Sequence[float]) -> Column:
+    """Weighted occurrences of a term or phrase among a chunk's collected (term, at)."""
     total = F.lit(0.0)
-    for name, w in weights.items():
-        first, *more = (F.flatten(F.transform(F.filter("found", _is(name, t)), lambda x: x["positions"])) for t in unit)
+    for number, w in enumerate(weights):
+        first, *more = (F.flatten(F.transform(F.filter("found", _is(t)), _places(number))) for t in unit)
         for k, there in enumerate(more, 1):
             first = F.filter(first, _follows(there, k))
         total = total + F.lit(float(w)) * F.size(first)
     return total
 
 
-def _is(name: str, term: str):
-    return lambda x: (x["field"] == name) & (x["term"] == term)
+def _is(term: str):
+    return lambda x: x["term"] == term
+
+
+def _in_field(number: int):
+    return lambda a: a["f"] == number
+
+
+def _places(number: int):
+    return lambda x: F.transform(F.filter(x["at"], _in_field(number)), lambda a: a["p"])
 
 
 def _follows(there: Column, k: int):
     return lambda at: F.array_contains(there, at + k)
 
 
+def _weights(ix: index.Index, weights: Mapping[str, float] | None) -> list[float]:
+    """A weight for each field, in the index's order."""
+    return [float((weights or ix.fields).get(f, 0.0)) for f in ix.fields]
+
+
 def scores(spark: SparkSession, path: str, query: list[str], weights: Mapping[str, float] | None = None) -> DataFrame:
     """(key, score) of chunks that hold any query token or phrase; each repeat of one counts again.
 
-    Only the postings of the query's terms are read; a chunk gathers at most one row for each of them and field.
+    Only the postings of the query's terms are read; a chunk gathers at most one row for each of them.
     Chunks that hold a term are counted by the index; those that hold a phrase are counted here.
     """
-    meta = spark.read.parquet(f"{path}/meta").first()
-    key, weights = meta["key"], dict(weights or json.loads(meta["fields"]))
+    ix = index.Index(spark, path)
+    key = ix.key
     units = [u for u in map(phrase, query) if u]
     wanted = sorted({t for u in units for t in u})
     if not wanted:
-        return spark.read.parquet(f"{path}/chunks").select(key, F.lit(0.0).alias("score")).where(F.lit(False))
-    found = _read_terms(spark, path, "postings", wanted).groupBy(key).agg(F.collect_list(F.struct("field", "term", "positions")).alias("found"))
+        return ix.chunks().select(key, F.lit(0.0).alias("score")).where(F.lit(False))
+    found = ix.postings(wanted).groupBy(key).agg(F.collect_list(F.struct("term", "at")).alias("found"))
     want = sorted(set(units))
-    counted = found.select(key, *[_times(u, weights).alias(f"f{k}") for k, u in enumerate(want)])
-    n = {(r["term"],): r["n"] for r in _read_terms(spark, path, "terms", wanted).select("term", "n").collect()}
+    counted = found.select(key, *[_times(u, _weights(ix, weights)).alias(f"f{k}") for k, u in enumerate(want)])
+    n = {(r["term"],): r["n"] for r in ix.words(wanted).select("term", "n").collect()}
     phrases = [k for k, u in enumerate(want) if len(u) > 1]
     if phrases:
         one = counted.agg(*[F.count_if(F.col(f"f{k}") > 0).alias(f"n{k}") for k in phrases]).first()
@@ -126,21 +96,75 @@ def scores(spark: SparkSession, path: str, query: list[str], weights: Mapping[st
     total = F.lit(0.0)
     for k, u in enumerate(want):
         holds = n.get(u, 0)
-        rare = (meta["n"] - holds + 0.5) / (holds + 0.5)
+        rare = (ix.n - holds + 0.5) / (holds + 0.5)
         rare = math.log(rare) if rare > 1 else 1e-6
         f = F.col(f"f{k}")
-        total = total + F.lit(float(units.count(u)) * rare) * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("d") / F.lit(float(meta["avgdl"]))))
-    lengths = spark.read.parquet(f"{path}/chunks").select(key, "d")
+        total = total + F.lit(float(units.count(u)) * rare) * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("d") / F.lit(float(ix.avgdl or 1.0))))
+    lengths = ix.chunks().select(key, "d")
     some = " OR ".join(f"f{k} > 0" for k in range(len(want)))
     return counted.where(some).join(lengths, key).select(key, total.alias("score"))
 
 
+def units_of(queries: DataFrame) -> DataFrame:
+    """queries(query, text) -> (query, unit, parts, times): a query's tokens and phrases with their terms and repeats."""
+    tokens = F.filter(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("([A-Za-z0-9_]+)"), F.lit(1)), lambda t: F.length(t) >= 2)
+    each = queries.select("query", F.explode(tokens).alias("token")).select("query", F.regexp_extract_all(F.lower("token"), F.lit("([a-z0-9]+)"), F.lit(1)).alias("parts")).where("size(parts) > 0")
+    return each.groupBy("query", F.array_join("parts", "_").alias("unit"), "parts").agg(F.count("*").alias("times"))
+
+
+def scored(spark: SparkSession, path: str, queries: DataFrame, grid: Sequence[Mapping[str, float] | None] = (None,)) -> DataFrame:
+    """queries(query, text) -> (query, key, scores): for each point of a grid of weights the score of every chunk that holds a token of the query."""
+    ix = index.Index(spark, path)
+    key, fields = ix.key, range(len(ix.fields))
+    units = staged(units_of(queries), "query-units")
+    each = units.select(F.col("unit").alias("_unit"), "parts").distinct().select("_unit", F.size("parts").alias("_size"), F.posexplode("parts").alias("_nth", "term"))
+    wanted = [r["term"] for r in each.select("term").distinct().limit(PUSHED + 1).collect()]
+    met = ix.postings(wanted if len(wanted) <= PUSHED else None).join(each, "term")
+    times = lambda use: F.array(*[F.size(F.filter(use, _in_field(f))) for f in fields])
+    one = met.where("_size = 1").select("_unit", key, times("at").alias("_tf"))
+    long = met.where("_size > 1").groupBy("_unit", "_size", key).agg(F.sort_array(F.collect_list(F.struct("_nth", "at"))).alias("_x")).where("size(_x) = _size")
+    runs = F.filter(F.col("_x")[0]["at"], lambda a: F.forall("_x", lambda y: F.exists(y["at"], lambda b: (b["f"] == a["f"]) & (b["p"] == a["p"] + y["_nth"]))))
+    long = long.select("_unit", key, runs.alias("at")).where("size(at) > 0").select("_unit", key, times("at").alias("_tf"))
+    hits = staged(one.unionByName(long), "query-hits")
+    n = hits.groupBy("_unit").agg(F.count("*").alias("n"))
+    odds = (ix.n - F.col("n") + 0.5) / (F.col("n") + 0.5)
+    rare = staged(units.join(n, F.col("unit") == F.col("_unit")).select("query", "_unit", (F.col("times") * F.when(odds > 1, F.ln(odds)).otherwise(1e-6)).alias("_w")), "query-weights")
+    rows = hits.join(rare, "_unit").groupBy("query", key).agg(F.sort_array(F.collect_list(F.struct("_unit", "_w", "_tf"))).alias("_x"))
+    rows = rows.join(ix.chunks().select(key, "d"), key)
+    whole = F.lit(K1) * (1 - B + B * F.col("d") / F.lit(float(ix.avgdl or 1.0)))
+
+    def point(weights: Column) -> Column:
+        sums = F.transform("_x", lambda u: F.struct(u["_w"].alias("w"), F.aggregate(F.zip_with(u["_tf"], weights, lambda t, w: t * w), F.lit(0.0), lambda a, b: a + b).alias("f")))
+        return F.aggregate(sums, F.lit(0.0), lambda a, v: a + v["w"] * v["f"] * (K1 + 1) / (v["f"] + whole))
+
+    points = F.array(*[F.array(*map(F.lit, _weights(ix, g))) for g in grid])
+    return rows.select("query", key, F.transform(points, point).alias("scores"))
+
+
+def search_many(spark: SparkSession, path: str, queries: DataFrame, k: int = 10, grid: Sequence[Mapping[str, float] | None] = (None,), facets: DataFrame | None = None) -> DataFrame:
+    """queries(query, text) -> (query, point, rank, key, score): the k best of each query and point of the grid; equal scores by key.
+
+    facets(query, and a list of wanted values by facet, null: any) narrows a query before its limit; one not named stays open.
+    The lists of ranks are cut before they are shuffled, so a task sends k rows for each query and point."""
+    ix = index.Index(spark, path)
+    found = scored(spark, path, queries, grid)
+    if facets is not None:
+        names = [c for c in facets.columns if c != "query"]
+        wide = found.join(ix.chunks().select(ix.key, *names), ix.key).join(facets.select("query", *[F.col(c).alias(f"_{c}") for c in names]), "query", "left")
+        for c in names:
+            wide = wide.where(F.col(f"_{c}").isNull() | F.coalesce(F.array_contains(f"_{c}", F.col(c)), F.lit(False)))
+        found = wide.select("query", ix.key, "scores")
+    each = found.select("query", ix.key, F.posexplode("scores").alias("point", "score")).where("score > 0").withColumn("score", F.round("score", 4))
+    place = F.row_number().over(Window.partitionBy("query", "point").orderBy(F.desc("score"), ix.key))
+    return each.withColumn("rank", place).where(F.col("rank") <= k).select("query", "point", F.col("rank").cast("long").alias("rank"), ix.key, "score")
+
+
 def search(spark: SparkSession, path: str, text: str | list[str], k: int = 10, facets: Mapping[str, list[str] | None] | None = None, expansions: Mapping[str, str] | None = None, weights: Mapping[str, float] | None = None) -> DataFrame:
     """The k best chunks with their rank, score and stored columns; facets narrow before the limit, equal scores go by key."""
     query = query_terms(text) if isinstance(text, str) else list(text)
     query += [p.replace(" ", "_") for p in expansion_clauses(query, expansions or {})]
-    key = spark.read.parquet(f"{path}/meta").first()["key"]
-    chunks = spark.read.parquet(f"{path}/chunks")
+    ix = index.Index(spark, path)
+    key, chunks = ix.key, ix.chunks()
     found = scores(spark, path, query, weights)
     if any((facets or {}).values()):
         found = found.join(facet_filter(chunks, **(facets or {})).select(key), key, "left_semi")

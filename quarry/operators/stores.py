@@ -51,6 +51,15 @@ def swap(spark: SparkSession, home: str, path: str) -> None:
             store.delete(f.getPath(), True)
 
 
+def remove_but(spark: SparkSession, home: str, prefix: str, named: set[str]) -> None:
+    """Remove the folders of a store whose names begin with prefix, but for the named ones."""
+    store, where = _client(spark, home)
+    for f in store.listStatus(where):
+        name = f.getPath().getName()
+        if name.startswith(prefix) and name not in named:
+            store.delete(f.getPath(), True)
+
+
 def digest_of(rows: DataFrame) -> str:
     """One digest of a frame's rows in any order: sums of two row hashes and the count, map-side combined. Null differs from empty."""
     row = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})

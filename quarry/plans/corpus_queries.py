@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators import evaluate, inventory, mining, neardup, relations, search, versions
+from quarry.operators.index import Index
 from quarry.session import scratch, staged, table
 from quarry.sources import html, markdown
 
@@ -75,14 +76,14 @@ def phrase_search(spark: SparkSession, d: str) -> DataFrame:
 def index_meta(spark: SparkSession, d: str) -> DataFrame:
     """What the index says of itself, and how many terms and postings it has."""
     path = index(spark, d)
-    more = spark.read.parquet(f"{path}/terms").agg(F.count("*").alias("terms"), F.sum("times").alias("tokens"))
+    more = Index(spark, path).words().agg(F.count("*").alias("terms"), F.sum("times").alias("tokens"))
     return spark.read.parquet(f"{path}/meta").select("schema_version", "n", F.round("avgdl", 4).alias("avgdl")).crossJoin(F.broadcast(more))  # one row each
 
 
 def postings_whole(spark: SparkSession, d: str) -> DataFrame:
     """Every term of all documents: in how many it stands, and its weight."""
-    w = F.create_map(*[F.lit(x) for c, v in FIELDS.items() for x in (c, float(v))])
-    found = spark.read.parquet(f"{index(spark, d)}/postings").groupBy("term", "doc_id").agg(F.sum(w[F.col("field")] * F.size("positions")).alias("f"))
+    w = F.array(*[F.lit(float(v)) for v in FIELDS.values()])
+    found = Index(spark, index(spark, d)).postings().select("term", "doc_id", F.aggregate("at", F.lit(0.0), lambda n, a: n + F.get(w, a["f"].cast("int"))).alias("f"))
     return found.groupBy("term").agg(F.count("*").alias("n"), F.round(F.sum("f"), 4).alias("f"))
 
 

@@ -126,9 +126,10 @@ def test_tools(spark):
     assert call.lookup("section", "s1")["title"] == "One" and call.lookup("entity", "e1")["documents"] == ["d1", "d2"] and call.lookup("document", "no") is None
     assert call.query("SELECT count(*) AS n FROM v_mentions")["rows"] == [{"n": 3}] and call.orientation()["views"]["v_documents"]["rows"] == 1
     judged = spark.createDataFrame([("q1", "s3", 3), ("q2", "s2", 2)], "query string, item string, grade int")
-    swept = evaluate.sweep(spark, path, [("q1", "lamp"), ("q2", "setup steps")], judged, [{"body": 1.0, "section_title": 2.0}, {"body": 0.1, "section_title": 5.0}], 3)
-    assert swept[0]["worse"] == [] and not swept[0]["adopt"] and 0 < swept[0]["ndcg"] <= 1
-    only = evaluate.golden_scores(spark, path, [("q1", "lamp")], judged, facets={"q1": {"section_title": ["Other"]}}).where("query = 'q1'").first()
+    swept = evaluate.sweep(spark, path, [("q1", "lamp"), ("q2", "setup steps")], judged, [{"body": 1.0, "section_title": 2.0}, {"body": 0.1, "section_title": 5.0}], 3).orderBy("point").collect()
+    assert swept[0]["regressed_queries"] == [] and not swept[0]["adopt"] and 0 < swept[0]["ndcg"] <= 1
+    facets = spark.createDataFrame([("q1", ["Other"])], "query string, section_title array<string>")
+    only = evaluate.golden_scores(spark, path, [("q1", "lamp")], judged, facets=facets).where("query = 'q1'").first()
     assert only["ndcg"] == 1.0
 
 
