@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import stores
-from quarry.session import staged
+from quarry.session import spread, staged
 
 TERM = r"([\p{L}\p{N}]+)"
 SCHEMA_VERSION = "1"
@@ -122,12 +122,14 @@ def _write_segment(chunks: DataFrame, key: str, fields: Mapping[str, float], hom
     spark = chunks.sparkSession
     name = f"segment-{uuid.uuid4().hex}"
     path = f"{home}/{name}"
+    chunks = spread(chunks)
     size = sum((F.size(terms(F.col(c))) for c in fields), F.lit(0)).cast("long")
     chunks.select(key, size.alias("d"), "mark", *keep).write.parquet(f"{path}/chunks")
     one = spark.read.parquet(f"{path}/chunks").agg(F.count("*").alias("n"), F.coalesce(F.sum("d"), F.lit(0)).alias("tokens")).first()
     worded = chunks.select(key, grouped(fields).alias("words"))
     segment = Segment(name, shards_for(one["tokens"]), one["n"], one["tokens"])
-    rows = worded.select(key, F.explode("words").alias("x")).select("x.term", key, "x.at")
+    # Of a plain explode Spark asks first whether the array is empty, and makes it twice.
+    rows = worded.select(key, F.explode_outer("words").alias("x")).where("x IS NOT NULL").select("x.term", key, "x.at")
     _write_postings(rows, key, path, segment.shards, _common(worded, key, segment.chunks, split))
     return segment
 

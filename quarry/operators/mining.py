@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import acronyms, block_key, strip_numbering
 from quarry.operators import neardup
-from quarry.session import staged
+from quarry.session import spread, staged
 
 
 def recurring_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 3, sure: int = 10, phrase: int = 60) -> DataFrame:
@@ -84,7 +84,7 @@ def cross_wraps(text: Column) -> Column:
 def boilerplate_clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 3, sure: int = 10, phrase: int = 60, threshold: float = 0.8) -> DataFrame:
     """(block, documents, spellings, grade): near-identical lines as one, named by the spelling with most documents (the larger
     among equals); documents of all spellings count once, so that rare spellings may qualify together."""
-    each = docs.select(key, F.explode(F.split(F.col(text), "\n")).alias("line"))
+    each = spread(docs.select(key, text)).select(key, F.explode(F.split(F.col(text), "\n")).alias("line"))
     keyed = staged(each.where(F.length("line") > phrase).select(key, block_key(F.col("line")).alias("block")).where("block <> ''").distinct(), "blocks-of-documents")
     spelled = keyed.groupBy("block").agg(F.count("*").alias("n"))
     numbered = staged(spelled.withColumn("number", F.monotonically_increasing_id()), "blocks")

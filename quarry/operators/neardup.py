@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.graph import connected_components
-from quarry.session import ship
+from quarry.session import ship, spread, staged
 
 #: The modulus and the mask of the permutation family.
 PRIME, MASK = 2**61 - 1, 2**32 - 1
@@ -113,7 +113,7 @@ def minhash_of(rows: DataFrame, permutations: int = 128) -> DataFrame:
 
 def minhash(docs: DataFrame, key: str = "doc_id", text: str = "text", permutations: int = 128, k: int = 3) -> DataFrame:
     """(key, signature) of texts. Shingles are hashed on the JVM."""
-    return minhash_of(docs.select(key, F.transform(shingles(F.coalesce(F.col(text), F.lit("")), k), signed_hash).alias("hashes")), permutations)
+    return minhash_of(spread(docs.select(key, text)).select(key, F.transform(shingles(F.coalesce(F.col(text), F.lit("")), k), signed_hash).alias("hashes")), permutations)
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -128,46 +128,134 @@ def auto_bands(permutations: int, threshold: float) -> int:
     return int(divisors[rises <= threshold].min(initial=permutations))
 
 
-#: Members of a bucket that are compared at once.
-BUCKET = 256
-
-
-def links(signatures: DataFrame, key: str, threshold: float, bands: int, permutations: int, within: Sequence[str] = ()) -> DataFrame:
+#: Members of a bucket that one task compares at once, and rounds in which members of larger ones are tied to pivots.
+BUCKET, PIVOTS = 4096, 6
+
+
+def forest_of(k: np.ndarray, s: np.ndarray, side: np.ndarray, threshold: float, within: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Ties of keys whose signatures reach the threshold: among all of them, or only of one side with the other. Those that are joined already,
+    as members of a pivot's class are, are not compared again."""
+    start = np.arange(len(k))
+    if not within:
+        for name in np.unique(side):
+            if not str(name).startswith("0."):
+                start[side == name] = np.flatnonzero(side == name)[0]
+    root = start.copy()
+    for a in range(len(k) - 1):
+        use = root[a + 1 :] != root[a]
+        if not within:
+            use &= side[a + 1 :] != side[a]
+        if not use.any():
+            continue
+        b = a + 1 + np.flatnonzero(use)
+        near = b[(s[b] == s[a]).mean(1) >= threshold]
+        for r in {*root[near].tolist()} - {root[a]}:
+            root[root == max(r, root[a])] = min(r, root[a])
+    tied = np.flatnonzero((root != start) & (start == np.arange(len(k))))
+    return k[root[tied]], k[tied]
+
+
+def _pivoted(members: DataFrame, one: DataFrame, threshold: float, bucket: int) -> tuple[DataFrame, DataFrame | None]:
+    """members(band, h, k) of hot buckets -> (band, h, k, c) and edges to pivots.
+
+    In each round a bucket's pivot is a member that has no class yet, by a hash; all members at the threshold from it are its class c and need
+    no comparison with each other. c is 0 for those that no round tied."""
+    rest, classed, edges = members, None, None
+    sign = one.select("k", "s")
+    for c in range(1, PIVOTS + 1):
+        pivot = rest.groupBy("band", "h").agg(F.min_by("k", F.xxhash64("k", F.lit(c))).alias("p"), F.count("*").alias("n")).where(F.col("n") > bucket)
+        pivot = staged(pivot.join(sign.select(F.col("k").alias("p"), F.col("s").alias("ps")), "p").select("band", "h", "p", "ps"), "bucket-pivots")
+        if pivot.isEmpty():
+            break
+        met = rest.join(sign, "k").join(pivot, ["band", "h"], "left").select("band", "h", "k", "p", (estimate(F.col("s"), F.col("ps")) >= threshold).alias("near"))
+        met = staged(met, "bucket-classes")
+        mine = met.where("near").select("band", "h", "k", F.lit(c).alias("c"))
+        ties = met.where("near AND k <> p").select(F.col("p").alias("a"), F.col("k").alias("b"))
+        classed = mine if classed is None else classed.unionByName(mine)
+        edges = ties if edges is None else edges.unionByName(ties)
+        rest = met.where("NOT coalesce(near, false)").select("band", "h", "k")
+    left = rest.withColumn("c", F.lit(0))
+    return (left if classed is None else classed.unionByName(left)), edges
+
+
+def links(signatures: DataFrame, key: str, threshold: float, bands: int, permutations: int, within: Sequence[str] = (), bucket: int | None = None) -> DataFrame:
     """(a, b): forests over all pairs of different signatures that agree on a band and whose estimate reaches the threshold.
 
-    A bucket of more than BUCKET members is cut into blocks, and pairs of blocks are compared in tasks of
-    their own: a task holds two blocks, and sends back a row for each linked member instead of the pairs.
     Equal signatures are one class: the smallest key stands for it, so that a group of copies costs no pairs. Only rows that
-    are equal in the columns of ``within`` are compared."""
+    are equal in the columns of ``within`` are compared. A bucket of at most ``bucket`` members is compared in one go, and of one that is larger
+    members are first tied to pivots: those of one pivot's class are joined by it and are not compared again. What
+    is left is exact: rest with all and class with class, in pairs of blocks that are tasks of their own. A task holds
+    two blocks, and sends back a row for each linked member instead of the pairs."""
     rows = permutations // bands
     if rows * bands != permutations:
         raise ValueError("bands must divide the signature")
-    ship(signatures.sparkSession)
-    one = signatures.groupBy("signature", *within).agg(F.min(key).alias("k"))
-    parts = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("signature", b * rows + 1, rows), *within).alias("h")) for b in range(bands)])
+    spark, bucket = signatures.sparkSession, bucket or BUCKET
+    ship(spark)
+    # Minima are unsigned numbers of 32 bits; as signed ones they travel in half the bytes.
+    narrow = F.transform("signature", lambda x: (x - 2**31).cast("int"))
+    one = staged(signatures.groupBy("signature", *within).agg(F.min(key).alias("k")).select("k", *within, narrow.alias("s")), "signature-classes")
+    parts = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("s", b * rows + 1, rows), *within).alias("h")) for b in range(bands)])
     each = one.select("k", F.explode(parts).alias("x")).select("k", "x.band", "x.h")
-    sizes = each.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1")
-    dealt = each.join(sizes, ["band", "h"]).withColumn("blocks", F.ceil(F.col("n") / BUCKET)).withColumn("mine", F.pmod(F.xxhash64("k", "band"), "blocks"))
-    paired = dealt.select("band", "h", "k", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    placed = paired.select("band", "h", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "k")
-
-    def meet(table: pa.Table) -> pa.Table:
-        k = table.column("k").to_numpy()
-        s = table.column("signature").combine_chunks().flatten().to_numpy().reshape(len(k), -1)
-        mine, root = table.column("mine").to_numpy(), np.arange(len(k))
-        within = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-        for a in range(len(k)):
-            # Blocks of their own were compared within themselves elsewhere.
-            b = np.arange(a + 1, len(k)) if within else a + 1 + np.flatnonzero(mine[a + 1 :] != mine[a])
-            near = b[(s[b] == s[a]).mean(1) >= threshold]
-            for r in {*root[near].tolist()} - {root[a]}:
-                root[root == max(r, root[a])] = min(r, root[a])
-        tied = np.flatnonzero(root != np.arange(len(k)))
-        return pa.table({"a": pa.array(k[root[tied]]), "b": pa.array(k[tied])})
-
-    wide = placed.join(one, "k")
+    sizes = staged(each.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1"), "bucket-sizes")
+    small = each.join(sizes.where(F.col("n") <= bucket).select("band", "h"), ["band", "h"])
+    placed = small.select("band", "h", F.lit("").alias("i"), F.lit("").alias("j"), F.lit("").alias("mine"), "k")
+    edges = None
+    if not sizes.where(F.col("n") > bucket).isEmpty():
+        members, edges = _pivoted(staged(each.join(sizes.where(F.col("n") > bucket).select("band", "h"), ["band", "h"]), "hot-buckets"), one, threshold, bucket)
+        members = staged(members, "hot-members")
+        held = members.groupBy("band", "h", "c").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / (bucket // 2)))
+        blocks = staged(held.select("band", "h", "c", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).withColumn("mine", F.concat_ws(".", "c", "block")), "hot-blocks")
+        x, y = blocks.select("band", "h", F.col("c").alias("cx"), F.col("mine").alias("i")), blocks.select("band", "h", F.col("c").alias("cy"), F.col("mine").alias("j"))
+        pairs = x.join(y, ["band", "h"]).where("i <= j AND (cx <> cy OR cx = 0)").select("band", "h", "i", "j")
+        sends = pairs.select("band", "h", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("mine"))
+        dealt = members.join(held.select("band", "h", "c", "blocks"), ["band", "h", "c"]).withColumn("mine", F.concat_ws(".", "c", F.pmod(F.xxhash64("k", "band"), "blocks")))
+        placed = placed.unionByName(dealt.join(sends, ["band", "h", "mine"]).select("band", "h", "i", "j", "mine", "k"))
     kind = signatures.schema[key].dataType.simpleString()
-    return wide.groupBy("band", "h", "i", "j").applyInArrow(meet, f"a {kind}, b {kind}")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+
+        def done(some: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Whole groups that follow each other."""
+            table = pa.Table.from_batches(some).combine_chunks()
+            k, s = table.column("k").to_numpy(), table.column("s").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+            side, i, j = (table.column(c).to_numpy() for c in ("mine", "i", "j"))
+            first = _edges(table)
+            out = [forest_of(k[a:b], s[a:b], side[a:b], threshold, i[a] == j[a]) for a, b in zip(first, [*first[1:], len(k)], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[n] for o in out]), table.schema.field("k").type) for n in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if waiting and not _same(waiting[-1], batch):
+                yield from done(waiting)
+                waiting = []
+            last = int(_edges(pa.Table.from_batches([batch]))[-1])
+            if last:
+                yield from done([*waiting, batch.slice(0, last)])
+                waiting = []
+            waiting.append(batch.slice(last))
+        if waiting:
+            yield from done(waiting)
+
+    by = ("band", "h", "i", "j")
+    wide = placed.join(one.select("k", "s"), "k").repartition(*by).sortWithinPartitions(*by)
+    found = wide.select(*by, "mine", "k", "s").mapInArrow(meet, f"a {kind}, b {kind}")
+    return found if edges is None else found.unionByName(edges.select(F.col("a").cast(kind), F.col("b").cast(kind)))
+
+
+def _edges(table: pa.Table) -> np.ndarray:
+    """Where groups of (band, h, i, j) begin."""
+    new = np.zeros(table.num_rows - 1, bool)
+    for c in ("band", "h", "i", "j"):
+        v = table.column(c).to_numpy()
+        new |= v[1:] != v[:-1]
+    return np.flatnonzero(np.append(True, new))
+
+
+def _same(before: pa.RecordBatch, after: pa.RecordBatch) -> bool:
+    """Whether a batch goes on with the group that the one before ended in."""
+    return all(before.column(c)[before.num_rows - 1] == after.column(c)[0] for c in ("band", "h", "i", "j"))
 
 
 def clusters(signatures: DataFrame, key: str, threshold: float, permutations: int, bands: int | None = None, within: Sequence[str] = ()) -> DataFrame:

@@ -83,6 +83,18 @@ def staged(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes (as Spark estimates them) below which a table is dealt to all cores before dear work on its rows.
+SPREAD = 1 << 30
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table dealt evenly to all cores: it may be one row group of one file, which one task would read and work through.
+
+    Large tables, whose files give tasks enough, stay as they are."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < SPREAD else df
+
+
 def drop_staged(spark: SparkSession, path: str) -> None:
     """Remove a path that scratch() gave, with the store's own client."""
     jvm = spark.sparkContext._jvm
