@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.operators import normalize
 from quarry.session import scratch, ship, table
 from quarry.sources import html, markdown
-from quarry.streaming.incremental import newest_state, upsert_latest, windowed_counts
+from quarry.streaming.incremental import newest_state, sessions, upsert_latest, windowed_counts
 
 
 def normalized(spark: SparkSession, d: str) -> DataFrame:
@@ -46,8 +46,16 @@ def streamed_state(spark: SparkSession, d: str) -> DataFrame:
     return newest_state(spark, path, spark.createDataFrame([], "user_id long, ts timestamp, event_id long, event_type string").schema)
 
 
-QUERIES = {"normalize_bodies": normalized, "chunk_oversized": chunks, "page_markdown": page_markdown, "windowed_counts": hourly, "stream_latest_state": streamed_state}
+def event_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Runs of a user's events with less than six hours between two."""
+    return sessions(table(spark, d, "events"), "user_id", "ts", "6 hours", value="value")
+
+
+QUERIES = {"event_sessions": event_sessions, "normalize_bodies": normalized, "chunk_oversized": chunks, "page_markdown": page_markdown, "windowed_counts": hourly, "stream_latest_state": streamed_state}
 ORACLES = {
+    "event_sessions": """WITH e AS (SELECT user_id, ts, value, coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 6 HOURS, true)::INTEGER AS fresh FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+        g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, fresh DESC ROWS UNBOUNDED PRECEDING) AS s FROM e)
+        SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 6 HOURS AS stop, count(*) AS events, round(sum(value), 6) AS value FROM g GROUP BY user_id, s""",
     "windowed_counts": "SELECT date_trunc('day', ts)::TIMESTAMP AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "stream_latest_state": "SELECT user_id, ts, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC, event_type DESC) AS r FROM events) WHERE r = 1",
 }
