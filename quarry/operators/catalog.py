@@ -217,6 +217,12 @@ def selection_fingerprint(everything: bool = False, **dimensions: list[str] | No
     return hashlib.sha256("\n".join(["all" if everything else "some", *told]).encode()).hexdigest()
 
 
+def selection_digest(everything: Column, **dimensions: Column) -> Column:
+    """selection_fingerprint() of selections in rows, with array columns as dimensions; an empty or null one narrows nothing."""
+    told = [F.when(F.size(values) > 0, F.concat(F.lit(f"{name}="), F.array_join(F.array_sort(F.array_distinct(values)), ","))) for name, values in sorted(dimensions.items())]
+    return F.sha2(F.concat_ws("\n", F.when(everything, "all").otherwise("some"), *told), 256)
+
+
 def facet_catalog(rows: DataFrame, facets: list[str]) -> DataFrame:
     """(facet, value, n, place): values of each facet, commonest first; as few rows as there are values."""
     place = F.row_number().over(Window.partitionBy("facet").orderBy(F.desc("n"), "value"))

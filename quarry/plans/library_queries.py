@@ -179,10 +179,12 @@ def payload_magic(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", catalog.is_zip(content).alias("zip"))
 
 
-@query("SELECT 1 AS n, sha256('some' || chr(10) || 'lang=de,en' || chr(10) || 'source=src1') AS digest UNION ALL SELECT 2, sha256('some' || chr(10) || 'lang=de,en' || chr(10) || 'source=src1') UNION ALL SELECT 3, sha256('all')")
+@query("""WITH s AS (SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS m, string_agg(DISTINCT substr(c_name, 1, 3), ',' ORDER BY substr(c_name, 1, 3)) AS n FROM customer GROUP BY c_nationkey)
+    SELECT c_nationkey, sha256(CASE WHEN c_nationkey % 5 = 0 THEN 'all' ELSE 'some' END || chr(10) || 'name=' || n || chr(10) || 'segment=' || m) AS digest FROM s""")
 def selection_fingerprints(spark: SparkSession, d: str) -> DataFrame:
-    told = [catalog.selection_fingerprint(lang=["en", "de"], source=["src1"]), catalog.selection_fingerprint(source=["src1", "src1"], lang=["de", "en", "de"]), catalog.selection_fingerprint(True)]
-    return spark.createDataFrame(list(enumerate(told, 1)), "n int, digest string")
+    """A selection for each nation: the market segments and name prefixes of its customers, of every fifth nation besides everything."""
+    told = table(spark, d, "customer").groupBy("c_nationkey").agg(F.collect_set("c_mktsegment").alias("m"), F.collect_set(F.substring("c_name", 1, 3)).alias("n"))
+    return told.select("c_nationkey", catalog.selection_digest(F.col("c_nationkey") % 5 == 0, segment=F.col("m"), name=F.concat("n", "n")).alias("digest"))
 
 
 # Inventory joins and counts
@@ -307,13 +309,13 @@ def _nation_nodes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("node"), F.col("n_name").alias("name"), more.alias("synonyms"), F.lit("nation").alias("type"), F.col("n_nationkey").cast("string").alias("canonical"))
 
 
-@query("SELECT 'n' || n_nationkey AS node, 'nation:' || n_nationkey AS entity_id FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9000)")
+@query("SELECT 'n' || n_nationkey AS node, 'nation:' || n_nationkey AS entity_id FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)")
 def reconciled_nodes(spark: SparkSession, d: str) -> DataFrame:
-    entities = table(spark, d, "customer").where("c_acctbal > 9000").select(F.concat(F.lit("nation:"), F.col("c_nationkey").cast("string")).alias("entity_id"))
+    entities = table(spark, d, "supplier").select(F.concat(F.lit("nation:"), F.col("s_nationkey").cast("string")).alias("entity_id"))
     return resolve.reconcile_nodes(_nation_nodes(spark, d), entities).select("node", "entity_id")
 
 
-_PRODUCTS = """WITH p AS (SELECT p_brand AS abbr, p_type AS full_name, p_size % 2 = 0 AS e, split_part(p_name, ' ', 1) AS m, 'c' || p_size % 3 AS k FROM part WHERE p_partkey <= 120),
+_PRODUCTS = """WITH p AS (SELECT p_brand AS abbr, p_type AS full_name, split_part(p_name, ' ', 1) > 'h' AS e, split_part(p_name, ' ', 1) AS m, 'c' || p_size % 3 AS k FROM part),
     x AS (SELECT abbr, abbr AS surface, e, k FROM p UNION ALL SELECT abbr, full_name, true, k FROM p UNION ALL SELECT abbr, upper(m), e, k FROM p UNION ALL SELECT abbr, upper(substr(m, 1, 1)) || substr(m, 2), e, k FROM p),
     t AS (SELECT surface, bool_and(e) AS enforce FROM x GROUP BY surface), w AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS word FROM part WHERE p_partkey % 2 = 0),
     r AS (SELECT surface, enforce, lower(surface) IN (SELECT word FROM w) AND NOT (regexp_matches(surface, '[A-Z]') AND regexp_matches(surface, '[a-z]') AND surface <> upper(substr(surface, 1, 1)) || lower(substr(surface, 2))) AS collides FROM t)"""
@@ -322,7 +324,7 @@ _PRODUCTS = """WITH p AS (SELECT p_brand AS abbr, p_type AS full_name, p_size %
 def _terms(spark: SparkSession, d: str) -> DataFrame:
     first = F.split("p_name", " ")[0]
     part = table(spark, d, "part")
-    products = part.where("p_partkey <= 120").select(F.col("p_brand").alias("abbr"), F.col("p_type").alias("full"), F.array(F.upper(first), F.concat(F.upper(F.substring(first, 1, 1)), F.substr(first, F.lit(2)))).alias("match"), (F.col("p_size") % 2 == 0).alias("enforce"), F.lit("c").alias("class"))
+    products = part.select(F.col("p_brand").alias("abbr"), F.col("p_type").alias("full"), F.array(F.upper(first), F.concat(F.upper(F.substring(first, 1, 1)), F.substr(first, F.lit(2)))).alias("match"), (first > "h").alias("enforce"), F.lit("c").alias("class"))
     return resolve.classify_terms(products, part.where("p_partkey % 2 = 0").select(first.alias("word")))
 
 
@@ -403,9 +405,13 @@ def error_gate(spark: SparkSession, d: str) -> DataFrame:
     return checks.error_gate(table(spark, d, "events").select(F.when(F.col("event_type") == "error", "failed").alias("error")), "error")
 
 
-@query("SELECT 'view b missing' AS problem UNION ALL SELECT 'view c not in contract' UNION ALL SELECT 'view a: columns [''x'', ''y''] instead of [''x'']' UNION ALL SELECT 'version 2 instead of 1'")
+@query("""SELECT 'view part missing' AS problem UNION ALL SELECT 'view region not in contract' UNION ALL SELECT 'version ' || count(*) || ' instead of 0' FROM supplier
+    UNION ALL SELECT 'view nation: columns [' || (SELECT string_agg(chr(39) || column_name || chr(39), ', ') FROM (DESCRIBE nation)) || '] instead of [''n_name'', ''n_nationkey'']'""")
 def contract_check(spark: SparkSession, d: str) -> DataFrame:
-    found = checks.contract_problems({"a": ["x", "y"], "c": []}, "2", {"version": "1", "views": {"a": ["x"], "b": ["z"]}})
+    """The tables as views against a contract that names another set, other columns and another version."""
+    emitted = {t: table(spark, d, t).columns for t in ("nation", "region", "supplier")}
+    want = {"nation": ["n_name", "n_nationkey"], "part": ["p_partkey"], "supplier": emitted["supplier"]}
+    found = checks.contract_problems(emitted, str(table(spark, d, "supplier").count()), {"version": "0", "views": want})
     return spark.createDataFrame([(p,) for p in found], "problem string")
 
 
@@ -568,7 +574,7 @@ def template_titles(spark: SparkSession, d: str) -> DataFrame:
 def _built_bodies(spark: SparkSession, d: str) -> DataFrame:
     """A body for each order, by parts that are known: a revision history, a table of its lines, headings with bookmarks."""
     line = F.concat(F.lit("| "), F.col("l_linenumber").cast("string"), F.lit(" | a \\| b | "), "l_returnflag", F.lit(" |"))
-    lines = table(spark, d, "lineitem").where("l_linenumber <= 7").groupBy("l_orderkey").agg(F.sort_array(F.collect_set(line)).alias("rows")).select("l_orderkey", F.array_join(F.concat("rows", F.transform(F.sequence(F.lit(10), F.lit(17)), lambda i: F.concat(F.lit("| "), i.cast("string"), F.lit(" | x | y |")))), "\n").alias("rows"))
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_set(line)).alias("rows")).select("l_orderkey", F.array_join(F.concat("rows", F.transform(F.sequence(F.lit(10), F.lit(17)), lambda i: F.concat(F.lit("| "), i.cast("string"), F.lit(" | x | y |")))), "\n").alias("rows"))
     orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.date_format("o_orderdate", "MM/dd/yyyy").alias("day"))
     body = F.concat(
         F.lit("# Order\n\n## Revision History\n\n<table><tr><th>Date</th><th>Version</th><th>Description</th></tr><tr><td>"), "day", F.lit("</td><td>1.0</td><td>made &amp; sent</td></tr></table>\n\n"),
@@ -590,7 +596,7 @@ def _rows_of(bodies_of: DataFrame, each, schema: str) -> DataFrame:
     return bodies_of.mapInPandas(run, schema)
 
 
-_ORDERS_WITH_LINES = "(SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linenumber <= 7)"
+_ORDERS_WITH_LINES = "(SELECT DISTINCT l_orderkey FROM lineitem)"
 
 
 @query(f"""SELECT l_orderkey, h.title, h.slug, h.level, h.bookmark FROM {_ORDERS_WITH_LINES}, (VALUES ('Order', 'order', 1, NULL), ('Revision History', 'revision-history', 2, NULL), ('Lines', 'lines', 2, '_Toc7'), ('Lines', 'lines-1', 2, NULL), ('Deep: end?', 'deep-end', 3, NULL)) h(title, slug, level, bookmark)""")
@@ -598,7 +604,7 @@ def body_headings(spark: SparkSession, d: str) -> DataFrame:
     return _rows_of(_built_bodies(spark, d), lambda b: [(h.text, h.slug, h.level, h.bookmark) for h in bodies.headings(b)], "l_orderkey long, title string, slug string, level int, bookmark string")
 
 
-@query("""WITH r AS (SELECT l_orderkey, count(DISTINCT l_linenumber || l_returnflag) + 8 AS n FROM lineitem WHERE l_linenumber <= 7 GROUP BY l_orderkey), s AS (SELECT DISTINCT l_orderkey, '| ' || l_linenumber || ' | a \\| b | ' || l_returnflag || ' |' AS k, l_linenumber || ',a | b,' || l_returnflag AS line FROM lineitem WHERE l_linenumber <= 7)
+@query("""WITH r AS (SELECT l_orderkey, count(DISTINCT l_linenumber || l_returnflag) + 8 AS n FROM lineitem GROUP BY l_orderkey), s AS (SELECT DISTINCT l_orderkey, '| ' || l_linenumber || ' | a \\| b | ' || l_returnflag || ' |' AS k, l_linenumber || ',a | b,' || l_returnflag AS line FROM lineitem)
     SELECT l_orderkey, 'table-01.csv' AS name, (n + 1)::BIGINT AS n_rows, sha256('No,What,Flag' || chr(10) || (SELECT string_agg(line, chr(10) ORDER BY k) FROM s WHERE s.l_orderkey = r.l_orderkey) || chr(10) || (SELECT string_agg(i || ',x,y', chr(10) ORDER BY i) FROM range(10, 18) t(i)) || chr(10)) AS digest FROM r WHERE n + 1 >= 10""")
 def body_tables(spark: SparkSession, d: str) -> DataFrame:
     import hashlib
