@@ -5,11 +5,13 @@ an item; an item of fewer words, but not none, is one window. The automaton runs
 words (any other word of a document is 0), so that a state stands for a word and not for a letter.
 
 Its patterns are the items' runs of 7 words at every 7th place: each window of 13 holds one of them, and their states
-are as many as the benchmark has words, not 13 times as many. Where one is found, the match is followed to both
-sides as far as document and item agree: a common run of 13 words or more is all windows in it. Short items are
-patterns as a whole. Each whole text is scanned once.
+are as many as the benchmark has words, not 13 times as many. Where one is found, the seven windows around it are looked up
+in a table of the items' windows (by hash, then word by word), in which equal windows are one entry with all their items: the
+work follows the document's words, not the number of items that share a run. Short items are patterns as a whole.
+Each whole text is scanned once.
 
-The automaton covers a block of items of at most ``block_words`` words (5 million: about 1 GB in a worker). Only where
+The automaton covers a block of items of at most ``block_words`` words (5 million: about 1 GB in each Python worker, that is
+for each core of an executor that is given no smaller bound). Only where
 the benchmark is larger, the documents are scanned by one automaton per block, a staged table between them; results do
 not differ.
 
@@ -45,54 +47,97 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_WORD_TABLE).split()
 
 
+def _rolling(numbers: np.ndarray, window: int, seed: int) -> np.ndarray:
+    """64-bit hashes of all runs of window numbers."""
+    mixed = (numbers.astype(np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    out = np.zeros(max(0, len(numbers) - window + 1), np.uint64)
+    for k in range(window):
+        out = out * np.uint64(0xBF58476D1CE4E5B9) + mixed[k : k + len(out)]
+    return out
+
+
 class Matcher:
-    """The automaton over a block of distinct items: (words joined by spaces, ids of the items that say them)."""
+    """The automaton over a block of distinct items: (words joined by spaces, ids of the items that say them).
+
+    Beside it stands a table of the items' windows: hashes in order, for each the place of one such window, and the items
+    that have it. Equal windows are one entry, however many items share them."""
 
     def __init__(self, items: list[tuple[bytes, list[str]]], window: int = WINDOW):
-        self.window, self.owners = window, [ids for _, ids in items]
+        self.window, self.step, self.owners = window, (window + 1) // 2, [ids for _, ids in items]
         self.numbers: dict[bytes, int] = {}
         flat: list[int] = []
-        self.begin = [0]
+        begin = [0]
         for text, _ in items:
             flat += [self.numbers.setdefault(w, len(self.numbers) + 1) for w in text.split()]
-            self.begin.append(len(flat))
-        self.flat, self.item = flat, np.repeat(np.arange(len(items)), np.diff(self.begin)).astype(np.int32)
-        step = (window + 1) // 2
-        places: dict[tuple[int, ...], list[int]] = {}
-        for a, b in zip(self.begin, self.begin[1:], strict=False):
-            for p in range(a, b - step + 1, step) if b - a >= window else (a,):
-                places.setdefault(tuple(flat[p : p + step] if b - a >= window else flat[a:b]), []).append(p)
+            begin.append(len(flat))
+        self.flat = np.array(flat, np.int64)
+        patterns: dict[tuple[int, ...], list[int]] = {}  # short items that are the pattern; a long item's grams have none
+        long = []
+        for k, (a, b) in enumerate(zip(begin, begin[1:], strict=False)):
+            if b - a >= window:
+                long.append(k)
+                for p in range(a, b - self.step + 1, self.step):
+                    patterns.setdefault(tuple(flat[p : p + self.step]), [])
+            else:
+                patterns.setdefault(tuple(flat[a:b]), []).append(k)
         self.found = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for gram, at in places.items():
-            self.found.add_word(gram, (len(gram), at))
-        if places:
+        for pattern, short in patterns.items():
+            self.found.add_word(pattern, (len(pattern), tuple(short)))
+        if patterns:
             self.found.make_automaton()
-        self.empty = not places
+        self.empty = not patterns
+        sizes = np.array([begin[k + 1] - begin[k] - window + 1 for k in long], np.int64)
+        starts = np.repeat(np.array([begin[k] for k in long], np.int64) - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        item = np.repeat(np.array(long, np.int64), sizes)
+        for self.seed in range(64):
+            h = _rolling(self.flat, window, self.seed)[starts]
+            self.hashes, first, entry = np.unique(h, return_index=True, return_inverse=True)
+            self.place = starts[first]
+            if self._equal(self.flat, starts, self.place[entry]).all():  # else two different windows have one hash
+                break
+        else:
+            raise ValueError("windows cannot be told apart")
+        pairs = np.unique(entry * len(items) + item) if len(entry) else np.zeros(0, np.int64)
+        self.items = pairs % max(1, len(items))
+        self.items_from = np.searchsorted(pairs, np.arange(len(self.hashes) + 1) * len(items))
+
+    def _equal(self, doc: np.ndarray, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Where the window of doc at ``at`` is that of the items at ``place``."""
+        same = np.ones(len(at), bool)
+        for k in range(self.window):
+            same &= doc[at + k] == self.flat[place + k]
+        return same
 
     def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Merged ranges of hit words and the items whose windows occur."""
+        """Merged ranges of hit words and the items whose windows occur.
+
+        A found run of words points at the windows around it, which are looked up in the table: what a run costs does not depend on how many
+        items have it."""
         if self.empty or not words:
             return [], set()
         of = self.numbers.get
-        doc = tuple([of(w, 0) for w in words])
-        spans, ids, done = [], set(), {}
-        for end, (n, places) in self.found.iter(doc):
-            first = end - n + 1
-            for p in places:
-                k = int(self.item[p])
-                a, b = self.begin[k], self.begin[k + 1]
-                if done.get((k, first - p), -1) > first:  # within a run that was followed already
-                    continue
-                lo, hi = 0, n
-                while p - lo > a and first - lo > 0 and self.flat[p - lo - 1] == doc[first - lo - 1]:
-                    lo += 1
-                while p + hi < b and first + hi < len(doc) and self.flat[p + hi] == doc[first + hi]:
-                    hi += 1
-                done[k, first - p] = first + hi
-                if lo + hi >= min(self.window, b - a):
-                    spans.append((first - lo, first + hi))
-                    ids.update(self.owners[k])
-        return merged(spans), ids
+        numbers = [of(w, 0) for w in words]
+        runs, spans, found = [], [], set()
+        for end, (n, short) in self.found.iter(tuple(numbers)):
+            if n == self.step:
+                runs.append(end - n + 1)
+            if short:
+                spans.append((end - n + 1, end + 1))
+                found.update(short)
+        if runs and len(numbers) >= self.window:
+            doc = np.array(numbers, np.int64)
+            at = np.unique(np.array(runs, np.int64)[:, None] - np.arange(self.window - self.step + 1))
+            at = at[(at >= 0) & (at <= len(doc) - self.window)]
+            h = _rolling(doc, self.window, self.seed)[at]
+            entry = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1) if len(self.hashes) else np.zeros(0, np.int64)
+            use = self.hashes[entry] == h if len(self.hashes) else np.zeros(len(at), bool)
+            at, entry = at[use], entry[use]
+            use = self._equal(doc, at, self.place[entry])
+            spans += [(i, i + self.window) for i in at[use].tolist()]
+            for e in np.unique(entry[use]).tolist():
+                found.update(self.items[self.items_from[e] : self.items_from[e + 1]].tolist())
+        return merged(spans), {i for k in found for i in self.owners[k]}
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -4,11 +4,12 @@ import collections
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
-from quarry.llm import codes, topk, wand
+from quarry.llm import codes, decontaminate, topk, wand
 
 VECTORS = "vec_id long, embedding array<float>, label int, v string, score string, code string"
 
@@ -228,3 +229,31 @@ def test_walk_scores_few_documents():
     assert sum(scored) < 0.1 * sum(len(d) for d, _, _ in lists)
     # A threshold from elsewhere ends a walk that cannot beat it.
     assert len(wand.walk(lists, size, 50, threshold=sum(m for _, _, m in lists))[0]) == 0
+
+
+# -- op10: work that does not grow with the items that share a run
+
+
+def test_templated_benchmark_is_linear_in_hits():
+    start = b"which of the following is the best"
+    items = [(start + b" " + b" ".join(b"i%d_%d" % (i, k) if k > 2 else b"answer" for k in range(30)), [str(i)]) for i in range(2000)]
+    match = decontaminate.Matcher(items)
+    text = (start + b" x ") * 2000 + start + b" answer answer answer"
+    began = time.time()
+    spans, ids = match.hits(text.split())
+    assert time.time() - began < 0.5
+    assert spans == [] and ids == set()
+    whole = items[77][0].split()
+    spans, ids = match.hits(text.split() + whole)
+    assert ids == {"77"} and spans[-1][1] - spans[-1][0] == len(whole)
+    shared = [(start + b" now one two three four five six %d" % i, [str(i)]) for i in range(2000)]  # all share a window
+    spans, ids = decontaminate.Matcher(shared).hits((start + b" now one two three four five six").split())
+    assert len(ids) == 2000 and spans == [(0, 14)]
+
+
+def test_one_repeated_word():
+    began = time.time()
+    match = decontaminate.Matcher([(b" ".join([b"w"] * 800), ["a"]), (b" ".join([b"w"] * 13), ["b"]), (b"w w", ["c"])])
+    spans, ids = match.hits([b"w"] * 20_000 + [b"x"] + [b"w"] * 12)
+    assert spans == [(0, 20_000), (20_001, 20_013)] and ids == {"a", "b", "c"}
+    assert time.time() - began < 0.5
