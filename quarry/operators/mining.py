@@ -10,16 +10,26 @@ from quarry.operators import neardup
 from quarry.session import spread, staged
 
 
-def recurring_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 3, sure: int = 10, phrase: int = 60) -> DataFrame:
-    """Lines that stand in at least ``least`` documents: block key, documents, first-seen text, shape and grade.
+#: Lines that are structure and no prose: links back and into contents, pictures, marks of extracted tables.
+ARTIFACT = r"(?i)^\s*(?:(?:[-*+]\s+)?\[[^\]]*\]\(#[^)]*\)|<img\b[^>]*>|!\[[^\]]*\]\([^)]*\)|_?\[[^\]]*\]\(tables/[^)]*\)_?)\s*$"
+BLANK = r"\n[ \t]*\n\s*"
+
 
-    Blocks are first counted once a document, so copies within one document do not count.
-    """
-    each = docs.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line"))
-    keyed = each.select(key, "pos", "line", block_key(F.col("line")).alias("block")).where("block <> ''")
-    found = keyed.groupBy("block").agg(F.countDistinct(key).alias("documents"), F.min_by("line", F.struct(key, "pos")).alias("sample"), F.min(key).alias("first")).where(F.col("documents") >= least)
-    shape = F.when(F.col("sample").rlike("^ {0,3}#"), "template").when(F.length("sample") <= phrase, "phrase").otherwise("boilerplate")
-    return found.withColumn("shape", shape).withColumn("grade", F.when(F.col("documents") >= sure, "auto").otherwise("review"))
+def recurring_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 3, sure: int = 10, phrase: int = 60) -> DataFrame:
+    """Blocks (parted by blank lines) that stand in at least ``least`` documents: block key, documents, first-seen text, shape, disposition and grade.
+
+    Blocks of artifact lines only are left out. A heading is a template's and stays, a short block of one line is a phrase to
+    delete, a longer one boilerplate to refer to; a deletion is never sure on its number of documents alone. Blocks are first counted once a
+    document, so copies within one document do not count."""
+    each = spread(docs.select(key, text)).select(key, F.posexplode(F.split(F.col(text), BLANK)).alias("pos", "raw"))
+    trimmed = each.select(key, "pos", F.regexp_replace("raw", r"^[ \t\n\r\x0B\f]+|[ \t\n\r\x0B\f]+$", "").alias("raw")).where("raw <> ''")
+    told = trimmed.where(F.exists(F.split("raw", "\n"), lambda x: ~x.rlike(ARTIFACT) & (F.trim(x) != "")) & ~F.regexp_replace("raw", r"\s*\n\s*", " ").rlike(ARTIFACT))
+    keyed = told.select(key, "pos", "raw", block_key(F.col("raw")).alias("block"))
+    found = keyed.groupBy("block").agg(F.countDistinct(key).alias("documents"), F.min_by("raw", F.struct(key, "pos")).alias("sample"), F.min(key).alias("first")).where(F.col("documents") >= least)
+    heading, short = F.col("sample").rlike("^#+ "), ~F.col("sample").contains("\n") & (F.length("sample") <= phrase)
+    shaped = found.withColumn("shape", F.when(heading, "template").when(short, "phrase").otherwise("boilerplate"))
+    disposition = F.when(F.col("shape") == "template", "retain").when(F.col("shape") == "phrase", "delete").otherwise("reference")
+    return shaped.withColumn("disposition", disposition).withColumn("grade", F.when((F.col("documents") >= sure) & (F.col("shape") != "phrase"), "auto").otherwise("review"))
 
 
 def glossary(docs: DataFrame, stop: list[str], key: str = "doc_id", text: str = "text", least: int = 3) -> DataFrame:
@@ -81,6 +91,13 @@ def cross_wraps(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\[\[")).cast("long")
 
 
+def routing_advice(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 50) -> DataFrame:
+    """(key, wraps, bare, suggested, reason) of documents that a cross-reference explosion broke, for another converter; the number of wraps decides."""
+    counted = docs.select(key, cross_wraps(F.col(text)).alias("wraps"), bare_markers(F.col(text)).alias("bare")).where(F.col("wraps") >= least)
+    reason = F.concat(F.col("wraps").cast("string"), F.lit(" wraps of cross-references broke lists into "), F.col("bare").cast("string"), F.lit(" bare markers"))
+    return counted.select(key, "wraps", "bare", F.lit("layout").alias("suggested"), reason.alias("reason"))
+
+
 def boilerplate_clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 3, sure: int = 10, phrase: int = 60, threshold: float = 0.8) -> DataFrame:
     """(block, documents, spellings, grade): near-identical lines as one, named by the spelling with most documents (the larger
     among equals); documents of all spellings count once, so that rare spellings may qualify together."""

@@ -7,9 +7,10 @@ import hashlib
 import io
 import json
 import tarfile
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,3 +66,43 @@ def json_lines(rows: DataFrame) -> DataFrame:
 
 def manifest_json(facts: Mapping[str, object]) -> str:
     return json.dumps(facts, sort_keys=True, indent=1, ensure_ascii=False)
+
+
+def volumes(parts: DataFrame, aim: int) -> DataFrame:
+    """parts(bundle, name, content; distinct names of a bundle) -> (bundle, volume, parts, bytes, digest, archive): bundles as archives of about aim bytes.
+
+    A bundle has as many volumes as its bytes ask for, and a part's volume follows from its name, so that the same parts make the same
+    bytes however they are partitioned. A task holds one volume. Null contents are empty; rows without bundle or name are left out."""
+    rows = parts.where("bundle IS NOT NULL AND name IS NOT NULL").select("bundle", "name", F.coalesce(F.col("content").cast("binary"), F.lit(b"")).alias("content"))
+    sized = rows.groupBy("bundle").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.length("content")) / F.lit(aim))).alias("volumes"))
+    dealt = rows.join(sized, "bundle").withColumn("volume", F.conv(F.substring(F.md5(F.col("name").cast("binary")), 1, 8), 16, 10).cast("long") % F.col("volumes"))
+
+    def pack(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        held = {r.name: bytes(r.content) for r in part[["name", "content"]].itertuples(index=False, name="R")}
+        told = bundle_manifest(held)
+        return pd.DataFrame([(key[0], int(key[1]), len(held), sum(map(len, held.values())), told["digest"], archive(held))])
+
+    kind = parts.schema["bundle"].dataType.simpleString()
+    return dealt.groupBy("bundle", "volume").applyInPandas(pack, f"bundle {kind}, volume long, parts long, bytes long, digest string, archive binary")
+
+
+def manifest(parts: DataFrame, packed: DataFrame) -> DataFrame:
+    """(bundle, volumes, parts, bytes, digest) of bundles from their volumes: the digest is over those of the volumes in order."""
+    told = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("volume", "digest"))), lambda v: v["digest"]), "\n"), 256)
+    rows = packed.groupBy("bundle").agg(F.count("*").alias("volumes"), F.sum("parts").alias("parts"), F.sum("bytes").alias("bytes"), told.alias("digest"))
+    return parts.select("bundle").where("bundle IS NOT NULL").distinct().join(rows, "bundle", "left")
+
+
+def opened(packed: DataFrame) -> DataFrame:
+    """The members of volumes' archives: packed's columns without the archive, name and content."""
+    kept = [c for c in packed.columns if c != "archive"]
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for _, row in frame.iterrows():
+                with tarfile.open(fileobj=io.BytesIO(bytes(row["archive"])), mode="r:gz") as tar:
+                    members = [(m.name, tar.extractfile(m).read()) for m in tar.getmembers()]
+                yield pd.DataFrame([(*[row[c] for c in kept], n, data) for n, data in members], columns=[*kept, "name", "content"])
+
+    schema = ", ".join(f"{c} {packed.schema[c].dataType.simpleString()}" for c in kept)
+    return packed.mapInPandas(read, f"{schema}, name string, content binary")

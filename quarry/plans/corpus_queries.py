@@ -219,7 +219,9 @@ def dangling(spark: SparkSession, d: str) -> DataFrame:
 
 
 def blocks(spark: SparkSession, d: str) -> DataFrame:
-    return mining.recurring_blocks(table(spark, d, "documents")).select(F.md5("block").alias("block"), "documents", F.md5("sample").alias("sample"), "first", "shape", "grade")
+    """Lines of documents as blocks, each parted from the next by a blank line."""
+    docs = table(spark, d, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n \n")).alias("text"))
+    return mining.recurring_blocks(docs).select(F.md5("block").alias("block"), "documents", F.md5("sample").alias("sample"), "first", "shape", "disposition", "grade")
 
 
 def glossary(spark: SparkSession, d: str) -> DataFrame:
@@ -370,9 +372,10 @@ ORACLES = {
         SELECT field, populated, total, round(populated / total * 100, 4) AS pct, CASE WHEN populated / total * 100 >= f THEN 'PASS' ELSE 'FAIL' END AS health FROM c""",
     "crawl_floor": """WITH b AS (SELECT lang, count(*) AS before, count(*) FILTER ((lang = 'en' OR doc_id % 4 = 0) AND lang <> 'es') AS after FROM documents GROUP BY lang) SELECT *, CASE WHEN after = 0 THEN 'dark' WHEN after < 0.5 * before THEN 'low' ELSE 'ok' END AS verdict FROM b""",
     "dangling_labels": "SELECT doc_id FROM labels WHERE doc_id NOT IN (SELECT page_id FROM pages)",
-    "recurring_blocks": r"""WITH l AS (SELECT doc_id, i AS pos, x[i] AS line FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents))),
-        k AS (SELECT *, trim(regexp_replace(lower(line), '[ \t\n\r\x0B\f]+', ' ', 'g')) AS block FROM l), g AS (SELECT block, count(DISTINCT doc_id) AS documents, arg_min(line, (doc_id, pos)) AS sample, min(doc_id) AS first FROM k WHERE block <> '' GROUP BY block HAVING count(DISTINCT doc_id) >= 3)
-        SELECT md5(block) AS block, documents, md5(sample) AS sample, first, CASE WHEN regexp_matches(sample, '^ {0,3}#') THEN 'template' WHEN length(sample) <= 60 THEN 'phrase' ELSE 'boilerplate' END AS shape, CASE WHEN documents >= 10 THEN 'auto' ELSE 'review' END AS grade FROM g""",
+    "recurring_blocks": r"""WITH l AS (SELECT doc_id, i AS pos, regexp_replace(x[i], '^[ \t\n\r\x0B\f]+|[ \t\n\r\x0B\f]+$', '', 'g') AS line FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents))),
+        k AS (SELECT *, trim(regexp_replace(lower(line), '[ \t\n\r\x0B\f]+', ' ', 'g')) AS block FROM l WHERE line <> ''), g AS (SELECT block, count(DISTINCT doc_id) AS documents, arg_min(line, (doc_id, pos)) AS sample, min(doc_id) AS first FROM k GROUP BY block HAVING count(DISTINCT doc_id) >= 3),
+        s AS (SELECT *, CASE WHEN regexp_matches(sample, '^#+ ') THEN 'template' WHEN length(sample) <= 60 THEN 'phrase' ELSE 'boilerplate' END AS shape FROM g)
+        SELECT md5(block) AS block, documents, md5(sample) AS sample, first, shape, CASE shape WHEN 'template' THEN 'retain' WHEN 'phrase' THEN 'delete' ELSE 'reference' END AS disposition, CASE WHEN documents >= 10 AND shape <> 'phrase' THEN 'auto' ELSE 'review' END AS grade FROM s""",
     "glossary_acronyms": r"""SELECT term, count(DISTINCT doc_id) AS documents FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS term FROM documents) WHERE regexp_full_match(term, '[A-Z][A-Z0-9]{1,7}') AND term NOT IN ('THE', 'AND', 'DE', 'LA', 'DER') GROUP BY term HAVING count(DISTINCT doc_id) >= 3""",
     "most_common_value": "SELECT user_id, event_type, n FROM (SELECT user_id, event_type, count(*) AS n, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, event_type DESC) AS r FROM events GROUP BY user_id, event_type) WHERE r = 1",
     "consensus_outline": f"""{_SECTIONS}, p AS (SELECT title, doc_key, count(*) AS times, min(seq) AS pos, min(level) AS level FROM sec WHERE level = 2 GROUP BY title, doc_key), n AS (SELECT count(DISTINCT doc_key) AS total FROM p)

@@ -558,6 +558,15 @@ def conversion_markers(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", mining.bare_markers(body).alias("bare"), mining.cross_wraps(F.col("text")).alias("wraps"))
 
 
+@query("""WITH t AS (SELECT doc_id, text || repeat(chr(10) || '- ' || chr(10) || '[[x]]', (doc_id % 120)::INTEGER) AS t FROM documents WHERE text IS NOT NULL),
+    c AS (SELECT doc_id, ((length(t) - length(replace(t, '[[', ''))) // 2)::BIGINT AS wraps, len(regexp_extract_all(t, '(?m)^[ \\t]*(?:[0-9]+\\.|[-*])[ \\t]*$'))::BIGINT AS bare FROM t)
+    SELECT doc_id, wraps, bare, 'layout' AS suggested, wraps || ' wraps of cross-references broke lists into ' || bare || ' bare markers' AS reason FROM c WHERE wraps >= 50""")
+def routing_advice(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with, by their number, more or fewer of the marks that a broken conversion leaves."""
+    marks = F.repeat(F.lit("\n- \n[[x]]"), (F.col("doc_id") % 120).cast("int"))
+    return mining.routing_advice(table(spark, d, "documents").select("doc_id", F.concat("text", marks).alias("text")))
+
+
 @query()
 def boilerplate_clusters(spark: SparkSession, d: str) -> DataFrame:
     return mining.boilerplate_clusters(table(spark, d, "documents")).select(F.md5("block").alias("block"), "documents", "spellings", "grade")
