@@ -84,6 +84,7 @@ def postings_whole(spark: SparkSession, d: str) -> DataFrame:
     """Every term of all documents: in how many it stands, and its weight."""
     w = F.array(*[F.lit(float(v)) for v in FIELDS.values()])
     found = Index(spark, index(spark, d)).postings().select("term", "doc_id", F.aggregate("at", F.lit(0.0), lambda n, a: n + F.get(w, a["f"].cast("int"))).alias("f"))
+    found = found.groupBy("term", "doc_id").agg(F.sum("f").alias("f"))  # an id may have several rows
     return found.groupBy("term").agg(F.count("*").alias("n"), F.round(F.sum("f"), 4).alias("f"))
 
 

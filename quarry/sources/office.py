@@ -322,6 +322,6 @@ def to_markdown(files: DataFrame) -> DataFrame:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """All .docx files below a path of any store, as to_markdown() gives them."""
+    """All .docx files below a path of any store, as to_markdown() gives them; files without any bytes, which Spark's scan passes over, give no row."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.docx").option("recursiveFileLookup", "true").load(path)
     return to_markdown(files.select(F.col("path"), F.col("content")))
