@@ -129,16 +129,17 @@ def scored(spark: SparkSession, path: str, queries: DataFrame, grid: Sequence[Ma
     n = hits.groupBy("_unit").agg(F.count("*").alias("n"))
     odds = (ix.n - F.col("n") + 0.5) / (F.col("n") + 0.5)
     rare = staged(units.join(n, F.col("unit") == F.col("_unit")).select("query", "_unit", (F.col("times") * F.when(odds > 1, F.ln(odds)).otherwise(1e-6)).alias("_w")), "query-weights")
-    rows = hits.join(rare, "_unit").groupBy("query", key).agg(F.sort_array(F.collect_list(F.struct("_unit", "_w", "_tf"))).alias("_x"))
-    rows = rows.join(ix.chunks().select(key, "d"), key)
     whole = F.lit(K1) * (1 - B + B * F.col("d") / F.lit(float(ix.avgdl or 1.0)))
 
-    def point(weights: Column) -> Column:
-        sums = F.transform("_x", lambda u: F.struct(u["_w"].alias("w"), F.aggregate(F.zip_with(u["_tf"], weights, lambda t, w: t * w), F.lit(0.0), lambda a, b: a + b).alias("f")))
-        return F.aggregate(sums, F.lit(0.0), lambda a, v: a + v["w"] * v["f"] * (K1 + 1) / (v["f"] + whole))
+    def part(weights: list[float]) -> Column:
+        """What a token adds to a chunk's score under one point's weights."""
+        f = sum((F.lit(w) * F.col("_tf")[j] for j, w in enumerate(weights)), F.lit(0.0))
+        return F.col("_w") * f * (K1 + 1) / (f + whole)
 
-    points = F.array(*[F.array(*map(F.lit, _weights(ix, g))) for g in grid])
-    return rows.select("query", key, F.transform(points, point).alias("scores"))
+    points = [_weights(ix, g) for g in grid]
+    parts = hits.join(ix.chunks().select(key, "d"), key).join(rare, "_unit").select("query", key, *[part(w).alias(f"_p{n}") for n, w in enumerate(points)])
+    sums = parts.groupBy("query", key).agg(*[F.sum(f"_p{n}").alias(f"_p{n}") for n in range(len(points))])
+    return sums.select("query", key, F.array(*[f"_p{n}" for n in range(len(points))]).alias("scores"))
 
 
 def search_many(spark: SparkSession, path: str, queries: DataFrame, k: int = 10, grid: Sequence[Mapping[str, float] | None] = (None,), facets: DataFrame | None = None) -> DataFrame:
