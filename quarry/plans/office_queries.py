@@ -33,12 +33,12 @@ def paragraph(text: str, style: str = "", number: str = "", bookmark: str = "",
 
 
 def packed(body: str, media: dict[str, bytes] | None = None) -> bytes:
-    """A file of the format around the XML of a body; the same bytes for the same parts."""
+    """A file of the format around the XML of a body; the same bytes for the same parts. The body is deflated, small parts are stored."""
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as pack:
+    with zipfile.ZipFile(out, "w") as pack:
         parts = {"word/document.xml": f"<w:document {_NS}><w:body>{body}</w:body></w:document>", "word/styles.xml": _STYLES, "word/numbering.xml": _NUMBERS, "word/_rels/document.xml.rels": _RELS, **(media or {})}
         for name, content in parts.items():
-            pack.writestr(zipfile.ZipInfo(name), content)
+            pack.writestr(zipfile.ZipInfo(name), content, zipfile.ZIP_DEFLATED if name == "word/document.xml" or len(content) > 4096 else zipfile.ZIP_STORED)
     return out.getvalue()
 
 

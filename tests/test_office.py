@@ -85,3 +85,19 @@ def test_odd_files_give_error_rows(spark, tmp_path, monkeypatch):
 def test_long_file():
     body = body_of("".join(paragraph(f"paragraph {i}") for i in range(20_000)))
     assert body.count("\n\n") == 19_999
+
+
+def test_shared_parts_are_read_once():
+    """Of a file like others of its kind one part is read as XML, where it was four."""
+    import cProfile
+    import pstats
+
+    files = [order_file(n, "1-URGENT", [(i, "N", "1997-01-01") for i in range(4)]) for n in (8, 9)]
+    office.convert(files[0])
+    profile = cProfile.Profile()
+    told, pictures = profile.runcall(office.convert, files[1])
+    stats = pstats.Stats(profile)
+    assert told.startswith("# Order 9\n") and [p[0] for p in pictures] == ["seal.png"] and "1. line 0\n    - flag N\n2. line 1" in told
+    assert sum(n for (_, _, name), (_, n, *_) in stats.stats.items() if name == "XML") == 1
+    assert office.convert(files[1])[0] == told  # counts of lists begin anew
+
