@@ -27,6 +27,8 @@ WEIGHTS = {"doc_title": 2.5, "title": 2.0, "section_path": 1.5, "body": 1.0}
 SHORT = 300
 #: Different terms of many queries up to which they are pushed into the scan of the postings by name.
 PUSHED = 2000
+#: Rows (query, token, chunk) that a task of many searches scores, and weights of queries' tokens up to which all tasks get them.
+SCORED, SENT = 500_000, 1_000_000
 
 build_index = index.build
 
@@ -128,7 +130,9 @@ def scored(spark: SparkSession, path: str, queries: DataFrame, grid: Sequence[Ma
     hits = staged(one.unionByName(long), "query-hits")
     n = hits.groupBy("_unit").agg(F.count("*").alias("n"))
     odds = (ix.n - F.col("n") + 0.5) / (F.col("n") + 0.5)
-    rare = staged(units.join(n, F.col("unit") == F.col("_unit")).select("query", "_unit", (F.col("times") * F.when(odds > 1, F.ln(odds)).otherwise(1e-6)).alias("_w")), "query-weights")
+    rare = staged(units.join(n, F.col("unit") == F.col("_unit")).select("query", "_unit", (F.col("times") * F.when(odds > 1, F.ln(odds)).otherwise(1e-6)).alias("_w"), "n"), "query-weights")
+    size = rare.agg(F.count("*").alias("weights"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+    rare = rare.drop("n")
     whole = F.lit(K1) * (1 - B + B * F.col("d") / F.lit(float(ix.avgdl or 1.0)))
 
     def part(weights: list[float]) -> Column:
@@ -137,7 +141,10 @@ def scored(spark: SparkSession, path: str, queries: DataFrame, grid: Sequence[Ma
         return F.col("_w") * f * (K1 + 1) / (f + whole)
 
     points = [_weights(ix, g) for g in grid]
-    parts = hits.join(ix.chunks().select(key, "d"), key).join(rare, "_unit").select("query", key, *[part(w).alias(f"_p{n}") for n, w in enumerate(points)])
+    # Hits are dealt by chunk, by as many tasks as their rows with all queries ask for: the product of queries and chunks is made, summed up and cut where it is.
+    dealt = hits.repartition(max(spark.sparkContext.defaultParallelism, math.ceil(size["rows"] / SCORED)), key).join(ix.chunks().select(key, "d"), key)
+    met = dealt.join(F.broadcast(rare) if size["weights"] <= SENT else rare, "_unit")
+    parts = met.select("query", key, *[part(w).alias(f"_p{n}") for n, w in enumerate(points)])
     sums = parts.groupBy("query", key).agg(*[F.sum(f"_p{n}").alias(f"_p{n}") for n in range(len(points))])
     return sums.select("query", key, F.array(*[f"_p{n}" for n in range(len(points))]).alias("scores"))
 

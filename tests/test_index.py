@@ -164,3 +164,32 @@ def test_broken_build_leaves_the_current_index(spark):
     path = build(spark, [(1, "a", None, None)], home)
     shutil.copytree(f"{path.removeprefix('file:')}/meta", f"{home.removeprefix('file:')}/version-half/meta")
     assert stores.current(spark, home) == path and found(spark, path, "aa a") == []
+
+
+def test_products_of_queries_and_chunks_stay_where_they_are(spark):
+    """What queries times chunks make is neither shuffled nor as large as a task's memory: hits are dealt by chunk, and a task's part is cut to ranks."""
+    from quarry.operators import index, search
+    from quarry.session import scratch
+
+    docs = spark.createDataFrame([(n, f"common word{n % 7} tail") for n in range(200)], "id long, body string")
+    path = index.build(docs, "id", {"body": 1.0}, scratch(spark, "product"))
+    queries = spark.createDataFrame([(q, f"common word{q % 7}") for q in range(20)], "query long, text string")
+    found = search.scored(spark, path, queries)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(query" not in plan and found.count() == 20 * 200
+    best = search.search_many(spark, path, queries, 3).collect()
+    assert len(best) == 60 and all(r["id"] % 7 == r["query"] % 7 for r in best)
+
+
+def test_points_share_one_ideal(spark):
+    """Judged rows are not repeated for each point, and of each query the k best go on to be ranked."""
+    from quarry.operators import evaluate
+
+    judged = spark.createDataFrame([(q, n, n % 3) for q in range(4) for n in range(50)], "query long, item long, grade int")
+    ranked = spark.createDataFrame([(q, p, r, r * (p + 1)) for q in range(3) for p in range(2) for r in range(1, 6)], "query long, point int, rank long, item long")
+    both = evaluate.metrics_by_point(ranked, judged, 2, 5)
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    single = {(r["query"], p): tuple(r)[1:] for p in range(2) for r in evaluate.ranking_metrics(ranked.where(f"point = {p}").drop("point"), judged, 5).collect()}
+    assert {(r["query"], r["point"]): tuple(r)[2:] for r in both.collect()} == single and len(single) == 8
+
