@@ -17,15 +17,28 @@ def ranking_metrics(ranked: DataFrame, judged: DataFrame, k: int = 10) -> DataFr
     Gain 2^grade - 1, discount log2(rank + 1); the ideal is over all judged items; queries without
     a positive grade are left out.
     """
-    gain = F.pow(F.lit(2.0), F.col("grade")) - 1
+    return _measured(ranked, judged, _ideal(judged, k), ["query"], k)
+
+
+_GAIN = "pow(2.0D, grade) - 1"
+
+
+def _ideal(judged: DataFrame, k: int) -> DataFrame:
+    """(query, idcg, relevant): of the positive grades of a query the k best are ranked, the others only counted."""
+    positive = judged.where("grade > 0")
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("grade"), "item"))
-    ideal = judged.where("grade > 0").withColumn("place", place)
-    best = ideal.groupBy("query").agg(F.sum(F.when(F.col("place") <= k, gain / F.log2(F.col("place") + 1))).alias("idcg"), F.count("*").alias("relevant"))
+    top = positive.withColumn("place", place).where(F.col("place") <= k)
+    best = top.groupBy("query").agg(F.sum(F.expr(_GAIN) / F.log2(F.col("place") + 1)).alias("idcg"))
+    return best.join(positive.groupBy("query").agg(F.count("*").alias("relevant")), "query")
+
+
+def _measured(ranked: DataFrame, judged: DataFrame, ideal: DataFrame, by: list[str], k: int) -> DataFrame:
+    """ranked with its keys in by, ideal(by, idcg, relevant) -> (by, ndcg, rr, recall)."""
     hits = ranked.where(F.col("rank") <= k).join(judged.where("grade > 0"), ["query", "item"])
-    got = hits.groupBy("query").agg(F.sum(gain / F.log2(F.col("rank") + 1)).alias("dcg"), F.min("rank").alias("first"), F.count("*").alias("found"))
-    both = best.join(got, "query", "left")
+    got = hits.groupBy(*by).agg(F.sum(F.expr(_GAIN) / F.log2(F.col("rank") + 1)).alias("dcg"), F.min("rank").alias("first"), F.count("*").alias("found"))
     zero = lambda c: F.coalesce(c, F.lit(0.0))
-    return both.select("query", F.round(zero(F.col("dcg") / F.col("idcg")), 6).alias("ndcg"), F.round(zero(1 / F.col("first")), 6).alias("rr"), F.round(zero(F.col("found") / F.col("relevant")), 6).alias("recall"))
+    ndcg, rr, recall = zero(F.col("dcg") / F.col("idcg")), zero(1 / F.col("first")), zero(F.col("found") / F.col("relevant"))
+    return ideal.join(got, by, "left").select(*by, F.round(ndcg, 6).alias("ndcg"), F.round(rr, 6).alias("rr"), F.round(recall, 6).alias("recall"))
 
 
 def redundancy(ranked: DataFrame, texts: DataFrame, similar: float, shingled: Column, k: int = 10) -> DataFrame:
@@ -58,10 +71,8 @@ def content_hash(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def metrics_by_point(ranked: DataFrame, judged: DataFrame, points: int, k: int = 10) -> DataFrame:
     """ranked(query, point, item, rank), judged(query, item, grade) -> (query, point, ndcg, rr, recall) for every judged query and point."""
-    named = F.struct("query", "point").alias("query")
-    every = judged.select("query", "item", "grade", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    found = ranking_metrics(ranked.select(named, "item", "rank"), every.select(named, "item", "grade"), k)
-    return found.select("query.query", "query.point", "ndcg", "rr", "recall")
+    ideal = _ideal(judged, k).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    return _measured(ranked.select("query", "point", "item", "rank"), judged, ideal, ["query", "point"], k)
 
 
 def golden_scores(spark: SparkSession, path: str, queries: DataFrame | list[tuple[str, str]], judged: DataFrame, k: int = 10, grid: Sequence[Mapping[str, float] | None] = (None,), facets: DataFrame | None = None) -> DataFrame:
