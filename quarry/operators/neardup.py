@@ -130,16 +130,20 @@ def auto_bands(permutations: int, threshold: float) -> int:
 
 #: Members of a bucket that one task compares at once, and rounds in which members of larger ones are tied to pivots.
 BUCKET, PIVOTS = 4096, 6
+#: Places of signatures in bands up to which all bands are worked through at once.
+AT_ONCE = 1_000_000
 
 
 def forest_of(k: np.ndarray, s: np.ndarray, side: np.ndarray, threshold: float, within: bool) -> tuple[np.ndarray, np.ndarray]:
     """Ties of keys whose signatures reach the threshold: among all of them, or only of one side with the other. Those that are joined already,
-    as members of a pivot's class are, are not compared again."""
-    start = np.arange(len(k))
+    as rows of one key or members of a pivot's class are, are not compared again."""
+    _, first, place = np.unique(k, return_index=True, return_inverse=True)
+    start = first[place]
     if not within:
         for name in np.unique(side):
             if not str(name).startswith("0."):
-                start[side == name] = np.flatnonzero(side == name)[0]
+                some = np.unique(start[side == name])
+                start[np.isin(start, some)] = some[0]
     root = start.copy()
     for a in range(len(k) - 1):
         use = root[a + 1 :] != root[a]
@@ -178,39 +182,80 @@ def _pivoted(members: DataFrame, one: DataFrame, threshold: float, bucket: int)
     return (left if classed is None else classed.unionByName(left)), edges
 
 
+def _batches(bands: int, signatures: int) -> list[range]:
+    """Bands that are worked through together: all where there are few signatures, else one, then twice as many each time."""
+    if signatures * bands <= AT_ONCE:
+        return [range(bands)]
+    ends = [0, *(e for e in (2**n - 1 for n in range(1, bands)) if 2 * e < bands), bands]
+    return [range(x, y) for x, y in zip(ends, ends[1:], strict=False)]
+
+
 def links(signatures: DataFrame, key: str, threshold: float, bands: int, permutations: int, within: Sequence[str] = (), bucket: int | None = None) -> DataFrame:
-    """(a, b): forests over all pairs of different signatures that agree on a band and whose estimate reaches the threshold.
+    """(a, b): edges whose components are those of all pairs of different signatures that agree on a band and whose estimate reaches the threshold.
 
     Equal signatures are one class: the smallest key stands for it, so that a group of copies costs no pairs. Only rows that
-    are equal in the columns of ``within`` are compared. A bucket of at most ``bucket`` members is compared in one go, and of one that is larger
-    members are first tied to pivots: those of one pivot's class are joined by it and are not compared again. What
-    is left is exact: rest with all and class with class, in pairs of blocks that are tasks of their own. A task holds
-    two blocks, and sends back a row for each linked member instead of the pairs."""
+    are equal in the columns of ``within`` are compared. Of many signatures the bands are worked through in batches: a bucket whose members
+    earlier bands have joined to one component has nothing to add and sends no signature, and edges are between components, each named by its
+    smallest key."""
     rows = permutations // bands
     if rows * bands != permutations:
         raise ValueError("bands must divide the signature")
     spark, bucket = signatures.sparkSession, bucket or BUCKET
     ship(spark)
     # Minima are unsigned numbers of 32 bits; as signed ones they travel in half the bytes.
-    narrow = F.transform("signature", lambda x: (x - 2**31).cast("int"))
-    one = staged(signatures.groupBy("signature", *within).agg(F.min(key).alias("k")).select("k", *within, narrow.alias("s")), "signature-classes")
-    parts = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("s", b * rows + 1, rows), *within).alias("h")) for b in range(bands)])
-    each = one.select("k", F.explode(parts).alias("x")).select("k", "x.band", "x.h")
-    sizes = staged(each.groupBy("band", "h").agg(F.count("*").alias("n")).where("n > 1"), "bucket-sizes")
+    narrow = F.transform("signature", lambda x: (x - 2**31).cast("int")).alias("s")
+    one = staged(signatures.select(key, *within, narrow).groupBy("s", *within).agg(F.min(key).alias("k")), "signature-classes")
+    batches = _batches(bands, one.count())
+    found, joined = None, None  # joined(k, o): the component of keys that are not their component's smallest
+    for n, some in enumerate(batches):
+        parts = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.slice("s", b * rows + 1, rows), *within).alias("h")) for b in some])
+        each = one.select("k", F.explode(parts).alias("x")).select("k", "x.band", "x.h")
+        each = each.withColumn("o", F.col("k")) if joined is None else each.join(joined, "k", "left").withColumn("o", F.coalesce("o", "k"))
+        edges = _met(each, one, threshold, bucket, joined is not None)
+        if len(batches) > 1:
+            edges = staged(edges, "component-edges")
+        found = edges if found is None else found.unionByName(edges)
+        if n + 1 < len(batches):
+            moved = connected_components(edges, "a", "b").where("node <> component").select(F.col("node").cast(one.schema["k"].dataType).alias("k"), F.col("component").cast(one.schema["k"].dataType).alias("o"))
+            if joined is not None:
+                before = joined.join(moved.select(F.col("k").alias("o"), F.col("o").alias("to")), "o", "left").select("k", F.coalesce("to", "o").alias("o"))
+                moved = before.unionByName(moved)
+            joined = staged(moved, "components")
+    return found
+
+
+def _met(each: DataFrame, one: DataFrame, threshold: float, bucket: int, later: bool) -> DataFrame:
+    """each(k, band, h, o) -> (a, b): ties between components o, by the members of buckets of several components.
+
+    A bucket of at most ``bucket`` members is compared in one go. Of one that is larger, the component with most members (in a later batch) is one
+    class, and the others are first tied to pivots: those of one pivot's class are joined by it and are not compared again. What
+    is left is exact: rest with all and class with class, in pairs of blocks that are tasks of their own. A task holds
+    two blocks, and sends back a row for each linked member instead of the pairs."""
+    sizes = staged(each.groupBy("band", "h").agg(F.count("*").alias("n"), F.min("o").alias("lo"), F.max("o").alias("hi")).where("lo <> hi").select("band", "h", "n"), "bucket-sizes")
     small = each.join(sizes.where(F.col("n") <= bucket).select("band", "h"), ["band", "h"])
-    placed = small.select("band", "h", F.lit("").alias("i"), F.lit("").alias("j"), F.lit("").alias("mine"), "k")
+    placed = small.select("band", "h", F.lit("").alias("i"), F.lit("").alias("j"), F.lit("").alias("mine"), "k", "o")
     edges = None
     if not sizes.where(F.col("n") > bucket).isEmpty():
-        members, edges = _pivoted(staged(each.join(sizes.where(F.col("n") > bucket).select("band", "h"), ["band", "h"]), "hot-buckets"), one, threshold, bucket)
-        members = staged(members, "hot-members")
+        hot = staged(each.join(sizes.where(F.col("n") > bucket).select("band", "h"), ["band", "h"]), "hot-buckets")
+        largest = None
+        if later:
+            most = hot.groupBy("band", "h", "o").agg(F.count("*").alias("n")).groupBy("band", "h").agg(F.max_by("o", "n").alias("most"))
+            hot = staged(hot.join(most, ["band", "h"]), "hot-components")
+            largest, hot = hot.where("o = most").select("band", "h", "k", F.lit(-1).alias("c")), hot.where("o <> most").drop("most")
+        members, edges = _pivoted(hot.select("band", "h", "k"), one, threshold, bucket)
+        members = staged(members if largest is None else members.unionByName(largest), "hot-members")
         held = members.groupBy("band", "h", "c").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / (bucket // 2)))
         blocks = staged(held.select("band", "h", "c", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).withColumn("mine", F.concat_ws(".", "c", "block")), "hot-blocks")
         x, y = blocks.select("band", "h", F.col("c").alias("cx"), F.col("mine").alias("i")), blocks.select("band", "h", F.col("c").alias("cy"), F.col("mine").alias("j"))
         pairs = x.join(y, ["band", "h"]).where("i <= j AND (cx <> cy OR cx = 0)").select("band", "h", "i", "j")
         sends = pairs.select("band", "h", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("mine"))
-        dealt = members.join(held.select("band", "h", "c", "blocks"), ["band", "h", "c"]).withColumn("mine", F.concat_ws(".", "c", F.pmod(F.xxhash64("k", "band"), "blocks")))
-        placed = placed.unionByName(dealt.join(sends, ["band", "h", "mine"]).select("band", "h", "i", "j", "mine", "k"))
-    kind = signatures.schema[key].dataType.simpleString()
+        owned = each.select("k", "o").distinct()
+        dealt = members.join(held.select("band", "h", "c", "blocks"), ["band", "h", "c"]).withColumn("mine", F.concat_ws(".", "c", F.pmod(F.xxhash64("k", "band"), "blocks"))).join(owned, "k")
+        placed = placed.unionByName(dealt.join(sends, ["band", "h", "mine"]).select("band", "h", "i", "j", "mine", "k", "o"))
+        if edges is not None:
+            a, b = owned.select(F.col("k").alias("a"), F.col("o").alias("_a")), owned.select(F.col("k").alias("b"), F.col("o").alias("_b"))
+            edges = edges.join(a, "a").join(b, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b")
+    kind = one.schema["k"].dataType.simpleString()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -218,11 +263,11 @@ def links(signatures: DataFrame, key: str, threshold: float, bands: int, permuta
         def done(some: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """Whole groups that follow each other."""
             table = pa.Table.from_batches(some).combine_chunks()
-            k, s = table.column("k").to_numpy(), table.column("s").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+            k, s = table.column("o").to_numpy(), table.column("s").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
             side, i, j = (table.column(c).to_numpy() for c in ("mine", "i", "j"))
             first = _edges(table)
             out = [forest_of(k[a:b], s[a:b], side[a:b], threshold, i[a] == j[a]) for a, b in zip(first, [*first[1:], len(k)], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[n] for o in out]), table.schema.field("k").type) for n in (0, 1)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[n] for o in out]), table.schema.field("o").type) for n in (0, 1)], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -240,7 +285,7 @@ def links(signatures: DataFrame, key: str, threshold: float, bands: int, permuta
 
     by = ("band", "h", "i", "j")
     wide = placed.join(one.select("k", "s"), "k").repartition(*by).sortWithinPartitions(*by)
-    found = wide.select(*by, "mine", "k", "s").mapInArrow(meet, f"a {kind}, b {kind}")
+    found = wide.select(*by, "mine", "o", "s").mapInArrow(meet, f"a {kind}, b {kind}")
     return found if edges is None else found.unionByName(edges.select(F.col("a").cast(kind), F.col("b").cast(kind)))
 
 
@@ -262,9 +307,13 @@ def clusters(signatures: DataFrame, key: str, threshold: float, permutations: in
     """(key, cluster): the smallest key of the documents that chains of estimates at the threshold join, among those equal in ``within``."""
     bands = bands or auto_bands(permutations, threshold)
     joined = connected_components(links(signatures, key, threshold, bands, permutations, within), "a", "b")
-    heads = signatures.groupBy("signature", *within).agg(F.min(key).alias("head"))
-    named = heads.join(joined, heads["head"] == joined["node"], "left").select("signature", *within, F.coalesce("component", "head").alias("cluster"))
-    return signatures.select(key, "signature", *within).join(named, ["signature", *within]).select(key, "cluster")
+    # Equal signatures are told by 128 bits of them, so that they are not moved.
+    mark = [F.xxhash64(F.lit(n), "signature").alias(f"_m{n}") for n in range(2)]
+    by = ["_m0", "_m1", *within]
+    marked = signatures.select(key, *within, *mark)
+    heads = marked.groupBy(*by).agg(F.min(key).alias("head"))
+    named = heads.join(joined, heads["head"] == joined["node"], "left").select(*by, F.coalesce("component", "head").alias("cluster"))
+    return marked.join(named, by).select(key, "cluster")
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -57,10 +57,16 @@ def clustered(docs: DataFrame, threshold: float = LIKE, permutations: int = 128)
 
     Rows without a type or a doc_id are left out; a null era counts as unknown."""
     known = docs.where("doc_type IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "doc_type", F.coalesce("era", F.lit("unknown")).alias("era"), "outline")
-    known = staged(known, "outlines")
     shingled = mining.scaffold_shingles(F.transform(F.filter("outline", lambda x: F.trim(x["title"]) != ""), lambda x: x["title"]))
-    signed = staged(neardup.minhash_of(known.select("doc_id", *BUCKET, F.transform(shingled, neardup.signed_hash).alias("hashes")), permutations), "outline-signatures")
-    return known.join(neardup.clusters(signed, "doc_id", threshold, permutations, within=BUCKET), "doc_id")
+    # Equal outlines are signed once; they are told by 128 bits of their runs.
+    marks = [F.xxhash64(F.lit(n), F.array_sort("runs")).alias(f"_m{n}") for n in range(2)]
+    told = staged(known.withColumn("runs", shingled).select("*", *marks), "outlines")
+    by = ["_m0", "_m1", *BUCKET]
+    heads = staged(told.groupBy(*by).agg(F.min("doc_id").alias("head")), "outline-heads")
+    sets = told.join(heads, [*by]).where("doc_id = head").dropDuplicates(by).select("head", *BUCKET, F.transform("runs", neardup.signed_hash).alias("hashes"))
+    signed = staged(neardup.minhash_of(sets, permutations), "outline-signatures")
+    named = heads.join(neardup.clusters(signed, "head", threshold, permutations, within=BUCKET), "head").drop("head")
+    return told.join(named, by).select(*known.columns, "cluster")
 
 
 def _escaped(core: Column) -> Column:

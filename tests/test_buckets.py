@@ -47,6 +47,23 @@ def test_hot_bucket(spark, monkeypatch):
     assert seen["rest"] < 250  # of 480 different ones; the large groups went to their pivots
 
 
+def test_bands_in_batches(spark, monkeypatch):
+    """Buckets whose members earlier bands have joined send nothing; the components are those of all bands at once."""
+    rng = random.Random(9)
+    big = 2**32
+    base = [rng.randrange(big) for _ in range(128)]
+    near = lambda head, changed: head + [x if rng.random() > changed else rng.randrange(big) for x in base[len(head) :]]
+    joined = [near(base[:8], 0.05) for _ in range(60)]
+    signed = dict(enumerate(joined + [near([], 0.1) for _ in range(150)] + [near([], 0.5) for _ in range(20)] + joined[:3]))
+    monkeypatch.setattr(neardup, "AT_ONCE", 0)
+    assert [list(b) for b in neardup._batches(16, 9)] == [[0], [1, 2], [3, 4, 5, 6], list(range(7, 16))]
+    frame = lambda part: spark.createDataFrame(list(part.items()), "doc_id long, signature array<long>")
+    assert neardup.links(frame({i: signed[i] for i in range(60)}), "doc_id", 0.8, 16, 128).count() == 59
+    monkeypatch.setattr(neardup, "BUCKET", 32)
+    got = {r.doc_id: r.cluster for r in neardup.clusters(frame(signed), "doc_id", 0.8, 128, 16).collect()}
+    assert got == plain(signed, 0.8, 16)
+
+
 def test_groups_apart(spark):
     one = [7] * 128
     frame = spark.createDataFrame([(1, one, "a"), (2, one, "b"), (3, one, "a"), (4, [7] * 120 + [8] * 8, "b"), (5, [7] * 120 + [9] * 8, None)], "doc_id long, signature array<long>, kind string")
