@@ -102,13 +102,16 @@ def boilerplate_clusters(docs: DataFrame, key: str = "doc_id", text: str = "text
     """(block, documents, spellings, grade): near-identical lines as one, named by the spelling with most documents (the larger
     among equals); documents of all spellings count once, so that rare spellings may qualify together."""
     each = spread(docs.select(key, text)).select(key, F.explode(F.split(F.col(text), "\n")).alias("line"))
-    keyed = staged(each.where(F.length("line") > phrase).select(key, block_key(F.col("line")).alias("block")).where("block <> ''").distinct(), "blocks-of-documents")
-    spelled = keyed.groupBy("block").agg(F.count("*").alias("n"))
+    blocks = each.where(F.length("line") > phrase).select(key, block_key(F.col("line")).alias("block")).where("block <> ''")
+    # Blocks are told by 128 bits of them: their texts are moved once each, not once for every document.
+    marks, by = [F.xxhash64(F.lit(n), "block").alias(f"_m{n}") for n in range(2)], ["_m0", "_m1"]
+    keyed = staged(blocks.select(key, *marks).distinct(), "blocks-of-documents")
+    spelled = blocks.select("block").distinct().select("block", *marks).join(keyed.groupBy(*by).agg(F.count("*").alias("n")), by)
     numbered = staged(spelled.withColumn("number", F.monotonically_increasing_id()), "blocks")
     grouped = staged(neardup.clusters(staged(neardup.minhash(numbered, "number", "block"), "block-signatures"), "number", threshold, 128), "block-clusters")
     named = numbered.join(grouped, "number")
     heads = named.groupBy("cluster").agg(F.max(F.struct("n", "block"))["block"].alias("block"), F.count("*").alias("spellings"))
-    documents = keyed.join(named.select("block", "cluster"), "block").select(key, "cluster").distinct().groupBy("cluster").agg(F.count("*").alias("documents")).where(F.col("documents") >= least)
+    documents = keyed.join(named.select(*by, "cluster"), by).select(key, "cluster").distinct().groupBy("cluster").agg(F.count("*").alias("documents")).where(F.col("documents") >= least)
     return documents.join(heads, "cluster").select("block", "documents", "spellings", F.when(F.col("documents") >= sure, "auto").otherwise("review").alias("grade"))
 
 

@@ -130,8 +130,8 @@ def auto_bands(permutations: int, threshold: float) -> int:
 
 #: Members of a bucket that one task compares at once, and rounds in which members of larger ones are tied to pivots.
 BUCKET, PIVOTS = 4096, 6
-#: Places of signatures in bands up to which all bands are worked through at once.
-AT_ONCE = 1_000_000
+#: Places of signatures in bands up to which all bands are worked through at once, and members of a batch up to which they are sent to the signatures.
+AT_ONCE, SENT = 1_000_000, 200_000
 
 
 def forest_of(k: np.ndarray, s: np.ndarray, side: np.ndarray, threshold: float, within: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -284,6 +284,9 @@ def _met(each: DataFrame, one: DataFrame, threshold: float, bucket: int, later:
             yield from done(waiting)
 
     by = ("band", "h", "i", "j")
+    if later:
+        placed = staged(placed, "bucket-members")
+        placed = F.broadcast(placed) if placed.count() <= SENT else placed
     wide = placed.join(one.select("k", "s"), "k").repartition(*by).sortWithinPartitions(*by)
     found = wide.select(*by, "mine", "o", "s").mapInArrow(meet, f"a {kind}, b {kind}")
     return found if edges is None else found.unionByName(edges.select(F.col("a").cast(kind), F.col("b").cast(kind)))

@@ -80,3 +80,13 @@ def test_recurring_blocks(spark):
         "short line": (12, 0, "phrase", "delete", "review"),
         "a long block of words that says one thing in many documents over two lines": (12, 0, "boilerplate", "reference", "auto"),
     }
+
+
+def test_texts_of_blocks_are_moved_once(spark, monkeypatch):
+    kept, real = {}, mining.staged
+    monkeypatch.setattr(mining, "staged", lambda df, label: kept.setdefault(label, df.columns) and real(df, label))
+    line = "a long line of words that says one thing in many documents and goes on for a while "
+    rows = [(i, f"{line}\n{line.upper()}\nown {i}") for i in range(3)] + [(i, f"{line} to its end") for i in range(3, 12)] + [(12, None)]
+    got = {tuple(r) for r in mining.boilerplate_clusters(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(f"{line}to its end".strip(), 12, 2, "auto")} or got == {(f"{line}to its end".strip(), 9, 1, "review"), (line.strip(), 3, 1, "review")}
+    assert "block" not in kept["blocks-of-documents"]
