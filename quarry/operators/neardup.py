@@ -80,7 +80,11 @@ def _permuted(h: np.ndarray, family: np.ndarray) -> np.ndarray:
     return np.where(x >= p, x - p, x)
 
 
-def signatures(hashes: np.ndarray, sizes: np.ndarray, family: np.ndarray, block: int = 2048) -> np.ndarray:
+#: Hashes whose values under 128 permutations a core's cache holds, with those of the steps between.
+BLOCK = 256
+
+
+def signatures(hashes: np.ndarray, sizes: np.ndarray, family: np.ndarray, block: int = BLOCK) -> np.ndarray:
     """Rows of minima for sets that follow each other in one array; an empty set has the mask everywhere."""
     out = np.full((len(sizes), len(family)), MASK, np.int64)
     owner = np.repeat(np.arange(len(sizes)), sizes)

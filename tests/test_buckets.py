@@ -3,6 +3,8 @@
 import itertools
 import random
 
+import numpy as np
+
 from quarry.operators import mining, neardup
 
 
@@ -90,3 +92,10 @@ def test_texts_of_blocks_are_moved_once(spark, monkeypatch):
     got = {tuple(r) for r in mining.boilerplate_clusters(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {(f"{line}to its end".strip(), 12, 2, "auto")} or got == {(f"{line}to its end".strip(), 9, 1, "review"), (line.strip(), 3, 1, "review")}
     assert "block" not in kept["blocks-of-documents"]
+
+
+def test_signatures_by_blocks():
+    family = np.array([neardup.coefficients(i) for i in range(128)], np.uint64)
+    hashes, sizes = np.random.default_rng(3).integers(0, 2**64, 1500, dtype=np.uint64), np.array([0, 700, 1, 0, 799])
+    assert (neardup.signatures(hashes, sizes, family) == neardup.signatures(hashes, sizes, family, 2048)).all()
+    assert neardup.BLOCK * len(family) * 8 <= 2**18  # several such arrays are in a core's cache
