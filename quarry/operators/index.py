@@ -86,14 +86,15 @@ def shards_for(tokens: int, a_shard: int = SHARD_TOKENS) -> int:
     return min(MOST_SHARDS, max(LEAST_SHARDS, 1 << max(0, math.ceil(tokens / a_shard) - 1).bit_length()))
 
 
-def _common(postings: DataFrame, key: str, chunks: int, split: int) -> DataFrame | None:
-    """(term, parts) of the terms that take more than one file: at most 1 / COMMON times the terms of a chunk."""
-    if chunks <= split:
+def _common(postings: DataFrame, key: str, chunks: int, tokens: int, split: int, a_shard: int = SHARD_TOKENS) -> DataFrame | None:
+    """(term, parts) of the terms that take more than one file, by their chunks or their occurrences: at most 1 / COMMON times the terms of a chunk."""
+    if chunks <= split and tokens <= a_shard:
         return None
     sample = staged(postings.select(key, "words").limit(SAMPLE), "index-sample")
     n = sample.count()
-    seen = sample.select(F.explode("words.term").alias("term")).groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= max(2, COMMON * n))
-    return seen.select("term", F.ceil(F.col("n") / n * chunks / split).cast("int").alias("parts")).where("parts > 1")
+    seen = sample.select(F.explode("words").alias("x")).groupBy("x.term").agg(F.count("*").alias("n"), F.sum(F.size("x.at")).alias("times")).where(F.col("n") >= max(2, COMMON * n))
+    parts = F.greatest(F.ceil(F.col("n") / n * chunks / split), F.ceil(F.col("times") / n * chunks / a_shard)).cast("int")
+    return seen.select("term", parts.alias("parts")).where("parts > 1")
 
 
 def _write_postings(rows: DataFrame, key: str, path: str, shards: int, common: DataFrame | None) -> None:
@@ -106,8 +107,11 @@ def _write_postings(rows: DataFrame, key: str, path: str, shards: int, common: D
         files += common.agg(F.coalesce(F.sum("parts"), F.lit(0))).first()[0]
         placed = placed.join(F.broadcast(common), "term", "left")  # bounded, see _common
         part = F.pmod(F.xxhash64(key), F.coalesce("parts", F.lit(1)))
-    placed = placed.select("term", key, "at", "shard", part.alias("part"))
-    placed.repartition(files, "shard", "part").sortWithinPartitions("shard", "term").drop("part").write.partitionBy("shard").parquet(f"{path}/postings")
+    # An occurrence travels as one number: as a struct it takes four times the bytes.
+    packed = F.transform("at", lambda a: F.shiftleft(a["f"].cast("long"), 32) + a["p"])
+    unpacked = F.transform("at", lambda x: F.struct(F.shiftright(x, 32).cast("tinyint").alias("f"), x.bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("p")))
+    placed = placed.select("term", key, packed.alias("at"), "shard", part.alias("part")).repartition(files, "shard", "part").sortWithinPartitions("shard", "term")
+    placed.select("term", key, unpacked.alias("at"), "shard").write.partitionBy("shard").parquet(f"{path}/postings")
     stored = spark.read.schema(_schema("postings", key, rows.schema[key].dataType.simpleString())).parquet(f"{path}/postings")
     counted = stored.groupBy("shard", "term").agg(F.count("*").alias("n"), F.sum(F.size("at")).alias("times"))
     counted.repartition(shards, "shard").sortWithinPartitions("shard", "term").write.partitionBy("shard").parquet(f"{path}/terms")
@@ -130,7 +134,7 @@ def _write_segment(chunks: DataFrame, key: str, fields: Mapping[str, float], hom
     segment = Segment(name, shards_for(one["tokens"]), one["n"], one["tokens"])
     # Of a plain explode Spark asks first whether the array is empty, and makes it twice.
     rows = worded.select(key, F.explode_outer("words").alias("x")).where("x IS NOT NULL").select("x.term", key, "x.at")
-    _write_postings(rows, key, path, segment.shards, _common(worded, key, segment.chunks, split))
+    _write_postings(rows, key, path, segment.shards, _common(worded, key, segment.chunks, segment.tokens, split))
     return segment
 
 

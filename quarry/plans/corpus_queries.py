@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as T
 from quarry.operators import evaluate, inventory, mining, neardup, relations, search, versions
-from quarry.operators.index import Index
+from quarry.operators.index import SHARD_TOKENS, Index
 from quarry.session import scratch, staged, table
 from quarry.sources import html, markdown
 
@@ -83,7 +83,11 @@ def index_meta(spark: SparkSession, d: str) -> DataFrame:
 def postings_whole(spark: SparkSession, d: str) -> DataFrame:
     """Every term of all documents: in how many it stands, and its weight."""
     w = F.array(*[F.lit(float(v)) for v in FIELDS.values()])
-    found = Index(spark, index(spark, d)).postings().select("term", "doc_id", F.aggregate("at", F.lit(0.0), lambda n, a: n + F.get(w, a["f"].cast("int"))).alias("f"))
+    ix = Index(spark, index(spark, d))
+    found = ix.postings().select("term", "doc_id", F.aggregate("at", F.lit(0.0), lambda n, a: n + F.get(w, a["f"].cast("int"))).alias("f"))
+    # As many tasks as the tokens ask for, whatever the session's number.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(s.tokens for s in ix.segments) // SHARD_TOKENS + 1)
+    found = found.repartition(tasks, "term", "doc_id")
     found = found.groupBy("term", "doc_id").agg(F.sum("f").alias("f"))  # an id may have several rows
     return found.groupBy("term").agg(F.count("*").alias("n"), F.round(F.sum("f"), 4).alias("f"))
 

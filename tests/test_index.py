@@ -193,3 +193,15 @@ def test_points_share_one_ideal(spark):
     single = {(r["query"], p): tuple(r)[1:] for p in range(2) for r in evaluate.ranking_metrics(ranked.where(f"point = {p}").drop("point"), judged, 5).collect()}
     assert {(r["query"], r["point"]): tuple(r)[2:] for r in both.collect()} == single and len(single) == 8
 
+
+
+def test_common_terms_are_split_by_occurrences(spark, tmp_path):
+    """A term that stands often in few chunks takes several files too, and occurrences come back as they were."""
+    home, line = f"file://{tmp_path}/often", "w " * 300 + "own"
+    rows = spark.createDataFrame([(k, line) for k in range(12)], "k long, text string")
+    words = rows.select("k", index.grouped({"text": 1.0}).alias("words"))
+    assert [tuple(r) for r in index._common(words, "k", 12, 12 * 301, 1000, a_shard=1000).collect()] == [("w", 4)]
+    assert index._common(words, "k", 12, 12 * 301, 1000, a_shard=4000) is None
+    path = index.build(rows, "k", {"text": 1.0}, home)
+    got = {(r.term, r.k): [tuple(a) for a in r.at] for r in index.Index(spark, path).postings().collect()}
+    assert got == {("w", k): [(0, i) for i in range(300)] for k in range(12)} | {("own", k): [(0, 300)] for k in range(12)}
