@@ -265,3 +265,35 @@ def test_equal_bodies_are_worked_through_once(spark):
     got = _rows_of(rows, each, "l_orderkey long, text string, at int").collect()
     assert seen.value == 3
     assert sorted(map(tuple, got)) == sorted((k, t, i) for k in range(30) for t in [["a", "bb", ""][k % 3]] for i in range(len(t)))
+
+
+def test_steps_look_at_whole_bodies_and_not_at_each_line():
+    """Python calls of all steps of an audit do not follow the lines of prose, and a table that recurs is read once."""
+    import sys
+
+    def calls(body: str) -> int:
+        n = 0
+
+        def count(frame, event, arg):
+            nonlocal n
+            n += event in ("call", "c_call")
+
+        sys.setprofile(count)
+        try:
+            bodies.audit(bodies.extract_tables(bodies.extract_revisions(body)[0])[0])
+        finally:
+            sys.setprofile(None)
+        return n
+
+    history = "## Revision History\n\n<table><tr><th>Date</th><th>Description</th></tr><tr><td>1/2/2020</td><td>x &amp; y</td></tr></table>\n\n"
+    pipes = "| a | b |\n|---|---|\n" + "\n".join(f"| {i} | x |" for i in range(12))
+    short, long = (f"# T\n\n{history}{'word ' * 3}\n{pipes}\n\n" + "some prose\n" * n for n in (10, 500))
+    bodies.extract_revisions(short)
+    assert calls(long) - calls(short) < 490
+    assert bodies._html_read.cache_info().hits > 0
+
+
+def test_runs_of_piped_lines_in_and_out_of_fences():
+    table = "| a | b |\n|---|---|\n| 1 | 2 |"
+    body = f"```\n{table}\n```\n  {table}  \n| - |\ntext\n| lone |\n\n|---|\n|---|\n~~~\n{table}"
+    assert [(body[t.start : t.end], t.rows) for t in bodies.tables(body)] == [(f"  {table}  \n| - |", [["a", "b"], ["1", "2"], ["-"]]), ("|---|\n|---|", [["---"]])]
