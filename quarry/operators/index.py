@@ -24,7 +24,7 @@ import zlib
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators import stores
@@ -86,13 +86,18 @@ def shards_for(tokens: int, a_shard: int = SHARD_TOKENS) -> int:
     return min(MOST_SHARDS, max(LEAST_SHARDS, 1 << max(0, math.ceil(tokens / a_shard) - 1).bit_length()))
 
 
-def _common(postings: DataFrame, key: str, chunks: int, tokens: int, split: int, a_shard: int = SHARD_TOKENS) -> DataFrame | None:
-    """(term, parts) of the terms that take more than one file, by their chunks or their occurrences: at most 1 / COMMON times the terms of a chunk."""
+def _sampled(chunks: DataFrame, n: int) -> DataFrame:
+    """About SAMPLE of n chunks, drawn where they are: a limit would take so many from each task to a single one."""
+    return chunks.sample(SAMPLE / n, seed=7) if n > SAMPLE else chunks
+
+
+def _common(worded: DataFrame, key: str, chunks: int, tokens: int, split: int, a_shard: int = SHARD_TOKENS) -> DataFrame | None:
+    """(term, parts) of the terms that take more than one file, by their chunks or their occurrences in a sample: at most 1 / COMMON times the terms of a chunk."""
     if chunks <= split and tokens <= a_shard:
         return None
-    sample = staged(postings.select(key, "words").limit(SAMPLE), "index-sample")
+    sample = staged(worded.select(key, F.transform("words", lambda x: F.struct(x["term"].alias("term"), F.size(x["at"]).alias("times"))).alias("words")), "index-sample")
     n = sample.count()
-    seen = sample.select(F.explode("words").alias("x")).groupBy("x.term").agg(F.count("*").alias("n"), F.sum(F.size("x.at")).alias("times")).where(F.col("n") >= max(2, COMMON * n))
+    seen = sample.select(F.explode("words").alias("x")).groupBy("x.term").agg(F.count("*").alias("n"), F.sum("x.times").alias("times")).where(F.col("n") >= max(2, COMMON * n))
     parts = F.greatest(F.ceil(F.col("n") / n * chunks / split), F.ceil(F.col("times") / n * chunks / a_shard)).cast("int")
     return seen.select("term", parts.alias("parts")).where("parts > 1")
 
@@ -101,16 +106,18 @@ def _write_postings(rows: DataFrame, key: str, path: str, shards: int, common: D
     """rows(term, key, at) below path, with the counts of terms."""
     spark = rows.sparkSession
     placed = rows.withColumn("shard", (F.crc32(F.col("term").cast("binary")) % shards).cast("int"))
-    files, part = shards, F.lit(0)
+    # Tasks are named, one for each shard and each part of a common term: by hashes some would get several and others none.
+    files, task = shards, F.col("shard")
     if common is not None:
-        common = staged(common, "index-common")
+        first = F.sum("parts").over(Window.orderBy("term").rowsBetween(Window.unboundedPreceding, -1))
+        common = staged(common.withColumn("first", F.coalesce(first, F.lit(0)).cast("int") + shards), "index-common")  # bounded, see _common
         files += common.agg(F.coalesce(F.sum("parts"), F.lit(0))).first()[0]
-        placed = placed.join(F.broadcast(common), "term", "left")  # bounded, see _common
-        part = F.pmod(F.xxhash64(key), F.coalesce("parts", F.lit(1)))
+        placed = placed.join(F.broadcast(common), "term", "left")
+        task = F.when(F.col("parts").isNull(), F.col("shard")).otherwise(F.col("first") + F.pmod(F.xxhash64(key), "parts").cast("int"))
     # An occurrence travels as one number: as a struct it takes four times the bytes.
     packed = F.transform("at", lambda a: F.shiftleft(a["f"].cast("long"), 32) + a["p"])
     unpacked = F.transform("at", lambda x: F.struct(F.shiftright(x, 32).cast("tinyint").alias("f"), x.bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("p")))
-    placed = placed.select("term", key, packed.alias("at"), "shard", part.alias("part")).repartition(files, "shard", "part").sortWithinPartitions("shard", "term")
+    placed = placed.select("term", key, packed.alias("at"), "shard", task.alias("task")).repartitionById(files, "task").sortWithinPartitions("shard", "term")
     placed.select("term", key, unpacked.alias("at"), "shard").write.partitionBy("shard").parquet(f"{path}/postings")
     stored = spark.read.schema(_schema("postings", key, rows.schema[key].dataType.simpleString())).parquet(f"{path}/postings")
     counted = stored.groupBy("shard", "term").agg(F.count("*").alias("n"), F.sum(F.size("at")).alias("times"))
@@ -130,11 +137,11 @@ def _write_segment(chunks: DataFrame, key: str, fields: Mapping[str, float], hom
     size = sum((F.size(terms(F.col(c))) for c in fields), F.lit(0)).cast("long")
     chunks.select(key, size.alias("d"), "mark", *keep).write.parquet(f"{path}/chunks")
     one = spark.read.parquet(f"{path}/chunks").agg(F.count("*").alias("n"), F.coalesce(F.sum("d"), F.lit(0)).alias("tokens")).first()
-    worded = chunks.select(key, grouped(fields).alias("words"))
+    worded = lambda rows: rows.select(key, grouped(fields).alias("words"))
     segment = Segment(name, shards_for(one["tokens"]), one["n"], one["tokens"])
     # Of a plain explode Spark asks first whether the array is empty, and makes it twice.
-    rows = worded.select(key, F.explode_outer("words").alias("x")).where("x IS NOT NULL").select("x.term", key, "x.at")
-    _write_postings(rows, key, path, segment.shards, _common(worded, key, segment.chunks, segment.tokens, split))
+    rows = worded(chunks).select(key, F.explode_outer("words").alias("x")).where("x IS NOT NULL").select("x.term", key, "x.at")
+    _write_postings(rows, key, path, segment.shards, _common(worded(_sampled(chunks, segment.chunks)), key, segment.chunks, segment.tokens, split))
     return segment
 
 

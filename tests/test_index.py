@@ -8,7 +8,7 @@ import shutil
 from pyspark.sql import functions as F
 
 from quarry.operators import index, search, stores
-from quarry.session import scratch
+from quarry.session import scratch, staged
 
 FIELDS = {"title": 2.0, "body": 1.0}
 
@@ -205,3 +205,19 @@ def test_common_terms_are_split_by_occurrences(spark, tmp_path):
     path = index.build(rows, "k", {"text": 1.0}, home)
     got = {(r.term, r.k): [tuple(a) for a in r.at] for r in index.Index(spark, path).postings().collect()}
     assert got == {("w", k): [(0, i) for i in range(300)] for k in range(12)} | {("own", k): [(0, 300)] for k in range(12)}
+
+
+def test_samples_stay_where_they_are_and_files_have_tasks_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(index, "SAMPLE", 100)
+    taken = []
+    monkeypatch.setattr(index, "staged", lambda df, label, **more: (taken.append((label, df._jdf.queryExecution().optimizedPlan().toString())), staged(df, label, **more))[1])
+    chunks = spark.range(0, 2000, 1, 4).selectExpr("id AS k", "concat('every ', 'w', id, ' v', id * 7, ' u', id % 50) AS body").withColumn("mark", F.lit(""))
+    home = scratch(spark, "dealt")
+    segment = index._write_segment(chunks, "k", {"body": 1.0}, home, [], split=500)
+    plan = next(p for label, p in taken if label == "index-sample")
+    assert "Limit" not in plan and "Sample" in plan
+    rows = spark.read.parquet(f"{home}/{segment.name}/postings").select("shard", "term", F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1).alias("task"))
+    tasks = rows.where("term <> 'every'").groupBy("task").agg(F.countDistinct("shard").alias("n")).collect()
+    assert segment.shards == len(tasks) and {r["n"] for r in tasks} == {1}
+    parts = rows.where("term = 'every'").groupBy("task").count().collect()
+    assert len(parts) == 4 and not {r["task"] for r in parts} & {r["task"] for r in tasks} and sum(r["count"] for r in parts) == 2000
