@@ -23,13 +23,21 @@ def ranking_metrics(ranked: DataFrame, judged: DataFrame, k: int = 10) -> DataFr
 _GAIN = "pow(2.0D, grade) - 1"
 
 
+def _grades(judged: DataFrame) -> DataFrame:
+    """(query, grade, n, item): how many items have each positive grade of a query, and the smallest: counted where the rows are, none is sorted."""
+    return judged.where("grade > 0").groupBy("query", "grade").agg(F.count("*").alias("n"), F.min("item").alias("item"))
+
+
 def _ideal(judged: DataFrame, k: int) -> DataFrame:
-    """(query, idcg, relevant): of the positive grades of a query the k best are ranked, the others only counted."""
-    positive = judged.where("grade > 0")
-    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("grade"), "item"))
-    top = positive.withColumn("place", place).where(F.col("place") <= k)
-    best = top.groupBy("query").agg(F.sum(F.expr(_GAIN) / F.log2(F.col("place") + 1)).alias("idcg"))
-    return best.join(positive.groupBy("query").agg(F.count("*").alias("relevant")), "query")
+    """(query, idcg, relevant): items of one grade stand in a row, so that their number says which of the k first places they have; of a query
+    the k best grades are put in order."""
+    grades, best_first = _grades(judged), Window.partitionBy("query").orderBy(F.desc("grade"))
+    top = grades.withColumn("nth", F.row_number().over(best_first)).where(F.col("nth") <= k)
+    before = F.coalesce(F.sum("n").over(best_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    places = F.when(F.col("before") < k, F.sequence(F.col("before") + 1, F.least(F.col("before") + F.col("n"), F.lit(k).cast("long"))))
+    gain = F.aggregate(places, F.lit(0.0), lambda total, p: total + F.expr(_GAIN) / F.log2(p + 1))
+    best = top.withColumn("before", before).groupBy("query").agg(F.sum(gain).alias("idcg"))
+    return best.join(grades.groupBy("query").agg(F.sum("n").alias("relevant")), "query")
 
 
 def _measured(ranked: DataFrame, judged: DataFrame, ideal: DataFrame, by: list[str], k: int) -> DataFrame:
@@ -103,7 +111,7 @@ def sweep(spark: SparkSession, path: str, queries: DataFrame | list[tuple[str, s
 
 def implied_facets(judged: DataFrame, chunks: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
     """(query, a list of one value for each facet) of the best judged item of each query (of equals the smallest): what one who knows the answer would narrow by."""
-    best = judged.where("grade > 0").groupBy("query").agg(F.min_by("item", F.struct((-F.col("grade")).alias("g"), "item")).alias("item"))
+    best = _grades(judged).groupBy("query").agg(F.max_by("item", "grade").alias("item"))
     return best.join(chunks, best["item"] == chunks[key]).select("query", *[F.array(F.col(c)).alias(c) for c in names])
 
 
@@ -112,7 +120,7 @@ def faceted(spark: SparkSession, path: str, queries: DataFrame, judged: DataFram
     from quarry.operators.index import Index
 
     ix = Index(spark, path)
-    facets = implied_facets(judged, ix.chunks(), ix.key, names)
+    facets = staged(implied_facets(judged, ix.chunks(), ix.key, names), "implied-facets")
     wide = golden_scores(spark, path, queries, judged, k).select("query", F.col("ndcg").alias("open"))
     narrow = golden_scores(spark, path, queries, judged, k, facets=facets).select("query", F.col("ndcg").alias("faceted"))
     return wide.join(narrow, "query").withColumn("change", F.round(F.col("faceted") - F.col("open"), 6))
