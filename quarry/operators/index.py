@@ -10,25 +10,29 @@ An update compares digests of the given rows with those in ``chunks``: rows that
 changed and new ones make one new segment, and the old places of changed and gone ones are dead. No posting is read. Merging reads
 the postings of segments of about one size, or mostly dead ones, and writes them together without their dead.
 
-Postings are grouped by term within a chunk's row, so one shuffle places them: folders (shards) by the term's hash, as many as
-the tokens ask for, sorted by term. Terms that a sample of chunks shows to be common are split by key where they would pass SPLIT rows.
+Postings are grouped by term, a batch of chunks at a time, and travel as blocks, the chunks of a batch that hold a term; one shuffle
+places them: folders (shards) by the term's hash, as many as the tokens ask for, sorted by term. An occurrence is stored as one number. Terms that a sample of chunks shows to be common are split by key where they would pass SPLIT rows.
 The sample decides only where rows lie.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 import math
 import uuid
 import zlib
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import asdict, dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as t
 
 from quarry.operators import stores
-from quarry.session import spread, staged
+from quarry.session import ship, spread, staged, written_as_they_come
 
 TERM = r"([\p{L}\p{N}]+)"
 SCHEMA_VERSION = "1"
@@ -38,6 +42,8 @@ SHARD_TOKENS, LEAST_SHARDS, MOST_SHARDS = 4_000_000, 8, 65536
 SPLIT, SAMPLE, COMMON = 1_000_000, 10_000, 0.01
 #: Segments of about one size that are merged, and the share of dead chunks from which a segment is rewritten alone.
 FAN, ROTTEN = 8, 0.5
+#: Tokens that are grouped in one go.
+GROUPED = 1_000_000
 
 
 def terms(c: Column) -> Column:
@@ -69,9 +75,57 @@ def grouped(fields: Mapping[str, float]) -> Column:
     return F.transform(F.array(tokens), lambda s: F.when(F.size(s) > 0, cut(s)).otherwise(none))[0]
 
 
+def _blocks_of(key: pa.Array, tokens: list[pa.ListArray], parts: Mapping[str, int]) -> pa.RecordBatch:
+    """(term, part, keys, at) of some chunks by the tokens of their fields: a stable sort by term, part and chunk leaves occurrences in order."""
+    rows, places = [], []
+    for number, field in enumerate(tokens):
+        times = np.diff(field.offsets.to_numpy())
+        rows.append(np.repeat(np.arange(len(field)), times))
+        places.append((number << 32) + np.arange(len(rows[-1])) - np.repeat(np.cumsum(times) - times, times))
+    coded = pa.concat_arrays([field.flatten() for field in tokens]).dictionary_encode()
+    code, row = coded.indices.to_numpy().astype(np.int64), np.concatenate(rows)
+    n = max(1, len(key))
+    split = np.array([parts.get(x, 1) for x in coded.dictionary.to_pylist()], np.int64) if parts else np.ones(len(coded.dictionary), np.int64)
+    block = (np.cumsum(split) - split)[code] + row % split[code]
+    told = block * n + row
+    order = np.argsort(told, kind="stable")
+    told = told[order]
+    first = np.flatnonzero(np.diff(told, prepend=-1))  # of a chunk's occurrences of a term
+    block, row = np.divmod(told[first], n)
+    begin = np.flatnonzero(np.diff(block, prepend=-1))  # of a block's chunks
+    ends = pa.array(np.append(begin, len(first)), pa.int32())
+    at = pa.ListArray.from_arrays(pa.array(np.append(first, len(told)), pa.int32()), pa.array(np.concatenate(places)[order]))
+    code = code[order[first[begin]]]
+    columns = [coded.dictionary.take(pa.array(code)), pa.array((row[begin] % split[code]).astype(np.int32)), pa.ListArray.from_arrays(ends, key.take(pa.array(row))), pa.ListArray.from_arrays(ends, at)]
+    return pa.RecordBatch.from_arrays(columns, ["term", "part", "keys", "at"])
+
+
+def _blocks(chunks: DataFrame, key: str, fields: Mapping[str, float], parts: Mapping[str, int]) -> DataFrame:
+    """(term, part, keys, at) of chunks, at packed; at most about GROUPED tokens are grouped at a time. Terms in parts are dealt to so many."""
+    ship(chunks.sparkSession)
+    most, told = GROUPED, chunks.sparkSession.sparkContext.broadcast(dict(parts))
+
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = sum(np.diff(c.offsets.to_numpy()) for c in batch.columns[1:]).cumsum(dtype=np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(ends // most)) + 1).tolist(), len(ends)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b > a:
+                    some = batch.slice(a, b - a)
+                    yield _blocks_of(some.column(0), some.columns[1:], told.value)
+
+    keys = t.ArrayType(chunks.schema[key].dataType, False)
+    made = t.StructType().add("term", t.StringType()).add("part", t.IntegerType()).add("keys", keys).add("at", t.ArrayType(t.ArrayType(t.LongType(), False), False))
+    return chunks.select(key, *[terms(F.col(c)).alias(f"f{k}") for k, c in enumerate(fields)]).mapInArrow(group, made)
+
+
+def _unpacked(at: Column) -> Column:
+    return F.transform(at, lambda x: F.struct(F.shiftright(x, 32).cast("tinyint").alias("f"), x.bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("p")))
+
+
 def _schema(table: str, key: str, kind: str) -> str:
     """Of the tables that are dealt to folders: one without rows has no file to tell it."""
-    return {"postings": f"term string, `{key}` {kind}, at array<struct<f:tinyint,p:int>>, shard int", "terms": "term string, n long, times long, shard int"}[table]
+    return {"postings": f"term string, `{key}` {kind}, at array<bigint>, shard int", "terms": "term string, n long, times long, shard int"}[table]
 
 
 @dataclass(frozen=True)
@@ -102,23 +156,25 @@ def _common(worded: DataFrame, key: str, chunks: int, tokens: int, split: int, a
     return seen.select("term", parts.alias("parts")).where("parts > 1")
 
 
-def _write_postings(rows: DataFrame, key: str, path: str, shards: int, common: DataFrame | None) -> None:
-    """rows(term, key, at) below path, with the counts of terms."""
-    spark = rows.sparkSession
-    placed = rows.withColumn("shard", (F.crc32(F.col("term").cast("binary")) % shards).cast("int"))
+def _parts(common: DataFrame | None) -> dict[str, int]:
+    return {} if common is None else {r["term"]: r["parts"] for r in common.collect()}  # bounded, see _common
+
+
+def _write_postings(blocks: DataFrame, key: str, path: str, shards: int, parts: Mapping[str, int]) -> None:
+    """blocks(term, part, keys, at), at packed, as rows (term, key, at) below path, with the counts of terms."""
+    spark = blocks.sparkSession
+    placed = blocks.withColumn("shard", (F.crc32(F.col("term").cast("binary")) % shards).cast("int"))
     # Tasks are named, one for each shard and each part of a common term: by hashes some would get several and others none.
     files, task = shards, F.col("shard")
-    if common is not None:
-        first = F.sum("parts").over(Window.orderBy("term").rowsBetween(Window.unboundedPreceding, -1))
-        common = staged(common.withColumn("first", F.coalesce(first, F.lit(0)).cast("int") + shards), "index-common")  # bounded, see _common
-        files += common.agg(F.coalesce(F.sum("parts"), F.lit(0))).first()[0]
-        placed = placed.join(F.broadcast(common), "term", "left")
-        task = F.when(F.col("parts").isNull(), F.col("shard")).otherwise(F.col("first") + F.pmod(F.xxhash64(key), "parts").cast("int"))
-    # An occurrence travels as one number: as a struct it takes four times the bytes.
-    packed = F.transform("at", lambda a: F.shiftleft(a["f"].cast("long"), 32) + a["p"])
-    unpacked = F.transform("at", lambda x: F.struct(F.shiftright(x, 32).cast("tinyint").alias("f"), x.bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("p")))
-    placed = placed.select("term", key, packed.alias("at"), "shard", task.alias("task")).repartitionById(files, "task").sortWithinPartitions("shard", "term")
-    placed.select("term", key, unpacked.alias("at"), "shard").write.partitionBy("shard").parquet(f"{path}/postings")
+    if parts:
+        first = dict(zip(sorted(parts), itertools.accumulate((parts[x] for x in sorted(parts)), initial=shards), strict=False))
+        files += sum(parts.values())
+        placed = placed.join(F.broadcast(spark.createDataFrame(list(first.items()), "term string, first int")), "term", "left")  # bounded, see _common
+        task = F.coalesce(F.col("first") + F.col("part"), F.col("shard"))
+    placed = placed.select("term", "keys", "at", "shard", task.alias("task")).repartitionById(files, "task").sortWithinPartitions("term")
+    rows = placed.select("term", "keys", "shard", F.posexplode("at").alias("_i", "at")).select("term", F.get("keys", F.col("_i")).alias(key), "at", "shard")
+    with written_as_they_come(spark):  # a task has rows of one shard, by term
+        rows.write.partitionBy("shard").parquet(f"{path}/postings")
     stored = spark.read.schema(_schema("postings", key, rows.schema[key].dataType.simpleString())).parquet(f"{path}/postings")
     counted = stored.groupBy("shard", "term").agg(F.count("*").alias("n"), F.sum(F.size("at")).alias("times"))
     counted.repartition(shards, "shard").sortWithinPartitions("shard", "term").write.partitionBy("shard").parquet(f"{path}/terms")
@@ -137,11 +193,10 @@ def _write_segment(chunks: DataFrame, key: str, fields: Mapping[str, float], hom
     size = sum((F.size(terms(F.col(c))) for c in fields), F.lit(0)).cast("long")
     chunks.select(key, size.alias("d"), "mark", *keep).write.parquet(f"{path}/chunks")
     one = spark.read.parquet(f"{path}/chunks").agg(F.count("*").alias("n"), F.coalesce(F.sum("d"), F.lit(0)).alias("tokens")).first()
-    worded = lambda rows: rows.select(key, grouped(fields).alias("words"))
     segment = Segment(name, shards_for(one["tokens"]), one["n"], one["tokens"])
-    # Of a plain explode Spark asks first whether the array is empty, and makes it twice.
-    rows = worded(chunks).select(key, F.explode_outer("words").alias("x")).where("x IS NOT NULL").select("x.term", key, "x.at")
-    _write_postings(rows, key, path, segment.shards, _common(worded(_sampled(chunks, segment.chunks)), key, segment.chunks, segment.tokens, split))
+    sample = _sampled(chunks, segment.chunks).select(key, grouped(fields).alias("words"))
+    parts = _parts(_common(sample, key, segment.chunks, segment.tokens, split))
+    _write_postings(_blocks(chunks, key, fields, parts), key, path, segment.shards, parts)
     return segment
 
 
@@ -176,7 +231,7 @@ class Index:
 
     def postings(self, wanted: list[str] | None = None) -> DataFrame:
         """(term, key, at) of the chunks that count."""
-        return self._live(self._read("postings", wanted)).drop("segment")
+        return self._live(self._read("postings", wanted)).drop("segment").withColumn("at", _unpacked(F.col("at")))
 
     def words(self, wanted: list[str] | None = None) -> DataFrame:
         """(term, n, times): chunks with a term and its occurrences; counted from the postings where there are dead chunks."""
@@ -264,11 +319,16 @@ def merge(spark: SparkSession, home: str, fan: int = FAN, split: int = SPLIT, wh
         one = spark.read.parquet(f"{home}/{name}/chunks").agg(F.count("*").alias("n"), F.coalesce(F.sum("d"), F.lit(0)).alias("tokens")).first()
         fresh = Segment(name, shards_for(one["tokens"]), one["n"], one["tokens"])
         rows = ix._live(ix._read("postings", None, some)).drop("segment")
-        common = None
+        parts: dict[str, int] = {}
         if fresh.chunks > split:
             counted = ix._read("terms", None, some).groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") > split)
-            common = counted.select("term", F.ceil(F.col("n") / split).cast("int").alias("parts"))
-        _write_postings(rows, key, f"{home}/{name}", fresh.shards, common)
+            parts = _parts(counted.select("term", F.ceil(F.col("n") / split).cast("int").alias("parts")))
+        part = F.lit(0)
+        if parts:
+            rows = rows.join(F.broadcast(spark.createDataFrame(list(parts.items()), "term string, parts int")), "term", "left")
+            part = F.coalesce(F.pmod(F.xxhash64(key), "parts"), F.lit(0)).cast("int")
+        blocks = rows.select("term", part.alias("part"), F.array(key).alias("keys"), F.array("at").alias("at"))
+        _write_postings(blocks, key, f"{home}/{name}", fresh.shards, parts)
         old += [s.name for s in some]
         segments = [s for s in segments if s not in some] + ([fresh] if fresh.chunks else [])
     left = ix.dead().where(~F.col("segment").isin(old))

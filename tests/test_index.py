@@ -240,3 +240,21 @@ def test_judged_rows_are_counted_and_not_sorted(spark):
     assert "count(1)" in ideal._jdf.queryExecution().optimizedPlan().toString().split("WindowGroupLimit")[1]
     got = {r["query"]: (round(r["idcg"], 9), r["relevant"]) for r in ideal.collect()}
     assert got == {q: (round(sum((2**-g - 1) / math.log2(n + 2) for n, (g, _) in enumerate(x[:10])), 9), len(x)) for q, x in graded.items() if x}
+
+
+def test_postings_travel_as_blocks(spark, monkeypatch):
+    """A batch's chunks that hold a term are one row of the shuffle, as many as its parts for a common term; nothing is sorted by folder when it is written."""
+    chunks = make(spark, rows_of()).where("k IS NOT NULL").coalesce(1)
+    want = plain_postings(rows_of())
+    for most, parts in ((1_000_000, {}), (40, {}), (1_000_000, {"w1": 3})):
+        monkeypatch.setattr(index, "GROUPED", most)
+        blocks = index._blocks(chunks, "k", FIELDS, parts).collect()
+        got = [((b.term, k), [(x >> 32, x & (2**32 - 1)) for x in at]) for b in blocks for k, at in zip(b["keys"], b["at"], strict=True)]
+        assert len(got) == len(want) and dict(got) == want
+        if most > 40:
+            assert len(blocks) == len({t for t, _ in want}) + sum(n - 1 for n in parts.values()) and {b.part for b in blocks if b.term == "w1"} == set(range(parts.get("w1", 1)))
+    written = []
+    home, keep = scratch(spark, "blocks"), index.written_as_they_come
+    monkeypatch.setattr(index, "written_as_they_come", lambda s: (written.append(1), keep(s))[1])
+    build(spark, rows_of(), home)
+    assert written and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
