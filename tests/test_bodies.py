@@ -297,3 +297,36 @@ def test_runs_of_piped_lines_in_and_out_of_fences():
     table = "| a | b |\n|---|---|\n| 1 | 2 |"
     body = f"```\n{table}\n```\n  {table}  \n| - |\ntext\n| lone |\n\n|---|\n|---|\n~~~\n{table}"
     assert [(body[t.start : t.end], t.rows) for t in bodies.tables(body)] == [(f"  {table}  \n| - |", [["a", "b"], ["1", "2"], ["-"]]), ("|---|\n|---|", [["---"]])]
+
+
+def test_what_is_asked_for_is_read_without_a_rewrite(monkeypatch):
+    """Rows of revisions, large tables and targets of links are those of the rewrites, and no body is made for them."""
+    import csv
+    import io
+    import random
+    import re
+
+    from quarry.operators import bodies, normalize
+
+    rng = random.Random(11)
+    parts = ["# Order", "## Revision History", "**Version history**", "## Lines", "```", "  ~~~", "    ```", "a ``` b", "| a | b |", "|---|---|", "| 1 | x \\| y |", "", "<table><tr><th>Date</th><th>Change</th></tr><tr><td>1/2/95</td><td>made &amp; sent</td></tr></table>"]
+    parts += ['<span id="_Toc7"></span>', "see [lines](#_Toc7) and [none](#_Ref9)", "| Date | Change | Version |", "| a | b | c | d | e | f | g | h |", '| 1, "q" | | |', *(f"| {k} | v | |" for k in range(4))]
+    made = ["\n".join(rng.choice(parts) for _ in range(rng.randint(1, 40))) for _ in range(2000)]
+    want = []
+    for body in made:
+        slugs = {h.bookmark: h.slug for h in bodies.headings(body) if h.bookmark}
+        want.append((bodies.extract_revisions(body)[1], bodies.extract_tables(body)[1], bodies.rewrite_links(body, slugs)[1]))
+        assert bodies._fences(body) == [m.start() for m in re.finditer(r"(?m)^ {0,3}(?:```|~~~)", body)]
+        lines = body.split("\n")
+        mask = normalize.fence_mask(lines)
+        assert [i for i, _ in normalize.heading_lines(lines)] == [i for i, x in enumerate(lines) if normalize.HEADING.match(x) and not mask[i]]
+    monkeypatch.setattr(bodies, "_edited", None)
+    for body, (rows, large, links) in zip(made, want, strict=True):
+        slugs = {h.bookmark: h.slug for h in bodies.headings(body) if h.bookmark}
+        assert (bodies.revisions(body)[0], bodies.large_tables(body), bodies.link_targets(body, slugs)) == (rows, large, links)
+    assert sum(len(r) for r, _, _ in want) > 20 and sum(len(t) for _, t, _ in want) > 5
+    for rows in ([["a", "b"], ["1", "2"]], [["a"], [""]], [["a", "b"], ["1,", '"'], ["x\ny", "\r"]], [["", ""], ["1"]]):
+        names = [c or f"column_{i}" for i, c in enumerate(rows[0], 1)]
+        out = io.StringIO()
+        csv.writer(out, lineterminator="\n").writerows([names, *([*r, *[""] * (len(names) - len(r))] for r in rows[1:])])
+        assert bodies.csv_text(rows) == out.getvalue()
