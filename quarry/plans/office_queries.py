@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from struct import pack
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ _NUMBERS = f"""<w:numbering {_NS}><w:abstractNum w:abstractNumId="0"><w:lvl w:il
 _RELS = """<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="p1" Target="media/seal.png"/><Relationship Id="u1" Target="http://x.test/a"/></Relationships>"""
 
 
+@lru_cache(8192)
 def paragraph(text: str, style: str = "", number: str = "", bookmark: str = "", raw: bool = False) -> str:
     inner = text if raw else f'<w:r><w:t xml:space="preserve">{escape(text)}</w:t></w:r>'
     props = (f'<w:pStyle w:val="{style}"/>' if style else "") + (f'<w:numPr><w:ilvl w:val="{number[1]}"/><w:numId w:val="{number[0]}"/></w:numPr>' if number else "")
@@ -32,14 +34,33 @@ def paragraph(text: str, style: str = "", number: str = "", bookmark: str = "",
     return f"<w:p>{f'<w:pPr>{props}</w:pPr>' if props else ''}{mark}{inner}</w:p>"
 
 
+_SAME = ("word/styles.xml", "word/numbering.xml", "word/_rels/document.xml.rels")
+
+
+@lru_cache(64)
+def _part(name: str, content: str | bytes) -> tuple[bytes, bytes, bytes]:
+    """A part with its header, and its entry in the directory before and behind the part's place."""
+    named, raw = name.encode(), content.encode() if isinstance(content, str) else content
+    deflated = name == "word/document.xml" or len(content) > 4096
+    put = raw
+    if deflated:
+        deflate = zlib.compressobj(zlib.Z_DEFAULT_COMPRESSION, zlib.DEFLATED, -15)
+        put = deflate.compress(raw) + deflate.flush()
+    # Version 2.0, made on Unix, of 1 January 1980, to be read and written by its owner.
+    facts = pack("<4H3L2H", 0, 8 if deflated else 0, 0, 33, zlib.crc32(raw), len(put), len(raw), len(named), 0)
+    return b"PK\3\4\x14\0%b%b%b" % (facts, named, put), b"PK\1\2\x14\3\x14\0%b%b" % (facts, pack("<3HL", 0, 0, 0, 0o600 << 16)), named
+
+
 def packed(body: str, media: dict[str, bytes] | None = None) -> bytes:
     """A file of the format around the XML of a body; the same bytes for the same parts. The body is deflated, small parts are stored."""
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as pack:
-        parts = {"word/document.xml": f"<w:document {_NS}><w:body>{body}</w:body></w:document>", "word/styles.xml": _STYLES, "word/numbering.xml": _NUMBERS, "word/_rels/document.xml.rels": _RELS, **(media or {})}
-        for name, content in parts.items():
-            pack.writestr(zipfile.ZipInfo(name), content, zipfile.ZIP_DEFLATED if name == "word/document.xml" or len(content) > 4096 else zipfile.ZIP_STORED)
-    return out.getvalue()
+    parts = {"word/document.xml": f"<w:document {_NS}><w:body>{body}</w:body></w:document>", "word/styles.xml": _STYLES, "word/numbering.xml": _NUMBERS, "word/_rels/document.xml.rels": _RELS, **(media or {})}
+    out, entries, at = [], [], 0
+    for name, content in parts.items():
+        local, entry, named = (_part if name in _SAME else _part.__wrapped__)(name, content)
+        out.append(local)
+        entries += [entry, pack("<L", at), named]
+        at += len(local)
+    return b"".join([*out, *entries, pack("<4s4H2LH", b"PK\5\6", 0, 0, len(parts), len(parts), sum(map(len, entries)), at, 0)])
 
 
 def order_file(order: int, priority: str, lines: list[tuple[int, str, str]]) -> bytes:
@@ -67,11 +88,18 @@ def office_bodies(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_set(line)).alias("lines"))
     orders = table(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "o_orderpriority", "lines")
 
-    def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            content = [order_file(r.o_orderkey, r.o_orderpriority, [(x["l_linenumber"], x["l_returnflag"], x["day"]) for x in r.lines]) for r in part.itertuples(index=False)]
-            yield pd.DataFrame({"path": part["o_orderkey"].astype(str) + ".docx", "content": content})
+    def listed(x: pa.Array) -> list:
+        return x.to_pylist() if x.null_count else x.to_numpy(zero_copy_only=False).tolist()
 
-    found = office.to_markdown(orders.mapInPandas(write, "path string, content binary"))
+    def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            held = part.column("lines")
+            rows = list(zip(*map(listed, held.flatten().flatten()), strict=True))
+            ends = [0, *held.value_lengths().to_numpy().cumsum().tolist()]
+            keys, priorities = (listed(part.column(c)) for c in ("o_orderkey", "o_orderpriority"))
+            content = [order_file(order, priority, rows[a:b]) for order, priority, a, b in zip(keys, priorities, ends[:-1], ends[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([f"{key}.docx" for key in keys], pa.string()), pa.array(content, pa.binary())], names=["path", "content"])
+
+    found = office.to_markdown(orders.mapInArrow(write, "path string, content binary"))
     pictures = F.array_join(F.transform("pictures", lambda p: F.concat_ws(" ", p["name"], p["sha256"])), ",")
     return found.select("path", F.md5("body").alias("body"), pictures.alias("pictures"), F.col("error").isNotNull().alias("damaged"))

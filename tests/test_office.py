@@ -5,6 +5,7 @@ import zipfile
 
 import pytest
 
+from quarry.plans import office_queries
 from quarry.plans.office_queries import order_file, packed, paragraph
 from quarry.sources import office
 
@@ -101,3 +102,94 @@ def test_shared_parts_are_read_once():
     assert sum(n for (_, _, name), (_, n, *_) in stats.stats.items() if name == "XML") == 1
     assert office.convert(files[1])[0] == told  # counts of lists begin anew
 
+
+
+def told(content):
+    try:
+        return office.convert(content)
+    except Exception as e:
+        return f"{type(e).__name__}: {e}"
+
+
+def test_paragraphs_met_before_are_not_read_again(monkeypatch):
+    """Of a file like others the XML of its new paragraphs alone is read, where it was the whole main part."""
+    files = [order_file(n, "1-URGENT", [(i, "N", "1997-01-01") for i in range(7)]) for n in (8, 9)]
+    office.convert(files[0])
+    read, parse = [], office.ElementTree.fromstring
+    monkeypatch.setattr(office.ElementTree, "fromstring", lambda raw: (read.append(len(raw)), parse(raw))[1])
+    assert told(files[1])[0].startswith("# Order 9\n") and sum(read) < 600
+
+
+ODD = [
+    '<w:p w:a="1">' + run("a") + '</w:p><w:p w:a="2"/>' + paragraph("b") + "<w:p/>" + '<w:p\n w:a=">">' + run("c") + "</w:p>",
+    paragraph('<w:r><w:pict><w:txbxContent><w:p><w:r><w:t>in</w:t></w:r></w:p></w:txbxContent></w:pict></w:r>' + run("out"), raw=True) + paragraph("after"),
+    "<!-- <w:p> -->" + paragraph("a") + "<w:p><w:r><w:t><![CDATA[</w:p><w:p>]]></w:t></w:r></w:p>",
+    "<w:p>" + run("a") + "</w:p ><w:p>" + run("b") + "</w:p>",
+    '<w:p><w:r xmlns:w="urn:other"><w:t>other</w:t></w:r></w:p>' + paragraph("a"),
+    '<w:p xmlns:w="urn:other"><w:t>x</w:t></w:p>' + paragraph("a"),
+    "<w:ins>" + paragraph("in") + "</w:ins><w:del>" + paragraph("gone") + "</w:del><w:sdt><w:sdtContent>" + paragraph("held", "H2") + "</w:sdtContent></w:sdt>",
+    "<w:tbl><w:tr><w:tc>" + paragraph("a|b") + "<w:p/>" + paragraph("c") + "</w:tc><w:tc/></w:tr><w:tr><w:tc><w:tcPr><w:vMerge/></w:tcPr>" + paragraph('<w:r><w:drawing><a:blip r:embed="p1"/></w:drawing></w:r>', raw=True) + "</w:tc></w:tr></w:tbl>",
+    "<w:tbl><w:tr><w:tc><w:tcPr><w:gridSpan w:val='x'/></w:tcPr>" + paragraph("a") + "</w:tc></w:tr></w:tbl>",
+    paragraph("a", number="30") + "<w:tbl/>" + paragraph("b", number="30") + paragraph("c", number="31") + paragraph("d", number="30") + paragraph("e", number="31"),
+    paragraph("<w:r><w:t>a</w:r></w:t>", raw=True),
+    "<w:p><w:r></w:p></w:r>" + paragraph("a"),
+    paragraph("&none;", raw=True),
+    "<w:place/>" + paragraph("a"),
+    paragraph("a") + "</w:p><w:p>",
+    "<w:p>" + paragraph("a"),
+    '<w:p w:a=">"/>' + paragraph("a") + "</w:p>",
+]
+
+
+@pytest.mark.parametrize("k", range(len(ODD)))
+def test_a_part_taken_apart_reads_like_the_whole(k, monkeypatch):
+    file = packed(ODD[k] + paragraph("end"), {"word/media/seal.png": b"s"})
+    got = [told(file), told(file)]
+    monkeypatch.setattr(office.Document, "taken_apart", staticmethod(lambda *_: None))
+    assert got == [told(file)] * 2
+
+
+def zipped(parts, comment=b"", extra=b"", way=zipfile.ZIP_STORED):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", way) as pack:
+        pack.comment = comment
+        for name, content in parts:
+            info = zipfile.ZipInfo(name)
+            info.extra, info.compress_type = extra, way
+            pack.writestr(info, content)
+    return out.getvalue()
+
+
+def test_packs_read_as_zipfile_reads_them():
+    body = f"<w:document {office_queries._NS}><w:body>{paragraph('text ' * 50)}</w:body></w:document>"
+    parts = [("word/document.xml", body), ("word/styles.xml", office_queries._STYLES), ("word/ä.xml", "x")]
+    plain, deflated = zipped(parts), zipped(parts[:2], way=zipfile.ZIP_DEFLATED)
+    stream = io.BytesIO()
+    stream.seekable = lambda: False  # sizes come behind the data
+    with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as pack:
+        pack.writestr("word/document.xml", body)
+    files = [plain, deflated, zipped(parts, b"said"), zipped(parts, extra=b"\x99\x99\x01\x00x"), zipped(parts[:2], way=zipfile.ZIP_BZIP2), b"front" + plain, plain[:-1], plain + b"x", plain[:40], b"", zipped([]), stream.getvalue()]
+    files += [f[:60] + b"~" + f[61:] for f in (plain, deflated)] + [deflated[: k] + b"\xff" + deflated[k + 1 :] for k in range(len(deflated) - 140, len(deflated))]
+    with pytest.warns(UserWarning, match="Duplicate"):
+        files.append(zipped([("word/document.xml", "no"), *parts]))
+    for file in files:
+        try:
+            with zipfile.ZipFile(io.BytesIO(file)) as pack:
+                names = pack.namelist()
+                want, sizes = {n: pack.read(n) for n in names}, {n: pack.getinfo(n).file_size for n in names}
+        except Exception as e:
+            with pytest.raises(type(e)):
+                got = office.Pack(file)
+                for n in zipfile.ZipFile(io.BytesIO(file)).namelist():
+                    got.read(n)
+        else:
+            got = office.Pack(file)
+            assert {n: got.read(n) for n in names} == want and {n: got.size(n) for n in names} == sizes
+    assert office.Pack(plain).size("none") is None
+    whole = packed(paragraph("a"), {"m/long": b"x" * 5000, "m/short": b"y"})
+    with zipfile.ZipFile(io.BytesIO(whole)) as pack:
+        again = io.BytesIO()
+        with zipfile.ZipFile(again, "w") as other:
+            for i in pack.infolist():
+                other.writestr(zipfile.ZipInfo(i.filename), pack.read(i), i.compress_type)
+    assert again.getvalue() == whole  # as zipfile writes it
