@@ -12,14 +12,13 @@ from __future__ import annotations
 import re
 from collections.abc import Collection, Iterator
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import block_key, decade, first_keyword, month_year, strip_numbering, strip_tags
 from quarry.operators import bodies, mining, neardup
-from quarry.operators.normalize import heading_levels
+from quarry.operators.normalize import heading_lines
 from quarry.session import ship, staged
 from quarry.sources.markdown import sections
 
@@ -124,40 +123,53 @@ def mine(docs: DataFrame, least: int = LEAST, sure: int = SURE, threshold: float
 def strip_scaffold(body: str, titles: Collection[str]) -> str:
     """Without the template's sections that nothing was filled into: neither text nor a heading below them; blank lines go along."""
     lines = body.split("\n")
-    levels = heading_levels(lines)
-    at = np.flatnonzero(levels)
-    blank = np.array([not x.strip() for x in lines])
-    filled = np.concatenate(([0], np.cumsum(~blank)))  # lines with text before each line
-    drop = np.zeros(len(lines), bool)
-    for k, line in enumerate(at):
-        after = at[k + 1 :]
-        stop = next(iter(after[levels[after] <= levels[line]]), len(lines))
-        title = " ".join(lines[line].lstrip("#").lower().split())
-        if title != "contents" and title in titles and filled[stop] == filled[line + 1]:
-            drop[line:stop] = True
-    return "\n".join(x for x, gone in zip(lines, drop, strict=True) if not gone)
+    levels = {i: len(m[1]) for i, m in heading_lines(lines)}
+    kept: list[str] = []
+    start = 0  # of the lines that are not yet kept or dropped
+    for i, level in levels.items():
+        title = " ".join(lines[i].lstrip("#").lower().split())
+        if title == "contents" or title not in titles:
+            continue
+        # The section is empty if the first line below that is not blank ends it.
+        stop = i + 1
+        while stop < len(lines) and not lines[stop].strip():
+            stop += 1
+        if stop == len(lines) or levels.get(stop, 7) <= level:
+            kept += lines[start:i]
+            start = stop
+    return "\n".join([*kept, *lines[start:]]) if start else body
 
 
 _MONTH = r"(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 _DATED = re.compile(rf"(?i)\b{_MONTH}\.?,?\s+\d{{4}}\b")
 _SIGNAL = re.compile(rf"(?i){IMPRINT}|intentionally left blank|<img\b|!\[")
+_YEAR = re.compile(r"\d{4}")
+_KNOWN = ("contents", "table of contents", "revision history", "document revision history")
 _IMAGE = re.compile(r"[ \t]*(?:<img\b[^>]*>|!\[[^\]]*\]\([^)]*\))[ \t]*")
 
 
 def _furniture(line: str) -> bool:
     """The imprint, with or without an office behind it, or a short line with a date; as a heading too."""
-    shown = bodies.TAG.sub("", line)
-    return " ".join(re.sub(r"[^a-z0-9]", " ", shown.lower()).split()).startswith(IMPRINT) or (len(shown.strip()) < 50 and bool(_DATED.search(shown)))
+    shown = bodies.untagged(line)
+    if "department" in (low := shown.lower()) and " ".join(re.sub(r"[^a-z0-9]", " ", low).split()).startswith(IMPRINT):
+        return True
+    return bool(_YEAR.search(shown)) and len(shown.strip()) < 50 and bool(_DATED.search(shown))
 
 
-def _cover(lines: list[str]) -> tuple[int, np.ndarray]:
-    """Where the cover ends (the first heading, revision heading or entry of contents that is no furniture; all lines if there is none), and which lines are furniture."""
-    furniture = np.array([_furniture(x) for x in lines])
-    levels = heading_levels(lines)
-    known = ("contents", "table of contents", "revision history", "document revision history")
-    marks = np.array([levels[i] > 0 or re.sub(r"^[>#* ]+|[*: ]+$", "", x).lower() in known or bodies.toc_entry(x) is not None for i, x in enumerate(lines)])
-    at = np.flatnonzero(marks & ~furniture)
-    return (int(at[0]) if len(at) else len(lines)), furniture
+def _entry(line: str) -> bool:
+    """A heading without marks that a cover ends with, or an entry of contents; most lines have no sign of either."""
+    low = line.lower()
+    if ("contents" in low or "revision history" in low) and re.sub(r"^[>#* ]+|[*: ]+$", "", line).lower() in _KNOWN:
+        return True
+    return ("](#" in line or "..." in line or "…" in line or "|" in line) and bodies.toc_entry(line) is not None
+
+
+def _cover(lines: list[str]) -> int:
+    """Where the cover ends: the first heading, revision heading or entry of contents that is no furniture, within COVER lines; 0 if there is
+    none, or the first line is one."""
+    first = lines[: COVER + 1]
+    headings = {i for i, _ in heading_lines(first)}
+    return next((i for i, x in enumerate(first) if (i in headings or _entry(x)) and not _furniture(x)), 0)
 
 
 def title_block(title: str, version: str, patch: str, published: str, url: str) -> list[str]:
@@ -168,13 +180,13 @@ def title_block(title: str, version: str, patch: str, published: str, url: str)
 
 def without_cover_images(body: str) -> str:
     """Images that stand alone on a line of the cover go; where no heading ends it, the cover is the blank, image and furniture lines at the start."""
+    if "![" not in body and "<img" not in body:
+        return body
     lines = body.split("\n")
-    end, furniture = _cover(lines)
-    image = np.array([bool(_IMAGE.fullmatch(x)) for x in lines])
-    if not (0 < end < len(lines) and end <= COVER):
-        leading = furniture | image | np.array([not x.strip() for x in lines])
-        end = int(np.argmin(np.append(leading[:TITLE_PAGE], False)))
-    return "\n".join(x for i, x in enumerate(lines) if not (i < end and image[i]))
+    end = _cover(lines)
+    if not end:
+        end = next((i for i, x in enumerate(lines[:TITLE_PAGE]) if x.strip() and not _IMAGE.fullmatch(x) and not _furniture(x)), min(TITLE_PAGE, len(lines)))
+    return "\n".join([*(x for x in lines[:end] if not _IMAGE.fullmatch(x)), *lines[end:]])
 
 
 def standard_title_page(body: str, title: str = "", version: str = "", patch: str = "", published: str = "", url: str = "") -> str:
@@ -185,10 +197,10 @@ def standard_title_page(body: str, title: str = "", version: str = "", patch: st
     if not published:
         return body
     lines = body.split("\n")
-    end, furniture = _cover(lines)
-    if 0 < end < len(lines) and end <= COVER and any(_SIGNAL.search(x) or _DATED.search(x) for x in lines[:end]):
+    end = _cover(lines)
+    if end and any(_SIGNAL.search(x) or _DATED.search(x) for x in lines[:end]):
         return "\n".join([*title_block(title, version, patch, published, url), "", *lines[end:]]).lstrip("\n")
-    return "\n".join(x for i, x in enumerate(lines) if not (i < TITLE_PAGE and furniture[i]))
+    return "\n".join([*(x for x in lines[:TITLE_PAGE] if not _furniture(x)), *lines[TITLE_PAGE:]])
 
 
 def applied(docs: DataFrame, templates: DataFrame) -> DataFrame:
@@ -199,15 +211,19 @@ def applied(docs: DataFrame, templates: DataFrame) -> DataFrame:
     best = templates.groupBy(*BUCKET).agg(F.min_by(F.struct("template_id", F.transform("sections", lambda s: block_key(s["title"])).alias("titles")), F.struct((-F.col("doc_count")).alias("n"), "template_id")).alias("t"))
     head = F.array_join(F.slice(F.split("body", "\n", -1), 1, TITLE_PAGE), "\n")
     facts = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("title", "version", "patch", "url")]
-    rows = docs.withColumn("era", F.coalesce("era", F.lit("unknown"))).join(best, BUCKET, "left").select("doc_id", F.coalesce("t.template_id", F.lit("")).alias("template_id"), F.coalesce("t.titles", F.array().cast("array<string>")).alias("titles"), month_year(head).alias("published"), F.coalesce("body", F.lit("")).alias("body"), *facts)
+    rows = docs.withColumn("era", F.coalesce("era", F.lit("unknown"))).join(best, BUCKET, "left").select("doc_id", F.coalesce("t.template_id", F.lit("")).alias("template_id"), F.coalesce(F.array_join("t.titles", "\n"), F.lit("")).alias("titles"), month_year(head).alias("published"), F.coalesce("body", F.lit("")).alias("body"), *facts)
     ship(docs.sparkSession)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
+            # A template's titles are of one line each, and are told apart once for a batch.
+            told = part.column("titles").dictionary_encode()
+            sets = [{x for x in t.split("\n") if x} for t in told.dictionary.to_pylist()]
+            cover = (part.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("body", "title", "version", "patch", "published", "url"))
             out = []
-            for r in part.itertuples(index=False):
-                body = without_cover_images(standard_title_page(r.body, r.title, r.version, r.patch, r.published or "", r.url))
-                out.append(strip_scaffold(body, set(r.titles)) if len(r.titles) else body)
-            yield part[["doc_id", "template_id", "published"]].assign(body=out)
+            for which, body, title, version, patch, published, url in zip(told.indices.to_numpy().tolist(), *cover, strict=True):
+                body = without_cover_images(standard_title_page(body, title, version, patch, published or "", url))
+                out.append(strip_scaffold(body, sets[which]) if sets[which] else body)
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "template_id", "published")), pa.array(out, pa.string())], names=["doc_id", "template_id", "published", "body"])
 
-    return rows.mapInPandas(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, template_id string, published string, body string")
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, template_id string, published string, body string")

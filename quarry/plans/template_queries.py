@@ -26,10 +26,17 @@ _MINED: dict[tuple[str, str], DataFrame] = {}
 
 
 def _mined(spark: SparkSession, d: str) -> DataFrame:
+    return _mined_of(spark, d)[1]
+
+
+def _mined_of(spark: SparkSession, d: str, keep: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The outlines and their templates; outlines that are used again after mining are written once, if there is something to mine."""
     at = (spark.sparkContext.applicationId, d)
+    outlines = order_outlines(spark, d)
     if at not in _MINED:
-        _MINED[at] = staged(templates.mine(order_outlines(spark, d)), "templates")
-    return _MINED[at]
+        outlines = staged(outlines, "order-outlines") if keep else outlines
+        _MINED[at] = staged(templates.mine(outlines), "templates")
+    return outlines, _MINED[at]
 
 
 @query()
@@ -45,5 +52,6 @@ def template_bodies(spark: SparkSession, d: str) -> DataFrame:
     """Orders as bodies with a cover, sections of which every third is empty, under the templates of their type and era."""
     body = F.transform("outline", lambda s, i: F.concat(F.repeat(F.lit("#"), s["level"]), F.lit(" "), s["title"], F.when(i % 3 == 1, F.lit("\n")).otherwise(F.concat(F.lit("\n\ntext of "), s["title"]))))
     cover = F.concat(F.lit("**Order "), F.col("doc_id").cast("string"), F.lit("**\n\n![logo](x.png)\n\n"), F.when(F.col("doc_id") % 4 > 0, "March 1999\n\n").otherwise(""))
-    docs = order_outlines(spark, d).select("doc_id", "doc_type", "era", F.concat(cover, F.array_join(body, "\n\n")).alias("body"), F.concat(F.lit("Order "), "doc_id").alias("title"), F.lit("1.0").alias("version"), F.lit(None).cast("string").alias("patch"), F.lit("").alias("url"))
-    return templates.applied(docs, _mined(spark, d)).select("doc_id", "template_id", "published", F.md5("body").alias("body"))
+    outlines, mined = _mined_of(spark, d, keep=True)
+    docs = outlines.select("doc_id", "doc_type", "era", F.concat(cover, F.array_join(body, "\n\n")).alias("body"), F.concat(F.lit("Order "), "doc_id").alias("title"), F.lit("1.0").alias("version"), F.lit(None).cast("string").alias("patch"), F.lit("").alias("url"))
+    return templates.applied(docs, mined).select("doc_id", "template_id", "published", F.md5("body").alias("body"))

@@ -204,3 +204,32 @@ def test_bodies_under_templates(spark, sf):
         assert (rows[r.doc_id].template_id, rows[r.doc_id].published) == (t.template_id if t else "", "1999-03" if dated else None)
         assert rows[r.doc_id].body == hashlib.md5(want.encode()).hexdigest()
     assert stripped
+
+
+def test_lines_below_the_cover_are_not_looked_at(monkeypatch):
+    """Whether a line is furniture is asked of the cover alone, where it was asked twice of every line."""
+    asked, furniture = [], templates._furniture
+    monkeypatch.setattr(templates, "_furniture", lambda x: (asked.append(x), furniture(x))[1])
+    text = "## Introduction\n" + "word\nin May 2001\n![figure](b.png)\n" * 1000
+    got = templates.without_cover_images(templates.standard_title_page("**T**\n\nMarch 2019\n\n" + text, "T", published="2019-03"))
+    assert got == "**T**\n\n_Published 2019-03_\n\n" + text and len(asked) < 10
+    flat = "word\n" * 5000 + "![x](y)"
+    assert templates.without_cover_images(templates.standard_title_page(flat, "T", published="2019-03")) == flat and len(asked) < 10 + 3 * templates.COVER
+
+
+@pytest.mark.parametrize(
+    ("lines", "first"),
+    [(80, True), (81, False)],
+)
+def test_a_cover_ends_within_its_lines(lines, first):
+    body = "![x](y)\nMarch 2019\n" + "word\n" * (lines - 2) + "## Start\ntext"
+    got = templates.standard_title_page(body, "T", published="2019-03")
+    assert got == ("**T**\n\n_Published 2019-03_\n\n## Start\ntext" if first else body.replace("March 2019\n", ""))
+    assert templates.without_cover_images(body) == body.replace("![x](y)\n", "")
+
+
+def test_outlines_are_made_once(spark, sf, monkeypatch):
+    """Mining and the bodies read the same outlines, where they were made twice."""
+    monkeypatch.setattr(template_queries, "_MINED", {})
+    plan = template_queries.template_bodies(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan
