@@ -77,8 +77,8 @@ def structural_fingerprint(titles: Column) -> Column:
 
 def scaffold_shingles(titles: Column, k: int = 2) -> Column:
     """Distinct runs of k titles; a shorter outline is one, an empty one has none."""
-    plain = _plain_titles(titles)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(plain) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(plain, i, k), " › "))
+    # Plain titles are bound as a lambda variable, or they would be made again for each run.
+    runs = F.transform(F.array(_plain_titles(titles)), lambda plain: F.transform(F.sequence(F.lit(1), F.greatest(F.size(plain) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(plain, i, k), " › ")))[0]
     return F.when(F.size(titles) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(runs))
 
 

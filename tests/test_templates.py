@@ -233,3 +233,11 @@ def test_outlines_are_made_once(spark, sf, monkeypatch):
     monkeypatch.setattr(template_queries, "_MINED", {})
     plan = template_queries.template_bodies(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan
+
+
+def test_titles_are_made_plain_once(spark):
+    """Titles of an outline are rewritten once, where they were rewritten for each run of two."""
+    rows = [(["1. A  b", "2. C", "a B", "c"],), ([],), (["3. One"],), (None,), ([None, "x"],)]
+    df = spark.createDataFrame(rows, "t array<string>").select(templates.mining.scaffold_shingles(templates.F.col("t")).alias("s"))
+    assert df._jdf.queryExecution().analyzed().toString().count("regexp_replace(regexp_replace") + df._jdf.queryExecution().analyzed().toString().count("regexp_replace(lower(regexp_replace") == 1
+    assert [r.s for r in df.collect()] == [["a b › c", "c › a b"], [], ["one"], [None], ["x"]]
